@@ -40,13 +40,15 @@ def _t(spark, sf_dir, name):
     return tb.table(spark, sf_dir, name)
 
 
-def _event_messages(events: DataFrame, with_markers: bool = False) -> DataFrame:
-    """Events as queue messages: connection ``events``, queue = user, seq =
-    event id, payload = the ``props`` JSON text, time = the event time.
-    With markers, ``error`` events are end markers of their user's queue."""
+def _event_messages(events: DataFrame, with_markers: bool = False,
+                    queue_col: str = "user_id") -> DataFrame:
+    """Events as queue messages: connection ``events``, queue = user (or
+    ``queue_col``), seq = event id, payload = the ``props`` JSON text, time =
+    the event time. With markers, ``error`` events are end markers of their
+    queue."""
     msgs = env.build_messages(
         events, data=env.to_payload("props"), source=EVENTS_CONNECTION, destination=LOADER_NAME,
-        connection_id=EVENTS_CONNECTION, queue=F.col("user_id").cast("string"),
+        connection_id=EVENTS_CONNECTION, queue=F.col(queue_col).cast("string"),
         seq=F.col("event_id"), created_at=F.col("ts"), updated_at=F.col("ts"),
         keep=["event_type"] if with_markers else ())
     if with_markers:
@@ -279,7 +281,8 @@ def map_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _publish_events(spark, sf_dir, landing, copies=1):
-    msgs = _event_messages(_t(spark, sf_dir, "events"))
+    """Publish events to a landing directory, one queue per event type."""
+    msgs = _event_messages(_t(spark, sf_dir, "events"), queue_col="event_type")
     b = F.lit(SYNC_BOUNDARY).cast("timestamp")
     for _ in range(copies):
         # two producer runs land as separate files: before and after the boundary
@@ -313,7 +316,7 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queue_consume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3 batch: publish events as JSON lines (B1), consume them back."""
     landing = new_run_dir(spark, "queue")
-    queue_sink.publish(_event_messages(_t(spark, sf_dir, "events")), landing)
+    queue_sink.publish(_event_messages(_t(spark, sf_dir, "events"), queue_col="event_type"), landing)
     got = q.good(queue_source.consume(spark, landing))
     return got.select("connection_id", "queue", "seq", env.stringify("data").alias("stringified_data"),
                       F.col("created_at").cast("timestamp_ntz").alias("created_at"))

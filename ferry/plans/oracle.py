@@ -186,17 +186,17 @@ SELECT doc_id, CAST(seq AS BIGINT) AS seq, CAST(length(try(decode(chunk))) AS BI
 FROM ({_DOC_CHUNKS})""",
 
     "queue_consume": """
-SELECT 'events' AS connection_id, CAST(user_id AS VARCHAR) AS queue, event_id AS seq,
+SELECT 'events' AS connection_id, event_type AS queue, event_id AS seq,
        props AS stringified_data, ts AS created_at
 FROM events""",
 
     "stream_sync": """
-SELECT 'events' AS connection_id, CAST(user_id AS VARCHAR) AS queue, event_id AS seq,
+SELECT 'events' AS connection_id, event_type AS queue, event_id AS seq,
        props AS stringified_data
 FROM events""",
 
     "stream_dedup": """
-SELECT 'events' AS connection_id, CAST(user_id AS VARCHAR) AS queue, event_id AS seq,
+SELECT 'events' AS connection_id, event_type AS queue, event_id AS seq,
        props AS stringified_data
 FROM events""",
 
