@@ -51,3 +51,19 @@ def broadcast_if_small(df: DataFrame, max_rows: int | None = None,
     if row_count_at_most(df, bound) <= bound:
         return F.broadcast(df)
     return df
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Make sure a narrow input still uses every core.
+
+    A scan of a few large row groups gives fewer partitions than the cluster
+    has cores; per-row work on it (JSON, hashing, chunking) would then run
+    on a few cores only. In that case rows are dealt round-robin over
+    ``min_partitions`` (default: the default parallelism). An input that
+    already has enough partitions - every input at cluster scale - is
+    returned unchanged, with no shuffle.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

@@ -35,7 +35,7 @@ def get_session(master: str | None = None, app: str = "ferry", **conf) -> SparkS
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    builder = builder.config("spark.ui.enabled", "false")
+    builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for k, v in {**DEFAULT_CONF, **conf}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -44,15 +44,37 @@ def get_session(master: str | None = None, app: str = "ferry", **conf) -> SparkS
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime-settable defaults to an existing session."""
+    """Apply the runtime-settable defaults to an existing session and make
+    the package importable by executor Python workers."""
     for k, v in DEFAULT_CONF.items():
         try:
             spark.conf.set(k, v)
         except Exception:  # static conf on a shared session: leave as is
             pass
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per SparkContext (what
+    ``--py-files`` does at submit time), so Arrow functions and the file
+    data source defined here can be unpickled there."""
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import shutil
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out_dir = tempfile.mkdtemp(prefix="ferry-pyfiles-")
+    archive = shutil.make_archive(os.path.join(out_dir, "ferry"), "zip",
+                                  root_dir=os.path.dirname(pkg_dir), base_dir=os.path.basename(pkg_dir))
+    sc.addPyFile(archive)
+    _SHIPPED.add(key)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for materialised tables and run directories.
 

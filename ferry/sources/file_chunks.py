@@ -103,6 +103,7 @@ class FileChunksReader(DataSourceReader):
         self.path = options["path"]
         self.chunk_bytes = int(options.get("chunk_bytes", DEFAULT_CHUNK_BYTES))
         self.partition_bytes = int(options.get("partition_bytes", DEFAULT_PARTITION_BYTES))
+        self.parallelism = int(options.get("parallelism", 1))
         if self.chunk_bytes <= 0:
             raise ValueError("chunk_bytes must be positive")
 
@@ -110,7 +111,12 @@ class FileChunksReader(DataSourceReader):
         files = []
         for p in self.path.split(","):
             files.extend(list_files(p.strip()))
-        return [ChunkPartition(r) for r in plan_ranges(files, self.chunk_bytes, self.partition_bytes)]
+        # Like Spark's own file splits: at most partition_bytes per task, but
+        # small inputs are spread so every core gets a share.
+        total = sum(size for _, size in files)
+        per_core = -(-total // max(1, self.parallelism))
+        split = min(self.partition_bytes, max(self.chunk_bytes, per_core))
+        return [ChunkPartition(r) for r in plan_ranges(files, self.chunk_bytes, split)]
 
     def read(self, partition: ChunkPartition):
         n = self.chunk_bytes
@@ -125,7 +131,8 @@ class FileChunksReader(DataSourceReader):
 
 class FileChunks(DataSource):
     """Options: ``path`` (file, directory, ``dir/*.ext`` or a comma list),
-    ``chunk_bytes`` (default 1 MiB), ``partition_bytes`` (default 128 MiB)."""
+    ``chunk_bytes`` (default 1 MiB), ``partition_bytes`` (default 128 MiB),
+    ``parallelism`` (cores to spread a small input over)."""
 
     @classmethod
     def name(cls):
@@ -147,4 +154,5 @@ def read_file_chunks(spark, path: str, chunk_bytes: int = DEFAULT_CHUNK_BYTES,
     register(spark)
     return (spark.read.format("file_chunks").option("path", path)
             .option("chunk_bytes", str(chunk_bytes))
-            .option("partition_bytes", str(partition_bytes)).load())
+            .option("partition_bytes", str(partition_bytes))
+            .option("parallelism", str(spark.sparkContext.defaultParallelism)).load())
