@@ -3,6 +3,9 @@ order-dependent "until end" cut (G1)."""
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,19 +14,46 @@ from ferry.plans.sizing import broadcast_if_small
 
 
 def parse_messages(lines: DataFrame, value_col: str = "value",
-                   keep: list[str] | tuple[str, ...] = ()) -> DataFrame:
+                   keep: list[str] | tuple[str, ...] = (), strict: bool = False) -> DataFrame:
     """JSON lines -> message rows plus ``_reject`` (null when good).
 
     Malformed lines are kept, not skipped: ``_reject`` holds the reason and
     the raw line stays in ``_raw``. Split with ``good`` / ``rejects``.
+
+    Spark's JSON reader accepts trailing text after the first object
+    (``{"IsEnd": true} x``). Lines written by ``publish`` never look like
+    that; for foreign producers ``strict=True`` adds a whole-line check in
+    Arrow batches (``json_object_line``) and rejects such lines too.
     """
     parsed = lines.select(*keep, F.col(value_col).alias("_raw"), env.parse(value_col).alias("_m"))
+    bad = env.is_malformed("_m")
+    if strict:
+        bad = bad | ~json_object_line(F.col("_raw"))
     reason = (F.when(F.col("_raw").isNull(), F.lit("null message"))
-              .when(env.is_malformed("_m"), F.lit("malformed message")))
+              .when(bad, F.lit("malformed message")))
     fields = [F.col("_m").getField(f.name).alias(f.name) for f in env.MESSAGE_SCHEMA.fields]
     return parsed.select(*keep, "_raw", *fields, reason.alias("_reject"))
 
 
+def _is_object_line(v) -> bool:
+    if v is None:
+        return False
+    try:
+        return isinstance(json.loads(v), dict)
+    except ValueError:
+        return False
+
+
+def _object_lines(lines: pd.Series) -> pd.Series:
+    return lines.map(_is_object_line).astype(bool)
+
+
+def json_object_line(col):
+    """Column: true when the whole line is exactly one JSON object
+    (Arrow-batched pandas UDF; built on first use, when a session exists)."""
+    return F.pandas_udf(_object_lines, "boolean")(col)
+
+
 def good(parsed: DataFrame) -> DataFrame:
     """Loaded side of ``parse_messages``; a missing ``IsEnd`` reads as false."""
     return (parsed.where(F.col("_reject").isNull())

@@ -21,10 +21,21 @@ DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
 MAX_ROWS_CONF = "spark.ferry.broadcast.maxRows"
 
 
+# Sides estimated above this are never counted for a broadcast.
+DEFAULT_BROADCAST_MAX_ESTIMATE = 1 << 30
+MAX_ESTIMATE_CONF = "spark.ferry.broadcast.maxEstimateBytes"
+# Inputs smaller than this are not worth spreading over more cores.
+SPREAD_MIN_BYTES = 1 << 20
+
+
 def broadcast_max_rows(spark) -> int:
     return int(spark.conf.get(MAX_ROWS_CONF, str(DEFAULT_BROADCAST_MAX_ROWS)))
 
 
+def broadcast_max_estimate(spark) -> int:
+    return int(spark.conf.get(MAX_ESTIMATE_CONF, str(DEFAULT_BROADCAST_MAX_ESTIMATE)))
+
+
 def materialize(df: DataFrame, name: str = "side") -> DataFrame:
     """Write ``df`` to a fresh parquet table in the shared scratch folder and
     read it back: lineage is cut, later scans are cheap, and the data is on
@@ -40,14 +51,27 @@ def row_count_at_most(df: DataFrame, n: int) -> int:
     return df.limit(n + 1).count()
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of ``df`` (no job). For file scans it is the
+    file size scaled by the columns read; it is used only to skip the exact
+    count for sides that are clearly large."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int | None = None,
                        materialize_first: bool = False, name: str = "side") -> DataFrame:
     """Return ``broadcast(df)`` when its row count is proven <= max_rows,
-    else ``df`` unchanged (the planner then shuffles both sides)."""
+    else ``df`` unchanged (the planner then shuffles both sides).
+
+    A side whose size estimate already exceeds the estimate limit is left to
+    the planner without counting; otherwise rows are counted, which is cheap
+    for a small side."""
     spark = df.sparkSession
     bound = max_rows if max_rows is not None else broadcast_max_rows(spark)
     if materialize_first:
         df = materialize(df, name)
+    if estimated_bytes(df) > broadcast_max_estimate(spark):
+        return df
     if row_count_at_most(df, bound) <= bound:
         return F.broadcast(df)
     return df
@@ -61,9 +85,10 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     on a few cores only. In that case rows are dealt round-robin over
     ``min_partitions`` (default: the default parallelism). An input that
     already has enough partitions - every input at cluster scale - is
-    returned unchanged, with no shuffle.
+    returned unchanged, with no shuffle, and so is an input under 1 MiB
+    (a dimension table that is about to be broadcast).
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    if df.rdd.getNumPartitions() >= target or estimated_bytes(df) < SPREAD_MIN_BYTES:
         return df
     return df.repartition(target)

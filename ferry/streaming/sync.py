@@ -18,6 +18,8 @@ from ferry.operators import queue as q
 from ferry.sources.queue_source import LINE_SCHEMA
 
 DEFAULT_TIMEOUT_S = 600
+# Bound on one micro-batch, so a large backlog drains in steps.
+DEFAULT_MAX_FILES_PER_TRIGGER = 1000
 
 
 def read_queue_stream(spark: SparkSession, landing_dir: str,
@@ -37,14 +39,15 @@ def _loaded_rows(parsed: DataFrame) -> DataFrame:
 
 
 def drain(spark: SparkSession, landing_dir: str, sink_dir: str, quarantine_dir: str,
-          checkpoint_dir: str, timeout_s: int = DEFAULT_TIMEOUT_S) -> None:
+          checkpoint_dir: str, timeout_s: int = DEFAULT_TIMEOUT_S,
+          max_files_per_trigger: int = DEFAULT_MAX_FILES_PER_TRIGGER) -> None:
     """H1 + H2: load every message now in ``landing_dir``, then stop.
 
     Each micro-batch writes its loaded rows and its rejects into
     ``batch=<id>`` directories with overwrite, so a batch replayed after a
     failure rewrites the same files instead of adding duplicates.
     """
-    parsed = read_queue_stream(spark, landing_dir)
+    parsed = read_queue_stream(spark, landing_dir, max_files_per_trigger)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
@@ -65,11 +68,12 @@ def drain(spark: SparkSession, landing_dir: str, sink_dir: str, quarantine_dir:
 
 def drain_dedup(spark: SparkSession, landing_dir: str, sink_dir: str, checkpoint_dir: str,
                 keys: list[str], watermark: str = "1 hour", event_time: str = "created_at",
-                timeout_s: int = DEFAULT_TIMEOUT_S) -> None:
+                timeout_s: int = DEFAULT_TIMEOUT_S,
+                max_files_per_trigger: int = DEFAULT_MAX_FILES_PER_TRIGGER) -> None:
     """H3: drop messages already seen with the same keys within the
     watermark delay (state is bounded by the watermark), then load them to a
     file sink. ``keys`` e.g. ``["connection_id", "queue", "seq"]``."""
-    rows = _loaded_rows(read_queue_stream(spark, landing_dir))
+    rows = _loaded_rows(read_queue_stream(spark, landing_dir, max_files_per_trigger))
     deduped = rows.withWatermark(event_time, watermark).dropDuplicatesWithinWatermark(keys)
     query = (deduped.writeStream.format("json").options(**env.JSON_WRITE_OPTIONS)
              .option("checkpointLocation", checkpoint_dir).option("path", sink_dir)

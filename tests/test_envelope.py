@@ -81,3 +81,12 @@ def test_stringify_invalid_utf8(spark):
 def test_end_marker_shape(spark):
     m = spark.range(1).select(*env.end_marker(F.lit("c"), F.lit("q"), F.lit(9))).first()
     assert m["IsEnd"] is True and m["data"] is None and m["seq"] == 9
+
+
+def test_strict_parse_rejects_trailing_text(spark):
+    lines = ['{"IsEnd": true} x', '{"seq": 1}{"seq": 2}', '{"seq": 3}', "[]"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(lines)], "i long, value string")
+    lax = {r["i"] for r in q.good(q.parse_messages(df, keep=["i"])).collect()}
+    strict = {r["i"] for r in q.good(q.parse_messages(df, keep=["i"], strict=True)).collect()}
+    assert lax == {0, 1, 2}  # Spark's reader stops after the first object
+    assert strict == {2}
