@@ -322,6 +322,36 @@ def queue_consume(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("created_at").cast("timestamp_ntz").alias("created_at"))
 
 
+def sync_append_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2 + K6 with persisted state: a first append run when the source held
+    the events before the boundary, a second when it holds them all. The
+    committed target has every event once, tagged with its run."""
+    from ferry.plans.sync import read_appended, sync_table
+    ev = _t(spark, sf_dir, "events")
+    root = new_run_dir(spark, "sync-append")
+    target, state = f"{root}/target", f"{root}/state"
+    b = F.lit(SYNC_BOUNDARY).cast("timestamp_ntz")
+    sync_table(spark, ev.where(F.col("ts") < b), EVENTS_CONNECTION, target, state, "append", "ts")
+    sync_table(spark, ev, EVENTS_CONNECTION, target, state, "append", "ts")
+    out = read_appended(spark, target, state, EVENTS_CONNECTION)
+    return out.select("event_id", F.col("run").cast("long").alias("run"), "ts", "user_id",
+                      "event_type", "value", "props")
+
+
+def sync_upsert_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5 + K6 with persisted state: two upsert runs (the source before the
+    boundary, then all of it) leave the latest event per user as target."""
+    from ferry.plans.sync import sync_table
+    ev = _t(spark, sf_dir, "events")
+    root = new_run_dir(spark, "sync-upsert")
+    target, state = f"{root}/target", f"{root}/state"
+    b = F.lit(SYNC_BOUNDARY).cast("timestamp_ntz")
+    args = dict(mode="upsert", cursor="ts", keys=["user_id"], order_by=["value", "event_id"])
+    sync_table(spark, ev.where(F.col("ts") < b), EVENTS_CONNECTION, target, state, **args)
+    sync_table(spark, ev, EVENTS_CONNECTION, target, state, **args)
+    return snapshot.read_current(spark, target)
+
+
 # ---------------------------------------------------------------------- J
 def run_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One manual connection that copies the documents table file with
@@ -354,6 +384,8 @@ QUERIES = {
     "dedup_exact": dedup_exact,
     "sync_state": sync_state,
     "full_override": full_override,
+    "sync_append_runs": sync_append_runs,
+    "sync_upsert_runs": sync_upsert_runs,
     "json_load": json_load,
     "file_chunks": file_chunks,
     "map_chunks": map_chunks,

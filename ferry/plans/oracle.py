@@ -166,6 +166,13 @@ FROM events GROUP BY event_type""",
 SELECT event_type AS connection_id, event_id, ts, user_id, value, props FROM events
 WHERE event_type NOT IN ('click', 'view') OR ts >= {BOUNDARY}""",
 
+    "sync_append_runs": f"""
+SELECT event_id, CAST(CASE WHEN ts < {BOUNDARY} THEN 1 ELSE 2 END AS BIGINT) AS run,
+       ts, user_id, event_type, value, props
+FROM events""",
+
+    "sync_upsert_runs": _DEDUP_LATEST,
+
     "json_load": f"""
 SELECT 'events' AS connection_id, CAST(user_id AS VARCHAR) AS queue, event_id AS seq,
        props AS stringified_data, 'events' AS source, 'json_loader' AS destination,
