@@ -112,15 +112,19 @@ def until_end(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queue_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C3 + B6: every tenth line arrives cut short; the parse keeps all
-    lines and labels the broken ones (loaded + quarantined = input)."""
-    ev = _t(spark, sf_dir, "events")
-    line = env.serialize()
-    msgs = _event_messages(ev).withColumn("event_id", F.col("seq"))
-    lines = msgs.select("event_id", F.when(F.col("event_id") % 10 == 0, F.substring(line, 1, 4))
-                        .otherwise(line).alias("value"))
-    parsed = q.parse_messages(lines, keep=["event_id"])
-    return parsed.select("event_id", F.col("_reject").isNull().alias("accepted"),
+    """C3 + B6: a queue holding the envelopes of all events plus the lines
+    of a misconfigured producer that sent raw conversation texts. The strict
+    parse keeps every line and labels the foreign ones (loaded + quarantined
+    = input)."""
+    ev = _event_messages(_t(spark, sf_dir, "events"))
+    good_lines = ev.select(F.lit("events").alias("kind"), F.col("seq").cast("string").alias("key"),
+                           env.serialize().alias("value"))
+    conv = _t(spark, sf_dir, "conversations")
+    foreign = conv.select(F.lit("conversations").alias("kind"),
+                          F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
+                          .alias("key"), F.col("text").alias("value"))
+    parsed = q.parse_messages(good_lines.unionByName(foreign), keep=["kind", "key"], strict=True)
+    return parsed.select("kind", "key", F.col("_reject").isNull().alias("accepted"),
                          F.col("_reject").alias("reason"))
 
 

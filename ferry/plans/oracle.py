@@ -96,9 +96,16 @@ FROM documents WHERE octet_length(encode(text)) > 0""",
     "until_end": f"SELECT user_id, event_id FROM ({_UNTIL_END})",
 
     "queue_rejects": """
-SELECT event_id, event_id % 10 <> 0 AS accepted,
-       CASE WHEN event_id % 10 = 0 THEN 'malformed message' END AS reason
-FROM events""",
+SELECT 'events' AS kind, CAST(event_id AS VARCHAR) AS key, true AS accepted,
+       CAST(NULL AS VARCHAR) AS reason
+FROM events
+UNION ALL
+SELECT 'conversations' AS kind, CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR) AS key,
+       coalesce(CASE WHEN json_valid(text) THEN json_type(text) = 'OBJECT' ELSE false END, false) AS accepted,
+       CASE WHEN text IS NULL THEN 'null message'
+            WHEN NOT coalesce(CASE WHEN json_valid(text) THEN json_type(text) = 'OBJECT' ELSE false END, false)
+              THEN 'malformed message' END AS reason
+FROM conversations""",
 
     "page_source": """
 SELECT page_id, url, CAST(octet_length(encode(html)) AS BIGINT) AS n_bytes
