@@ -64,13 +64,15 @@ def broadcast_if_small(df: DataFrame, max_rows: int | None = None,
     else ``df`` unchanged (the planner then shuffles both sides).
 
     A side whose size estimate already exceeds the estimate limit is left to
-    the planner without counting; otherwise rows are counted, which is cheap
-    for a small side."""
+    the planner without counting; otherwise (small or unknown estimate) rows
+    are counted, at most ``max_rows + 1`` per partition."""
     spark = df.sparkSession
     bound = max_rows if max_rows is not None else broadcast_max_rows(spark)
     if materialize_first:
         df = materialize(df, name)
-    if estimated_bytes(df) > broadcast_max_estimate(spark):
+    est = estimated_bytes(df)
+    unknown = est >= int(spark.conf.get("spark.sql.defaultSizeInBytes", str((1 << 63) - 1)))
+    if not unknown and est > broadcast_max_estimate(spark):
         return df
     if row_count_at_most(df, bound) <= bound:
         return F.broadcast(df)
