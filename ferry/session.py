@@ -28,6 +28,10 @@ DEFAULT_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Streaming state (dedup) off the JVM heap, checkpointed as changelogs.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
