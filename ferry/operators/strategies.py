@@ -105,24 +105,13 @@ def sync_state(df: DataFrame, group_cols: list[str], cursor: str,
     """K6: per group, ``cursor`` = max cursor and ``rows_read`` = count.
 
     With a prior state the new batch is folded in: the cursor never moves
-    back (``greatest``), counts add up, and groups without new rows keep
-    their old state.
+    back (max over old and new), counts add up, and groups without new rows
+    keep their old state. The fold is one aggregate over the union of the
+    new rows and the prior state rows - no join, one shuffle.
     """
-    new = df.groupBy(*group_cols).agg(F.max(cursor).alias("cursor"),
-                                      F.count(F.lit(1)).cast("long").alias("rows_read"))
-    if prior is None:
-        return new
-    # Full outer join of two per-group tables (one row per group each).
-    old = prior.select(*group_cols, F.col("cursor").alias("_oc"), F.col("rows_read").alias("_or"))
-    n, o = new.alias("n"), old.alias("o")
-    cond = None
-    for g in group_cols:
-        c = F.col(f"n.{g}").eqNullSafe(F.col(f"o.{g}"))
-        cond = c if cond is None else cond & c
-    j = n.join(o, cond, "full")
-    return j.select(
-        *[F.coalesce(F.col(f"n.{g}"), F.col(f"o.{g}")).alias(g) for g in group_cols],
-        F.greatest(F.col("n.cursor"), F.col("o._oc")).alias("cursor"),
-        (F.coalesce(F.col("n.rows_read"), F.lit(0)) + F.coalesce(F.col("o._or"), F.lit(0)))
-        .cast("long").alias("rows_read"),
-    )
+    new = df.select(*group_cols, F.col(cursor).alias("cursor"), F.lit(1).cast("long").alias("_n"))
+    if prior is not None:
+        new = new.unionByName(prior.select(*group_cols, F.col("cursor").cast(new.schema["cursor"].dataType),
+                                           F.col("rows_read").cast("long").alias("_n")))
+    return new.groupBy(*group_cols).agg(F.max("cursor").alias("cursor"),
+                                        F.sum("_n").cast("long").alias("rows_read"))
