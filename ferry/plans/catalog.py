@@ -368,6 +368,27 @@ def run_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_connection(spark, "c1", sources, loaders, conns)
 
 
+def run_scheduled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A scheduled connection per table file of the scale directory,
+    plus a second connection on the documents file; every file is read
+    once, and each connection gets its own copy of the chunks."""
+    import json
+
+    from ferry.plans.run import run_scheduled as run_all
+    out = new_run_dir(spark, "run-scheduled")
+    base = sf_dir.rstrip("/")
+    sources = spark.createDataFrame(
+        [(t, t, cfg.FILE_EXTRACTOR, json.dumps({"url": f"{base}/{t}.parquet"})) for t in tb.TABLES],
+        "id string, name string, type string, config string")
+    loaders = spark.createDataFrame([("out", LOADER_NAME, cfg.JSON_LOADER, json.dumps({"path": out}))],
+                                    "id string, name string, type string, config string")
+    conns = spark.createDataFrame(
+        [(f"copy-{t}", [t], ["out"], "scheduled", "0 * * * *") for t in tb.TABLES]
+        + [("copy-documents-2", ["documents"], ["out"], "scheduled", "30 * * * *")],
+        "id string, source_id array<string>, loader_id array<string>, sync_type string, schedule string")
+    return run_all(spark, sources, loaders, conns, FILE_CHUNK_BYTES)
+
+
 QUERIES = {
     "extract_chunks": extract_chunks,
     "envelope_json": envelope_json,
@@ -397,6 +418,7 @@ QUERIES = {
     "stream_sync": stream_sync,
     "stream_dedup": stream_dedup,
     "run_sync": run_sync,
+    "run_scheduled": run_scheduled,
 }
 
 

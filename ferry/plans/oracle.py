@@ -214,6 +214,14 @@ SELECT 'events' AS connection_id, event_type AS queue, event_id AS seq,
        props AS stringified_data
 FROM events""",
 
+    "run_scheduled": """
+SELECT 'copy-' || replace(parse_filename(filename), '.parquet', '') AS connection_id,
+       CAST((size + 1048575) // 1048576 AS BIGINT) AS loaded
+FROM read_blob('/root/testdata/sf0.01/*.parquet')
+UNION ALL
+SELECT 'copy-documents-2' AS connection_id, CAST((size + 1048575) // 1048576 AS BIGINT) AS loaded
+FROM read_blob('/root/testdata/sf0.01/documents.parquet')""",
+
     "run_sync": """
 SELECT 'c1' AS connection_id, CAST((size + 1048575) // 1048576 AS BIGINT) AS read,
        CAST((size + 1048575) // 1048576 AS BIGINT) AS loaded, CAST(0 AS BIGINT) AS rejected

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from ferry.functions import config as cfg
 from ferry.functions import envelope as env
 from ferry.operators import registry as reg
+from ferry.plans.sizing import broadcast_if_small, materialize
+from ferry.sinks import json_loader
 from ferry.sources import connectors
 
 REPORT_SCHEMA = "connection_id string, read bigint, loaded bigint, rejected bigint"
@@ -82,8 +84,46 @@ def run_connection(spark: SparkSession, connection_id: str, sources: DataFrame,
 
 
 def scheduled_connections(conns: DataFrame, sources: DataFrame, loaders: DataFrame) -> DataFrame:
-    """J2 planning: the scheduled connections, resolved, with their queue
-    and schedule - what a platform trigger runs, one plan per source."""
+    """J2 planning: the scheduled connections, resolved, with their queue,
+    schedule and typed configs (invalid configs dropped)."""
     routed = reg.route_sync_type(conns).where(F.col("route") == reg.SCHEDULED)
-    res = reg.resolve_connections(routed, sources, loaders)
-    return res.join(routed.select(F.col("id").alias("connection_id"), "schedule"), "connection_id")
+    res = reg.resolve_connections(routed.drop("route"), sources, loaders)
+    ok = F.col("source_cfg.error").isNull() & F.col("loader_cfg.error").isNull()
+    return res.where(ok).join(routed.select(F.col("id").alias("connection_id"), "schedule"),
+                              "connection_id")
+
+
+def run_scheduled(spark: SparkSession, sources: DataFrame, loaders: DataFrame, conns: DataFrame,
+                  chunk_bytes: int = connectors.DEFAULT_CHUNK_BYTES) -> DataFrame:
+    """Run every scheduled file connection, each source file read once.
+
+    All distinct source files go into one scan of the file data source; an
+    equi-join on the file path hands each chunk to the connections reading
+    that file (every pair is an output row: each connection gets its copy).
+    Loads are one write per distinct loader path, partitioned by connection.
+    Returns ``(connection_id, loaded)`` per connection, read from the output.
+    """
+    plan = scheduled_connections(conns, sources, loaders).where(
+        F.col("source_type") == cfg.FILE_EXTRACTOR).select(
+        "connection_id", F.col("source_cfg.url").alias("_url"), F.col("loader_cfg.path").alias("_out"),
+        "loader_name", "queue")
+    plan = materialize(plan, "scheduled")  # small; read by the jobs below
+    # control-plane lists: one entry per distinct source file / loader path
+    urls = [r["_url"] for r in plan.select("_url").distinct().collect()]
+    outs = [r["_out"] for r in plan.select("_out").distinct().collect()]
+    if not urls:
+        return spark.createDataFrame([], "connection_id string, loaded bigint")
+    from ferry.sources.file_chunks import read_file_chunks
+    chunks = read_file_chunks(spark, ",".join(urls), chunk_bytes)
+    routed = chunks.join(broadcast_if_small(plan), chunks["path"] == F.col("_url"))
+    counts = None
+    for out in outs:
+        mine = routed.where(F.col("_out") == F.lit(out))
+        msgs = env.build_messages(mine, data=F.col("data"), source=F.col("_url"),
+                                  destination=F.col("loader_name"), connection_id=F.col("connection_id"),
+                                  queue=F.col("queue"), seq=F.col("seq"))
+        json_loader.write(json_loader.prepare(msgs), out)
+        got = (json_loader.read_back(spark, out).groupBy("connection_id")
+               .agg(F.count(F.lit(1)).cast("long").alias("loaded")))
+        counts = got if counts is None else counts.unionByName(got)
+    return counts

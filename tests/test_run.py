@@ -1,5 +1,7 @@
 import os
 
+from pyspark.sql import functions as F
+
 import pytest
 
 from ferry.plans.run import run_connection, single_connection_registry
@@ -44,3 +46,35 @@ def test_web_scraper_connector(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     df = connectors.source_for("web_scraper")(spark, {"url": "https://"}, chunk_bytes=1 << 20, pages=pages)
     assert df.count() == pages.where("url like 'https://%'").count()
+
+
+def test_run_scheduled_reads_each_source_once(spark, tmp_dir):
+    import json as _json
+
+    from ferry.plans.run import run_scheduled
+    files = {}
+    for name, size in (("a.bin", 10), ("b.bin", 25)):
+        p = os.path.join(tmp_dir, name)
+        with open(p, "wb") as f:
+            f.write(bytes(range(size)))
+        files[name] = p
+    out1, out2 = new_run_dir(spark, "t-j2a"), new_run_dir(spark, "t-j2b")
+    sources = spark.createDataFrame(
+        [("sa", "a", "file_extractor", _json.dumps({"url": files["a.bin"]})),
+         ("sb", "b", "file_extractor", _json.dumps({"url": files["b.bin"]})),
+         ("sx", "x", "file_extractor", "{}")],
+        "id string, name string, type string, config string")
+    loaders = spark.createDataFrame(
+        [("l1", "one", "json_loader", _json.dumps({"path": out1})),
+         ("l2", "two", "json_loader", _json.dumps({"path": out2}))],
+        "id string, name string, type string, config string")
+    conns = spark.createDataFrame(
+        [("c1", ["sa"], ["l1"], "scheduled"), ("c2", ["sa"], ["l2"], "scheduled"),
+         ("c3", ["sb"], ["l1"], "scheduled"), ("c4", ["sb"], ["l1"], "manual"),
+         ("c5", ["sx"], ["l1"], "scheduled")],
+        "id string, source_id array<string>, loader_id array<string>, sync_type string") \
+        .withColumn("schedule", F.lit("0 * * * *"))
+    got = {r["connection_id"]: r["loaded"] for r in run_scheduled(spark, sources, loaders, conns, 4).collect()}
+    assert got == {"c1": 3, "c2": 3, "c3": 7}  # c4 manual, c5 invalid config: not run
+    rows = json_loader.read_back(spark, out1).where("connection_id = 'c3'").collect()
+    assert sorted(r["seq"] for r in rows) == list(range(7))
