@@ -55,7 +55,10 @@ def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of ``df`` (no job). For file scans it is the
     file size scaled by the columns read; it is used only to skip the exact
     count for sides that are clearly large."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except AttributeError:  # no JVM handle (Spark Connect): size unknown
+        return int(df.sparkSession.conf.get("spark.sql.defaultSizeInBytes", str((1 << 63) - 1)))
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int | None = None,
@@ -90,7 +93,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     returned unchanged, with no shuffle, and so is an input under 1 MiB
     (a dimension table that is about to be broadcast).
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target or estimated_bytes(df) < SPREAD_MIN_BYTES:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (Spark Connect): leave the scan as planned
+        return df
+    if have >= target or estimated_bytes(df) < SPREAD_MIN_BYTES:
         return df
     return df.repartition(target)

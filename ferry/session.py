@@ -66,7 +66,10 @@ def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors once per SparkContext (what
     ``--py-files`` does at submit time), so Arrow functions and the file
     data source defined here can be unpickled there."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: ship the package with the client's artifacts instead
+        return
     key = sc.applicationId
     if key in _SHIPPED:
         return
