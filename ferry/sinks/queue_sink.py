@@ -31,3 +31,15 @@ def publish_end_markers(spark, queues: DataFrame, landing_dir: str) -> str:
     """One end marker per (connection_id, queue, seq) row of ``queues``."""
     markers = queues.select(*env.end_marker(F.col("connection_id"), F.col("queue"), F.col("seq")))
     return publish(markers, landing_dir)
+
+
+def publish_kafka(messages: DataFrame, bootstrap_servers: str, topic: str,
+                  options: dict | None = None) -> None:
+    """B4 on a broker: the same JSON lines as Kafka records keyed by queue.
+    Needs the ``spark-sql-kafka`` package on the classpath (not bundled)."""
+    records = messages.select(F.col("queue").cast("string").alias("key"), env.serialize().alias("value"))
+    writer = (records.write.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers)
+              .option("topic", topic))
+    for k, v in (options or {}).items():
+        writer = writer.option(k, v)
+    writer.save()

@@ -23,3 +23,16 @@ def read_lines(spark: SparkSession, landing_dir: str) -> DataFrame:
 def consume(spark: SparkSession, landing_dir: str) -> DataFrame:
     """Parsed messages with the ``_reject`` column (see ``operators.queue``)."""
     return q.parse_messages(read_lines(spark, landing_dir))
+
+
+def consume_kafka(spark: SparkSession, bootstrap_servers: str, topic: str, streaming: bool = True,
+                  options: dict | None = None) -> DataFrame:
+    """A3 on a broker: Kafka records -> parsed messages (``_reject`` kept).
+    Needs the ``spark-sql-kafka`` package on the classpath (not bundled)."""
+    reader = spark.readStream if streaming else spark.read
+    reader = (reader.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers)
+              .option("subscribe", topic))
+    for k, v in (options or {}).items():
+        reader = reader.option(k, v)
+    lines = reader.load().selectExpr("CAST(value AS STRING) AS value")
+    return q.parse_messages(lines)

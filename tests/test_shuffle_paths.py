@@ -2,10 +2,8 @@
 what runs when a side is above the row bound, so they must agree."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from ferry.operators import queue as q
-from ferry.operators import registry as reg
 from ferry.operators import strategies as st
 from ferry.plans import catalog
 from ferry.plans.sizing import MAX_ROWS_CONF
