@@ -69,3 +69,19 @@ def test_map_chunks_quarantines_failures(spark):
     assert rows[(2, 0)]["result"] == 2 and rows[(2, 0)]["error"] is None
     assert rows[(1, 0)]["result"] is None and "UnicodeDecodeError" in rows[(1, 0)]["error"]
     assert ch.accepted(out).count() + ch.quarantined(out).count() == chunks.count()
+
+
+@pytest.mark.parametrize("n", [1, 7, 1024, 1024 * 1024])
+def test_round_trip_through_json_hop(spark, n):
+    from pyspark.sql import functions as F
+
+    from ferry.functions import envelope as env
+    from ferry.operators import queue as q
+    payloads = [("aé€𝄞 " * 300).encode(), bytes(range(256)) * 5]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(payloads)], "id long, p binary")
+    chunks = ch.chunk_column(df, "p", n, keep=["id"])
+    msgs = env.build_messages(chunks, data=F.col("data"), source="s", destination="d",
+                              connection_id="c", queue=F.col("id").cast("string"), seq=F.col("seq"))
+    back = q.good(q.parse_messages(msgs.select(env.serialize().alias("value"))))
+    whole = {int(r["queue"]): bytes(r["data"]) for r in ch.reassemble(back, ["queue"]).collect()}
+    assert whole == dict(enumerate(payloads))
