@@ -36,8 +36,8 @@ EVENTS_CONNECTION = "events"
 LOADER_NAME = "json_loader"
 
 
-def _t(spark, sf_dir, name):
-    return tb.table(spark, sf_dir, name)
+def _t(spark, sf_dir, name, spread_rows=False):
+    return tb.table(spark, sf_dir, name, spread_rows)
 
 
 def _event_messages(events: DataFrame, with_markers: bool = False,
@@ -76,7 +76,7 @@ def envelope_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _doc_messages(spark, sf_dir):
-    docs = _t(spark, sf_dir, "documents")
+    docs = _t(spark, sf_dir, "documents", spread_rows=True)
     chunks = ch.chunk_column(docs, "text", DOC_CHUNK_BYTES, keep=["doc_id"])
     return env.build_messages(
         chunks, data=F.col("data"), source="documents", destination=LOADER_NAME,
@@ -96,7 +96,7 @@ def queue_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stringify(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C5 after reassembly: the text comes back unchanged."""
-    docs = _t(spark, sf_dir, "documents")
+    docs = _t(spark, sf_dir, "documents", spread_rows=True)
     chunks = ch.chunk_column(docs, "text", DOC_CHUNK_BYTES, keep=["doc_id"])
     whole = ch.reassemble(chunks, ["doc_id"])
     return whole.select("doc_id", env.stringify("data").alias("text"))
@@ -116,10 +116,10 @@ def queue_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     of a misconfigured producer that sent raw conversation texts. The strict
     parse keeps every line and labels the foreign ones (loaded + quarantined
     = input)."""
-    ev = _event_messages(_t(spark, sf_dir, "events"))
+    ev = _event_messages(_t(spark, sf_dir, "events", spread_rows=True))
     good_lines = ev.select(F.lit("events").alias("kind"), F.col("seq").cast("string").alias("key"),
                            env.serialize().alias("value"))
-    conv = _t(spark, sf_dir, "conversations")
+    conv = _t(spark, sf_dir, "conversations", spread_rows=True)
     foreign = conv.select(F.lit("conversations").alias("kind"),
                           F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
                           .alias("key"), F.col("text").alias("value"))
@@ -152,8 +152,8 @@ def config_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 def options_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per resolved connection, the option lists handed to the
     source and loader (``KEY=value``, sorted)."""
-    res = reg.resolve_connections(tb.connections(spark, sf_dir), tb.sources(spark, sf_dir),
-                                  tb.loaders(spark, sf_dir))
+    res = reg.resolve_connections(tb.connections(spark, sf_dir, spread_rows=True),
+                                  tb.sources(spark, sf_dir), tb.loaders(spark, sf_dir))
     base_s = F.create_map(F.lit("CONNECTION_ID"), F.col("connection_id"),
                           F.lit("SOURCE_ID"), F.col("source_id"), F.lit("QUEUE_NAME"), F.col("queue"))
     base_l = F.create_map(F.lit("CONNECTION_ID"), F.col("connection_id"),
@@ -288,7 +288,7 @@ def _publish_events(spark, sf_dir, landing, copies=1):
     """Publish events to a landing directory, one queue per event type.
     With ``copies=2`` every message is sent twice, as an at-least-once
     producer that retries does."""
-    msgs = _event_messages(_t(spark, sf_dir, "events"), queue_col="event_type")
+    msgs = _event_messages(_t(spark, sf_dir, "events", spread_rows=True), queue_col="event_type")
     if copies > 1:
         msgs = msgs.unionByName(msgs)
     queue_sink.publish(msgs, landing)
@@ -320,7 +320,8 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queue_consume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3 batch: publish events as JSON lines (B1), consume them back."""
     landing = new_run_dir(spark, "queue")
-    queue_sink.publish(_event_messages(_t(spark, sf_dir, "events"), queue_col="event_type"), landing)
+    queue_sink.publish(_event_messages(_t(spark, sf_dir, "events", spread_rows=True),
+                                       queue_col="event_type"), landing)
     got = q.good(queue_source.consume(spark, landing))
     return got.select("connection_id", "queue", "seq", env.stringify("data").alias("stringified_data"),
                       F.col("created_at").cast("timestamp_ntz").alias("created_at"))

@@ -26,6 +26,7 @@ DEFAULT_BROADCAST_MAX_ESTIMATE = 1 << 30
 MAX_ESTIMATE_CONF = "spark.ferry.broadcast.maxEstimateBytes"
 # Inputs smaller than this are not worth spreading over more cores.
 SPREAD_MIN_BYTES = 1 << 20
+SPREAD_CONF = "spark.ferry.spread.enabled"
 
 
 def broadcast_max_rows(spark) -> int:
@@ -93,6 +94,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     returned unchanged, with no shuffle, and so is an input under 1 MiB
     (a dimension table that is about to be broadcast).
     """
+    if df.sparkSession.conf.get(SPREAD_CONF, "true") != "true":
+        return df
     try:
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
         have = df.rdd.getNumPartitions()

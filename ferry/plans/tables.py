@@ -17,10 +17,12 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; spread over the cores when its files give fewer
+def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
+    """A driver table. With ``spread_rows`` (for heavy per-row work such as
+    JSON encoding) it is spread over the cores when its files give fewer
     partitions than the default parallelism (see ``sizing.spread``)."""
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if spread_rows else df
 
 
 def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,11 +53,11 @@ def loaders(spark: SparkSession, sf_dir: str) -> DataFrame:
                     cfg.alias("config"))
 
 
-def connections(spark: SparkSession, sf_dir: str) -> DataFrame:
+def connections(spark: SparkSession, sf_dir: str, spread_rows: bool = False) -> DataFrame:
     """One connection per order: source = its customer, loader = supplier
     ``o_orderkey % 100``; status F is manual, O scheduled (hourly), P gets
     an unsupported sync type."""
-    o = table(spark, sf_dir, "orders")
+    o = table(spark, sf_dir, "orders", spread_rows)
     sync = (F.when(F.col("o_orderstatus") == "F", F.lit("manual"))
             .when(F.col("o_orderstatus") == "O", F.lit("scheduled"))
             .otherwise(F.lit("hourly")))
