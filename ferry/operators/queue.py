@@ -84,6 +84,13 @@ def until_end(messages: DataFrame, queue_col: str = "queue", seq_col: str = "seq
     that consumes the result.
     """
     is_end = F.coalesce(F.col(end_col), F.lit(False))
+    if _provably_empty(messages.where(is_end)):
+        # no row can be a marker (e.g. IsEnd is the constant false of a file
+        # source): Catalyst folded the marker filter away, nothing to join
+        if observation is not None:
+            messages = messages.observe(observation, F.count(F.lit(1)).alias("read"),
+                                        F.count(F.lit(1)).cast("long").alias("loaded"))
+        return messages
     ends = (messages.where(is_end)
             .groupBy(F.col(queue_col).alias("_q")).agg(F.min(seq_col).alias("_end_seq")))
     ends = broadcast_if_small(ends, materialize_first=True, name="queue-ends")
@@ -93,3 +100,12 @@ def until_end(messages: DataFrame, queue_col: str = "queue", seq_col: str = "seq
         joined = joined.observe(observation, F.count(F.lit(1)).alias("read"),
                                 F.sum(F.when(keep, 1).otherwise(0)).cast("long").alias("loaded"))
     return joined.where(keep).drop("_end_seq")
+
+
+def _provably_empty(df: DataFrame) -> bool:
+    """True when the optimised plan is an empty local relation (no job)."""
+    try:
+        plan = df._jdf.queryExecution().optimizedPlan()
+        return plan.getClass().getSimpleName() == "LocalRelation" and plan.data().isEmpty()
+    except Exception:  # no JVM handle: assume rows may exist
+        return False

@@ -42,23 +42,28 @@ def single_connection_registry(spark: SparkSession, connection_id: str, source_t
 
 def resolve_one(spark: SparkSession, connection_id: str, sources: DataFrame,
                 loaders: DataFrame, conns: DataFrame) -> dict:
-    """D4 + D1 + C8/C9 for one connection; a bad reference or config raises
+    """D4 + D2 + C8/C9 + E1 for one connection, by point lookups (filters on
+    the id reach the scans); a bad reference, config or sync type raises
     ``ValueError`` (the reference exits the server process instead)."""
-    one = reg.find_by_id(conns, connection_id)
-    checked = reg.check_references(one, sources, loaders).first()
-    if checked is None:
+    conn = reg.find_by_id(conns, connection_id).select(
+        cfg.first_id("source_id").alias("source_id"), cfg.first_id("loader_id").alias("loader_id"),
+        "sync_type").first()
+    if conn is None:
         raise ValueError(f"connection {connection_id} not found")
-    if checked["reason"] is not None:
-        raise ValueError(checked["reason"])
-    row = reg.resolve_connections(one, sources, loaders).first()
-    for side in ("source", "loader"):
-        err = row[f"{side}_cfg"]["error"]
-        if err is not None:
-            raise ValueError(f"invalid {side} config: {err}")
-    route = reg.route_sync_type(one).select("route").first()["route"]
-    if route == reg.INVALID:
+    out = {"connection_id": connection_id, "sync_type": conn["sync_type"]}
+    for side, table, ref, reason in (("source", sources, conn["source_id"], reg.INVALID_SOURCE),
+                                     ("loader", loaders, conn["loader_id"], reg.INVALID_LOADER)):
+        row = None if ref is None else reg.find_by_id(table, ref).select(
+            "id", "name", "type", cfg.parse_config("type", "config").alias("cfg")).first()
+        if row is None:
+            raise ValueError(reason)
+        if row["cfg"]["error"] is not None:
+            raise ValueError(f"invalid {side} config: {row['cfg']['error']}")
+        out.update({f"{side}_id": row["id"], f"{side}_name": row["name"], f"{side}_type": row["type"],
+                    f"{side}_cfg": row["cfg"].asDict()})
+    if conn["sync_type"] not in (reg.MANUAL, reg.SCHEDULED):
         raise ValueError("Invalid sync type")
-    return row.asDict(recursive=True)
+    return out
 
 
 def run_connection(spark: SparkSession, connection_id: str, sources: DataFrame,

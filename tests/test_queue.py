@@ -60,3 +60,10 @@ def test_json_loader_stops_at_marker_and_drops_bytes(spark):
     # NDJSON keeps the null payload key
     raw = spark.read.text(out).first()["value"]
     assert '"data":null' in raw
+
+
+def test_until_end_skips_join_without_markers(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2)], "queue string, seq long").withColumn("IsEnd", F.lit(False))
+    out = q.until_end(df)
+    assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
+    assert out.count() == 2
