@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ferry.functions import config as cfg
 from ferry.operators.chunks import DEFAULT_CHUNK_BYTES, chunk_column
 from ferry.sinks import json_loader
-from ferry.sources.file_chunks import read_file_chunks
+from ferry.sources.file_chunks import read_file_chunks, read_file_lines
 from ferry.sources.pages import read_pages
 
 SourceFn = Callable[..., DataFrame]
@@ -46,7 +46,10 @@ def loader_for(type_name: str) -> LoaderFn:
 
 
 def _file_source(spark: SparkSession, config: dict, chunk_bytes: int = DEFAULT_CHUNK_BYTES,
-                 **_) -> DataFrame:
+                 lines: bool = False, **_) -> DataFrame:
+    """Byte chunks of the file, or with ``lines=True`` one row per line."""
+    if lines:
+        return read_file_lines(spark, config["url"]).select("seq", "data")
     df = read_file_chunks(spark, config["url"], chunk_bytes)
     return df.select("seq", "data")
 

@@ -48,3 +48,11 @@ def test_plan_ranges_groups_chunks():
     flat = [(r.path, r.first_seq, r.last_seq) for p in parts for r in p]
     assert flat == [("a", 0, 1), ("b", 0, 0), ("b", 1, 3), ("b", 4, 4)]
     assert all(sum(r.last_seq - r.first_seq + 1 for r in p) <= 3 for p in parts)
+
+
+def test_lines_option(spark, tmp_dir):
+    from ferry.sources import connectors
+    p = _write(tmp_dir, "t.txt", "alpha\nbeta é\n\ngamma".encode())
+    rows = connectors.source_for("file_extractor")(spark, {"url": p}, lines=True).collect()
+    rows = sorted(rows, key=lambda r: r["seq"])
+    assert [bytes(r["data"]).decode() for r in rows] == ["alpha", "beta é", "", "gamma"]
