@@ -317,6 +317,28 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("connection_id", "queue", "seq", "stringified_data")
 
 
+def stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H1 + K6: five connections (one per event type) publish in two
+    producer runs; each run is drained by a stream that folds the
+    per-connection cursor and row count into the versioned state table."""
+    from ferry.streaming.sync import drain, read_stream_state
+    ev = _t(spark, sf_dir, "events", spread_rows=True)
+    msgs = env.build_messages(
+        ev, data=env.to_payload("props"), source=EVENTS_CONNECTION, destination=LOADER_NAME,
+        connection_id=F.col("event_type"), queue=F.col("event_type"), seq=F.col("event_id"),
+        created_at=F.col("ts"), updated_at=F.col("ts"))
+    root = new_run_dir(spark, "stream-state")
+    landing, state = f"{root}/landing", f"{root}/state"
+    b = F.lit(SYNC_BOUNDARY).cast("timestamp")
+    args = (spark, landing, f"{root}/sink", f"{root}/quarantine", f"{root}/checkpoint")
+    queue_sink.publish(msgs.where(F.col("created_at") < b), landing)
+    drain(*args, state_path=state)
+    queue_sink.publish(msgs.where(F.col("created_at") >= b), landing)
+    drain(*args, state_path=state)
+    return read_stream_state(spark, state).select(
+        "connection_id", F.col("cursor").cast("timestamp_ntz").alias("cursor"), "rows_read")
+
+
 def queue_consume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3 batch: publish events as JSON lines (B1), consume them back."""
     landing = new_run_dir(spark, "queue")
@@ -418,6 +440,7 @@ QUERIES = {
     "queue_consume": queue_consume,
     "stream_sync": stream_sync,
     "stream_dedup": stream_dedup,
+    "stream_state": stream_state,
     "run_sync": run_sync,
     "run_scheduled": run_scheduled,
 }

@@ -214,6 +214,10 @@ SELECT 'events' AS connection_id, event_type AS queue, event_id AS seq,
        props AS stringified_data
 FROM events""",
 
+    "stream_state": """
+SELECT event_type AS connection_id, max(ts) AS cursor, CAST(count(*) AS BIGINT) AS rows_read
+FROM events GROUP BY event_type""",
+
     "run_scheduled": """
 SELECT 'copy-' || replace(parse_filename(filename), '.parquet', '') AS connection_id,
        CAST((size + 1048575) // 1048576 AS BIGINT) AS loaded

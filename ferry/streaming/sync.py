@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from ferry.functions import envelope as env
 from ferry.operators import queue as q
+from ferry.operators import strategies as st
+from ferry.sinks import snapshot
 from ferry.sources.queue_source import LINE_SCHEMA
 
 DEFAULT_TIMEOUT_S = 600
@@ -40,12 +42,16 @@ def _loaded_rows(parsed: DataFrame) -> DataFrame:
 
 def drain(spark: SparkSession, landing_dir: str, sink_dir: str, quarantine_dir: str,
           checkpoint_dir: str, timeout_s: int = DEFAULT_TIMEOUT_S,
-          max_files_per_trigger: int = DEFAULT_MAX_FILES_PER_TRIGGER) -> None:
+          max_files_per_trigger: int = DEFAULT_MAX_FILES_PER_TRIGGER,
+          state_path: str | None = None) -> None:
     """H1 + H2: load every message now in ``landing_dir``, then stop.
 
     Each micro-batch writes its loaded rows and its rejects into
     ``batch=<id>`` directories with overwrite, so a batch replayed after a
-    failure rewrites the same files instead of adding duplicates.
+    failure rewrites the same files instead of adding duplicates. With
+    ``state_path`` the batch then folds its per-connection cursor (latest
+    ``created_at``) and row count into a versioned state table (K6); the
+    state records the last folded batch, so a replay is not counted twice.
     """
     parsed = read_queue_stream(spark, landing_dir, max_files_per_trigger)
 
@@ -57,6 +63,8 @@ def drain(spark: SparkSession, landing_dir: str, sink_dir: str, quarantine_dir:
              .partitionBy("connection_id").json(f"{sink_dir}/batch={batch_id}"))
             (q.rejects(batch).write.mode("overwrite")
              .json(f"{quarantine_dir}/batch={batch_id}"))
+            if state_path is not None:
+                fold_state(loaded, state_path, batch_id)
         finally:
             batch.unpersist()
 
@@ -81,6 +89,30 @@ def drain_dedup(spark: SparkSession, landing_dir: str, sink_dir: str, checkpoint
     _await(query, timeout_s)
 
 
+STREAM_STATE_SCHEMA = "connection_id string, cursor timestamp, rows_read bigint, batch_id bigint"
+
+
+def read_stream_state(spark: SparkSession, state_path: str) -> DataFrame:
+    path = snapshot.current_version(spark, state_path)
+    if path is None:
+        return spark.createDataFrame([], STREAM_STATE_SCHEMA)
+    return spark.read.parquet(path)
+
+
+def fold_state(loaded: DataFrame, state_path: str, batch_id: int) -> None:
+    """K6 per micro-batch: new state = old state folded with this batch,
+    written as the next version. Skipped when the state already holds this
+    batch (a replay after a failure)."""
+    spark = loaded.sparkSession
+    prior = read_stream_state(spark, state_path)
+    done = prior.agg(F.max("batch_id").alias("b")).first()["b"]
+    if done is not None and done >= batch_id:
+        return
+    folded = st.sync_state(loaded, ["connection_id"], "created_at",
+                           prior=prior.select("connection_id", "cursor", "rows_read"))
+    snapshot.write_version(folded.withColumn("batch_id", F.lit(batch_id).cast("long")), state_path)
+
+
 def _await(query, timeout_s: int) -> None:
     finished = query.awaitTermination(timeout_s)
     if not finished:

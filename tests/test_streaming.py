@@ -51,3 +51,20 @@ def test_stream_dedup(spark):
     queue_sink.publish(_messages(spark, range(3, 9)), landing)  # 3,4,5 sent twice
     drain_dedup(spark, landing, f"{root}/sink", f"{root}/ckpt", keys=["connection_id", "queue", "seq"])
     assert sorted(r["seq"] for r in json_loader.read_back(spark, f"{root}/sink").collect()) == list(range(9))
+
+
+def test_drain_folds_sync_state_once_per_batch(spark):
+    from ferry.streaming.sync import fold_state, read_stream_state
+    root = new_run_dir(spark, "t-stream-state")
+    landing, state = f"{root}/landing", f"{root}/state"
+    queue_sink.publish(_messages(spark, range(4)), landing)
+    args = (spark, landing, f"{root}/sink", f"{root}/q", f"{root}/ckpt")
+    drain(*args, state_path=state)
+    queue_sink.publish(_messages(spark, range(4, 7)), landing)
+    drain(*args, state_path=state)
+    got = read_stream_state(spark, state).collect()
+    assert [(r["connection_id"], r["rows_read"]) for r in got] == [("c1", 7)]
+    # replaying an already folded batch changes nothing
+    last = got[0]["batch_id"]
+    fold_state(json_loader.read_back(spark, f"{root}/sink"), state, last)
+    assert read_stream_state(spark, state).first()["rows_read"] == 7
