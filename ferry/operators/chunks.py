@@ -48,14 +48,18 @@ def reassemble(chunks: DataFrame, keys: list[str], seq_col: str = "seq",
 
     One group is one original payload, so its size is bounded by the source
     row it was cut from (not by the table). Bytes are joined through hex to
-    keep the concatenation linear in the payload size.
+    keep the concatenation linear in the payload size. ``complete`` is false
+    when a chunk is missing (e.g. it was quarantined on the way).
     """
     parts = F.array_sort(F.collect_list(F.struct(F.col(seq_col).alias("s"),
                                                  F.hex(F.col(data_col)).alias("h"))))
-    return chunks.groupBy(*keys).agg(
+    agg = chunks.groupBy(*keys).agg(
         F.unhex(F.array_join(F.transform(parts, lambda x: x["h"]), "")).alias(out_col),
         F.count(F.lit(1)).cast("long").alias("n_chunks"),
+        F.max(seq_col).alias("_last"),
     )
+    # complete = chunks 0..n-1 all present (a quarantined chunk leaves a gap)
+    return agg.withColumn("complete", F.col("_last") + 1 == F.col("n_chunks")).drop("_last")
 
 
 def map_chunks(chunks: DataFrame, fn: Callable[[bytes], object], result_type: T.DataType,

@@ -85,3 +85,10 @@ def test_round_trip_through_json_hop(spark, n):
     back = q.good(q.parse_messages(msgs.select(env.serialize().alias("value"))))
     whole = {int(r["queue"]): bytes(r["data"]) for r in ch.reassemble(back, ["queue"]).collect()}
     assert whole == dict(enumerate(payloads))
+
+
+def test_reassemble_flags_gaps(spark):
+    df = spark.createDataFrame([(1, 0, b"ab"), (1, 1, b"cd"), (2, 0, b"ef"), (2, 2, b"ij")],
+                               "id long, seq long, data binary")
+    got = {r["id"]: (bytes(r["data"]), r["complete"]) for r in ch.reassemble(df, ["id"]).collect()}
+    assert got == {1: (b"abcd", True), 2: (b"efij", False)}
