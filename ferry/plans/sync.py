@@ -13,9 +13,10 @@ simply run again:
 * ``upsert`` (K5) - ``dedup_latest(current target ∪ rows with cursor >=
   state.cursor)`` becomes a new target version; re-running it is idempotent.
 
-The state table holds one row per connection (cursor as text, counts, the
-number of committed runs) and is itself versioned, so its update is an
-atomic switch to a new complete version.
+The state of a connection (cursor as text, counts, the number of committed
+runs) lives in its own directory ``connection_id=<id>`` as immutable
+versions: an update is an atomic switch to a new complete version, touches
+one row, and runs of different connections never write the same files.
 """
 
 from __future__ import annotations
@@ -31,17 +32,35 @@ STATE_SCHEMA = ("connection_id string, mode string, cursor string, rows_read big
                 "rows_loaded bigint, runs bigint")
 REPORT_SCHEMA = "connection_id string, mode string, run bigint, rows_loaded bigint, cursor string"
 RUN_DIR = "run="
+CONNECTION_DIR = "connection_id="
+
+
+def _state_dir(state_path: str, connection_id: str) -> str:
+    return f"{state_path.rstrip('/')}/{CONNECTION_DIR}{connection_id}"
 
 
 def read_state(spark: SparkSession, state_path: str) -> DataFrame:
-    path = snapshot.current_version(spark, state_path)
-    if path is None:
+    """The current state row of every connection (newest complete version of
+    each ``connection_id=<id>`` directory)."""
+    fs, root, _ = snapshot._hadoop_fs(spark, state_path)
+    paths = []
+    if fs.exists(root):
+        for st_ in fs.listStatus(root):
+            name = st_.getPath().getName()
+            if st_.isDirectory() and name.startswith(CONNECTION_DIR):
+                cur = snapshot.current_version(spark, _state_dir(state_path, name[len(CONNECTION_DIR):]))
+                if cur is not None:
+                    paths.append(cur)
+    if not paths:
         return spark.createDataFrame([], STATE_SCHEMA)
-    return spark.read.parquet(path)
+    return spark.read.schema(STATE_SCHEMA).parquet(*paths)
 
 
 def connection_state(spark: SparkSession, state_path: str, connection_id: str) -> dict | None:
-    row = read_state(spark, state_path).where(F.col("connection_id") == connection_id).first()
+    cur = snapshot.current_version(spark, _state_dir(state_path, connection_id))
+    if cur is None:
+        return None
+    row = spark.read.parquet(cur).first()
     return None if row is None else row.asDict()
 
 
@@ -90,8 +109,7 @@ def sync_table(spark: SparkSession, source: DataFrame, connection_id: str, targe
     row = (connection_id, mode, new_cursor,
            (prior["rows_read"] if prior else 0) + n_read,
            (prior["rows_loaded"] if prior else 0) + n_read, run)
-    others = read_state(spark, state_path).where(F.col("connection_id") != connection_id)
-    snapshot.write_version(others.unionByName(spark.createDataFrame([row], STATE_SCHEMA)), state_path)
+    snapshot.write_version(_one_row(spark, row), _state_dir(state_path, connection_id))
     return spark.createDataFrame([(connection_id, mode, run, n_read, new_cursor)], REPORT_SCHEMA)
 
 
@@ -103,3 +121,12 @@ def _greatest(old: str | None, new: str | None, cursor_type, spark) -> str | Non
     r = spark.range(1).select(F.greatest(F.lit(old).cast(cursor_type),
                                          F.lit(new).cast(cursor_type)).cast("string").alias("c")).first()
     return r["c"]
+
+
+def _one_row(spark: SparkSession, row: tuple) -> DataFrame:
+    """The state row as a one-partition DataFrame (one small file per
+    version, not one per default slice)."""
+    names = [f.strip().split(" ")[0] for f in STATE_SCHEMA.split(",")]
+    types = [f.strip().split(" ")[1] for f in STATE_SCHEMA.split(",")]
+    return spark.range(0, 1, 1, 1).select(
+        *[F.lit(v).cast(t).alias(n) for v, n, t in zip(row, names, types)])

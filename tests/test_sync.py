@@ -63,3 +63,14 @@ def test_full_mode_and_other_connections_untouched(spark):
 def test_bad_mode(spark):
     with pytest.raises(ValueError):
         sync_table(spark, _src(spark, []), "c", "/x", "/y", "merge", "cur")
+
+
+def test_read_state_lists_every_connection(spark):
+    from ferry.plans.sync import read_state
+    root = new_run_dir(spark, "t-sync-state")
+    state = f"{root}/s"
+    for cid in ("a", "b"):
+        sync_table(spark, _src(spark, [(1, "k", 3, "x")]), cid, f"{root}/t{cid}", state, "full", "cur")
+    sync_table(spark, _src(spark, [(1, "k", 5, "x")]), "a", f"{root}/ta", state, "full", "cur")
+    got = sorted((r["connection_id"], r["cursor"], r["runs"]) for r in read_state(spark, state).collect())
+    assert got == [("a", "5", 2), ("b", "3", 1)]
