@@ -30,7 +30,6 @@ from ferry.sources import queue_source
 DOC_CHUNK_BYTES = 1024
 FILE_CHUNK_BYTES = 1024 * 1024
 SYNC_BOUNDARY = dt.datetime(2024, 1, 15, 0, 0, 0)
-SYNC_BOUNDARY_SQL = "TIMESTAMP '2024-01-15 00:00:00'"
 OVERRIDDEN = ("click", "view")
 EVENTS_CONNECTION = "events"
 LOADER_NAME = "json_loader"
