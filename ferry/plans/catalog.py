@@ -316,6 +316,24 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("connection_id", "queue", "seq", "stringified_data")
 
 
+def stream_until_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1 + H1 on a stream: per-user queues whose ``error`` events are end
+    markers, published in two producer runs (before / after the boundary)
+    and drained twice; markers are obeyed across the two runs."""
+    from ferry.streaming.sync import drain
+    msgs = _event_messages(_t(spark, sf_dir, "events"), with_markers=True)
+    root = new_run_dir(spark, "stream-until-end")
+    landing = f"{root}/landing"
+    args = (spark, landing, f"{root}/sink", f"{root}/quarantine", f"{root}/checkpoint")
+    b = F.lit(SYNC_BOUNDARY).cast("timestamp")
+    queue_sink.publish(msgs.where(F.col("created_at") < b), landing)
+    drain(*args, ends_path=f"{root}/ends")
+    queue_sink.publish(msgs.where(F.col("created_at") >= b), landing)
+    drain(*args, ends_path=f"{root}/ends")
+    back = json_loader.read_back(spark, f"{root}/sink")
+    return back.select("connection_id", "queue", "seq", "stringified_data")
+
+
 def stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H1 + K6: five connections (one per event type) publish in two
     producer runs; each run is drained by a stream that folds the
@@ -440,6 +458,7 @@ QUERIES = {
     "stream_sync": stream_sync,
     "stream_dedup": stream_dedup,
     "stream_state": stream_state,
+    "stream_until_end": stream_until_end,
     "run_sync": run_sync,
     "run_scheduled": run_scheduled,
 }

@@ -214,6 +214,11 @@ SELECT 'events' AS connection_id, event_type AS queue, event_id AS seq,
        props AS stringified_data
 FROM events""",
 
+    "stream_until_end": f"""
+SELECT 'events' AS connection_id, CAST(user_id AS VARCHAR) AS queue, event_id AS seq,
+       props AS stringified_data
+FROM ({_UNTIL_END})""",
+
     "stream_state": """
 SELECT event_type AS connection_id, max(ts) AS cursor, CAST(count(*) AS BIGINT) AS rows_read
 FROM events GROUP BY event_type""",

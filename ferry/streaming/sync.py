@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ferry.functions import envelope as env
 from ferry.operators import queue as q
 from ferry.operators import strategies as st
+from ferry.plans.sizing import broadcast_if_small
 from ferry.sinks import snapshot
 from ferry.sources.queue_source import LINE_SCHEMA
 
@@ -43,7 +44,7 @@ def _loaded_rows(parsed: DataFrame) -> DataFrame:
 def drain(spark: SparkSession, landing_dir: str, sink_dir: str, quarantine_dir: str,
           checkpoint_dir: str, timeout_s: int = DEFAULT_TIMEOUT_S,
           max_files_per_trigger: int = DEFAULT_MAX_FILES_PER_TRIGGER,
-          state_path: str | None = None) -> None:
+          state_path: str | None = None, ends_path: str | None = None) -> None:
     """H1 + H2: load every message now in ``landing_dir``, then stop.
 
     Each micro-batch writes its loaded rows and its rejects into
@@ -52,13 +53,19 @@ def drain(spark: SparkSession, landing_dir: str, sink_dir: str, quarantine_dir:
     ``state_path`` the batch then folds its per-connection cursor (latest
     ``created_at``) and row count into a versioned state table (K6); the
     state records the last folded batch, so a replay is not counted twice.
+
+    With ``ends_path`` end markers are obeyed across micro-batches (G1 on a
+    stream): the first marker of each queue is kept in a versioned table
+    (one row per queue), and rows at or after it - in this batch or any
+    later one - are not loaded. Without it markers are simply dropped.
     """
     parsed = read_queue_stream(spark, landing_dir, max_files_per_trigger)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            loaded = _loaded_rows(batch)
+            loaded = _loaded_rows(batch) if ends_path is None else \
+                _loaded_before_end(batch, ends_path, batch_id)
             (loaded.write.mode("overwrite").options(**env.JSON_WRITE_OPTIONS)
              .partitionBy("connection_id").json(f"{sink_dir}/batch={batch_id}"))
             (q.rejects(batch).write.mode("overwrite")
@@ -89,6 +96,40 @@ def drain_dedup(spark: SparkSession, landing_dir: str, sink_dir: str, checkpoint
     _await(query, timeout_s)
 
 
+ENDS_SCHEMA = "connection_id string, queue string, end_seq bigint, batch_id bigint"
+
+
+def read_ends(spark: SparkSession, ends_path: str) -> DataFrame:
+    path = snapshot.current_version(spark, ends_path)
+    if path is None:
+        return spark.createDataFrame([], ENDS_SCHEMA)
+    return spark.read.parquet(path)
+
+
+def _loaded_before_end(batch: DataFrame, ends_path: str, batch_id: int) -> DataFrame:
+    """G1 across micro-batches: fold this batch's first markers into the
+    persisted ones (min per queue), then keep the rows before them."""
+    spark = batch.sparkSession
+    prior = read_ends(spark, ends_path)
+    done = prior.agg(F.max("batch_id").alias("b")).first()["b"]
+    good = q.good(batch)
+    if done is None or done < batch_id:
+        markers = (good.where(F.col("IsEnd")).select("connection_id", "queue", F.col("seq").alias("end_seq"))
+                   .unionByName(prior.select("connection_id", "queue", "end_seq")))
+        ends = (markers.groupBy("connection_id", "queue").agg(F.min("end_seq").alias("end_seq"))
+                .withColumn("batch_id", F.lit(batch_id).cast("long")))
+        snapshot.write_version(ends, ends_path)
+    # a replayed batch reuses the ends written for it (or a later version)
+    ends = read_ends(spark, ends_path).select(F.col("connection_id").alias("_c"),
+                                              F.col("queue").alias("_q"), "end_seq")
+    cond = good["connection_id"].eqNullSafe(F.col("_c")) & good["queue"].eqNullSafe(F.col("_q"))
+    kept = (good.join(broadcast_if_small(ends), cond, "left")
+            .where(~F.col("IsEnd") & (F.col("end_seq").isNull() | (F.col("seq") < F.col("end_seq")))))
+    return kept.select(
+        "connection_id", "queue", "seq", env.drop_payload(), "metadata",
+        "created_at", "updated_at", env.stringify("data").alias("stringified_data"), "IsEnd")
+
+
 STREAM_STATE_SCHEMA = "connection_id string, cursor timestamp, rows_read bigint, batch_id bigint"
 
 

@@ -68,3 +68,24 @@ def test_drain_folds_sync_state_once_per_batch(spark):
     last = got[0]["batch_id"]
     fold_state(json_loader.read_back(spark, f"{root}/sink"), state, last)
     assert read_stream_state(spark, state).first()["rows_read"] == 7
+
+
+def test_drain_obeys_markers_across_batches(spark):
+    from ferry.operators import queue as q
+    root = new_run_dir(spark, "t-stream-ends")
+    landing, ends = f"{root}/landing", f"{root}/ends"
+    args = (spark, landing, f"{root}/sink", f"{root}/q", f"{root}/ckpt")
+
+    def marker(queue, seq):
+        return spark.range(1).select(*env.end_marker(F.lit("c1"), F.lit(queue), F.lit(seq)))
+
+    # run 1: q1 rows 0..4 and its marker at 3; q2 rows 0..2, no marker yet
+    queue_sink.publish(_messages(spark, range(5), "q1").unionByName(marker("q1", 3))
+                       .unionByName(_messages(spark, range(3), "q2")), landing)
+    drain(*args, ends_path=ends)
+    # run 2: more q1 rows (after its marker), q2 marker at 4 and rows 3..6
+    queue_sink.publish(_messages(spark, range(5, 8), "q1").unionByName(marker("q2", 4))
+                       .unionByName(_messages(spark, range(3, 7), "q2")), landing)
+    drain(*args, ends_path=ends)
+    got = sorted((r["queue"], r["seq"]) for r in json_loader.read_back(spark, f"{root}/sink").collect())
+    assert got == [("q1", 0), ("q1", 1), ("q1", 2), ("q2", 0), ("q2", 1), ("q2", 2), ("q2", 3)]
