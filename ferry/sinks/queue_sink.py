@@ -1,36 +1,49 @@
 """Queue sink (B1, B4): message rows -> JSON lines in a landing directory.
 
-A queue is a directory partition ``queue_name=<queue>``; each line holds one
-message, with ``connection_id``, ``queue`` and ``seq`` inside the JSON so a
-line is self-describing. A landing directory is written once per run, so a
-re-run never sees leftovers of an older one.
+Each line holds one message, with ``connection_id``, ``queue`` and ``seq``
+inside the JSON, so a line is self-describing. Lines are grouped into
+``queue_bucket=<b>`` directories by a hash of the queue: the number of
+directories (and of files per writing task) stays bounded however many
+queues there are, and a consumer of one queue reads one bucket only. A
+landing directory is written once per run, so a re-run never sees leftovers
+of an older one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferry.functions import envelope as env
 
-QUEUE_DIR_COL = "queue_name"
+QUEUE_DIR_COL = "queue_bucket"
+DEFAULT_BUCKETS = 16
 
 
-def publish(messages: DataFrame, landing_dir: str, mode: str = "append") -> str:
+def queue_bucket(queue, buckets: int = DEFAULT_BUCKETS) -> Column:
+    """Bucket of a queue name: ``pmod(xxhash64(queue), buckets)``."""
+    q = F.col(queue) if isinstance(queue, str) else queue
+    return F.pmod(F.xxhash64(q), F.lit(buckets)).cast("int")
+
+
+def publish(messages: DataFrame, landing_dir: str, mode: str = "append",
+            buckets: int = DEFAULT_BUCKETS) -> str:
     """Write message rows (``MESSAGE_SCHEMA`` columns) as JSON lines.
 
-    The writer sorts each task's rows by queue before writing, so a task
-    keeps one file open at a time however many queues it holds.
+    The writer sorts each task's rows by bucket before writing, so a task
+    keeps one file open at a time and writes at most ``buckets`` files.
     """
-    lines = messages.select(F.col("queue").alias(QUEUE_DIR_COL), env.serialize().alias("value"))
+    lines = messages.select(queue_bucket(F.col("queue"), buckets).alias(QUEUE_DIR_COL),
+                            env.serialize().alias("value"))
     lines.write.mode(mode).partitionBy(QUEUE_DIR_COL).text(landing_dir)
     return landing_dir
 
 
-def publish_end_markers(spark, queues: DataFrame, landing_dir: str) -> str:
+def publish_end_markers(spark, queues: DataFrame, landing_dir: str,
+                        buckets: int = DEFAULT_BUCKETS) -> str:
     """One end marker per (connection_id, queue, seq) row of ``queues``."""
     markers = queues.select(*env.end_marker(F.col("connection_id"), F.col("queue"), F.col("seq")))
-    return publish(markers, landing_dir)
+    return publish(markers, landing_dir, buckets=buckets)
 
 
 def publish_kafka(messages: DataFrame, bootstrap_servers: str, topic: str,

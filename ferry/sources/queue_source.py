@@ -7,22 +7,31 @@ Batch reads use ``spark.read.text``; the streaming twin is in
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ferry.operators import queue as q
-from ferry.sinks.queue_sink import QUEUE_DIR_COL
+from ferry.sinks.queue_sink import DEFAULT_BUCKETS, QUEUE_DIR_COL, queue_bucket
 
 LINE_SCHEMA = T.StructType([T.StructField("value", T.StringType()),
-                            T.StructField(QUEUE_DIR_COL, T.StringType())])
+                            T.StructField(QUEUE_DIR_COL, T.IntegerType())])
 
 
 def read_lines(spark: SparkSession, landing_dir: str) -> DataFrame:
     return spark.read.schema(LINE_SCHEMA).text(landing_dir)
 
 
-def consume(spark: SparkSession, landing_dir: str) -> DataFrame:
-    """Parsed messages with the ``_reject`` column (see ``operators.queue``)."""
-    return q.parse_messages(read_lines(spark, landing_dir))
+def consume(spark: SparkSession, landing_dir: str, queue: str | None = None,
+            buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """Parsed messages with the ``_reject`` column (see ``operators.queue``).
+    With ``queue`` only that queue's bucket directory is read (partition
+    pruning), then the queue itself is selected."""
+    lines = read_lines(spark, landing_dir)
+    if queue is None:
+        return q.parse_messages(lines)
+    one = lines.where(F.col(QUEUE_DIR_COL) == queue_bucket(F.lit(queue), buckets))
+    parsed = q.parse_messages(one)
+    return parsed.where((F.col("queue") == F.lit(queue)) | F.col("_reject").isNotNull())
 
 
 def consume_kafka(spark: SparkSession, bootstrap_servers: str, topic: str, streaming: bool = True,

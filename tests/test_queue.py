@@ -67,3 +67,19 @@ def test_until_end_skips_join_without_markers(spark):
     out = q.until_end(df)
     assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
     assert out.count() == 2
+
+
+def test_consume_one_queue_prunes_buckets(spark):
+    df = spark.createDataFrame([(i, f"q{i % 40}", b"x") for i in range(200)], "i long, qn string, p binary")
+    msgs = env.build_messages(df, data=F.col("p"), source="s", destination="d",
+                              connection_id="c1", queue=F.col("qn"), seq=F.col("i"))
+    landing = new_run_dir(spark, "t-bucket")
+    queue_sink.publish(msgs, landing, buckets=4)
+    import glob
+    from ferry.session import local_path
+    dirs = {p.rsplit("/", 1)[-1] for p in glob.glob(local_path(landing) + "/queue_bucket=*")}
+    assert len(dirs) <= 4
+    one = queue_source.consume(spark, landing, queue="q7", buckets=4)
+    assert sorted(r["seq"] for r in q.good(one).collect()) == [i for i in range(200) if i % 40 == 7]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(queue_bucket" in plan

@@ -17,7 +17,7 @@ def test_drain_is_exactly_once_and_quarantines(spark):
     landing = f"{root}/landing"
     queue_sink.publish(_messages(spark, range(10)), landing)
     # a broken line in the same queue directory
-    spark.createDataFrame([("{broken",)], "value string").write.mode("append").text(f"{landing}/queue_name=q1")
+    spark.createDataFrame([("{broken",)], "value string").write.mode("append").text(f"{landing}/queue_bucket=0")
     args = (spark, landing, f"{root}/sink", f"{root}/quarantine", f"{root}/ckpt")
     drain(*args)
     back = json_loader.read_back(spark, f"{root}/sink")
