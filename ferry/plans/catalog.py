@@ -149,8 +149,9 @@ def config_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def options_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per resolved connection, the option lists handed to the
-    source and loader (``KEY=value``, sorted)."""
+    """Per resolved connection, the option lists handed to the
+    source and loader (``KEY=value``, sorted), and the config each side
+    rebuilds from them (error when a required option is missing)."""
     res = reg.resolve_connections(tb.connections(spark, sf_dir, spread_rows=True),
                                   tb.sources(spark, sf_dir), tb.loaders(spark, sf_dir))
     base_s = F.create_map(F.lit("CONNECTION_ID"), F.col("connection_id"),
@@ -161,7 +162,10 @@ def options_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     l_env = cfg.merge_options(base_l, cfg.config_to_options("loader_type", "loader_cfg"))
     return res.select("connection_id",
                       F.array_join(cfg.options_list(s_env), " ").alias("source_env"),
-                      F.array_join(cfg.options_list(l_env), " ").alias("loader_env"))
+                      F.array_join(cfg.options_list(l_env), " ").alias("loader_env"),
+                      # What the started connector would make of its options
+                      cfg.options_to_config("source_type", s_env)["error"].alias("source_check"),
+                      cfg.options_to_config("loader_type", l_env)["error"].alias("loader_check"))
 
 
 def connection_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:

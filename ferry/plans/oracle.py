@@ -125,7 +125,13 @@ SELECT connection_id,
   array_to_string(list_sort(list_concat(
      ['CONNECTION_ID=' || connection_id, 'LOADER_ID=' || loader_id, 'QUEUE_NAME=' || queue],
      CASE WHEN loader_type = 'json_loader' AND loader_path IS NOT NULL
-          THEN ['PATH=' || loader_path] ELSE [] END)), ' ') AS loader_env
+          THEN ['PATH=' || loader_path] ELSE [] END)), ' ') AS loader_env,
+  CASE WHEN source_type IN ('file_extractor', 'web_scraper') AND coalesce(source_url, '') = ''
+         THEN 'URL environment variable not set'
+       WHEN source_type NOT IN ('file_extractor', 'web_scraper', 'json_loader')
+         THEN 'unknown config type: ' || source_type END AS source_check,
+  CASE WHEN loader_type = 'json_loader' AND coalesce(loader_path, '') = ''
+         THEN 'PATH environment variable not set' END AS loader_check
 FROM ({_RESOLVED})""",
 
     "connection_resolve": f"""
