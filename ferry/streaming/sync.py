@@ -23,6 +23,7 @@ from ferry.sources.queue_source import LINE_SCHEMA
 DEFAULT_TIMEOUT_S = 600
 # Bound on one micro-batch, so a large backlog drains in steps.
 DEFAULT_MAX_FILES_PER_TRIGGER = 1000
+INGEST_COL = "_ingested_at"
 
 
 def read_queue_stream(spark: SparkSession, landing_dir: str,
@@ -82,14 +83,27 @@ def drain(spark: SparkSession, landing_dir: str, sink_dir: str, quarantine_dir:
 
 
 def drain_dedup(spark: SparkSession, landing_dir: str, sink_dir: str, checkpoint_dir: str,
-                keys: list[str], watermark: str = "1 hour", event_time: str = "created_at",
+                keys: list[str], watermark: str = "1 hour", event_time: str | None = None,
                 timeout_s: int = DEFAULT_TIMEOUT_S,
                 max_files_per_trigger: int = DEFAULT_MAX_FILES_PER_TRIGGER) -> None:
     """H3: drop messages already seen with the same keys within the
     watermark delay (state is bounded by the watermark), then load them to a
-    file sink. ``keys`` e.g. ``["connection_id", "queue", "seq"]``."""
+    file sink. ``keys`` e.g. ``["connection_id", "queue", "seq"]``.
+
+    By default the watermark runs on ingest time (the micro-batch time):
+    it never goes back, so no message is ever late and none is dropped -
+    copies are caught when they arrive within ``watermark`` of each other.
+    With ``event_time`` (e.g. ``created_at``) copies are matched by event
+    time instead, and Spark drops rows older than the watermark: use it only
+    when producers' clocks and backlog order bound the lateness.
+    """
     rows = _loaded_rows(read_queue_stream(spark, landing_dir, max_files_per_trigger))
-    deduped = rows.withWatermark(event_time, watermark).dropDuplicatesWithinWatermark(keys)
+    if event_time is None:
+        rows = rows.withColumn(INGEST_COL, F.current_timestamp())
+        deduped = (rows.withWatermark(INGEST_COL, watermark)
+                   .dropDuplicatesWithinWatermark(keys).drop(INGEST_COL))
+    else:
+        deduped = rows.withWatermark(event_time, watermark).dropDuplicatesWithinWatermark(keys)
     query = (deduped.writeStream.format("json").options(**env.JSON_WRITE_OPTIONS)
              .option("checkpointLocation", checkpoint_dir).option("path", sink_dir)
              .outputMode("append").trigger(availableNow=True).start())
