@@ -379,8 +379,9 @@ def sync_append_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_run_dir(spark, "sync-append")
     target, state = f"{root}/target", f"{root}/state"
     b = F.lit(SYNC_BOUNDARY).cast("timestamp_ntz")
-    sync_table(spark, ev.where(F.col("ts") < b), EVENTS_CONNECTION, target, state, "append", "ts")
-    sync_table(spark, ev, EVENTS_CONNECTION, target, state, "append", "ts")
+    sync_table(spark, ev.where(F.col("ts") < b), EVENTS_CONNECTION, target, state, "append", "ts",
+               keys=["event_id"])
+    sync_table(spark, ev, EVENTS_CONNECTION, target, state, "append", "ts", keys=["event_id"])
     out = read_appended(spark, target, state, EVENTS_CONNECTION)
     return out.select("event_id", F.col("run").cast("long").alias("run"), "ts", "user_id",
                       "event_type", "value", "props")

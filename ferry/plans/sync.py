@@ -10,6 +10,8 @@ simply run again:
   ``run=<n>`` of this run, written with overwrite; a re-run after a crash has
   the same run number (the state was not advanced) and replaces the partial
   output. Readers take only runs the state has committed (``read_appended``).
+  Given row ``keys``, rows *equal* to the stored cursor that are not loaded
+  yet are taken too, so a late row tying the cursor is not lost.
 * ``upsert`` (K5) - ``dedup_latest(current target ∪ rows with cursor >=
   state.cursor)`` becomes a new target version; re-running it is idempotent.
 
@@ -94,6 +96,13 @@ def sync_table(spark: SparkSession, source: DataFrame, connection_id: str, targe
         snapshot.write_version(rows, target)
     elif mode == "append":
         delta = source if prior_cursor is None else source.where(F.col(cursor) > prior_cursor)
+        if prior_cursor is not None and keys:
+            # rows tying the stored cursor that arrived after the last run:
+            # take those not loaded yet (only the boundary rows are compared)
+            loaded = read_appended(spark, target, state_path, connection_id) \
+                .where(F.col(cursor) == prior_cursor).select(*keys)
+            ties = source.where(F.col(cursor) == prior_cursor).join(loaded, keys, "left_anti")
+            delta = delta.unionByName(ties)
         delta = delta.observe(stats, *metrics)
         delta.write.mode("overwrite").parquet(f"{target.rstrip('/')}/{RUN_DIR}{run}")
     else:

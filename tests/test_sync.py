@@ -74,3 +74,21 @@ def test_read_state_lists_every_connection(spark):
     sync_table(spark, _src(spark, [(1, "k", 5, "x")]), "a", f"{root}/ta", state, "full", "cur")
     got = sorted((r["connection_id"], r["cursor"], r["runs"]) for r in read_state(spark, state).collect())
     assert got == [("a", "5", 2), ("b", "3", 1)]
+
+
+def test_append_with_keys_keeps_late_ties(spark):
+    root = new_run_dir(spark, "t-sync-ties")
+    target, state = f"{root}/t", f"{root}/s"
+    first = _src(spark, [(1, "a", 1, "x"), (2, "b", 2, "y")])
+    sync_table(spark, first, "c1", target, state, "append", "cur", keys=["id"])
+    # id 3 has the same cursor as the stored one (2) but arrived late
+    later = _src(spark, [(1, "a", 1, "x"), (2, "b", 2, "y"), (3, "c", 2, "late"), (4, "d", 5, "z")])
+    rep = sync_table(spark, later, "c1", target, state, "append", "cur", keys=["id"]).first()
+    assert rep["rows_loaded"] == 2
+    got = sorted(r["id"] for r in read_appended(spark, target, state, "c1").collect())
+    assert got == [1, 2, 3, 4]
+    # without keys the strict cursor rule applies (documented K2 behaviour)
+    root2 = new_run_dir(spark, "t-sync-ties2")
+    sync_table(spark, first, "c1", f"{root2}/t", f"{root2}/s", "append", "cur")
+    sync_table(spark, later, "c1", f"{root2}/t", f"{root2}/s", "append", "cur")
+    assert sorted(r["id"] for r in read_appended(spark, f"{root2}/t", f"{root2}/s", "c1").collect()) == [1, 2, 4]
