@@ -370,6 +370,17 @@ def queue_consume(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("created_at").cast("timestamp_ntz").alias("created_at"))
 
 
+def queue_consume_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3 for one queue: all events are published (one queue per event
+    type); the consumer of queue ``click`` reads only that queue's bucket
+    directory (partition pruning) and keeps that queue's messages."""
+    landing = new_run_dir(spark, "queue-one")
+    queue_sink.publish(_event_messages(_t(spark, sf_dir, "events", spread_rows=True),
+                                       queue_col="event_type"), landing)
+    got = q.good(queue_source.consume(spark, landing, queue="click"))
+    return got.select("connection_id", "queue", "seq", env.stringify("data").alias("stringified_data"))
+
+
 def sync_append_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K2 + K6 with persisted state: a first append run when the source held
     the events before the boundary, a second when it holds them all. The
@@ -460,6 +471,7 @@ QUERIES = {
     "file_chunks": file_chunks,
     "map_chunks": map_chunks,
     "queue_consume": queue_consume,
+    "queue_consume_one": queue_consume_one,
     "stream_sync": stream_sync,
     "stream_dedup": stream_dedup,
     "stream_state": stream_state,

@@ -210,6 +210,10 @@ SELECT 'events' AS connection_id, event_type AS queue, event_id AS seq,
        props AS stringified_data, ts AS created_at
 FROM events""",
 
+    "queue_consume_one": """
+SELECT 'events' AS connection_id, event_type AS queue, event_id AS seq, props AS stringified_data
+FROM events WHERE event_type = 'click'""",
+
     "stream_sync": """
 SELECT 'events' AS connection_id, event_type AS queue, event_id AS seq,
        props AS stringified_data
