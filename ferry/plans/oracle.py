@@ -235,10 +235,11 @@ FROM events GROUP BY event_type""",
 
     "run_scheduled": """
 SELECT 'copy-' || replace(parse_filename(filename), '.parquet', '') AS connection_id,
-       CAST((size + 1048575) // 1048576 AS BIGINT) AS loaded
+       CAST((size + 1048575) // 1048576 AS BIGINT) AS loaded, CAST(NULL AS VARCHAR) AS reason
 FROM read_blob('/root/testdata/sf0.01/*.parquet')
 UNION ALL
-SELECT 'copy-documents-2' AS connection_id, CAST((size + 1048575) // 1048576 AS BIGINT) AS loaded
+SELECT 'copy-documents-2' AS connection_id, CAST((size + 1048575) // 1048576 AS BIGINT) AS loaded,
+       CAST(NULL AS VARCHAR) AS reason
 FROM read_blob('/root/testdata/sf0.01/documents.parquet')""",
 
     "run_sync": """

@@ -90,45 +90,75 @@ def run_connection(spark: SparkSession, connection_id: str, sources: DataFrame,
 
 def scheduled_connections(conns: DataFrame, sources: DataFrame, loaders: DataFrame) -> DataFrame:
     """J2 planning: the scheduled connections, resolved, with their queue,
-    schedule and typed configs (invalid configs dropped)."""
+    schedule, typed configs and ``reason`` (null = can run: both configs
+    valid)."""
     routed = reg.route_sync_type(conns).where(F.col("route") == reg.SCHEDULED)
     res = reg.resolve_connections(routed.drop("route"), sources, loaders)
-    ok = F.col("source_cfg.error").isNull() & F.col("loader_cfg.error").isNull()
-    return res.where(ok).join(routed.select(F.col("id").alias("connection_id"), "schedule"),
-                              "connection_id")
+    reason = F.coalesce(F.col("source_cfg.error"), F.col("loader_cfg.error"))
+    return res.withColumn("reason", reason).join(
+        routed.select(F.col("id").alias("connection_id"), "schedule"), "connection_id")
 
 
 def run_scheduled(spark: SparkSession, sources: DataFrame, loaders: DataFrame, conns: DataFrame,
-                  chunk_bytes: int = connectors.DEFAULT_CHUNK_BYTES) -> DataFrame:
-    """Run every scheduled file connection, each source file read once.
-
-    All distinct source files go into one scan of the file data source; an
-    equi-join on the file path hands each chunk to the connections reading
-    that file (every pair is an output row: each connection gets its copy).
-    Loads are one write per distinct loader path, partitioned by connection.
-    Returns ``(connection_id, loaded)`` per connection, read from the output.
+                  chunk_bytes: int = connectors.DEFAULT_CHUNK_BYTES,
+                  pages: DataFrame | None = None) -> DataFrame:
+    """Run every scheduled connection, each source read once.
+
+    File connections: all distinct source files go into one scan of the file
+    data source, and an equi-join on the file path hands each chunk to the
+    connections reading that file (every pair is an output row: each
+    connection gets its own copy). Page connections (with a table of
+    fetched ``pages``): pages are joined on their exact url. Loads are one
+    write per distinct loader path, partitioned by connection.
+
+    Returns ``(connection_id, loaded, reason)`` for every scheduled
+    connection; ``reason`` says why one did not run.
     """
-    plan = scheduled_connections(conns, sources, loaders).where(
-        F.col("source_type") == cfg.FILE_EXTRACTOR).select(
-        "connection_id", F.col("source_cfg.url").alias("_url"), F.col("loader_cfg.path").alias("_out"),
-        "loader_name", "queue")
-    plan = materialize(plan, "scheduled")  # small; read by the jobs below
-    # control-plane lists: one entry per distinct source file / loader path
-    urls = [r["_url"] for r in plan.select("_url").distinct().collect()]
-    outs = [r["_out"] for r in plan.select("_out").distinct().collect()]
-    if not urls:
-        return spark.createDataFrame([], "connection_id string, loaded bigint")
-    from ferry.sources.file_chunks import read_file_chunks
-    chunks = read_file_chunks(spark, ",".join(urls), chunk_bytes)
-    routed = chunks.join(broadcast_if_small(plan), chunks["path"] == F.col("_url"))
+    plan = materialize(scheduled_connections(conns, sources, loaders).select(
+        "connection_id", "source_type", F.col("source_cfg.url").alias("_url"),
+        F.col("loader_cfg.path").alias("_out"), "loader_name", "queue", "reason"), "scheduled")
+    runnable = plan.where(F.col("reason").isNull())
+    if pages is None:
+        runnable = runnable.where(F.col("source_type") == cfg.FILE_EXTRACTOR)
+    parts = []
+    files = runnable.where(F.col("source_type") == cfg.FILE_EXTRACTOR)
+    urls = [r["_url"] for r in files.select("_url").distinct().collect()]  # control plane
+    if urls:
+        from ferry.sources.file_chunks import read_file_chunks
+        chunks = read_file_chunks(spark, ",".join(urls), chunk_bytes)
+        parts.append(chunks.join(broadcast_if_small(files), chunks["path"] == F.col("_url"))
+                     .select("connection_id", "seq", "data", "_url", "_out", "loader_name", "queue"))
+    web = runnable.where(F.col("source_type") == cfg.WEB_SCRAPER)
+    if pages is not None:
+        from ferry.operators.chunks import chunk_column
+        from ferry.sources.pages import read_pages
+        p = read_pages(spark, pages)
+        matched = p.join(broadcast_if_small(web), p["url"] == F.col("_url"))
+        pc = chunk_column(matched, "data", chunk_bytes,
+                          keep=["page_id", "connection_id", "_url", "_out", "loader_name", "queue"],
+                          seq_col="_s")
+        parts.append(pc.select("connection_id", (F.col("page_id") * F.lit(1 << 32) + F.col("_s")).alias("seq"),
+                               "data", "_url", "_out", "loader_name", "queue"))
     counts = None
-    for out in outs:
-        mine = routed.where(F.col("_out") == F.lit(out))
-        msgs = env.build_messages(mine, data=F.col("data"), source=F.col("_url"),
-                                  destination=F.col("loader_name"), connection_id=F.col("connection_id"),
-                                  queue=F.col("queue"), seq=F.col("seq"))
-        json_loader.write(json_loader.prepare(msgs), out)
-        got = (json_loader.read_back(spark, out).groupBy("connection_id")
-               .agg(F.count(F.lit(1)).cast("long").alias("loaded")))
-        counts = got if counts is None else counts.unionByName(got)
-    return counts
+    if parts:
+        routed = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        outs = [r["_out"] for r in runnable.select("_out").distinct().collect()]  # control plane
+        for out in outs:
+            mine = routed.where(F.col("_out") == F.lit(out))
+            msgs = env.build_messages(mine, data=F.col("data"), source=F.col("_url"),
+                                      destination=F.col("loader_name"),
+                                      connection_id=F.col("connection_id"), queue=F.col("queue"),
+                                      seq=F.col("seq"))
+            json_loader.write(json_loader.prepare(msgs), out)
+            got = (json_loader.read_back(spark, out).groupBy("connection_id")
+                   .agg(F.count(F.lit(1)).cast("long").alias("loaded")))
+            counts = got if counts is None else counts.unionByName(got)
+    if counts is None:
+        counts = spark.createDataFrame([], "connection_id string, loaded long")
+    no_pages = F.when((F.col("source_type") == cfg.WEB_SCRAPER) & F.lit(pages is None),
+                      F.lit("no pages table"))
+    report = plan.select("connection_id", F.coalesce(F.col("reason"), no_pages).alias("reason"))
+    return (report.join(counts, "connection_id", "left")
+            .select("connection_id",
+                    F.when(F.col("reason").isNull(), F.coalesce(F.col("loaded"), F.lit(0)))
+                    .cast("long").alias("loaded"), "reason"))

@@ -74,7 +74,34 @@ def test_run_scheduled_reads_each_source_once(spark, tmp_dir):
          ("c5", ["sx"], ["l1"], "scheduled")],
         "id string, source_id array<string>, loader_id array<string>, sync_type string") \
         .withColumn("schedule", F.lit("0 * * * *"))
-    got = {r["connection_id"]: r["loaded"] for r in run_scheduled(spark, sources, loaders, conns, 4).collect()}
-    assert got == {"c1": 3, "c2": 3, "c3": 7}  # c4 manual, c5 invalid config: not run
+    got = {r["connection_id"]: (r["loaded"], r["reason"])
+           for r in run_scheduled(spark, sources, loaders, conns, 4).collect()}
+    # c4 is manual (not scheduled); c5 is scheduled but its config is invalid
+    assert got == {"c1": (3, None), "c2": (3, None), "c3": (7, None), "c5": (None, "url is required")}
     rows = json_loader.read_back(spark, out1).where("connection_id = 'c3'").collect()
     assert sorted(r["seq"] for r in rows) == list(range(7))
+
+
+def test_run_scheduled_pages(spark):
+    import json as _json
+
+    from ferry.plans.run import run_scheduled
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    first = pages.orderBy("page_id").first()
+    out = new_run_dir(spark, "t-j2p")
+    sources = spark.createDataFrame(
+        [("p1", "page", "web_scraper", _json.dumps({"url": first["url"]})),
+         ("p2", "none", "web_scraper", _json.dumps({"url": "https://nowhere.example/"}))],
+        "id string, name string, type string, config string")
+    loaders = spark.createDataFrame([("l1", "one", "json_loader", _json.dumps({"path": out}))],
+                                    "id string, name string, type string, config string")
+    conns = spark.createDataFrame([("w1", ["p1"], ["l1"], "scheduled", "0 * * * *"),
+                                   ("w2", ["p2"], ["l1"], "scheduled", "0 * * * *")],
+                                  "id string, source_id array<string>, loader_id array<string>, "
+                                  "sync_type string, schedule string")
+    n = -(-len(first["html"].encode()) // 1024)
+    got = {r["connection_id"]: (r["loaded"], r["reason"])
+           for r in run_scheduled(spark, sources, loaders, conns, 1024, pages=pages).collect()}
+    assert got == {"w1": (n, None), "w2": (0, None)}
+    skipped = {r["connection_id"]: r["reason"] for r in run_scheduled(spark, sources, loaders, conns, 1024).collect()}
+    assert skipped == {"w1": "no pages table", "w2": "no pages table"}
