@@ -105,3 +105,16 @@ def test_run_scheduled_pages(spark):
     assert got == {"w1": (n, None), "w2": (0, None)}
     skipped = {r["connection_id"]: r["reason"] for r in run_scheduled(spark, sources, loaders, conns, 1024).collect()}
     assert skipped == {"w1": "no pages table", "w2": "no pages table"}
+
+
+def test_missing_source_file_fails_before_anything_is_written(spark, tmp_dir):
+    import glob
+
+    from ferry.session import local_path
+    out = new_run_dir(spark, "t-missing")
+    s, l_, c = single_connection_registry(spark, "cm", "file_extractor",
+                                          {"url": os.path.join(tmp_dir, "absent.bin")},
+                                          "json_loader", {"path": out})
+    with pytest.raises(Exception, match="absent.bin"):
+        run_connection(spark, "cm", s, l_, c)
+    assert not glob.glob(local_path(out) + "/connection_id=*")
