@@ -60,3 +60,28 @@ def test_until_end_matches_sequential_reading(spark, rows):
         else:
             want.append((qn, i))
     assert got == sorted(want)
+
+
+@SETTINGS
+@given(rows=hs.lists(hs.tuples(hs.sampled_from(["x", "y"]), hs.one_of(hs.none(), hs.integers(0, 50))),
+                     min_size=1, max_size=30),
+       cut=hs.integers(0, 50))
+def test_sync_state_fold_equals_whole(spark, rows, cut):
+    df = spark.createDataFrame(rows, "g string, cur long")
+    first = df.where(f"cur < {cut}")
+    rest = df.where(f"not (cur < {cut}) or cur is null")
+    folded = st.sync_state(rest, ["g"], "cur", prior=st.sync_state(first, ["g"], "cur"))
+    whole = st.sync_state(df, ["g"], "cur")
+    assert sorted(map(tuple, folded.collect())) == sorted(map(tuple, whole.collect()))
+
+
+@SETTINGS
+@given(rows=hs.lists(hs.tuples(hs.integers(0, 10_000), hs.sampled_from(["a", "b", "é", None])),
+                     min_size=1, max_size=25, unique_by=lambda t: t[0]))
+def test_dedup_exact_keeps_smallest_id_per_payload(spark, rows):
+    df = spark.createDataFrame(rows, "id long, t string")
+    got = sorted(tuple(r) for r in st.dedup_exact(df, "t", "id").collect())
+    best = {}
+    for i, t in rows:
+        best[t] = min(i, best.get(t, i))
+    assert got == sorted((i, t) for t, i in best.items())
