@@ -47,17 +47,22 @@ def list_versions(spark: SparkSession, target: str) -> list[int]:
     return sorted(out)
 
 
-def write_version(df: DataFrame, target: str, fmt: str = "parquet") -> str:
-    """Write ``df`` as the next version of ``target``; return its path."""
+def write_version(df: DataFrame, target: str, fmt: str = "parquet", version: int | None = None) -> str:
+    """Write ``df`` as the next version of ``target`` (or as the given
+    ``version``, replacing an incomplete attempt at it); return its path."""
     spark = df.sparkSession
     fs, root, jvm = _hadoop_fs(spark, target)
-    existing = []
-    if fs.exists(root):
-        existing = [int(st.getPath().getName()[len(VERSION_PREFIX):]) for st in fs.listStatus(root)
-                    if st.getPath().getName().startswith(VERSION_PREFIX)]
-    version = max(existing, default=0) + 1
+    if version is None:
+        existing = []
+        if fs.exists(root):
+            existing = [int(st.getPath().getName()[len(VERSION_PREFIX):]) for st in fs.listStatus(root)
+                        if st.getPath().getName().startswith(VERSION_PREFIX)]
+        version = max(existing, default=0) + 1
+        mode = "errorifexists"
+    else:
+        mode = "overwrite"
     path = f"{target.rstrip('/')}/{VERSION_PREFIX}{version}"
-    df.write.mode("errorifexists").format(fmt).save(path)
+    df.write.mode(mode).format(fmt).save(path)
     return path
 
 

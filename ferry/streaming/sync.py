@@ -124,15 +124,15 @@ def _loaded_before_end(batch: DataFrame, ends_path: str, batch_id: int) -> DataF
     """G1 across micro-batches: fold this batch's first markers into the
     persisted ones (min per queue), then keep the rows before them."""
     spark = batch.sparkSession
-    prior = read_ends(spark, ends_path)
-    done = prior.agg(F.max("batch_id").alias("b")).first()["b"]
     good = q.good(batch)
-    if done is None or done < batch_id:
+    # version n+1 holds the ends after batch n: a replay finds it complete
+    if _folded_up_to(spark, ends_path) < batch_id + 1:
+        prior = _version_or_empty(spark, ends_path, batch_id, ENDS_SCHEMA)
         markers = (good.where(F.col("IsEnd")).select("connection_id", "queue", F.col("seq").alias("end_seq"))
                    .unionByName(prior.select("connection_id", "queue", "end_seq")))
         ends = (markers.groupBy("connection_id", "queue").agg(F.min("end_seq").alias("end_seq"))
                 .withColumn("batch_id", F.lit(batch_id).cast("long")))
-        snapshot.write_version(ends, ends_path)
+        snapshot.write_version(ends, ends_path, version=batch_id + 1)
     # a replayed batch reuses the ends written for it (or a later version)
     ends = read_ends(spark, ends_path).select(F.col("connection_id").alias("_c"),
                                               F.col("queue").alias("_q"), "end_seq")
@@ -159,13 +159,29 @@ def fold_state(loaded: DataFrame, state_path: str, batch_id: int) -> None:
     written as the next version. Skipped when the state already holds this
     batch (a replay after a failure)."""
     spark = loaded.sparkSession
-    prior = read_stream_state(spark, state_path)
-    done = prior.agg(F.max("batch_id").alias("b")).first()["b"]
-    if done is not None and done >= batch_id:
+    # version n+1 holds the state after batch n: a replay finds it complete
+    if _folded_up_to(spark, state_path) >= batch_id + 1:
         return
+    prior = _version_or_empty(spark, state_path, batch_id, STREAM_STATE_SCHEMA)
     folded = st.sync_state(loaded, ["connection_id"], "created_at",
                            prior=prior.select("connection_id", "cursor", "rows_read"))
-    snapshot.write_version(folded.withColumn("batch_id", F.lit(batch_id).cast("long")), state_path)
+    snapshot.write_version(folded.withColumn("batch_id", F.lit(batch_id).cast("long")), state_path,
+                           version=batch_id + 1)
+
+
+def _folded_up_to(spark: SparkSession, path: str) -> int:
+    """Highest complete version (0 = none): a listing, no Spark job."""
+    versions = snapshot.list_versions(spark, path)
+    return versions[-1] if versions else 0
+
+
+def _version_or_empty(spark: SparkSession, path: str, below: int, schema: str) -> DataFrame:
+    """The newest complete version at or below ``below`` (the state before
+    this batch), or an empty table."""
+    versions = [v for v in snapshot.list_versions(spark, path) if v <= below]
+    if not versions:
+        return spark.createDataFrame([], schema)
+    return spark.read.parquet(f"{path.rstrip('/')}/{snapshot.VERSION_PREFIX}{versions[-1]}")
 
 
 def _await(query, timeout_s: int) -> None:
