@@ -110,3 +110,18 @@ def test_versions_swap(spark):
     snapshot.write_version(spark.range(5), target)
     assert snapshot.list_versions(spark, target) == [1, 2]
     assert snapshot.read_current(spark, target).count() == 5
+
+
+def test_explicit_version_replaces_incomplete_attempt(spark):
+    import os
+
+    from ferry.session import local_path
+    target = new_run_dir(spark, "t-version-explicit")
+    # an attempt at version 1 that died before committing
+    os.makedirs(local_path(target) + "/version=1", exist_ok=True)
+    with open(local_path(target) + "/version=1/part-garbage", "w") as f:
+        f.write("partial")
+    assert snapshot.list_versions(spark, target) == []  # not complete, not visible
+    snapshot.write_version(spark.range(4), target, version=1)
+    assert snapshot.list_versions(spark, target) == [1]
+    assert snapshot.read_current(spark, target).count() == 4
