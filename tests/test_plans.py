@@ -3,13 +3,14 @@
 import pytest
 
 import __spark_entry__ as E
+from ferry.plans import catalog
 from conftest import SF_SMALL
 
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "Window", "SinglePartition",
              "BatchEvalPython"]
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_no_forbidden_nodes(spark, name):
     df = E.queries()[name](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
