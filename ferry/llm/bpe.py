@@ -30,7 +30,7 @@ from ferry.llm.textbatch import chunks, in_sorted, ragged, span_hashes, utf8
 # Fixed value: the public byte-level pattern's contractions.
 CONTRACTIONS = (b"s", b"t", b"re", b"ve", b"m", b"ll", b"d")
 #: Bytes of text whose distinct pieces are encoded together.
-PARTITION_BYTES = 24 << 20
+PARTITION_BYTES = 8 << 20
 #: Distinct pieces kept between partitions of a task.
 CACHE_PIECES = 2_000_000
 SPACE_, LETTER, NUMBER, OTHER = 0, 1, 2, 3

@@ -49,12 +49,12 @@ SEGMENTS = 0.45
 #: Bands up to this size have deletion neighbourhoods in every segment, others in one of sixteen.
 SMALL = 40
 #: Text bytes for each bucket of signatures.
-BUCKET_BYTES = 24 << 20
+BUCKET_BYTES = 12 << 20
 #: Ids of at most this many documents are broadcast; more are joined by shuffle.
 BROADCAST_IDS = 1_000_000
 BLOCK = 1000
 #: Signatures packed together by a task.
-FLUSH = 1_500_000
+FLUSH = 600_000
 EXACT, DELETED = np.uint64(0x1F), np.uint64(0x2F)
 
 
@@ -264,7 +264,8 @@ def shared_signatures(docs: DataFrame, buckets: int, text_col: str = "text") ->
                 size = np.diff(so)[keep]
                 sh, so = sh[ragged(so[:-1][keep], size)], np.concatenate([[0], np.cumsum(size)])
                 sig, who, role, band, spare = _signatures(sh, so, key[keep])
-                parts.append((sig, key[keep][who], size[who], role, band, spare))
+                parts.append((sig, key[keep][who], size[who].astype(np.uint32), role.astype(np.uint8),
+                              band.astype(np.uint8), spare.astype(np.uint32)))
                 held += len(sig)
                 if held > FLUSH:
                     yield pack(parts)

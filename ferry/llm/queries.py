@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from ferry.llm import (bpe, exact_radix, language_mixture, lm_automaton, ngram_join, packing, quality_trees, secret_ledger,
                        suffix_dedup, url_model)
 from ferry.llm.textbatch import documents
-from ferry.session import configure
 
 #: The tokenizer file of operators 2 and 9; a parameter, never copied here.
 TOKENIZER = "byte_bpe_50k.json"
@@ -20,7 +19,6 @@ def tokenizer_path() -> str:
 
 
 def _docs(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
-    configure(spark)
     return documents(spark, sf_dir, table)
 
 

@@ -12,6 +12,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+from ferry.session import configure
+
 # Word separators are the bytes 0x20 and 0x09-0x0D.
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -106,5 +108,17 @@ def in_sorted(table: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.nda
     return i, table[i] == values
 
 
+#: Rows of an Arrow batch, and the size up to which a side measured at run time is broadcast.
+BATCH_ROWS, RUNTIME_BROADCAST = "4000", "8MB"
+
+
+def prepare(spark) -> None:
+    """The package's session settings, and bounds for Python workers' memory."""
+    configure(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", RUNTIME_BROADCAST)
+
+
 def documents(spark, sf_dir: str, table: str = "documents"):
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
