@@ -44,8 +44,9 @@ from ferry.llm.textbatch import LOWER, MULT, chunks, in_sorted, mix, ragged, spa
 from ferry.plans.sizing import materialize
 
 WORDS = 5
-#: Segments for each shingle of a band's largest set.
-SEGMENTS = 0.45
+#: Segments for each shingle of a band's largest set: many for short texts, where a
+#: common passage is a large part and private subsets must outweigh it.
+SEGMENTS, SHORT_SEGMENTS, SHORT = 0.45, 1.5, 320
 #: Bands up to this size have deletion neighbourhoods in every segment, others in one of sixteen.
 SMALL = 40
 #: Text bytes for each bucket of signatures.
@@ -75,7 +76,7 @@ def band_of(n: np.ndarray) -> np.ndarray:
 
 
 def segments(band: np.ndarray) -> np.ndarray:
-    return (SEGMENTS * HIGH[band]).astype(np.int64) + 2
+    return (np.where(HIGH[band] <= SHORT, SHORT_SEGMENTS, SEGMENTS) * HIGH[band]).astype(np.int64) + 2
 
 
 def deletion_segments(band: np.ndarray) -> np.ndarray:
@@ -338,20 +339,26 @@ def shared_signatures(docs: DataFrame, buckets: int, text_col: str = "text") ->
 
 
 def allocate(shared: DataFrame) -> DataFrame:
-    """Marks the signatures that a class probes: with ``spare`` subsets more
-    than it needs and s shared ones, it must probe s - spare of them, the
-    cheapest; a class without such a need drops out as a probe."""
+    """Marks the signatures that a class probes and those where it still
+    counts as indexed.
+
+    With ``spare`` subsets more than it needs and s shared ones, a class must
+    probe s - spare of them, the cheapest; without such a need it drops out as
+    a probe. A class of size n with more than n / 3 private subsets has no
+    larger partner, so it drops out of the index."""
     probe = F.col("role").bitwiseAND(F.lit(PROBE)) > 0
-    order = Window.partitionBy("ck", "band", "probing").orderBy("freq", "sig")
-    whole = Window.partitionBy("ck", "band", "probing")
     # A class's own subsets, never more than its shingles, meet in one window.
-    ranked = (shared.withColumn("probing", probe)
-              .withColumn("rank", F.row_number().over(order)).withColumn("own", F.count(F.lit(1)).over(whole)))
+    order = Window.partitionBy("ck", "band", "probing").orderBy("freq", "sig")
+    whole = Window.partitionBy("ck", "band")
+    ranked = (shared.withColumn("probing", probe).withColumn("rank", F.row_number().over(order))
+              .withColumn("own", F.sum(F.col("probing").cast("long")).over(whole)))
     chosen = (F.col("probing") & (F.col("rank") <= F.col("own") - F.col("spare"))) \
         | (F.col("role").bitwiseAND(F.lit(FORCED)) > 0)
-    return ranked.select("sig", "ck", "n", F.coalesce(chosen, F.lit(False)).alias("probes"),
-                         (F.col("role").bitwiseAND(F.lit(INDEX)) > 0).alias("index"),
-                         (F.col("own") - F.col("spare")).alias("weight"))
+    private = F.col("spare") + F.expr("2 * n div 7") + 1 - F.col("own")
+    index = (F.col("role").bitwiseAND(F.lit(INDEX)) > 0) & (
+        (F.col("spare") == 0) | (private <= F.expr("n div 3")))
+    return ranked.select("sig", "ck", "n", F.coalesce(chosen, F.lit(False)).alias("probes"), index.alias("index"),
+                         (F.col("own") - F.col("spare")).alias("weight")).filter("probes or index")
 
 
 def _fits(x: str, y: str):
@@ -360,19 +367,75 @@ def _fits(x: str, y: str):
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Linked pairs (a, b) of candidate pairs (a, b)."""
+    """``(a, b, both, linked)`` of candidate pairs (a, b): the shingles they
+    share, counted on the sets, and whether that links them."""
     def run(batches):
         for b in batches:
-            keep = []
+            both, linked = [], []
             for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = int(in_sorted(x, y)[1].sum())
-                keep.append(100 * both >= 75 * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                k = int(in_sorted(x, y)[1].sum())
+                both.append(k)
+                linked.append(100 * k >= 75 * (len(x) + len(y) - k))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(both, pa.int64()),
+                                              pa.array(linked, pa.bool_())], names=["a", "b", "both", "linked"])
 
     joined = (pairs.join(sets.select(F.col("ck").alias("b"), F.col("members").alias("sb")), "b")
               .join(sets.select(F.col("ck").alias("a"), F.col("members").alias("sa")), "a").select("a", "b", "sa", "sb"))
-    return joined.mapInArrow(run, "a long, b long")
+    return joined.mapInArrow(run, "a long, b long, both long, linked boolean")
+
+
+def _references(tested: DataFrame, sets: DataFrame) -> DataFrame:
+    """``(ck, ref, inside)``: for every class that met a hub, the hub that met
+    most classes, and how many shingles they share."""
+    met = tested.select(F.col("a").alias("ck"), F.col("b").alias("ref"), F.col("both").alias("inside")).union(
+        tested.select("b", "a", "both"))
+    own = sets.select("ck", F.col("ck").alias("ref"), (F.octet_length("members") / 8).cast("long").alias("inside"))
+    degree = met.groupBy("ref").agg(F.count(F.lit(1)).alias("degree"))
+    return (met.union(own).join(degree, "ref").groupBy("ck")
+            .agg(F.max(F.struct("degree", "ref", "inside")).alias("best")).select("ck", "best.ref", "best.inside"))
+
+
+def _can_share(x: str, y: str):
+    """Upper bounds on the shingles two classes share allow a link: neither
+    class's lone shingles are shared, and of a common reference set each holds
+    ``inside`` shingles, so at most the smaller number of these and of the
+    rest are shared."""
+    def col(c, f):
+        return F.col(f"{c}.{f}")
+
+    most = F.least(col(x, "n") - col(x, "alone"), col(y, "n") - col(y, "alone"))
+    near = (F.least(col(x, "inside"), col(y, "inside"))
+            + F.least(*[col(c, "n") - col(c, "inside") - col(c, "alone") for c in (x, y)]))
+    same = F.coalesce(col(x, "ref") == col(y, "ref"), F.lit(False))
+    total = col(x, "n") + col(y, "n")
+    return ((col(x, "alone") + col(y, "alone")) * 7 <= total) & (F.when(same, F.least(most, near)).otherwise(most) * 7 >= total * 3)
+
+
+def _sharing_enough(apart: DataFrame, sets: DataFrame, refs: DataFrame) -> DataFrame:
+    """``apart`` with the number ``alone`` of each class's shingles that no
+    other class in it has. Two classes differ in at least the sum of these,
+    so a class with more than n / 7 + (4 n / 3) / 7 of them has no partner."""
+    rows = materialize(apart, "jaccard-apart")
+    # The references count too, so a lone shingle is in none of them.
+    both = rows.select("ck").union(refs.join(rows.select("ck").distinct(), "ck", "left_semi").select("ref")).distinct()
+    here = sets.join(both, "ck", "left_semi")
+
+    def tokens(batches):
+        for b in batches:
+            keys = b.column(0).to_numpy()
+            members = [np.frombuffer(x, np.int64) for x in b.column(1).to_pylist()]
+            for i in range(0, len(members), 1000):
+                part = members[i:i + 1000]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(part)), pa.array(np.repeat(keys[i:i + 1000], [len(x) for x in part]))],
+                    names=["token", "ck"])
+
+    single = (here.select("ck", "members").mapInArrow(tokens, "token long, ck long").groupBy("token")
+              .agg(F.count(F.lit(1)).alias("k"), F.min("ck").alias("ck")).filter("k = 1")
+              .groupBy("ck").agg(F.count(F.lit(1)).alias("alone")))
+    return materialize(rows.join(single, "ck", "left").join(refs, "ck", "left").withColumn("alone", F.coalesce("alone", F.lit(0)))
+                       .filter("alone * 3 <= n"), "jaccard-apart")
 
 
 def _odd_links(docs: DataFrame, classes: DataFrame, text_col: str) -> list[DataFrame]:
@@ -415,7 +478,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets = max(8, -(-size // BUCKET_BYTES))
     shared = materialize(allocate(shared_signatures(docs, int(buckets), text_col)), "jaccard-shared")
     # Groups that still have a probe.
-    live = shared.groupBy("sig").agg(F.max("probes").alias("live")).filter("live").select("sig")
+    live = (shared.groupBy("sig").agg(F.max("probes").alias("live"), F.max("index").alias("there"),
+                                      F.count(F.lit(1)).alias("size")).filter("live and there and size > 1").select("sig"))
     group = materialize(shared.join(live, "sig", "left_semi"), "jaccard-groups")
     # The hub of a group: the member with the fewest private subsets.
     hubs = group.groupBy("sig").agg(F.max(F.struct("weight", "ck", "n", "probes", "index")).alias("hub"))
@@ -443,7 +507,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     sets = materialize(src.select("text").mapInArrow(members, "ck long, members binary")
                        .join(wanted.select("ck"), "ck", "left_semi").dropDuplicates(["ck"]), "jaccard-sets")
-    links = materialize(_verified(stars, sets), "jaccard-links")
+    tested = materialize(_verified(stars, sets), "jaccard-tested")
+    links = tested.filter("linked").select("a", "b")
     for more in _odd_links(docs, classes, text_col):
         links = links.union(materialize(more, "jaccard-odd"))
     labels = components(links)
@@ -452,13 +517,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .withColumn("label", F.coalesce("label", "ck"))
     mixed = (named.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
              .filter("lo <> hi").select("sig"))
-    apart = materialize(named.join(mixed, "sig", "left_semi"), "jaccard-apart")
-    x = apart.filter("probes").select("sig", F.col("ck").alias("x"), F.col("n").alias("nx"), F.col("label").alias("lx"))
-    y = apart.filter("index").select("sig", F.col("ck").alias("y"), F.col("n").alias("ny"), F.col("label").alias("ly"))
-    pairs = (x.join(y, "sig").filter((F.col("lx") != F.col("ly")) & (F.col("ny") <= F.col("nx")) & _fits("nx", "ny"))
-             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    apart = _sharing_enough(named.join(mixed, "sig", "left_semi"), sets, _references(tested, sets))
+    facts = ("ck", "n", "label", "alone", "ref", "inside")
+    x = apart.filter("probes").select("sig", F.struct(*facts).alias("x"))
+    y = apart.filter("index").select("sig", F.struct(*facts).alias("y"))
+    pairs = (x.join(y, "sig").filter((F.col("x.label") != F.col("y.label")) & (F.col("y.n") <= F.col("x.n"))
+                                     & _fits("x.n", "y.n") & _can_share("x", "y"))
+             .select(F.least("x.ck", "y.ck").alias("a"), F.greatest("x.ck", "y.ck").alias("b")).distinct()
              .join(stars, ["a", "b"], "left_anti"))
-    more = materialize(_verified(pairs, sets), "jaccard-links")
+    more = materialize(_verified(pairs, sets).filter("linked").select("a", "b"), "jaccard-links")
     if more.limit(1).count():
         labels = components(links.union(more))
     rows = classes.join(labels.withColumnRenamed("node", "ck"), "ck", "left") \
