@@ -43,7 +43,7 @@ SIDE = LENGTH - ANCHOR          # bytes of a window beside its anchor, at most
 PLACES = SIDE + 1               # places of the anchor in a window
 SHALLOW_WORDS = 2               # multikey steps of eight bytes
 #: Text bytes for each bucket of anchors, and anchors for each bucket of suffixes.
-BUCKET_BYTES, BUCKET_SUFFIXES = 48 << 20, 400_000
+BUCKET_BYTES, BUCKET_SUFFIXES = 48 << 20, 150_000
 LAST = (1 << 63) - 1
 
 
@@ -241,6 +241,15 @@ def shared_anchors(rows: DataFrame, buckets: int) -> DataFrame:
     return found.groupBy("ck").agg(F.collect_list("marks").alias("marks"))
 
 
+def _packed(x: np.ndarray) -> bytes:
+    return pa.compress(np.ascontiguousarray(x).tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(cell, kind, n: int) -> np.ndarray:
+    size = n * np.dtype(kind).itemsize
+    return np.frombuffer(pa.decompress(cell.as_buffer(), size, codec="zstd"), kind)
+
+
 def _contexts(rows: DataFrame, buckets: int, cells: int) -> DataFrame:
     """Packed anchors with their surroundings, of ``rows`` (text, ord, marks)."""
     def emit(batches):
@@ -275,17 +284,20 @@ def _contexts(rows: DataFrame, buckets: int, cells: int) -> DataFrame:
                 used = np.flatnonzero(np.diff(cuts))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(used.astype(np.int32)),
-                     *[pa.array([np.ascontiguousarray(x[cuts[k]:cuts[k + 1]]).tobytes() for k in used], pa.binary())
-                       for x in (ords[lo:hi][row], cks[lo:hi][row], place, l_cap, r_cap, around)]],
-                    names=["cell", "ord", "ck", "pos", "l", "r", "around"])
+                     *[pa.array([_packed(x[cuts[k]:cuts[k + 1]]) for k in used], pa.binary())
+                       for x in (ords[lo:hi][row], cks[lo:hi][row], place, l_cap, r_cap, around)],
+                     pa.array(np.diff(cuts)[used].astype(np.int32))],
+                    names=["cell", "ord", "ck", "pos", "l", "r", "around", "n"])
 
     return rows.select("text", "ord", "ck", "marks").mapInArrow(
-        emit, "cell int, ord binary, ck binary, pos binary, l binary, r binary, around binary")
+        emit, "cell int, ord binary, ck binary, pos binary, l binary, r binary, around binary, n int")
 
 
 def _decide(table):
     kinds = {"ord": np.int64, "ck": np.int64, "pos": np.uint32, "l": np.uint8, "r": np.uint8, "around": np.uint8}
-    col = {c: np.concatenate([np.frombuffer(x, t) for x in table.column(c).to_pylist()]) for c, t in kinds.items()}
+    count = table.column("n").to_pylist()
+    col = {c: np.concatenate([_unpacked(x, t, n * (SIDE + ANCHOR + SIDE if c == "around" else 1))
+                              for x, n in zip(table.column(c), count)]) for c, t in kinds.items()}
     around = col["around"].reshape(-1, SIDE + ANCHOR + SIDE)
     gram = np.ascontiguousarray(around[:, SIDE:SIDE + ANCHOR]).view(np.uint64)
     # the anchor's bytes, exactly: numbered pairs of eight bytes
