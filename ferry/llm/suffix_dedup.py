@@ -250,13 +250,32 @@ def _unpacked(cell, kind, n: int) -> np.ndarray:
     return np.frombuffer(pa.decompress(cell.as_buffer(), size, codec="zstd"), kind)
 
 
+def _squeezed(texts: DataFrame) -> DataFrame:
+    """``(z, size, ord, ck)``: texts as they travel through a shuffle."""
+    def run(batches):
+        for b in batches:
+            data, off = utf8(b.column(0))
+            z = [_packed(data[a:e]) for a, e in zip(off[:-1], off[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array(z, pa.binary()), pa.array(np.diff(off)), b.column(1), b.column(2)],
+                                             names=["z", "size", "ord", "ck"])
+
+    return texts.select("text", "ord", "ck").mapInArrow(run, "z binary, size long, ord long, ck long")
+
+
+def _restored(b) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and offsets of a batch whose first columns are (z, size)."""
+    size = b.column(1).to_numpy()
+    parts = [_unpacked(z, np.uint8, int(n)) for z, n in zip(b.column(0), size)]
+    return (np.concatenate(parts) if parts else np.zeros(0, np.uint8)), np.concatenate([[0], np.cumsum(size)])
+
+
 def _contexts(rows: DataFrame, buckets: int, cells: int) -> DataFrame:
-    """Packed anchors with their surroundings, of ``rows`` (text, ord, marks)."""
+    """Packed anchors with their surroundings, of ``rows`` (z, size, ord, ck, marks)."""
     def emit(batches):
         for b in batches:
-            data, off = utf8(b.column(0))
-            ords, cks = b.column(1).to_numpy(), b.column(2).to_numpy()
-            marks = b.column(3)
+            data, off = _restored(b)
+            ords, cks = b.column(2).to_numpy(), b.column(3).to_numpy()
+            marks = b.column(4)
             for lo, hi in chunks(off):
                 d, o = data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo]
                 at, h, row = anchors(d, o)
@@ -289,7 +308,7 @@ def _contexts(rows: DataFrame, buckets: int, cells: int) -> DataFrame:
                      pa.array(np.diff(cuts)[used].astype(np.int32))],
                     names=["cell", "ord", "ck", "pos", "l", "r", "around", "n"])
 
-    return rows.select("text", "ord", "ck", "marks").mapInArrow(
+    return rows.select("z", "size", "ord", "ck", "marks").mapInArrow(
         emit, "cell int, ord binary, ck binary, pos binary, l binary, r binary, around binary, n int")
 
 
@@ -312,28 +331,45 @@ def _decide(table):
         bits = repeated_windows(key[many], ords, near[:, :SIDE][:, ::-1], near[:, SIDE + ANCHOR:],
                                 col["l"][many], col["r"][many])
     hit = np.flatnonzero(bits > 0)
-    hit = hit[np.lexsort((ck[hit], ords[hit]))]
-    ords, ck, pos, bits = ords[hit], ck[hit], pos[hit], bits[hit]
-    new = (ords[1:] != ords[:-1]) | (ck[1:] != ck[:-1])
-    cut = np.append(0, np.flatnonzero(new) + 1) if len(ords) else np.zeros(0, np.int64)
+    return pa.table(_by_part(ords[hit], ck[hit], pos[hit], bits[hit], int(table.column("parts")[0].as_py())))
+
+
+def _by_part(ords, ck, pos, bits, parts: int) -> dict:
+    """Found windows packed by a hash of their document."""
+    part = (mix(ords.view(np.uint64) * MULT[44] ^ ck.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    cuts = np.searchsorted(part[order], np.arange(parts + 1))
+    used = np.flatnonzero(np.diff(cuts))
+    cells = {n: pa.array([_packed(x[order][cuts[k]:cuts[k + 1]]) for k in used], pa.binary())
+             for n, x in (("ord", ords), ("ck", ck), ("pos", pos), ("bits", bits))}
+    return {"part": pa.array(used.astype(np.int32)), **cells, "n": pa.array(np.diff(cuts)[used].astype(np.int32))}
+
+
+def _by_document(table):
+    """(ord, ck, pos, bits) of each document of a part."""
+    kinds = {"ord": np.int64, "ck": np.int64, "pos": np.uint32, "bits": np.uint64}
+    count = table.column("n").to_pylist()
+    col = {c: np.concatenate([_unpacked(x, t, n) for x, n in zip(table.column(c), count)]) for c, t in kinds.items()}
+    order = np.lexsort((col["ck"], col["ord"]))
+    ords, ck, pos, bits = (col[c][order] for c in kinds)
+    cut = np.append(0, np.flatnonzero((ords[1:] != ords[:-1]) | (ck[1:] != ck[:-1])) + 1)
     end = np.append(cut[1:], len(ords))
-    return pa.table({"ord": pa.array(ords[cut], pa.int64()), "ck": pa.array(ck[cut], pa.int64()),
+    return pa.table({"ord": pa.array(ords[cut]), "ck": pa.array(ck[cut]),
                      "pos": pa.array([pos[a:b].tobytes() for a, b in zip(cut, end)], pa.binary()),
                      "bits": pa.array([bits[a:b].tobytes() for a, b in zip(cut, end)], pa.binary())})
 
 
 def _removed(batches):
     for b in batches:
-        data, off = utf8(b.column(0))
+        data, off = _restored(b)
         removed, spans, kept = [], [], []
-        for i, (p, w) in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist())):
+        for i, (p, w) in enumerate(zip(b.column(3).to_pylist(), b.column(4).to_pylist())):
             text = data[off[i]:off[i + 1]]
-            mask = covered(len(text), np.frombuffer(b"".join(p), np.uint32).astype(np.int64),
-                           np.frombuffer(b"".join(w), np.uint64))
+            mask = covered(len(text), np.frombuffer(p, np.uint32).astype(np.int64), np.frombuffer(w, np.uint64))
             removed.append(int(mask.sum()))
             spans.append(int((mask & ~np.concatenate([[False], mask[:-1]])).sum()))
             kept.append(hashlib.sha256(text[~mask].tobytes()).hexdigest())
-        yield pa.RecordBatch.from_arrays([b.column(1), b.column(4), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()),
+        yield pa.RecordBatch.from_arrays([b.column(2), b.column(5), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()),
                                           pa.array(kept, pa.string())], names=["ord", "ck", "removed", "spans", "kept"])
 
 
@@ -356,12 +392,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     held = F.aggregate("marks", F.lit(0).cast("long"), lambda a, x: a + F.octet_length(x).cast("long"))
     total = (shared.agg(F.sum(held).alias("n")).first()["n"] or 0) // 8
     cells = int(max(8, -(-total // BUCKET_SUFFIXES)))
-    rows = texts.join(todo, ["ck", "ord"]).select("text", "ord", "ck", "marks")
-    found = (_contexts(rows, buckets, cells).repartition(cells, "cell").groupBy("cell")
-             .applyInArrow(_decide, "ord long, ck long, pos binary, bits binary"))
-    # A text's windows: the lists are never longer than the text.
-    found = found.groupBy("ord", "ck").agg(F.collect_list("pos").alias("pos"), F.collect_list("bits").alias("bits"))
-    hits = (texts.join(found, ["ord", "ck"]).select("text", "ord", "pos", "bits", "ck")
+    rows = _squeezed(texts).join(todo, ["ck", "ord"])
+    found = (_contexts(rows, buckets, cells).withColumn("parts", F.lit(cells)).repartition(cells, "cell").groupBy("cell")
+             .applyInArrow(_decide, "part int, ord binary, ck binary, pos binary, bits binary, n int")
+             .repartition(cells, "part").groupBy("part")
+             .applyInArrow(_by_document, "ord long, ck long, pos binary, bits binary"))
+    hits = (_squeezed(texts).join(found, ["ord", "ck"]).select("z", "size", "ord", "pos", "bits", "ck")
             .mapInArrow(_removed, "ord long, ck long, removed long, spans long, kept string")
             .dropDuplicates(["ord", "ck"]))
     copy = (F.col("ord") > F.col("least")) & (F.col("n") >= LENGTH)
