@@ -56,6 +56,8 @@ BROADCAST_IDS = 1_000_000
 BLOCK = 1000
 #: Signatures packed together by a task.
 FLUSH = 600_000
+#: Cells of the histograms that bound what two classes can share.
+CELLS = 32
 EXACT, DELETED = np.uint64(0x1F), np.uint64(0x2F)
 
 
@@ -400,7 +402,7 @@ def _can_share(x: str, y: str):
     """Upper bounds on the shingles two classes share allow a link: neither
     class's lone shingles are shared, and of a common reference set each holds
     ``inside`` shingles, so at most the smaller number of these and of the
-    rest are shared."""
+    rest are shared; nor more than the smaller number in each hash cell."""
     def col(c, f):
         return F.col(f"{c}.{f}")
 
@@ -409,7 +411,10 @@ def _can_share(x: str, y: str):
             + F.least(*[col(c, "n") - col(c, "inside") - col(c, "alone") for c in (x, y)]))
     same = F.coalesce(col(x, "ref") == col(y, "ref"), F.lit(False))
     total = col(x, "n") + col(y, "n")
-    return ((col(x, "alone") + col(y, "alone")) * 7 <= total) & (F.when(same, F.least(most, near)).otherwise(most) * 7 >= total * 3)
+    each = F.zip_with(col(x, "cells"), col(y, "cells"), lambda i, j: F.least(i, j))
+    in_cells = F.aggregate(each, F.lit(0), lambda acc, k: acc + k)
+    return (((col(x, "alone") + col(y, "alone")) * 7 <= total)
+            & (F.when(same, F.least(most, near)).otherwise(most) * 7 >= total * 3) & (in_cells * 7 >= total * 3))
 
 
 def _sharing_enough(apart: DataFrame, sets: DataFrame, refs: DataFrame) -> DataFrame:
@@ -431,11 +436,25 @@ def _sharing_enough(apart: DataFrame, sets: DataFrame, refs: DataFrame) -> DataF
                     [pa.array(np.concatenate(part)), pa.array(np.repeat(keys[i:i + 1000], [len(x) for x in part]))],
                     names=["token", "ck"])
 
-    single = (here.select("ck", "members").mapInArrow(tokens, "token long, ck long").groupBy("token")
-              .agg(F.count(F.lit(1)).alias("k"), F.min("ck").alias("ck")).filter("k = 1")
-              .groupBy("ck").agg(F.count(F.lit(1)).alias("alone")))
-    return materialize(rows.join(single, "ck", "left").join(refs, "ck", "left").withColumn("alone", F.coalesce("alone", F.lit(0)))
-                       .filter("alone * 3 <= n"), "jaccard-apart")
+    lone = (here.select("ck", "members").mapInArrow(tokens, "token long, ck long").groupBy("token")
+            .agg(F.count(F.lit(1)).alias("k"), F.min("ck").alias("ck")).filter("k = 1")
+            .groupBy("ck").agg(F.collect_list("token").alias("lone")))
+
+    def cells(batches):
+        for b in batches:
+            alone, counts = [], []
+            for x, gone in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+                x = np.frombuffer(x, np.uint64)
+                gone = np.sort(np.array(gone or [], np.int64).view(np.uint64))
+                x = x[~in_sorted(gone, x)[1]]
+                alone.append(len(gone))
+                counts.append(np.bincount((x >> np.uint64(7)).astype(np.int64) % CELLS, minlength=CELLS).tolist())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(alone, pa.int64()), pa.array(counts, pa.list_(pa.int32()))],
+                                             names=["ck", "alone", "cells"])
+
+    facts = here.join(lone, "ck", "left").select("ck", "members", "lone").mapInArrow(
+        cells, "ck long, alone long, cells array<int>")
+    return materialize(rows.join(facts, "ck").join(refs, "ck", "left").filter("alone * 3 <= n"), "jaccard-apart")
 
 
 def _odd_links(docs: DataFrame, classes: DataFrame, text_col: str) -> list[DataFrame]:
@@ -518,7 +537,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     mixed = (named.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
              .filter("lo <> hi").select("sig"))
     apart = _sharing_enough(named.join(mixed, "sig", "left_semi"), sets, _references(tested, sets))
-    facts = ("ck", "n", "label", "alone", "ref", "inside")
+    facts = ("ck", "n", "label", "alone", "ref", "inside", "cells")
     x = apart.filter("probes").select("sig", F.struct(*facts).alias("x"))
     y = apart.filter("index").select("sig", F.struct(*facts).alias("y"))
     pairs = (x.join(y, "sig").filter((F.col("x.label") != F.col("y.label")) & (F.col("y.n") <= F.col("x.n"))
