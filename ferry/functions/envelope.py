@@ -26,6 +26,7 @@ JSON_WRITE_OPTIONS = {
     "ignoreNullFields": "false",
     "timestampFormat": TS_FORMAT,
     "timestampNTZFormat": TS_FORMAT,
+    "timeZone": "UTC",  # the literal Z is true in any session
 }
 CORRUPT_COL = "_corrupt"
 
@@ -128,9 +129,9 @@ def parse(value) -> Column:
     an empty line yields a null struct. Use ``is_malformed`` to test.
     """
     schema = T.StructType(MESSAGE_SCHEMA.fields + [T.StructField(CORRUPT_COL, T.StringType())])
-    return F.from_json(_col(value), schema,
-                       {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL,
-                        **{k: v for k, v in JSON_WRITE_OPTIONS.items() if k != "ignoreNullFields"}})
+    # no time pattern: RFC 3339 times of any precision and offset are read
+    return F.from_json(_col(value), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL,
+                                             "timeZone": "UTC"})
 
 
 def is_malformed(parsed) -> Column:

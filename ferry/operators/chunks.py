@@ -51,15 +51,19 @@ def reassemble(chunks: DataFrame, keys: list[str], seq_col: str = "seq",
     keep the concatenation linear in the payload size. ``complete`` is false
     when a chunk is missing (e.g. it was quarantined on the way).
     """
-    parts = F.array_sort(F.collect_list(F.struct(F.col(seq_col).alias("s"),
-                                                 F.hex(F.col(data_col)).alias("h"))))
+    # a chunk delivered twice counts once
+    parts = F.array_sort(F.collect_set(F.struct(F.col(seq_col).alias("s"),
+                                                F.hex(F.col(data_col)).alias("h"))))
     agg = chunks.groupBy(*keys).agg(
         F.unhex(F.array_join(F.transform(parts, lambda x: x["h"]), "")).alias(out_col),
-        F.count(F.lit(1)).cast("long").alias("n_chunks"),
+        F.size(parts).cast("long").alias("n_chunks"),
+        F.min(seq_col).alias("_first"),
         F.max(seq_col).alias("_last"),
+        F.size(F.collect_set(seq_col)).cast("long").alias("_seqs"),
     )
-    # complete = chunks 0..n-1 all present (a quarantined chunk leaves a gap)
-    return agg.withColumn("complete", F.col("_last") + 1 == F.col("n_chunks")).drop("_last")
+    # complete = chunks 0..n-1 all present, each with one content
+    whole = (F.col("_first") == 0) & (F.col("_last") + 1 == F.col("n_chunks")) & (F.col("_seqs") == F.col("n_chunks"))
+    return agg.withColumn("complete", whole).drop("_first", "_last", "_seqs")
 
 
 def map_chunks(chunks: DataFrame, fn: Callable[[bytes], object], result_type: T.DataType,

@@ -3,10 +3,10 @@ order-dependent "until end" cut (G1)."""
 
 from __future__ import annotations
 
-import json
+from functools import reduce
+from operator import and_
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferry.functions import envelope as env
@@ -22,8 +22,8 @@ def parse_messages(lines: DataFrame, value_col: str = "value",
 
     Spark's JSON reader accepts trailing text after the first object
     (``{"IsEnd": true} x``). Lines written by ``publish`` never look like
-    that; for foreign producers ``strict=True`` adds a whole-line check in
-    Arrow batches (``json_object_line``) and rejects such lines too.
+    that; for foreign producers ``strict=True`` adds a whole-line check
+    (``json_object_line``) and rejects such lines too.
     """
     parsed = lines.select(*keep, F.col(value_col).alias("_raw"), env.parse(value_col).alias("_m"))
     bad = env.is_malformed("_m")
@@ -35,23 +35,11 @@ def parse_messages(lines: DataFrame, value_col: str = "value",
     return parsed.select(*keep, "_raw", *fields, reason.alias("_reject"))
 
 
-def _is_object_line(v) -> bool:
-    if v is None:
-        return False
-    try:
-        return isinstance(json.loads(v), dict)
-    except ValueError:
-        return False
-
-
-def _object_lines(lines: pd.Series) -> pd.Series:
-    return lines.map(_is_object_line).astype(bool)
-
-
-def json_object_line(col):
-    """Column: true when the whole line is exactly one JSON object
-    (Arrow-batched pandas UDF; built on first use, when a session exists)."""
-    return F.pandas_udf(_object_lines, "boolean")(col)
+def json_object_line(col) -> Column:
+    """True when the whole line is exactly one JSON object: put in brackets it
+    is an array of one element, and it starts with a brace."""
+    one = F.from_json(F.concat(F.lit("["), col, F.lit("]")), "array<string>")
+    return F.coalesce((F.size(one) == 1) & F.ltrim(col).startswith("{"), F.lit(False))
 
 
 def good(parsed: DataFrame) -> DataFrame:
@@ -77,7 +65,8 @@ def until_end(messages: DataFrame, queue_col: str = "queue", seq_col: str = "seq
     queue: it is broadcast only when its count is proven small; otherwise a
     shuffled left join runs and AQE splits a skewed queue. No window over a
     queue, so no queue ever has to fit in one task. Null queues form one
-    queue.
+    queue. Where the messages carry ``connection_id``, a queue is one of its
+    connection: equal names of two connections end apart.
 
     ``observation`` (a ``pyspark.sql.Observation``) receives ``read`` (all
     messages, markers included) and ``loaded`` (rows kept) from the job
@@ -91,14 +80,16 @@ def until_end(messages: DataFrame, queue_col: str = "queue", seq_col: str = "seq
             messages = messages.observe(observation, F.count(F.lit(1)).alias("read"),
                                         F.count(F.lit(1)).cast("long").alias("loaded"))
         return messages
+    keys = [queue_col] + [c for c in ("connection_id",) if c in messages.columns and c != queue_col]
     ends = (messages.where(is_end)
-            .groupBy(F.col(queue_col).alias("_q")).agg(F.min(seq_col).alias("_end_seq")))
+            .groupBy(*[F.col(k).alias(f"_q{i}") for i, k in enumerate(keys)]).agg(F.min(seq_col).alias("_end_seq")))
     ends = broadcast_if_small(ends, materialize_first=True, name="queue-ends")
-    joined = messages.join(ends, messages[queue_col].eqNullSafe(ends["_q"]), "left").drop("_q")
+    same = reduce(and_, [messages[k].eqNullSafe(ends[f"_q{i}"]) for i, k in enumerate(keys)])
+    joined = messages.join(ends, same, "left").drop(*[f"_q{i}" for i in range(len(keys))])
     keep = (~is_end) & (F.col("_end_seq").isNull() | (F.col(seq_col) < F.col("_end_seq")))
     if observation is not None:
         joined = joined.observe(observation, F.count(F.lit(1)).alias("read"),
-                                F.sum(F.when(keep, 1).otherwise(0)).cast("long").alias("loaded"))
+                                F.coalesce(F.sum(F.when(keep, 1).otherwise(0)), F.lit(0)).cast("long").alias("loaded"))
     return joined.where(keep).drop("_end_seq")
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ferry.functions import config as cfg
-from ferry.plans.sizing import broadcast_if_small
+from ferry.plans.sizing import broadcast_if_small, materialize
 
 # Route names, the reference's reject reasons.
 MANUAL, SCHEDULED, INVALID = "manual", "scheduled", "invalid"
@@ -55,10 +55,23 @@ def validate_registry(df: DataFrame, kind: str) -> DataFrame:
     return checked
 
 
-def append_registry(df: DataFrame, kind: str, path: str) -> DataFrame:
+def append_registry(df: DataFrame, kind: str, path: str, sources: DataFrame | None = None,
+                    loaders: DataFrame | None = None) -> DataFrame:
     """Append the valid rows to the registry table at ``path``; return
-    the rejects (row + reason) instead of failing the whole batch."""
+    the rejects (row + reason) instead of failing the whole batch.
+    Connections need the ``sources`` and ``loaders`` tables: their ids (D2)
+    and the sync type (E1) are checked before a row is stored."""
     checked = validate_registry(df, kind)
+    if kind == "connections":
+        if sources is None or loaders is None:
+            raise ValueError("connections are checked against sources and loaders")
+        refs = check_references(df, sources, loaders).select(
+            F.col("connection_id").alias("_id"), F.col("reason").alias("_ref")).dropDuplicates(["_id"])
+        known = F.coalesce(F.col("sync_type").isin(MANUAL, SCHEDULED), F.lit(False))
+        bad_type = F.when(~known, F.lit("Invalid sync type"))
+        checked = (checked.join(refs, checked["id"].eqNullSafe(refs["_id"]), "left")
+                   .withColumn("reason", F.coalesce("reason", "_ref", bad_type)).drop("_id", "_ref"))
+    checked = materialize(checked, "registry-checked")
     checked.where(F.col("reason").isNull()).drop("reason").write.mode("append").parquet(path)
     return checked.where(F.col("reason").isNotNull())
 

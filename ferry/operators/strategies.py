@@ -60,7 +60,11 @@ def dedup_exact(df: DataFrame, payload: str, id_col: str) -> DataFrame:
     p = F.col(payload)
     digest = F.sha2(p if isinstance(df.schema[payload].dataType, T.BinaryType) else F.encode(p, "UTF-8"), 256)
     others = [c for c in cols if c != id_col]
-    best = F.min(F.struct(F.col(id_col).alias("_id"), F.struct(*[F.col(c) for c in others]).alias("r")))
+    row = F.struct(*[F.col(c) for c in others])
+    if all(_orderable(df.schema[c].dataType) for c in others):
+        best = F.min(F.struct(F.col(id_col).alias("_id"), row.alias("r")))
+    else:  # e.g. a map column can't break ties
+        best = F.struct(F.min(id_col).alias("_id"), F.min_by(row, F.col(id_col)).alias("r"))
     agg = df.groupBy(digest.alias("_h")).agg(best.alias("_b"))
     out = {id_col: F.col("_b._id")}
     return agg.select(*[(out[c] if c == id_col else F.col("_b.r")[c]).alias(c) for c in cols])

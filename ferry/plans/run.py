@@ -125,7 +125,7 @@ def run_scheduled(spark: SparkSession, sources: DataFrame, loaders: DataFrame, c
     urls = [r["_url"] for r in files.select("_url").distinct().collect()]  # control plane
     if urls:
         from ferry.sources.file_chunks import read_file_chunks
-        chunks = read_file_chunks(spark, ",".join(urls), chunk_bytes)
+        chunks = read_file_chunks(spark, urls, chunk_bytes)
         parts.append(chunks.join(broadcast_if_small(files), chunks["path"] == F.col("_url"))
                      .select("connection_id", "seq", "data", "_url", "_out", "loader_name", "queue"))
     web = runnable.where(F.col("source_type") == cfg.WEB_SCRAPER)

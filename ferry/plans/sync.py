@@ -23,6 +23,9 @@ one row, and runs of different connections never write the same files.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -101,7 +104,10 @@ def sync_table(spark: SparkSession, source: DataFrame, connection_id: str, targe
             # take those not loaded yet (only the boundary rows are compared)
             loaded = read_appended(spark, target, state_path, connection_id) \
                 .where(F.col(cursor) == prior_cursor).select(*keys)
-            ties = source.where(F.col(cursor) == prior_cursor).join(loaded, keys, "left_anti")
+            loaded = loaded.select(*[F.col(k).alias(f"_l{i}") for i, k in enumerate(keys)])
+            tying = source.where(F.col(cursor) == prior_cursor)
+            known = reduce(and_, [tying[k].eqNullSafe(loaded[f"_l{i}"]) for i, k in enumerate(keys)])
+            ties = tying.join(loaded, known, "left_anti")
             delta = delta.unionByName(ties)
         delta = delta.observe(stats, *metrics)
         delta.write.mode("overwrite").parquet(f"{target.rstrip('/')}/{RUN_DIR}{run}")

@@ -15,9 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferry.functions import envelope as env
+from ferry.sinks.snapshot import _hadoop_fs as hadoop_fs
 
 QUEUE_DIR_COL = "queue_bucket"
 DEFAULT_BUCKETS = 16
+# Hidden from readers by the leading underscore.
+BUCKETS_MARK = "_buckets-"
 
 
 def queue_bucket(queue, buckets: int = DEFAULT_BUCKETS) -> Column:
@@ -36,9 +39,20 @@ def publish(messages: DataFrame, landing_dir: str, mode: str = "append",
     lines = messages.select(queue_bucket(F.col("queue"), buckets).alias(QUEUE_DIR_COL),
                             env.serialize().alias("value"))
     lines.write.mode(mode).partitionBy(QUEUE_DIR_COL).text(landing_dir)
+    fs, root, jvm = hadoop_fs(messages.sparkSession, landing_dir)
+    fs.create(jvm.org.apache.hadoop.fs.Path(root, f"{BUCKETS_MARK}{buckets}"), True).close()
     return landing_dir
 
 
+def stored_buckets(spark, landing_dir: str) -> set[int]:
+    """The bucket counts that runs wrote this landing directory with."""
+    fs, root, _ = hadoop_fs(spark, landing_dir)
+    if not fs.exists(root):
+        return set()
+    names = [st.getPath().getName() for st in fs.listStatus(root)]
+    return {int(n[len(BUCKETS_MARK):]) for n in names if n.startswith(BUCKETS_MARK)}
+
+
 def publish_end_markers(spark, queues: DataFrame, landing_dir: str,
                         buckets: int = DEFAULT_BUCKETS) -> str:
     """One end marker per (connection_id, queue, seq) row of ``queues``."""

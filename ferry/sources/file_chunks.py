@@ -1,6 +1,6 @@
 """File source (A1): files as fixed-size byte chunks, as a Spark data source.
 
-``spark.read.format("file_chunks").option("path", p).load()`` gives rows
+``spark.read.format("file_chunks").option("path", '["p"]').load()`` gives rows
 ``(path, seq, data)``: ``seq`` numbers the chunks of a file from 0, the last
 chunk is short, an empty file gives no row. Files are listed on the driver
 (names and sizes only); each input partition is a list of byte ranges of
@@ -12,6 +12,7 @@ store paths alike.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -59,7 +60,7 @@ def list_files(uri: str) -> list[tuple[str, int]]:
     if info.type == fs.FileType.File:
         found = [info]
     elif info.type == fs.FileType.Directory:
-        found = filesystem.get_file_info(fs.FileSelector(path, recursive=True))
+        found = filesystem.get_file_info(fs.FileSelector(path, recursive=pattern is None))
     else:
         raise FileNotFoundError(uri)
     out = []
@@ -110,8 +111,8 @@ class FileChunksReader(DataSourceReader):
 
     def partitions(self):
         files = []
-        for p in self.path.split(","):
-            files.extend(list_files(p.strip()))
+        for p in json.loads(self.path):
+            files.extend(list_files(p))
         # Like Spark's own file splits: at most partition_bytes per task, but
         # small inputs are spread so every core gets a share.
         total = sum(size for _, size in files)
@@ -129,11 +130,18 @@ class FileChunksReader(DataSourceReader):
         for r in partition.ranges:
             filesystem, path = _fs_and_path(r.path)
             with filesystem.open_input_file(path) as f:
-                for seq in range(r.first_seq, r.last_seq + 1):
+                seq = r.first_seq
+                while seq <= r.last_seq:  # one ranged read for as many chunks as the batch takes
+                    count = min(per_batch - len(datas), r.last_seq - seq + 1)
                     start = seq * n
-                    paths.append(r.path)
-                    seqs.append(seq)
-                    datas.append(f.read_at(min(n, r.size - start), start))
+                    want = min(count * n, r.size - start)
+                    block = f.read_at(want, start)
+                    if len(block) != want:
+                        raise OSError(f"{r.path} changed while it was read")
+                    paths.extend([r.path] * count)
+                    seqs.extend(range(seq, seq + count))
+                    datas.extend(block[i:i + n] for i in range(0, want, n))
+                    seq += count
                     if len(datas) >= per_batch:
                         yield _batch(pa, paths, seqs, datas)
                         paths, seqs, datas = [], [], []
@@ -149,7 +157,7 @@ def _batch(pa, paths, seqs, datas):
 
 
 class FileChunks(DataSource):
-    """Options: ``path`` (file, directory, ``dir/*.ext`` or a comma list),
+    """Options: ``path`` (a JSON list of files, directories, ``dir/*.ext``),
     ``chunk_bytes`` (default 1 MiB), ``partition_bytes`` (default 128 MiB),
     ``parallelism`` (cores to spread a small input over)."""
 
@@ -168,10 +176,11 @@ def register(spark) -> None:
     spark.dataSource.register(FileChunks)
 
 
-def read_file_chunks(spark, path: str, chunk_bytes: int = DEFAULT_CHUNK_BYTES,
+def read_file_chunks(spark, path: str | list[str], chunk_bytes: int = DEFAULT_CHUNK_BYTES,
                      partition_bytes: int = DEFAULT_PARTITION_BYTES):
     register(spark)
-    return (spark.read.format("file_chunks").option("path", path)
+    paths = [path] if isinstance(path, str) else list(path)
+    return (spark.read.format("file_chunks").option("path", json.dumps(paths))
             .option("chunk_bytes", str(chunk_bytes))
             .option("partition_bytes", str(partition_bytes))
             .option("parallelism", str(spark.sparkContext.defaultParallelism)).load())

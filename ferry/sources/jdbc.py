@@ -30,13 +30,8 @@ def read_table(spark: SparkSession, url: str, table: str, partition_column: str
 def write_table(df: DataFrame, url: str, table: str, mode: str = "append",
                 properties: dict | None = None, max_connections: int = 16,
                 batch_size: int = 10_000) -> None:
-    try:
-        too_many = df.rdd.getNumPartitions() > max_connections
-    except Exception:  # no RDD view (Spark Connect): bound the connections anyway
-        too_many = True
-    # fewer writer tasks than partitions: at most max_connections open at once
-    out = df.coalesce(max_connections) if too_many else df
-    writer = (out.write.format("jdbc").option("url", url).option("dbtable", table)
+    # at most max_connections open at once; the upstream work keeps its own partitions
+    writer = (df.repartition(max_connections).write.format("jdbc").option("url", url).option("dbtable", table)
               .option("batchsize", str(batch_size)).mode(mode))
     for k, v in (properties or {}).items():
         writer = writer.option(k, v)

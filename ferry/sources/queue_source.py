@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ferry.operators import queue as q
-from ferry.sinks.queue_sink import DEFAULT_BUCKETS, QUEUE_DIR_COL, queue_bucket
+from ferry.sinks.queue_sink import QUEUE_DIR_COL, queue_bucket, stored_buckets
 
 LINE_SCHEMA = T.StructType([T.StructField("value", T.StringType()),
                             T.StructField(QUEUE_DIR_COL, T.IntegerType())])
@@ -22,14 +22,19 @@ def read_lines(spark: SparkSession, landing_dir: str) -> DataFrame:
 
 
 def consume(spark: SparkSession, landing_dir: str, queue: str | None = None,
-            buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+            buckets: int | None = None) -> DataFrame:
     """Parsed messages with the ``_reject`` column (see ``operators.queue``).
     With ``queue`` only that queue's bucket directory is read (partition
-    pruning), then the queue itself is selected."""
+    pruning), then the queue itself is selected. The bucket count is the one
+    stored in the landing directory; runs with several counts, or a directory
+    without one, are read whole."""
     lines = read_lines(spark, landing_dir)
     if queue is None:
         return q.parse_messages(lines)
-    one = lines.where(F.col(QUEUE_DIR_COL) == queue_bucket(F.lit(queue), buckets))
+    counts = {buckets} if buckets else stored_buckets(spark, landing_dir)
+    one = lines
+    if len(counts) == 1:
+        one = lines.where(F.col(QUEUE_DIR_COL) == queue_bucket(F.lit(queue), counts.pop()))
     parsed = q.parse_messages(one)
     return parsed.where((F.col("queue") == F.lit(queue)) | F.col("_reject").isNotNull())
 

@@ -20,7 +20,8 @@ from ferry.plans.sizing import broadcast_if_small
 from ferry.sinks import snapshot
 from ferry.sources.queue_source import LINE_SCHEMA
 
-DEFAULT_TIMEOUT_S = 600
+# A drain ends when its input ends; a caller may set a limit.
+DEFAULT_TIMEOUT_S: int | None = None
 # Bound on one micro-batch, so a large backlog drains in steps.
 DEFAULT_MAX_FILES_PER_TRIGGER = 1000
 INGEST_COL = "_ingested_at"
@@ -43,7 +44,7 @@ def _loaded_rows(parsed: DataFrame) -> DataFrame:
 
 
 def drain(spark: SparkSession, landing_dir: str, sink_dir: str, quarantine_dir: str,
-          checkpoint_dir: str, timeout_s: int = DEFAULT_TIMEOUT_S,
+          checkpoint_dir: str, timeout_s: int | None = DEFAULT_TIMEOUT_S,
           max_files_per_trigger: int = DEFAULT_MAX_FILES_PER_TRIGGER,
           state_path: str | None = None, ends_path: str | None = None) -> None:
     """H1 + H2: load every message now in ``landing_dir``, then stop.
@@ -84,8 +85,9 @@ def drain(spark: SparkSession, landing_dir: str, sink_dir: str, quarantine_dir:
 
 def drain_dedup(spark: SparkSession, landing_dir: str, sink_dir: str, checkpoint_dir: str,
                 keys: list[str], watermark: str = "1 hour", event_time: str | None = None,
-                timeout_s: int = DEFAULT_TIMEOUT_S,
-                max_files_per_trigger: int = DEFAULT_MAX_FILES_PER_TRIGGER) -> None:
+                timeout_s: int | None = DEFAULT_TIMEOUT_S,
+                max_files_per_trigger: int = DEFAULT_MAX_FILES_PER_TRIGGER,
+                quarantine_dir: str | None = None) -> None:
     """H3: drop messages already seen with the same keys within the
     watermark delay (state is bounded by the watermark), then load them to a
     file sink. ``keys`` e.g. ``["connection_id", "queue", "seq"]``.
@@ -96,7 +98,11 @@ def drain_dedup(spark: SparkSession, landing_dir: str, sink_dir: str, checkpoint
     With ``event_time`` (e.g. ``created_at``) copies are matched by event
     time instead, and Spark drops rows older than the watermark: use it only
     when producers' clocks and backlog order bound the lateness.
+
+    Malformed lines go to ``quarantine_dir`` (default ``<sink_dir>_rejects``)
+    by a second drain of the same landing directory with its own checkpoint.
     """
+    rejected = q.rejects(read_queue_stream(spark, landing_dir, max_files_per_trigger))
     rows = _loaded_rows(read_queue_stream(spark, landing_dir, max_files_per_trigger))
     if event_time is None:
         rows = rows.withColumn(INGEST_COL, F.current_timestamp())
@@ -108,6 +114,11 @@ def drain_dedup(spark: SparkSession, landing_dir: str, sink_dir: str, checkpoint
              .option("checkpointLocation", checkpoint_dir).option("path", sink_dir)
              .outputMode("append").trigger(availableNow=True).start())
     _await(query, timeout_s)
+    query = (rejected.writeStream.format("json")
+             .option("checkpointLocation", f"{checkpoint_dir.rstrip('/')}_rejects")
+             .option("path", quarantine_dir or f"{sink_dir.rstrip('/')}_rejects")
+             .outputMode("append").trigger(availableNow=True).start())
+    _await(query, timeout_s)
 
 
 ENDS_SCHEMA = "connection_id string, queue string, end_seq bigint, batch_id bigint"
@@ -184,9 +195,10 @@ def _version_or_empty(spark: SparkSession, path: str, below: int, schema: str) -
     return spark.read.parquet(f"{path.rstrip('/')}/{snapshot.VERSION_PREFIX}{versions[-1]}")
 
 
-def _await(query, timeout_s: int) -> None:
-    finished = query.awaitTermination(timeout_s)
-    if not finished:
+def _await(query, timeout_s: int | None) -> None:
+    if timeout_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_s):
         query.stop()
         raise TimeoutError(f"streaming query did not drain within {timeout_s}s")
     if query.exception() is not None:
