@@ -30,11 +30,11 @@ MISSING_OPTION_MESSAGES = {
 UNKNOWN_TYPE_PREFIX = "unknown config type: "
 BAD_JSON_MESSAGE = "invalid config JSON"
 
-CONFIG_SCHEMA = T.StructType([
-    T.StructField("url", T.StringType()),
-    T.StructField("path", T.StringType()),
-    T.StructField("_corrupt", T.StringType()),
-])
+
+def config_fields() -> list[str]:
+    """The config fields of all known types: ``url``, ``path``, then those of
+    types registered later."""
+    return list(dict.fromkeys(["url", "path", *CONFIG_FIELDS.values()]))
 
 
 def _c(x) -> Column:
@@ -52,27 +52,28 @@ def output_file(path, connection_id) -> Column:
 
 
 def parse_config(type_col, config_col) -> Column:
-    """C8 + C9: struct<url, path, error> for a (type, config JSON) pair.
+    """C8 + C9: struct<url, path, …, error> for a (type, config JSON) pair.
 
     Only the field of the row's own type is kept. ``error`` is null for a
     usable config, else the reason: unknown type, bad JSON, or the required
     field missing or empty.
     """
     t, cfg = _c(type_col), _c(config_col)
-    parsed = F.from_json(cfg, CONFIG_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt"})
-    url = F.when(t.isin(FILE_EXTRACTOR, WEB_SCRAPER), parsed["url"])
-    path = F.when(t == F.lit(JSON_LOADER), parsed["path"])
+    fields = config_fields()
+    schema = T.StructType([T.StructField(f, T.StringType()) for f in [*fields, "_corrupt"]])
+    parsed = F.from_json(cfg, schema, {"columnNameOfCorruptRecord": "_corrupt"})
+    own = [F.when(t.isin(*[k for k, v in CONFIG_FIELDS.items() if v == f]), parsed[f]).alias(f) for f in fields]
     required = F.lit(None).cast("string")
     for typ, field in CONFIG_FIELDS.items():
         value = parsed[field]
         required = F.when((t == F.lit(typ)) & (F.coalesce(value, F.lit("")) == ""),
-                          F.lit(REQUIRED_MESSAGES[typ])).otherwise(required)
+                          F.lit(REQUIRED_MESSAGES.get(typ, f"{field} is required"))).otherwise(required)
     bad_json = cfg.isNull() | parsed.isNull() | parsed["_corrupt"].isNotNull()
     error = (F.when(~t.isin(*CONFIG_FIELDS) | t.isNull(),
                     F.concat(F.lit(UNKNOWN_TYPE_PREFIX), F.coalesce(t, F.lit(""))))
              .when(bad_json, F.lit(BAD_JSON_MESSAGE))
              .otherwise(required))
-    return F.struct(url.alias("url"), path.alias("path"), error.alias("error"))
+    return F.struct(*own, error.alias("error"))
 
 
 def config_to_options(type_col, parsed_config) -> Column:

@@ -21,17 +21,18 @@ UNKNOWN_TYPE = "unknown type"
 REQUIRED = {"sources": ["name", "type", "config"], "loaders": ["name", "type", "config"],
             "connections": ["source_id", "loader_id", "sync_type"]}
 
-# Connector registry (I2): type -> the connector that runs it. A literal
-# list of a handful of entries, so broadcasting it is bounded by code.
-CONNECTORS = [
-    (cfg.FILE_EXTRACTOR, "source", "file_chunks"),
-    (cfg.WEB_SCRAPER, "source", "page_source"),
-    (cfg.JSON_LOADER, "loader", "json"),
-]
+# Connector registry (I2): type -> (role, the connector that runs it). A
+# handful of entries registered by code, so broadcasting it is bounded.
+CONNECTORS = {
+    cfg.FILE_EXTRACTOR: ("source", "file_chunks"),
+    cfg.WEB_SCRAPER: ("source", "page_source"),
+    cfg.JSON_LOADER: ("loader", "json"),
+}
 
 
 def connectors_df(spark) -> DataFrame:
-    return spark.createDataFrame(CONNECTORS, "type string, role string, connector string")
+    return spark.createDataFrame([(t, *v) for t, v in CONNECTORS.items()],
+                                 "type string, role string, connector string")
 
 
 def required_check(df: DataFrame, kind: str) -> DataFrame:
@@ -99,18 +100,20 @@ def _side(df: DataFrame, prefix: str) -> DataFrame:
     )
 
 
-def resolve_connections(conns: DataFrame, sources: DataFrame, loaders: DataFrame) -> DataFrame:
+def resolve_connections(conns: DataFrame, sources: DataFrame, loaders: DataFrame,
+                        how: str = "inner", keep: tuple[str, ...] = ()) -> DataFrame:
     """D1 (+C14, C8, C7): each connection with its source and loader rows,
-    typed configs, queue name. Inner joins: unresolved ids drop out (see
-    ``check_references`` for them). Registry sides are broadcast only under
-    a proven row bound."""
+    typed configs, queue name, and the ``keep`` columns of the connection.
+    Inner joins: unresolved ids drop out (see ``check_references`` for them);
+    with ``how="left"`` they stay, with a null ``source_cfg`` or
+    ``loader_cfg``. Registry sides are broadcast only when measured small."""
     c = conns.select(F.col("id").alias("connection_id"),
                      cfg.first_id("source_id").alias("source_id"),
                      cfg.first_id("loader_id").alias("loader_id"),
-                     F.col("sync_type"))
+                     F.col("sync_type"), *keep)
     s = broadcast_if_small(_side(sources, "source"))
     l_ = broadcast_if_small(_side(loaders, "loader"))
-    out = c.join(s, "source_id").join(l_, "loader_id")
+    out = c.join(s, "source_id", how).join(l_, "loader_id", how)
     return out.withColumn("queue", cfg.queue_name("source_type", "connection_id"))
 
 

@@ -16,9 +16,12 @@ from pyspark.sql import functions as F
 from ferry.functions import config as cfg
 from ferry.functions import envelope as env
 from ferry.operators import registry as reg
+from ferry.operators.chunks import chunk_column
 from ferry.plans.sizing import broadcast_if_small, materialize
 from ferry.sinks import json_loader
 from ferry.sources import connectors
+from ferry.sources.file_chunks import list_urls, read_listed
+from ferry.sources.pages import read_pages
 
 REPORT_SCHEMA = "connection_id string, read bigint, loaded bigint, rejected bigint"
 
@@ -78,7 +81,7 @@ def run_connection(spark: SparkSession, connection_id: str, sources: DataFrame,
 
     counts = Observation(f"run-{connection_id}")
     chunks = read_fn(spark, source_cfg, **source_options)
-    label = source_cfg.get("url", r["source_type"])
+    label = F.col("path") if "path" in chunks.columns else source_cfg.get("url", r["source_type"])
     messages = env.build_messages(
         chunks, data=F.col("data"), source=label, destination=r["loader_name"],
         connection_id=connection_id, queue=cfg.queue_name(F.lit(r["source_type"]), F.lit(connection_id)),
@@ -89,76 +92,79 @@ def run_connection(spark: SparkSession, connection_id: str, sources: DataFrame,
 
 
 def scheduled_connections(conns: DataFrame, sources: DataFrame, loaders: DataFrame) -> DataFrame:
-    """J2 planning: the scheduled connections, resolved, with their queue,
-    schedule, typed configs and ``reason`` (null = can run: both configs
-    valid)."""
+    """J2 planning: every scheduled connection, resolved, with its queue,
+    schedule, typed configs and ``reason`` (null = can run: both ids exist
+    and both configs are valid)."""
     routed = reg.route_sync_type(conns).where(F.col("route") == reg.SCHEDULED)
-    res = reg.resolve_connections(routed.drop("route"), sources, loaders)
-    reason = F.coalesce(F.col("source_cfg.error"), F.col("loader_cfg.error"))
-    return res.withColumn("reason", reason).join(
-        routed.select(F.col("id").alias("connection_id"), "schedule"), "connection_id")
+    res = reg.resolve_connections(routed, sources, loaders, how="left", keep=("schedule",))
+    return res.withColumn("reason", F.coalesce(
+        F.when(F.col("source_cfg").isNull(), F.lit(reg.INVALID_SOURCE)),
+        F.when(F.col("loader_cfg").isNull(), F.lit(reg.INVALID_LOADER)),
+        F.col("source_cfg.error"), F.col("loader_cfg.error")))
 
 
 def run_scheduled(spark: SparkSession, sources: DataFrame, loaders: DataFrame, conns: DataFrame,
                   chunk_bytes: int = connectors.DEFAULT_CHUNK_BYTES,
                   pages: DataFrame | None = None) -> DataFrame:
-    """Run every scheduled connection, each source read once.
+    """Run every scheduled connection.
 
-    File connections: all distinct source files go into one scan of the file
-    data source, and an equi-join on the file path hands each chunk to the
-    connections reading that file (every pair is an output row: each
-    connection gets its own copy). Page connections (with a table of
-    fetched ``pages``): pages are joined on their exact url. Loads are one
-    write per distinct loader path, partitioned by connection.
+    File connections: the distinct urls (files, directories, patterns) are
+    listed in tasks; each loader path is one write job that reads, once, the
+    distinct files its connections need, and an equi-join on the file path
+    hands each chunk to the connections reading it (every pair is an output
+    row: each connection gets its own copy). Chunks of a directory are
+    numbered through its files in path order. Page connections (with a table
+    of fetched ``pages``): pages are joined on their exact url. A run
+    replaces what an earlier run of the same connection wrote.
 
     Returns ``(connection_id, loaded, reason)`` for every scheduled
-    connection; ``reason`` says why one did not run.
+    connection, with the chunks this run wrote; ``reason`` says why one did
+    not run (bad reference or config, no such file, no pages table).
     """
     plan = materialize(scheduled_connections(conns, sources, loaders).select(
         "connection_id", "source_type", F.col("source_cfg.url").alias("_url"),
-        F.col("loader_cfg.path").alias("_out"), "loader_name", "queue", "reason"), "scheduled")
+        F.col("loader_cfg.path").alias("_out"), "loader_name", "queue",
+        F.coalesce("reason", F.when(~F.col("source_type").isin(cfg.FILE_EXTRACTOR, cfg.WEB_SCRAPER),
+                                    F.lit("no scheduled form of this type")),
+                   F.when((F.col("source_type") == cfg.WEB_SCRAPER) & F.lit(pages is None),
+                          F.lit("no pages table"))).alias("reason")), "scheduled")
+    files = plan.where(F.col("reason").isNull() & (F.col("source_type") == cfg.FILE_EXTRACTOR))
+    listing = materialize(list_urls(files.select(F.col("_url").alias("url")), chunk_bytes), "listing")
+    failed = listing.where(F.col("error").isNotNull()).select(F.col("url").alias("_url"), "error")
+    plan = materialize(plan.join(failed, "_url", "left")
+                       .withColumn("reason", F.coalesce("reason", "error")).drop("error"), "runnable")
     runnable = plan.where(F.col("reason").isNull())
-    if pages is None:
-        runnable = runnable.where(F.col("source_type") == cfg.FILE_EXTRACTOR)
-    parts = []
-    files = runnable.where(F.col("source_type") == cfg.FILE_EXTRACTOR)
-    urls = [r["_url"] for r in files.select("_url").distinct().collect()]  # control plane
-    if urls:
-        from ferry.sources.file_chunks import read_file_chunks
-        chunks = read_file_chunks(spark, urls, chunk_bytes)
-        parts.append(chunks.join(broadcast_if_small(files), chunks["path"] == F.col("_url"))
-                     .select("connection_id", "seq", "data", "_url", "_out", "loader_name", "queue"))
-    web = runnable.where(F.col("source_type") == cfg.WEB_SCRAPER)
+    found = listing.where(F.col("path").isNotNull()).drop("error")
+    routes = materialize(runnable.where(F.col("source_type") == cfg.FILE_EXTRACTOR)
+                         .join(found, F.col("_url") == F.col("url")).drop("url"), "routes")
+    n_chunks = F.expr(f"(size + {chunk_bytes} - 1) div {chunk_bytes}")
+    counts = routes.select("connection_id", n_chunks.alias("n"))
+    web = None
     if pages is not None:
-        from ferry.operators.chunks import chunk_column
-        from ferry.sources.pages import read_pages
         p = read_pages(spark, pages)
-        matched = p.join(broadcast_if_small(web), p["url"] == F.col("_url"))
-        pc = chunk_column(matched, "data", chunk_bytes,
-                          keep=["page_id", "connection_id", "_url", "_out", "loader_name", "queue"],
-                          seq_col="_s")
-        parts.append(pc.select("connection_id", (F.col("page_id") * F.lit(1 << 32) + F.col("_s")).alias("seq"),
-                               "data", "_url", "_out", "loader_name", "queue"))
-    counts = None
-    if parts:
-        routed = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        outs = [r["_out"] for r in runnable.select("_out").distinct().collect()]  # control plane
-        for out in outs:
-            mine = routed.where(F.col("_out") == F.lit(out))
-            msgs = env.build_messages(mine, data=F.col("data"), source=F.col("_url"),
-                                      destination=F.col("loader_name"),
-                                      connection_id=F.col("connection_id"), queue=F.col("queue"),
-                                      seq=F.col("seq"))
-            json_loader.write(json_loader.prepare(msgs), out)
-            got = (json_loader.read_back(spark, out).groupBy("connection_id")
-                   .agg(F.count(F.lit(1)).cast("long").alias("loaded")))
-            counts = got if counts is None else counts.unionByName(got)
-    if counts is None:
-        counts = spark.createDataFrame([], "connection_id string, loaded long")
-    no_pages = F.when((F.col("source_type") == cfg.WEB_SCRAPER) & F.lit(pages is None),
-                      F.lit("no pages table"))
-    report = plan.select("connection_id", F.coalesce(F.col("reason"), no_pages).alias("reason"))
-    return (report.join(counts, "connection_id", "left")
-            .select("connection_id",
-                    F.when(F.col("reason").isNull(), F.coalesce(F.col("loaded"), F.lit(0)))
-                    .cast("long").alias("loaded"), "reason"))
+        sides = broadcast_if_small(runnable.where(F.col("source_type") == cfg.WEB_SCRAPER), name="page-connections")
+        cut = chunk_column(p.join(sides, p["url"] == F.col("_url")), "data", chunk_bytes,
+                           keep=["page_id", "connection_id", "_url", "_out", "loader_name", "queue"], seq_col="_s")
+        web = cut.select("connection_id", (F.col("page_id") * F.lit(1 << 32) + F.col("_s")).alias("seq"),
+                         "data", F.col("_url").alias("_source"), "_out", "loader_name", "queue")
+        counts = counts.unionByName(web.select("connection_id", F.lit(1).cast("long").alias("n")))
+    counts = materialize(counts.groupBy("connection_id").agg(F.sum("n").cast("long").alias("loaded")), "counts")
+    report = (plan.join(counts, "connection_id", "left")
+              .select("connection_id", F.when(F.col("reason").isNull(), F.coalesce("loaded", F.lit(0)))
+                      .cast("long").alias("loaded"), "reason", "_out"))
+    for out in [r["_out"] for r in runnable.select("_out").distinct().collect()]:  # one job per loader path
+        mine = routes.where(F.col("_out") == out)
+        chunks = read_listed(mine.select("path", "size").distinct(), chunk_bytes)
+        to = broadcast_if_small(mine.select(F.col("path").alias("_source"), "first_seq", "connection_id",
+                                            "loader_name", "queue"), name="routes-of-path")
+        routed = chunks.join(to, chunks["path"] == F.col("_source")).select(
+            "connection_id", (F.col("first_seq") + F.col("seq")).alias("seq"), "data", "_source",
+            "loader_name", "queue")
+        if web is not None:
+            routed = routed.unionByName(web.where(F.col("_out") == out).drop("_out"))
+        msgs = env.build_messages(routed, data=F.col("data"), source=F.col("_source"),
+                                  destination=F.col("loader_name"), connection_id=F.col("connection_id"),
+                                  queue=F.col("queue"), seq=F.col("seq"))
+        idle = report.where((F.col("_out") == out) & (F.col("loaded") == 0)).select("connection_id")
+        json_loader.replace(json_loader.prepare(msgs), out, (r[0] for r in idle.toLocalIterator()))
+    return report.drop("_out")

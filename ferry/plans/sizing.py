@@ -1,16 +1,16 @@
 """Size checks in front of every broadcast, and lineage cuts.
 
-A side is broadcast only after its row count is proven below a bound. The
-count is bounded work: ``limit(n + 1).count()`` stops each partition after
-n + 1 rows, and a side that is itself an aggregate over a big input is first
-written to the shared scratch folder so the aggregate runs once. Beyond the
-bound the join is left to the planner (sort-merge with AQE skew splitting,
-or AQE's own runtime broadcast when the real shuffle output is small).
+A side is broadcast only after its rows and bytes are measured below both
+bounds. The side is written once to the shared scratch folder and measured
+by the job that writes it, so it is evaluated once and nothing gathers in
+one task. Beyond the bounds the join is left to the planner (sort-merge with
+AQE skew splitting, or AQE's own runtime broadcast when the real shuffle
+output is small).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ferry.session import new_run_dir
@@ -19,9 +19,11 @@ from ferry.session import new_run_dir
 # (key + a few short columns). Overridable per session.
 DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
 MAX_ROWS_CONF = "spark.ferry.broadcast.maxRows"
+# Upper bound of the side's bytes (its rows as JSON text).
+DEFAULT_BROADCAST_MAX_BYTES = 128 << 20
+MAX_BYTES_CONF = "spark.ferry.broadcast.maxBytes"
 
-
-# Sides estimated above this are never counted for a broadcast.
+# Sides estimated above this are never measured for a broadcast.
 DEFAULT_BROADCAST_MAX_ESTIMATE = 1 << 30
 MAX_ESTIMATE_CONF = "spark.ferry.broadcast.maxEstimateBytes"
 # Inputs smaller than this are not worth spreading over more cores.
@@ -47,15 +49,23 @@ def materialize(df: DataFrame, name: str = "side") -> DataFrame:
     return spark.read.parquet(path)
 
 
-def row_count_at_most(df: DataFrame, n: int) -> int:
-    """Exact row count if it is <= n, else n + 1 (bounded work)."""
-    return df.limit(n + 1).count()
+def materialize_measured(df: DataFrame, name: str = "side") -> tuple[DataFrame, int, int]:
+    """``materialize``, with the row count and the bytes of the rows as JSON
+    text, both taken by the job that writes."""
+    seen = Observation(f"measure-{name}")
+    size = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
+    written = materialize(df.observe(seen, F.count(F.lit(1)).alias("rows"),
+                                     F.coalesce(F.sum(size), F.lit(0)).cast("long").alias("bytes")), name)
+    got = seen.get
+    if "rows" not in got:  # Catalyst proved the side empty and dropped the measure
+        return written, 0, 0
+    return written, got["rows"], got["bytes"]
 
 
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of ``df`` (no job). For file scans it is the
     file size scaled by the columns read; it is used only to skip the exact
-    count for sides that are clearly large."""
+    measure for sides that are clearly large."""
     try:
         return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except AttributeError:  # no JVM handle (Spark Connect): size unknown
@@ -64,23 +74,21 @@ def estimated_bytes(df: DataFrame) -> int:
 
 def broadcast_if_small(df: DataFrame, max_rows: int | None = None,
                        materialize_first: bool = False, name: str = "side") -> DataFrame:
-    """Return ``broadcast(df)`` when its row count is proven <= max_rows,
-    else ``df`` unchanged (the planner then shuffles both sides).
+    """Return ``df``, written, as a broadcast side when it is measured to have
+    at most ``max_rows`` rows and the byte bound's bytes, else without a hint
+    (the planner then shuffles both sides).
 
     A side whose size estimate already exceeds the estimate limit is left to
-    the planner without counting; otherwise (small or unknown estimate) rows
-    are counted, at most ``max_rows + 1`` per partition."""
+    the planner unmeasured (and written only with ``materialize_first``)."""
     spark = df.sparkSession
     bound = max_rows if max_rows is not None else broadcast_max_rows(spark)
-    if materialize_first:
-        df = materialize(df, name)
     est = estimated_bytes(df)
     unknown = est >= int(spark.conf.get("spark.sql.defaultSizeInBytes", str((1 << 63) - 1)))
     if not unknown and est > broadcast_max_estimate(spark):
-        return df
-    if row_count_at_most(df, bound) <= bound:
-        return F.broadcast(df)
-    return df
+        return materialize(df, name) if materialize_first else df
+    df, rows, size = materialize_measured(df, name)
+    max_bytes = int(spark.conf.get(MAX_BYTES_CONF, str(DEFAULT_BROADCAST_MAX_BYTES)))
+    return F.broadcast(df) if rows <= bound and size <= max_bytes else df
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:

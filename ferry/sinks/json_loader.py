@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from ferry.functions import envelope as env
 from ferry.operators.queue import until_end
+from ferry.sinks import snapshot
 
 # Written columns, in order (``connection_id`` becomes the directory).
 LOADED_SCHEMA = T.StructType(
@@ -35,6 +36,13 @@ def write(loaded: DataFrame, path: str, mode: str = "append") -> str:
     return path
 
 
+def replace(loaded: DataFrame, path: str, connections=()) -> str:
+    """Write ``loaded`` in place of what its connections (and the named ones,
+    which may have no row left) had below ``path``."""
+    return snapshot.override_partitions(loaded, path, ["connection_id"], fmt="json",
+                                        options=env.JSON_WRITE_OPTIONS, replaced=connections)
+
+
 def load(messages: DataFrame, path: str, mode: str = "append") -> str:
     return write(prepare(messages), path, mode)
 

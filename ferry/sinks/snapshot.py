@@ -5,7 +5,8 @@ Two forms:
 
 * ``override_partitions`` - many connections in one table partitioned by
   ``connection_id``: dynamic partition overwrite replaces exactly the
-  connections present in the new data and leaves the others untouched.
+  connections present in the new data and leaves the others untouched;
+  connections named as ``replaced`` whose snapshot is empty lose their rows.
 * ``write_version`` / ``current_version`` - one target kept as immutable
   version directories ``<target>/version=<n>``; a reader takes the newest
   version whose ``_SUCCESS`` marker exists, so a failed write is never seen
@@ -20,12 +21,30 @@ VERSION_PREFIX = "version="
 
 
 def override_partitions(df: DataFrame, target: str, partition_cols: list[str],
-                        fmt: str = "parquet") -> str:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                        fmt: str = "parquet", options: dict | None = None, replaced=()) -> str:
+    """``replaced``: values of the first partition column that are overridden
+    even when ``df`` has no row of them (an iterable; taken one at a time)."""
+    spark = df.sparkSession
+    column = partition_cols[0]
+    fs, root, jvm = _hadoop_fs(spark, target)
+    before = {}
+    for value in replaced:
+        place = jvm.org.apache.hadoop.fs.Path(root, f"{column}={_escaped(jvm, value)}")
+        if fs.exists(place):
+            before[value] = (place, {f.getPath().getName() for f in fs.listStatus(place)})
+    (df.write.mode("overwrite").options(**(options or {})).option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols).format(fmt).save(target))
+    for place, names in before.values():
+        # a partition that was written anew has other files (names carry the write's id)
+        if fs.exists(place) and {f.getPath().getName() for f in fs.listStatus(place)} == names:
+            fs.delete(place, True)
     return target
 
 
+def _escaped(jvm, value: str) -> str:
+    return jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(str(value))
+
+
 def _hadoop_fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()

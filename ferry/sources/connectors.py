@@ -1,8 +1,10 @@
 """Pluggable connectors (I2): connector type -> how to read or write.
 
 A source connector turns a parsed config into a DataFrame of byte chunks
-``(seq, data)`` plus a source label; a loader connector writes message rows.
-New connectors register with ``register_source`` / ``register_loader``.
+``(seq, data)``, with ``path`` where the source is a file; a loader connector
+writes message rows. New connectors register with ``register_source`` /
+``register_loader``: the type is then known to the config check (C8, C9), to
+the type lookup (D3) and to runs (J1).
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ferry.functions import config as cfg
+from ferry.operators import registry as reg
 from ferry.operators.chunks import DEFAULT_CHUNK_BYTES, chunk_column
 from ferry.sinks import json_loader
 from ferry.sources.file_chunks import read_file_chunks, read_file_lines
@@ -25,11 +28,17 @@ _SOURCES: dict[str, SourceFn] = {}
 _LOADERS: dict[str, LoaderFn] = {}
 
 
-def register_source(type_name: str, fn: SourceFn) -> None:
+def register_source(type_name: str, fn: SourceFn, field: str = "url", connector: str | None = None) -> None:
+    """``field``: the config field that a source of this type requires."""
+    cfg.CONFIG_FIELDS.setdefault(type_name, field)
+    reg.CONNECTORS.setdefault(type_name, ("source", connector or type_name))
     _SOURCES[type_name] = fn
 
 
-def register_loader(type_name: str, fn: LoaderFn) -> None:
+def register_loader(type_name: str, fn: LoaderFn, field: str = "path", connector: str | None = None) -> None:
+    """``field``: the config field that a loader of this type requires."""
+    cfg.CONFIG_FIELDS.setdefault(type_name, field)
+    reg.CONNECTORS.setdefault(type_name, ("loader", connector or type_name))
     _LOADERS[type_name] = fn
 
 
@@ -47,11 +56,11 @@ def loader_for(type_name: str) -> LoaderFn:
 
 def _file_source(spark: SparkSession, config: dict, chunk_bytes: int = DEFAULT_CHUNK_BYTES,
                  lines: bool = False, **_) -> DataFrame:
-    """Byte chunks of the file, or with ``lines=True`` one row per line."""
+    """Byte chunks of the file (of a directory: numbered through its files in
+    path order), or with ``lines=True`` one row per line; ``path`` is the file."""
     if lines:
-        return read_file_lines(spark, config["url"]).select("seq", "data")
-    df = read_file_chunks(spark, config["url"], chunk_bytes)
-    return df.select("seq", "data")
+        return read_file_lines(spark, config["url"])
+    return read_file_chunks(spark, config["url"], chunk_bytes, continuous=True)
 
 
 def _page_source(spark: SparkSession, config: dict, chunk_bytes: int = DEFAULT_CHUNK_BYTES,
@@ -66,7 +75,9 @@ def _page_source(spark: SparkSession, config: dict, chunk_bytes: int = DEFAULT_C
 
 
 def _json_loader(messages: DataFrame, config: dict, observation=None) -> str:
-    return json_loader.write(json_loader.prepare(messages, observation), config["path"])
+    """Replaces what an earlier run of the same connection wrote (K1), so a
+    repeated run leaves one copy."""
+    return json_loader.replace(json_loader.prepare(messages, observation), config["path"])
 
 
 register_source(cfg.FILE_EXTRACTOR, _file_source)

@@ -30,6 +30,7 @@ class _Range:
     first_seq: int
     last_seq: int  # inclusive
     size: int
+    base: int = 0  # added to the chunk numbers that are handed out
 
 
 class ChunkPartition(InputPartition):
@@ -77,24 +78,28 @@ def list_files(uri: str) -> list[tuple[str, int]]:
     return sorted(out)
 
 
-def plan_ranges(files: list[tuple[str, int]], chunk_bytes: int,
-                partition_bytes: int) -> list[list[_Range]]:
-    """Group chunk ranges into partitions of about ``partition_bytes``."""
+def plan_ranges(files: list[tuple[str, int]], chunk_bytes: int, partition_bytes: int,
+                continuous: bool = False) -> list[list[_Range]]:
+    """Group chunk ranges into partitions of about ``partition_bytes``.
+    ``continuous`` numbers the chunks through the whole file list."""
     per_part = max(1, partition_bytes // chunk_bytes)
     parts: list[list[_Range]] = []
     cur: list[_Range] = []
     room = per_part
+    base = 0
     for path, size in files:
         n = (size + chunk_bytes - 1) // chunk_bytes
         seq = 0
         while seq < n:
             take = min(room, n - seq)
-            cur.append(_Range(path, seq, seq + take - 1, size))
+            cur.append(_Range(path, seq, seq + take - 1, size, base))
             seq += take
             room -= take
             if room == 0:
                 parts.append(cur)
                 cur, room = [], per_part
+        if continuous:
+            base += n
     if cur:
         parts.append(cur)
     return parts
@@ -106,6 +111,7 @@ class FileChunksReader(DataSourceReader):
         self.chunk_bytes = int(options.get("chunk_bytes", DEFAULT_CHUNK_BYTES))
         self.partition_bytes = int(options.get("partition_bytes", DEFAULT_PARTITION_BYTES))
         self.parallelism = int(options.get("parallelism", 1))
+        self.continuous = options.get("continuous", "false") == "true"
         if self.chunk_bytes <= 0:
             raise ValueError("chunk_bytes must be positive")
 
@@ -118,35 +124,38 @@ class FileChunksReader(DataSourceReader):
         total = sum(size for _, size in files)
         per_core = -(-total // max(1, self.parallelism))
         split = min(self.partition_bytes, max(self.chunk_bytes, per_core))
-        return [ChunkPartition(r) for r in plan_ranges(files, self.chunk_bytes, split)]
+        return [ChunkPartition(r) for r in plan_ranges(files, self.chunk_bytes, split, self.continuous)]
 
     def read(self, partition: ChunkPartition):
-        """Ranged reads, handed to Spark as Arrow record batches of at most
-        ``BATCH_BYTES`` so no per-row conversion runs in Python."""
-        import pyarrow as pa
-        n = self.chunk_bytes
-        per_batch = max(1, BATCH_BYTES // n)
-        paths, seqs, datas = [], [], []
-        for r in partition.ranges:
-            filesystem, path = _fs_and_path(r.path)
-            with filesystem.open_input_file(path) as f:
-                seq = r.first_seq
-                while seq <= r.last_seq:  # one ranged read for as many chunks as the batch takes
-                    count = min(per_batch - len(datas), r.last_seq - seq + 1)
-                    start = seq * n
-                    want = min(count * n, r.size - start)
-                    block = f.read_at(want, start)
-                    if len(block) != want:
-                        raise OSError(f"{r.path} changed while it was read")
-                    paths.extend([r.path] * count)
-                    seqs.extend(range(seq, seq + count))
-                    datas.extend(block[i:i + n] for i in range(0, want, n))
-                    seq += count
-                    if len(datas) >= per_batch:
-                        yield _batch(pa, paths, seqs, datas)
-                        paths, seqs, datas = [], [], []
-        if datas:
-            yield _batch(pa, paths, seqs, datas)
+        yield from read_ranges(partition.ranges, self.chunk_bytes)
+
+
+def read_ranges(ranges, n: int):
+    """Ranged reads, handed to Spark as Arrow record batches of at most
+    ``BATCH_BYTES`` so no per-row conversion runs in Python."""
+    import pyarrow as pa
+    per_batch = max(1, BATCH_BYTES // n)
+    paths, seqs, datas = [], [], []
+    for r in ranges:
+        filesystem, path = _fs_and_path(r.path)
+        with filesystem.open_input_file(path) as f:
+            seq = r.first_seq
+            while seq <= r.last_seq:  # one ranged read for as many chunks as the batch takes
+                count = min(per_batch - len(datas), r.last_seq - seq + 1)
+                start = seq * n
+                want = min(count * n, r.size - start)
+                block = f.read_at(want, start)
+                if len(block) != want:
+                    raise OSError(f"{r.path} changed while it was read")
+                paths.extend([r.path] * count)
+                seqs.extend(range(r.base + seq, r.base + seq + count))
+                datas.extend(block[i:i + n] for i in range(0, want, n))
+                seq += count
+                if len(datas) >= per_batch:
+                    yield _batch(pa, paths, seqs, datas)
+                    paths, seqs, datas = [], [], []
+    if datas:
+        yield _batch(pa, paths, seqs, datas)
 
 
 def _batch(pa, paths, seqs, datas):
@@ -159,7 +168,8 @@ def _batch(pa, paths, seqs, datas):
 class FileChunks(DataSource):
     """Options: ``path`` (a JSON list of files, directories, ``dir/*.ext``),
     ``chunk_bytes`` (default 1 MiB), ``partition_bytes`` (default 128 MiB),
-    ``parallelism`` (cores to spread a small input over)."""
+    ``parallelism`` (cores to spread a small input over), ``continuous``
+    (``true``: one numbering through all files, in path order)."""
 
     @classmethod
     def name(cls):
@@ -177,15 +187,64 @@ def register(spark) -> None:
 
 
 def read_file_chunks(spark, path: str | list[str], chunk_bytes: int = DEFAULT_CHUNK_BYTES,
-                     partition_bytes: int = DEFAULT_PARTITION_BYTES):
+                     partition_bytes: int = DEFAULT_PARTITION_BYTES, continuous: bool = False):
     register(spark)
     paths = [path] if isinstance(path, str) else list(path)
     return (spark.read.format("file_chunks").option("path", json.dumps(paths))
             .option("chunk_bytes", str(chunk_bytes))
             .option("partition_bytes", str(partition_bytes))
+            .option("continuous", str(continuous).lower())
             .option("parallelism", str(spark.sparkContext.defaultParallelism)).load())
 
 
+def list_urls(urls, chunk_bytes: int = DEFAULT_CHUNK_BYTES):
+    """The files behind each distinct ``url``, listed in tasks: ``(url, path,
+    size, first_seq, error)``. ``first_seq`` numbers a url's chunks through
+    its files in path order; a url that cannot be listed is one row with a
+    null path and an ``error``."""
+    def listed(batches):
+        import pandas as pd
+        for batch in batches:
+            rows = []
+            for url in batch["url"]:
+                try:
+                    first = 0
+                    for path, size in list_files(url):
+                        rows.append((url, path, size, first, None))
+                        first += -(-size // chunk_bytes)
+                except FileNotFoundError:
+                    rows.append((url, None, 0, 0, "source not found"))
+                except (OSError, ValueError) as e:
+                    rows.append((url, None, 0, 0, f"source not readable: {e}"))
+            yield pd.DataFrame(rows, columns=["url", "path", "size", "first_seq", "error"])
+    return urls.select("url").distinct().mapInPandas(
+        listed, "url string, path string, size bigint, first_seq bigint, error string")
+
+
+def read_listed(files, chunk_bytes: int = DEFAULT_CHUNK_BYTES,
+                partition_bytes: int = DEFAULT_PARTITION_BYTES):
+    """The chunks ``(path, seq, data)`` of a table ``(path, size)`` of distinct
+    files: ranges of about 16 MiB are dealt over the tasks, about
+    ``partition_bytes`` each; only their total size comes to the driver."""
+    from pyspark.sql import functions as F
+    spark = files.sparkSession
+    total = files.agg(F.sum("size")).first()[0] or 0
+    cores = spark.sparkContext.defaultParallelism
+    tasks = max(-(-total // partition_bytes), min(cores, -(-total // chunk_bytes)), 1)
+    step = max(1, min(BATCH_BYTES, -(-total // tasks)) // chunk_bytes)
+    last = F.expr(f"(size + {chunk_bytes} - 1) div {chunk_bytes} - 1")
+    ranges = (files.where(F.col("size") > 0)
+              .select("path", F.explode(F.sequence(F.lit(0).cast("long"), last, F.lit(step).cast("long")))
+                      .alias("first_seq"), last.alias("_last"), "size")
+              .select("path", "first_seq",
+                      F.least(F.col("first_seq") + F.lit(step - 1), F.col("_last")).alias("last_seq"), "size"))
+
+    def read(batches):
+        for batch in batches:
+            yield from read_ranges([_Range(**r) for r in batch.to_pylist()], chunk_bytes)
+    return ranges.repartition(tasks).mapInArrow(read, SCHEMA)
+
+
 def read_file_lines(spark, path: str):
     """A1 with ``lines=true``: a text file as one row per line, ``seq``
     increasing in file order (``spark.read.text`` splits large files)."""

@@ -118,3 +118,85 @@ def test_missing_source_file_fails_before_anything_is_written(spark, tmp_dir):
     with pytest.raises(Exception, match="absent.bin"):
         run_connection(spark, "cm", s, l_, c)
     assert not glob.glob(local_path(out) + "/connection_id=*")
+
+
+def test_run_scheduled_overlaps_absent_files_and_repeats(spark, tmp_dir):
+    import json as _json
+
+    from ferry.plans.run import run_scheduled
+    d = os.path.join(tmp_dir, "dir")
+    os.makedirs(d)
+    for name, size in (("a.bin", 3), ("b.bin", 9), ("empty.bin", 0)):
+        with open(os.path.join(d, name), "wb") as f:
+            f.write(bytes(range(size)))
+    out1, out2 = new_run_dir(spark, "t-j2c"), new_run_dir(spark, "t-j2d")
+    source_schema = "id string, name string, type string, config string"
+    sources = spark.createDataFrame(
+        [(i, i, "file_extractor", _json.dumps({"url": u})) for i, u in
+         (("file", d + "/a.bin"), ("dir", d), ("absent", d + "/none.bin"), ("empty", d + "/empty.bin"))],
+        source_schema)
+    loaders = spark.createDataFrame([(f"l{i}", f"l{i}", "json_loader", _json.dumps({"path": o}))
+                                     for i, o in ((1, out1), (2, out2))], source_schema)
+    conns = spark.createDataFrame(
+        [("c-file", ["file"], ["l1"]), ("c-dir", ["dir"], ["l1"]), ("c-dir2", ["dir"], ["l2"]),
+         ("c-absent", ["absent"], ["l1"]), ("c-empty", ["empty"], ["l1"]), ("c-lost", ["nope"], ["l1"]),
+         ("c-lost2", ["file"], ["nope"])],
+        "id string, source_id array<string>, loader_id array<string>") \
+        .withColumn("sync_type", F.lit("scheduled")).withColumn("schedule", F.lit("0 * * * *"))
+    want = {"c-file": (1, None), "c-dir": (4, None), "c-dir2": (4, None), "c-empty": (0, None),
+            "c-absent": (None, "source not found"), "c-lost": (None, "Invalid source_id"),
+            "c-lost2": (None, "Invalid loader_id")}
+    for _ in range(2):
+        got = {r["connection_id"]: (r["loaded"], r["reason"])
+               for r in run_scheduled(spark, sources, loaders, conns, 3).collect()}
+        assert got == want
+        back = json_loader.read_back(spark, out1).collect()
+        assert sorted((r["connection_id"], r["seq"]) for r in back) == [("c-dir", i) for i in range(4)] + [("c-file", 0)]
+        assert json_loader.read_back(spark, out2).count() == 4
+    with open(os.path.join(d, "a.bin"), "wb"):
+        pass  # now empty: the next run leaves no row of it
+    got = {r["connection_id"]: r["loaded"] for r in run_scheduled(spark, sources, loaders, conns, 3).collect()}
+    assert (got["c-file"], got["c-dir"]) == (0, 3)
+    assert {r["connection_id"] for r in json_loader.read_back(spark, out1).collect()} == {"c-dir"}
+
+
+def test_run_connection_directory_and_repeat(spark, tmp_dir):
+    for name, size in (("a.bin", 5), ("b.bin", 2)):
+        with open(os.path.join(tmp_dir, name), "wb") as f:
+            f.write(bytes(size))
+    out = new_run_dir(spark, "t-dir")
+    s, l_, c = single_connection_registry(spark, "cd", "file_extractor", {"url": tmp_dir}, "json_loader", {"path": out})
+    for _ in range(2):
+        assert run_connection(spark, "cd", s, l_, c, chunk_bytes=2).first()["loaded"] == 4
+        back = sorted(json_loader.read_back(spark, out).collect(), key=lambda r: r["seq"])
+        assert [(r["seq"], os.path.basename(r["metadata"]["source"])) for r in back] == [
+            (0, "a.bin"), (1, "a.bin"), (2, "a.bin"), (3, "b.bin")]
+
+
+def test_registered_type_runs(spark):
+    from ferry.functions import config as cfg
+    from ferry.operators import registry as reg
+    from ferry.sources import connectors
+    known = dict(cfg.CONFIG_FIELDS), dict(reg.CONNECTORS)
+    connectors.register_source("rows", lambda sp, config, **_: sp.range(int(config["n"])).select(
+        F.col("id").alias("seq"), F.encode(F.col("id").cast("string"), "UTF-8").alias("data")), field="n")
+    try:
+        out = new_run_dir(spark, "t-rows")
+        s, l_, c = single_connection_registry(spark, "cr", "rows", {"n": "3"}, "json_loader", {"path": out})
+        assert run_connection(spark, "cr", s, l_, c).first()["loaded"] == 3
+        assert reg.lookup_connector(s).first()["connector"] == "rows"
+        s, l_, c = single_connection_registry(spark, "cr", "rows", {}, "json_loader", {"path": out})
+        with pytest.raises(ValueError, match="n is required"):
+            run_connection(spark, "cr", s, l_, c)
+    finally:
+        cfg.CONFIG_FIELDS.clear(), cfg.CONFIG_FIELDS.update(known[0])
+        reg.CONNECTORS.clear(), reg.CONNECTORS.update(known[1])
+
+
+def test_override_with_an_empty_snapshot(spark):
+    from ferry.sinks import snapshot
+    out = new_run_dir(spark, "t-empty-snapshot")
+    df = spark.createDataFrame([("a/b", 1), ("c", 2)], "connection_id string, v int")
+    snapshot.override_partitions(df, out, ["connection_id"])
+    snapshot.override_partitions(df.where("v = 2"), out, ["connection_id"], replaced=["a/b", "c", "new"])
+    assert [tuple(r) for r in spark.read.parquet(out).select("connection_id", "v").collect()] == [("c", 2)]
