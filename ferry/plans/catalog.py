@@ -341,7 +341,7 @@ def stream_until_end(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H1 + K6: five connections (one per event type) publish in two
     producer runs; each run is drained by a stream that folds the
-    per-connection cursor and row count into the versioned state table."""
+    per-connection cursor and row count."""
     from ferry.streaming.sync import drain, read_stream_state
     ev = _t(spark, sf_dir, "events", spread_rows=True)
     msgs = env.build_messages(

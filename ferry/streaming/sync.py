@@ -52,13 +52,12 @@ def drain(spark: SparkSession, landing_dir: str, sink_dir: str, quarantine_dir:
     Each micro-batch writes its loaded rows and its rejects into
     ``batch=<id>`` directories with overwrite, so a batch replayed after a
     failure rewrites the same files instead of adding duplicates. With
-    ``state_path`` the batch then folds its per-connection cursor (latest
-    ``created_at``) and row count into a versioned state table (K6); the
-    state records the last folded batch, so a replay is not counted twice.
+    ``state_path`` the batch's per-connection cursor (latest ``created_at``)
+    and row count are stored as its partial state (K6), folded when read; a
+    replay finds its partial state there and is not counted twice.
 
     With ``ends_path`` end markers are obeyed across micro-batches (G1 on a
-    stream): the first marker of each queue is kept in a versioned table
-    (one row per queue), and rows at or after it - in this batch or any
+    stream): each batch stores its own first marker of each queue, and rows at or after it - in this batch or any
     later one - are not loaded. Without it markers are simply dropped.
     """
     parsed = read_queue_stream(spark, landing_dir, max_files_per_trigger)
@@ -122,31 +121,43 @@ def drain_dedup(spark: SparkSession, landing_dir: str, sink_dir: str, checkpoint
 
 
 ENDS_SCHEMA = "connection_id string, queue string, end_seq bigint, batch_id bigint"
+STREAM_STATE_SCHEMA = "connection_id string, cursor timestamp, rows_read bigint, batch_id bigint"
+
+
+def _read_partials(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The partial rows of every batch below ``path``."""
+    fs, root, _ = snapshot._hadoop_fs(spark, path)
+    if not fs.exists(root):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
 
+def _write_partial(rows: DataFrame, path: str, batch_id: int) -> None:
+    """Write the batch's partial rows, unless a run before a failure has
+    completed that write: a replay changes nothing."""
+    place = f"{path.rstrip('/')}/batch_id={batch_id}"
+    fs, done, _ = snapshot._hadoop_fs(rows.sparkSession, f"{place}/_SUCCESS")
+    if not fs.exists(done):
+        rows.write.mode("overwrite").parquet(place)
 
-def read_ends(spark: SparkSession, ends_path: str) -> DataFrame:
-    path = snapshot.current_version(spark, ends_path)
-    if path is None:
-        return spark.createDataFrame([], ENDS_SCHEMA)
-    return spark.read.parquet(path)
+
+def read_ends(spark: SparkSession, ends_path: str, up_to: int | None = None) -> DataFrame:
+    """The first marker of each queue over all batches (or up to one)."""
+    ends = _read_partials(spark, ends_path, ENDS_SCHEMA)
+    if up_to is not None:
+        ends = ends.where(F.col("batch_id") <= up_to)
+    return ends.groupBy("connection_id", "queue").agg(F.min("end_seq").alias("end_seq"),
+                                                      F.max("batch_id").alias("batch_id"))
 
 
 def _loaded_before_end(batch: DataFrame, ends_path: str, batch_id: int) -> DataFrame:
-    """G1 across micro-batches: fold this batch's first markers into the
-    persisted ones (min per queue), then keep the rows before them."""
-    spark = batch.sparkSession
+    """G1 across micro-batches: store this batch's first markers, then keep
+    the rows before the first marker of their queue in any batch so far."""
     good = q.good(batch)
-    # version n+1 holds the ends after batch n: a replay finds it complete
-    if _folded_up_to(spark, ends_path) < batch_id + 1:
-        prior = _version_or_empty(spark, ends_path, batch_id, ENDS_SCHEMA)
-        markers = (good.where(F.col("IsEnd")).select("connection_id", "queue", F.col("seq").alias("end_seq"))
-                   .unionByName(prior.select("connection_id", "queue", "end_seq")))
-        ends = (markers.groupBy("connection_id", "queue").agg(F.min("end_seq").alias("end_seq"))
-                .withColumn("batch_id", F.lit(batch_id).cast("long")))
-        snapshot.write_version(ends, ends_path, version=batch_id + 1)
-    # a replayed batch reuses the ends written for it (or a later version)
-    ends = read_ends(spark, ends_path).select(F.col("connection_id").alias("_c"),
-                                              F.col("queue").alias("_q"), "end_seq")
+    _write_partial(good.where(F.col("IsEnd")).groupBy("connection_id", "queue")
+                   .agg(F.min("seq").alias("end_seq")), ends_path, batch_id)
+    ends = read_ends(batch.sparkSession, ends_path, batch_id).select(
+        F.col("connection_id").alias("_c"), F.col("queue").alias("_q"), "end_seq")
     cond = good["connection_id"].eqNullSafe(F.col("_c")) & good["queue"].eqNullSafe(F.col("_q"))
     kept = (good.join(broadcast_if_small(ends), cond, "left")
             .where(~F.col("IsEnd") & (F.col("end_seq").isNull() | (F.col("seq") < F.col("end_seq")))))
@@ -155,44 +166,18 @@ def _loaded_before_end(batch: DataFrame, ends_path: str, batch_id: int) -> DataF
         "created_at", "updated_at", env.stringify("data").alias("stringified_data"), "IsEnd")
 
 
-STREAM_STATE_SCHEMA = "connection_id string, cursor timestamp, rows_read bigint, batch_id bigint"
-
-
 def read_stream_state(spark: SparkSession, state_path: str) -> DataFrame:
-    path = snapshot.current_version(spark, state_path)
-    if path is None:
-        return spark.createDataFrame([], STREAM_STATE_SCHEMA)
-    return spark.read.parquet(path)
+    """Per connection the latest cursor, the rows of all batches and the last
+    batch: the partial states folded."""
+    return (_read_partials(spark, state_path, STREAM_STATE_SCHEMA).groupBy("connection_id")
+            .agg(F.max("cursor").alias("cursor"), F.sum("rows_read").alias("rows_read"),
+                 F.max("batch_id").alias("batch_id")))
 
 
 def fold_state(loaded: DataFrame, state_path: str, batch_id: int) -> None:
-    """K6 per micro-batch: new state = old state folded with this batch,
-    written as the next version. Skipped when the state already holds this
-    batch (a replay after a failure)."""
-    spark = loaded.sparkSession
-    # version n+1 holds the state after batch n: a replay finds it complete
-    if _folded_up_to(spark, state_path) >= batch_id + 1:
-        return
-    prior = _version_or_empty(spark, state_path, batch_id, STREAM_STATE_SCHEMA)
-    folded = st.sync_state(loaded, ["connection_id"], "created_at",
-                           prior=prior.select("connection_id", "cursor", "rows_read"))
-    snapshot.write_version(folded.withColumn("batch_id", F.lit(batch_id).cast("long")), state_path,
-                           version=batch_id + 1)
-
-
-def _folded_up_to(spark: SparkSession, path: str) -> int:
-    """Highest complete version (0 = none): a listing, no Spark job."""
-    versions = snapshot.list_versions(spark, path)
-    return versions[-1] if versions else 0
-
-
-def _version_or_empty(spark: SparkSession, path: str, below: int, schema: str) -> DataFrame:
-    """The newest complete version at or below ``below`` (the state before
-    this batch), or an empty table."""
-    versions = [v for v in snapshot.list_versions(spark, path) if v <= below]
-    if not versions:
-        return spark.createDataFrame([], schema)
-    return spark.read.parquet(f"{path.rstrip('/')}/{snapshot.VERSION_PREFIX}{versions[-1]}")
+    """K6 per micro-batch: store the batch's own cursor and row count per
+    connection; ``read_stream_state`` folds them."""
+    _write_partial(st.sync_state(loaded, ["connection_id"], "created_at"), state_path, batch_id)
 
 
 def _await(query, timeout_s: int | None) -> None:
