@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 FILE_EXTRACTOR = "file_extractor"
 WEB_SCRAPER = "web_scraper"
 JSON_LOADER = "json_loader"
+TABLE_READER = "table_reader"
+TABLE_LOADER = "table_loader"
 CONFIG_FIELDS = {FILE_EXTRACTOR: "url", WEB_SCRAPER: "url", JSON_LOADER: "path"}
 OPTION_KEYS = {"url": "URL", "path": "PATH"}
 REQUIRED_MESSAGES = {

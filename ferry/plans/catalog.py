@@ -31,6 +31,8 @@ DOC_CHUNK_BYTES = 1024
 FILE_CHUNK_BYTES = 1024 * 1024
 SYNC_BOUNDARY = dt.datetime(2024, 1, 15, 0, 0, 0)
 OVERRIDDEN = ("click", "view")
+#: Hash buckets of an upserted events target.
+UPSERT_BUCKETS = 16
 EVENTS_CONNECTION = "events"
 LOADER_NAME = "json_loader"
 
@@ -400,19 +402,48 @@ def sync_append_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sync_upsert_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K5 + K6 with persisted state: two upsert runs (the source before the
-    boundary, then all of it) leave the latest event per user as target."""
-    from ferry.plans.sync import sync_table
+    boundary, then all of it) leave the latest event per user as target, in
+    hash buckets of the key."""
+    from ferry.plans.sync import read_upserted, sync_table
     ev = _t(spark, sf_dir, "events")
     root = new_run_dir(spark, "sync-upsert")
     target, state = f"{root}/target", f"{root}/state"
     b = F.lit(SYNC_BOUNDARY).cast("timestamp_ntz")
-    args = dict(mode="upsert", cursor="ts", keys=["user_id"], order_by=["value", "event_id"])
+    args = dict(mode="upsert", cursor="ts", keys=["user_id"], order_by=["value", "event_id"],
+                buckets=UPSERT_BUCKETS)
     sync_table(spark, ev.where(F.col("ts") < b), EVENTS_CONNECTION, target, state, **args)
     sync_table(spark, ev, EVENTS_CONNECTION, target, state, **args)
-    return snapshot.read_current(spark, target)
+    return read_upserted(spark, target, state, EVENTS_CONNECTION)
 
 
 # ---------------------------------------------------------------------- J
+def _run_events(spark, sf_dir, name, strategy):
+    """Two runs of a connection from the events table to a table loader, by
+    the strategy in its config: the events before the boundary, then all."""
+    from ferry.plans.run import read_synced, run_connection, single_connection_registry
+    out = new_run_dir(spark, name)
+    registry = single_connection_registry(
+        spark, EVENTS_CONNECTION, cfg.TABLE_READER, {"url": f"{sf_dir.rstrip('/')}/events.parquet"},
+        cfg.TABLE_LOADER, {"path": out}, config=strategy)
+    run_connection(spark, EVENTS_CONNECTION, *registry, where=f"ts < timestamp_ntz '{SYNC_BOUNDARY}'")
+    run_connection(spark, EVENTS_CONNECTION, *registry)
+    return read_synced(spark, out, EVENTS_CONNECTION)
+
+
+def run_sync_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 + K2: the connection's config asks for an incremental append."""
+    out = _run_events(spark, sf_dir, "run-sync-append", {"mode": "append", "cursor": "ts", "keys": ["event_id"]})
+    return out.select("event_id", F.col("run").cast("long").alias("run"), "ts", "user_id",
+                      "event_type", "value", "props")
+
+
+def run_sync_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 + K5: the connection's config asks for an upsert by user."""
+    return _run_events(spark, sf_dir, "run-sync-upsert",
+                       {"mode": "upsert", "cursor": "ts", "keys": ["user_id"],
+                        "order_by": ["value", "event_id"], "buckets": UPSERT_BUCKETS})
+
+
 def run_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One manual connection that copies the documents table file with
     the file extractor into the JSON loader; returns the run report."""
@@ -446,6 +477,8 @@ def run_scheduled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "run_sync_append": run_sync_append,
+    "run_sync_upsert": run_sync_upsert,
     "extract_chunks": extract_chunks,
     "envelope_json": envelope_json,
     "queue_roundtrip": queue_roundtrip,

@@ -247,3 +247,7 @@ SELECT 'c1' AS connection_id, CAST((size + 1048575) // 1048576 AS BIGINT) AS rea
        CAST((size + 1048575) // 1048576 AS BIGINT) AS loaded, CAST(0 AS BIGINT) AS rejected
 FROM read_blob('/root/testdata/sf0.01/documents.parquet')""",
 }
+
+# A connection's config gives the same rows as the sync called by hand.
+ORACLE["run_sync_append"] = ORACLE["sync_append_runs"]
+ORACLE["run_sync_upsert"] = ORACLE["sync_upsert_runs"]

@@ -17,8 +17,9 @@ from ferry.functions import config as cfg
 from ferry.functions import envelope as env
 from ferry.operators import registry as reg
 from ferry.operators.chunks import chunk_column
+from ferry.plans import sync
 from ferry.plans.sizing import broadcast_if_small, materialize
-from ferry.sinks import json_loader
+from ferry.sinks import json_loader, snapshot
 from ferry.sources import connectors
 from ferry.sources.file_chunks import list_urls, read_listed
 from ferry.sources.pages import read_pages
@@ -28,7 +29,7 @@ REPORT_SCHEMA = "connection_id string, read bigint, loaded bigint, rejected bigi
 
 def single_connection_registry(spark: SparkSession, connection_id: str, source_type: str,
                                source_config: dict, loader_type: str, loader_config: dict,
-                               sync_type: str = "manual"):
+                               sync_type: str = "manual", config: dict | None = None):
     """Registry tables holding one source, one loader and one connection."""
     sources = spark.createDataFrame(
         [("s-" + connection_id, "source", source_type, json.dumps(source_config))],
@@ -37,7 +38,8 @@ def single_connection_registry(spark: SparkSession, connection_id: str, source_t
         [("l-" + connection_id, "loader", loader_type, json.dumps(loader_config))],
         "id string, name string, type string, config string")
     conns = spark.createDataFrame(
-        [(connection_id, ["s-" + connection_id], ["l-" + connection_id], sync_type, None, None)],
+        [(connection_id, ["s-" + connection_id], ["l-" + connection_id], sync_type, None,
+          None if config is None else json.dumps(config))],
         "id string, source_id array<string>, loader_id array<string>, sync_type string, "
         "schedule string, config string")
     return sources, loaders, conns
@@ -50,10 +52,12 @@ def resolve_one(spark: SparkSession, connection_id: str, sources: DataFrame,
     ``ValueError`` (the reference exits the server process instead)."""
     conn = reg.find_by_id(conns, connection_id).select(
         cfg.first_id("source_id").alias("source_id"), cfg.first_id("loader_id").alias("loader_id"),
-        "sync_type").first()
+        "sync_type", (F.col("config") if "config" in conns.columns else F.lit(None).cast("string")).alias("config")
+    ).first()
     if conn is None:
         raise ValueError(f"connection {connection_id} not found")
-    out = {"connection_id": connection_id, "sync_type": conn["sync_type"]}
+    out = {"connection_id": connection_id, "sync_type": conn["sync_type"],
+           "strategy": read_strategy(conn["config"])}
     for side, table, ref, reason in (("source", sources, conn["source_id"], reg.INVALID_SOURCE),
                                      ("loader", loaders, conn["loader_id"], reg.INVALID_LOADER)):
         row = None if ref is None else reg.find_by_id(table, ref).select(
@@ -69,13 +73,60 @@ def resolve_one(spark: SparkSession, connection_id: str, sources: DataFrame,
     return out
 
 
+def read_strategy(config: str | None) -> dict:
+    """K1-K5: the sync strategy ``{"mode", "cursor", "keys", "order_by",
+    "buckets"}`` in a connection's config; empty when none is given.
+    ``order_by`` defaults to the cursor. Anything else raises ``ValueError``."""
+    try:
+        given = json.loads(config) if config and config.strip() else {}
+    except json.JSONDecodeError:
+        raise ValueError("invalid connection config: " + cfg.BAD_JSON_MESSAGE) from None
+    if not isinstance(given, dict):
+        raise ValueError("invalid connection config: " + cfg.BAD_JSON_MESSAGE)
+    out = {k: given.get(k) for k in ("mode", "cursor", "keys", "order_by", "buckets")}
+    if out["mode"] is None:
+        return {}
+    if out["order_by"] is None and out["cursor"]:
+        out["order_by"] = [out["cursor"]]
+    sync.check_strategy(out["mode"], out["cursor"], out["keys"], out["order_by"])
+    return out
+
+
+def synced_places(loader_config: dict, connection_id: str) -> tuple[str, str]:
+    """Where a table loader keeps a connection's rows, and the sync states."""
+    root = loader_config["path"].rstrip("/")
+    return f"{root}/tables/connection_id={connection_id}", f"{root}/state"
+
+
+def read_synced(spark: SparkSession, path: str, connection_id: str) -> DataFrame:
+    """The rows that the committed runs of a synced connection left."""
+    target, state_path = synced_places({"path": path}, connection_id)
+    state = sync.connection_state(spark, state_path, connection_id)
+    if state is None:
+        raise FileNotFoundError(f"no committed run of {connection_id}")
+    if state["mode"] == "append":
+        return sync.read_appended(spark, target, state_path, connection_id)
+    if state["buckets"]:
+        return sync.read_upserted(spark, target, state_path, connection_id)
+    return snapshot.read_current(spark, target)
+
+
 def run_connection(spark: SparkSession, connection_id: str, sources: DataFrame,
                    loaders: DataFrame, conns: DataFrame, **source_options) -> DataFrame:
     """Extract -> envelope -> load for one connection; returns the
-    report ``(connection_id, read, loaded, rejected)``."""
+    report ``(connection_id, read, loaded, rejected)``. Between a table source
+    and a table loader the strategy in the connection's config decides (full
+    override when it names none); ``loaded`` is then one per key for upserts."""
     r = resolve_one(spark, connection_id, sources, loaders, conns)
     source_cfg = {k: v for k, v in r["source_cfg"].items() if k != "error" and v is not None}
     loader_cfg = {k: v for k, v in r["loader_cfg"].items() if k != "error" and v is not None}
+    if r["strategy"] or r["loader_type"] == cfg.TABLE_LOADER:
+        rows_fn = connectors.table_for(r["source_type"])
+        connectors.check_table_loader(r["loader_type"])
+        target, state_path = synced_places(loader_cfg, connection_id)
+        done = sync.sync_table(spark, rows_fn(spark, source_cfg, **source_options), connection_id, target, state_path,
+                               **(r["strategy"] or {"mode": "full"})).first()
+        return spark.createDataFrame([(connection_id, done["rows_read"], done["rows_loaded"], 0)], REPORT_SCHEMA)
     read_fn = connectors.source_for(r["source_type"])
     write_fn = connectors.loader_for(r["loader_type"])
 

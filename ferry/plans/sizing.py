@@ -26,9 +26,8 @@ MAX_BYTES_CONF = "spark.ferry.broadcast.maxBytes"
 # Sides estimated above this are never measured for a broadcast.
 DEFAULT_BROADCAST_MAX_ESTIMATE = 1 << 30
 MAX_ESTIMATE_CONF = "spark.ferry.broadcast.maxEstimateBytes"
-# Inputs smaller than this are not worth spreading over more cores.
-SPREAD_MIN_BYTES = 1 << 20
-SPREAD_CONF = "spark.ferry.spread.enabled"
+# Partitions that row-heavy scans are dealt over; unset: the input splits decide.
+SPREAD_CONF = "spark.ferry.spread.partitions"
 
 
 def broadcast_max_rows(spark) -> int:
@@ -91,24 +90,10 @@ def broadcast_if_small(df: DataFrame, max_rows: int | None = None,
     return F.broadcast(df) if rows <= bound and size <= max_bytes else df
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Make sure a narrow input still uses every core.
-
-    A scan of a few large row groups gives fewer partitions than the cluster
-    has cores; per-row work on it (JSON, hashing, chunking) would then run
-    on a few cores only. In that case rows are dealt round-robin over
-    ``min_partitions`` (default: the default parallelism). An input that
-    already has enough partitions - every input at cluster scale - is
-    returned unchanged, with no shuffle, and so is an input under 1 MiB
-    (a dimension table that is about to be broadcast).
-    """
-    if df.sparkSession.conf.get(SPREAD_CONF, "true") != "true":
-        return df
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (Spark Connect): leave the scan as planned
-        return df
-    if have >= target or estimated_bytes(df) < SPREAD_MIN_BYTES:
-        return df
-    return df.repartition(target)
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt round-robin over the partitions the session asks for
+    (``spark.ferry.spread.partitions``), whatever the size of ``df``; where
+    that is unset, as at cluster scale, the scan keeps its input splits and
+    there is no shuffle."""
+    asked = df.sparkSession.conf.get(SPREAD_CONF, "")
+    return df.repartition(int(asked)) if asked else df

@@ -13,7 +13,15 @@ simply run again:
   Given row ``keys``, rows *equal* to the stored cursor that are not loaded
   yet are taken too, so a late row tying the cursor is not lost.
 * ``upsert`` (K5) - ``dedup_latest(current target ∪ rows with cursor >=
-  state.cursor)`` becomes a new target version; re-running it is idempotent.
+  state.cursor)``; re-running it is idempotent. With ``buckets`` the target is
+  laid out in that many hash buckets of the keys, and a run reads and writes
+  only the buckets its rows fall into: ``run=<n>/_bucket=<b>`` holds the whole
+  bucket as of run n, a reader takes each bucket from its last committed run
+  (``read_upserted``). Without ``buckets`` each run writes a new version of
+  the whole target (small targets).
+
+``rows_read`` counts the source rows a run took, ``rows_loaded`` the rows it
+brought to the target: one per key for ``upsert``, else all rows read.
 
 The state of a connection (cursor as text, counts, the number of committed
 runs) lives in its own directory ``connection_id=<id>`` as immutable
@@ -30,13 +38,17 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ferry.operators import strategies as st
+from ferry.plans.sizing import materialize
 from ferry.sinks import snapshot
 
 MODES = ("full", "append", "upsert")
 STATE_SCHEMA = ("connection_id string, mode string, cursor string, rows_read bigint, "
-                "rows_loaded bigint, runs bigint")
-REPORT_SCHEMA = "connection_id string, mode string, run bigint, rows_loaded bigint, cursor string"
+                "rows_loaded bigint, runs bigint, buckets bigint")
+REPORT_SCHEMA = ("connection_id string, mode string, run bigint, rows_read bigint, rows_loaded bigint, "
+                 "cursor string")
 RUN_DIR = "run="
+BUCKET_DIR = "_bucket="
+SCHEMA_DIR = "schema"
 CONNECTION_DIR = "connection_id="
 
 
@@ -45,20 +57,16 @@ def _state_dir(state_path: str, connection_id: str) -> str:
 
 
 def read_state(spark: SparkSession, state_path: str) -> DataFrame:
-    """The current state row of every connection (newest complete version of
-    each ``connection_id=<id>`` directory)."""
+    """The current state row of every connection: one scan of all versions
+    (one small file each, visible only when complete), the newest kept."""
     fs, root, _ = snapshot._hadoop_fs(spark, state_path)
-    paths = []
-    if fs.exists(root):
-        for st_ in fs.listStatus(root):
-            name = st_.getPath().getName()
-            if st_.isDirectory() and name.startswith(CONNECTION_DIR):
-                cur = snapshot.current_version(spark, _state_dir(state_path, name[len(CONNECTION_DIR):]))
-                if cur is not None:
-                    paths.append(cur)
-    if not paths:
+    if not fs.exists(root):
         return spark.createDataFrame([], STATE_SCHEMA)
-    return spark.read.schema(STATE_SCHEMA).parquet(*paths)
+    rows = (spark.read.schema(f"{STATE_SCHEMA}, version string")
+            .option("basePath", state_path).parquet(state_path))
+    names = [c for c in rows.columns if c != "version"]
+    newest = F.max_by(F.struct(*names), F.col("version").cast("long")).alias("_s")
+    return rows.groupBy("connection_id").agg(newest).select("_s.*")
 
 
 def connection_state(spark: SparkSession, state_path: str, connection_id: str) -> dict | None:
@@ -77,26 +85,92 @@ def read_appended(spark: SparkSession, target: str, state_path: str, connection_
     return df.where(F.col("run").cast("long") <= F.lit(runs))
 
 
+def bucket_runs(spark: SparkSession, target: str, runs: int) -> dict[int, list[int]]:
+    """The runs up to ``runs`` that wrote each bucket, ascending (a listing of
+    directories; the number of buckets is fixed per target)."""
+    fs, root, _ = snapshot._hadoop_fs(spark, target)
+    found: dict[int, list[int]] = {}
+    for run_dir in fs.listStatus(root) if fs.exists(root) else []:
+        name = run_dir.getPath().getName()
+        if not name.startswith(RUN_DIR) or int(name[len(RUN_DIR):]) > runs:
+            continue
+        for bucket_dir in fs.listStatus(run_dir.getPath()):
+            b = bucket_dir.getPath().getName()
+            if b.startswith(BUCKET_DIR):
+                found.setdefault(int(b[len(BUCKET_DIR):]), []).append(int(name[len(RUN_DIR):]))
+    return {b: sorted(r) for b, r in found.items()}
+
+
+def _bucket_path(target: str, run: int, bucket: int) -> str:
+    return f"{target.rstrip('/')}/{RUN_DIR}{run}/{BUCKET_DIR}{bucket}"
+
+
+def _read_buckets(spark: SparkSession, target: str, runs: int, only: set[int] | None = None) -> DataFrame:
+    paths = [_bucket_path(target, r[-1], b) for b, r in sorted(bucket_runs(spark, target, runs).items())
+             if only is None or b in only]
+    empty = f"{target.rstrip('/')}/{SCHEMA_DIR}"
+    return spark.read.schema(spark.read.parquet(empty).schema).parquet(empty, *paths)
+
+
+def read_upserted(spark: SparkSession, target: str, state_path: str, connection_id: str) -> DataFrame:
+    """The rows of a bucketed ``upsert`` target as of the committed state."""
+    state = connection_state(spark, state_path, connection_id)
+    if state is None:
+        raise FileNotFoundError(f"no committed run of {connection_id}")
+    return _read_buckets(spark, target, state["runs"])
+
+
+def remove_replaced_buckets(spark: SparkSession, target: str, state_path: str, connection_id: str) -> int:
+    """Delete buckets that a later committed run replaced; returns how many.
+    For a time when nothing reads an older state."""
+    state = connection_state(spark, state_path, connection_id)
+    fs, _, jvm = snapshot._hadoop_fs(spark, target)
+    old = [(b, r) for b, runs in bucket_runs(spark, target, state["runs"] if state else 0).items()
+           for r in runs[:-1]]
+    for b, r in old:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(_bucket_path(target, r, b)), True)
+    return len(old)
+
+
+def _upsert_buckets(latest: DataFrame, target: str, run: int, keys: list[str], order_by: list[str],
+                    buckets: int) -> None:
+    """Merge ``latest`` (one row per key, written) into the buckets it touches."""
+    spark = latest.sparkSession
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).alias(BUCKET_DIR[:-1])
+    if run == 1:
+        latest.limit(0).write.mode("overwrite").parquet(f"{target.rstrip('/')}/{SCHEMA_DIR}")
+        merged = latest
+    else:  # at most ``buckets`` numbers
+        touched = {r[0] for r in latest.select(bucket).distinct().collect()}
+        current = _read_buckets(spark, target, run - 1, touched)
+        merged = st.dedup_latest(current.unionByName(latest), keys, order_by)
+    (merged.select("*", bucket).repartition(BUCKET_DIR[:-1]).write.mode("overwrite")
+     .option("partitionOverwriteMode", "static").partitionBy(BUCKET_DIR[:-1])
+     .parquet(f"{target.rstrip('/')}/{RUN_DIR}{run}"))
+
+
 def sync_table(spark: SparkSession, source: DataFrame, connection_id: str, target: str,
-               state_path: str, mode: str, cursor: str, keys: list[str] | None = None,
-               order_by: list[str] | None = None) -> DataFrame:
-    """One sync run; returns ``(connection_id, mode, run, rows_loaded, cursor)``."""
-    if mode not in MODES:
-        raise ValueError(f"unknown sync mode: {mode}")
-    if mode == "upsert" and not (keys and order_by):
-        raise ValueError("upsert needs keys and order_by")
+               state_path: str, mode: str, cursor: str | None = None, keys: list[str] | None = None,
+               order_by: list[str] | None = None, buckets: int | None = None) -> DataFrame:
+    """One sync run; returns ``(connection_id, mode, run, rows_read,
+    rows_loaded, cursor)``. ``full`` needs no cursor. ``buckets`` counts for
+    the first upsert run of a target; later runs take the stored number."""
+    check_strategy(mode, cursor, keys, order_by)
     prior = connection_state(spark, state_path, connection_id)
     run = 1 if prior is None else prior["runs"] + 1
-    cursor_type = source.schema[cursor].dataType
+    if prior is not None:
+        buckets = prior["buckets"]
+    cursor_type = source.schema[cursor].dataType if cursor else None
     prior_cursor = None
-    if prior is not None and prior["cursor"] is not None:
+    if prior is not None and prior["cursor"] is not None and cursor:
         prior_cursor = F.lit(prior["cursor"]).cast(cursor_type)
 
     stats = Observation(f"sync-{connection_id}-{run}")
-    metrics = (F.count(F.lit(1)).alias("n"), F.max(cursor).cast("string").alias("max_cursor"))
+    newest = F.max(cursor).cast("string") if cursor else F.max(F.lit(None).cast("string"))
+    metrics = (F.count(F.lit(1)).alias("n"), newest.alias("max_cursor"))
+    n_loaded = None
     if mode == "full":
-        rows = source.observe(stats, *metrics)
-        snapshot.write_version(rows, target)
+        snapshot.write_version(source.observe(stats, *metrics), target)
     elif mode == "append":
         delta = source if prior_cursor is None else source.where(F.col(cursor) > prior_cursor)
         if prior_cursor is not None and keys:
@@ -113,19 +187,37 @@ def sync_table(spark: SparkSession, source: DataFrame, connection_id: str, targe
         delta.write.mode("overwrite").parquet(f"{target.rstrip('/')}/{RUN_DIR}{run}")
     else:
         delta = source if prior_cursor is None else source.where(F.col(cursor) >= prior_cursor)
-        delta = delta.observe(stats, *metrics)
-        current = snapshot.current_version(spark, target)
-        merged = delta if current is None else spark.read.parquet(current).unionByName(delta)
-        snapshot.write_version(st.dedup_latest(merged, keys, order_by), target)
-
-    got = stats.get
-    n_read, new_max = got["n"], got["max_cursor"]
+        kept = Observation(f"sync-kept-{connection_id}-{run}")
+        latest = st.dedup_latest(delta.observe(stats, *metrics), keys, order_by)
+        latest = materialize(latest.observe(kept, F.count(F.lit(1)).alias("n")), "sync-delta")
+        n_loaded = kept.get.get("n", 0)
+        if buckets:
+            _upsert_buckets(latest, target, run, keys, order_by, buckets)
+        else:
+            current = snapshot.current_version(spark, target)
+            merged = latest if current is None else st.dedup_latest(
+                spark.read.parquet(current).unionByName(latest), keys, order_by)
+            snapshot.write_version(merged, target)
+
+    got = stats.get  # empty when Catalyst proved that no row can come
+    n_read, new_max = got.get("n", 0), got.get("max_cursor")
+    n_loaded = n_read if n_loaded is None else n_loaded
     new_cursor = _greatest(prior["cursor"] if prior else None, new_max, cursor_type, spark)
     row = (connection_id, mode, new_cursor,
            (prior["rows_read"] if prior else 0) + n_read,
-           (prior["rows_loaded"] if prior else 0) + n_read, run)
+           (prior["rows_loaded"] if prior else 0) + n_loaded, run, buckets)
     snapshot.write_version(_one_row(spark, row), _state_dir(state_path, connection_id))
-    return spark.createDataFrame([(connection_id, mode, run, n_read, new_cursor)], REPORT_SCHEMA)
+    return spark.createDataFrame([(connection_id, mode, run, n_read, n_loaded, new_cursor)], REPORT_SCHEMA)
+
+
+def check_strategy(mode: str, cursor: str | None, keys: list[str] | None, order_by: list[str] | None) -> None:
+    """A strategy that can't run raises ``ValueError`` before anything is stored."""
+    if mode not in MODES:
+        raise ValueError(f"unknown sync mode: {mode}")
+    if mode != "full" and not cursor:
+        raise ValueError(f"{mode} needs a cursor")
+    if mode == "upsert" and not (keys and order_by):
+        raise ValueError("upsert needs keys and order_by")
 
 
 def _greatest(old: str | None, new: str | None, cursor_type, spark) -> str | None:

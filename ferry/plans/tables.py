@@ -19,8 +19,8 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
     """A driver table. With ``spread_rows`` (for heavy per-row work such as
-    JSON encoding) it is spread over the cores when its files give fewer
-    partitions than the default parallelism (see ``sizing.spread``)."""
+    JSON encoding) it is dealt over the partitions that the session asks for
+    (see ``sizing.spread``)."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return spread(df) if spread_rows else df
 

@@ -52,31 +52,40 @@ def _hadoop_fs(spark: SparkSession, path: str):
     return p.getFileSystem(conf), p, jvm
 
 
+def _versions(spark: SparkSession, target: str) -> list[int]:
+    """Every version directory, complete or not, ascending (one listing)."""
+    fs, root, _ = _hadoop_fs(spark, target)
+    if not fs.exists(root):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(root) if st.isDirectory()]
+    return sorted(int(n[len(VERSION_PREFIX):]) for n in names if n.startswith(VERSION_PREFIX))
+
+
+def _complete(spark: SparkSession, target: str, version: int) -> bool:
+    fs, root, jvm = _hadoop_fs(spark, target)
+    return fs.exists(jvm.org.apache.hadoop.fs.Path(root, f"{VERSION_PREFIX}{version}/_SUCCESS"))
+
+
 def list_versions(spark: SparkSession, target: str) -> list[int]:
     """Complete versions (``_SUCCESS`` present), ascending."""
+    return [v for v in _versions(spark, target) if _complete(spark, target, v)]
+
+
+def remove_old_versions(spark: SparkSession, target: str, keep: int = 2) -> int:
+    """Delete all complete versions but the newest ``keep`` (at least one);
+    returns how many. For a time when nothing reads an older version."""
     fs, root, jvm = _hadoop_fs(spark, target)
-    if not fs.exists(root):
-        return []
-    out = []
-    for st in fs.listStatus(root):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(VERSION_PREFIX):
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[len(VERSION_PREFIX):]))
-    return sorted(out)
+    old = list_versions(spark, target)[:-max(keep, 1)]
+    for v in old:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(root, f"{VERSION_PREFIX}{v}"), True)
+    return len(old)
 
 
 def write_version(df: DataFrame, target: str, fmt: str = "parquet", version: int | None = None) -> str:
     """Write ``df`` as the next version of ``target`` (or as the given
     ``version``, replacing an incomplete attempt at it); return its path."""
-    spark = df.sparkSession
-    fs, root, jvm = _hadoop_fs(spark, target)
     if version is None:
-        existing = []
-        if fs.exists(root):
-            existing = [int(st.getPath().getName()[len(VERSION_PREFIX):]) for st in fs.listStatus(root)
-                        if st.getPath().getName().startswith(VERSION_PREFIX)]
-        version = max(existing, default=0) + 1
+        version = max(_versions(df.sparkSession, target), default=0) + 1
         mode = "errorifexists"
     else:
         mode = "overwrite"
@@ -86,10 +95,8 @@ def write_version(df: DataFrame, target: str, fmt: str = "parquet", version: int
 
 
 def current_version(spark: SparkSession, target: str) -> str | None:
-    versions = list_versions(spark, target)
-    if not versions:
-        return None
-    return f"{target.rstrip('/')}/{VERSION_PREFIX}{versions[-1]}"
+    newest = next((v for v in reversed(_versions(spark, target)) if _complete(spark, target, v)), None)
+    return None if newest is None else f"{target.rstrip('/')}/{VERSION_PREFIX}{newest}"
 
 
 def read_current(spark: SparkSession, target: str, fmt: str = "parquet") -> DataFrame:

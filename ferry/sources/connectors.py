@@ -4,7 +4,9 @@ A source connector turns a parsed config into a DataFrame of byte chunks
 ``(seq, data)``, with ``path`` where the source is a file; a loader connector
 writes message rows. New connectors register with ``register_source`` /
 ``register_loader``: the type is then known to the config check (C8, C9), to
-the type lookup (D3) and to runs (J1).
+the type lookup (D3) and to runs (J1). A table connector (``register_table``)
+gives rows instead of chunks, and where a table loader writes; connections
+between two of them are synced by the strategy in the connection's config.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ LoaderFn = Callable[..., str]
 
 _SOURCES: dict[str, SourceFn] = {}
 _LOADERS: dict[str, LoaderFn] = {}
+_TABLES: dict[str, SourceFn] = {}
+_TABLE_LOADERS: set[str] = set()
 
 
 def register_source(type_name: str, fn: SourceFn, field: str = "url", connector: str | None = None) -> None:
@@ -42,6 +46,31 @@ def register_loader(type_name: str, fn: LoaderFn, field: str = "path", connector
     _LOADERS[type_name] = fn
 
 
+def register_table(type_name: str, fn: SourceFn, field: str = "url", connector: str | None = None) -> None:
+    """A source of rows: ``fn(spark, config, **options)`` gives a DataFrame."""
+    cfg.CONFIG_FIELDS.setdefault(type_name, field)
+    reg.CONNECTORS.setdefault(type_name, ("source", connector or type_name))
+    _TABLES[type_name] = fn
+
+
+def register_table_loader(type_name: str, connector: str | None = None) -> None:
+    """A loader that keeps tables below its ``path``."""
+    cfg.CONFIG_FIELDS.setdefault(type_name, "path")
+    reg.CONNECTORS.setdefault(type_name, ("loader", connector or type_name))
+    _TABLE_LOADERS.add(type_name)
+
+
+def table_for(type_name: str) -> SourceFn:
+    if type_name not in _TABLES:
+        raise ValueError(f"{type_name} is not a source of rows")
+    return _TABLES[type_name]
+
+
+def check_table_loader(type_name: str) -> None:
+    if type_name not in _TABLE_LOADERS:
+        raise ValueError(f"{type_name} does not keep tables")
+
+
 def source_for(type_name: str) -> SourceFn:
     if type_name not in _SOURCES:
         raise ValueError(f"{cfg.UNKNOWN_TYPE_PREFIX}{type_name}")
@@ -74,6 +103,12 @@ def _page_source(spark: SparkSession, config: dict, chunk_bytes: int = DEFAULT_C
     return chunks.select((F.col("page_id") * F.lit(1 << 32) + F.col("_s")).alias("seq"), "data")
 
 
+def _table_source(spark: SparkSession, config: dict, where: str | None = None, **_) -> DataFrame:
+    """The rows of a parquet table, with ``where`` (SQL) those it selects."""
+    df = spark.read.parquet(config["url"])
+    return df if where is None else df.where(where)
+
+
 def _json_loader(messages: DataFrame, config: dict, observation=None) -> str:
     """Replaces what an earlier run of the same connection wrote (K1), so a
     repeated run leaves one copy."""
@@ -83,3 +118,5 @@ def _json_loader(messages: DataFrame, config: dict, observation=None) -> str:
 register_source(cfg.FILE_EXTRACTOR, _file_source)
 register_source(cfg.WEB_SCRAPER, _page_source)
 register_loader(cfg.JSON_LOADER, _json_loader)
+register_table(cfg.TABLE_READER, _table_source, connector="parquet_table")
+register_table_loader(cfg.TABLE_LOADER, connector="synced_table")

@@ -92,3 +92,67 @@ def test_append_with_keys_keeps_late_ties(spark):
     sync_table(spark, first, "c1", f"{root2}/t", f"{root2}/s", "append", "cur")
     sync_table(spark, later, "c1", f"{root2}/t", f"{root2}/s", "append", "cur")
     assert sorted(r["id"] for r in read_appended(spark, f"{root2}/t", f"{root2}/s", "c1").collect()) == [1, 2, 4]
+
+
+def test_bucketed_upsert_leaves_other_buckets_alone(spark):
+    from ferry.plans.sync import bucket_runs, read_upserted, remove_replaced_buckets
+    root = new_run_dir(spark, "t-sync-buckets")
+    target, state = f"{root}/t", f"{root}/s"
+    src = _src(spark, [(i, f"k{i % 40}", i, f"v{i}") for i in range(200)])
+    args = dict(mode="upsert", cursor="cur", keys=["k"], order_by=["cur", "id"], buckets=8)
+    rep = sync_table(spark, src, "c1", target, state, **args).first()
+    assert (rep["rows_read"], rep["rows_loaded"]) == (200, 40)
+    more = src.unionByName(_src(spark, [(500, "k7", 500, "new")]))
+    # a run that died after writing data for other keys
+    src.selectExpr("*", "3 AS _bucket").write.partitionBy("_bucket").parquet(f"{target}/run=2")
+    assert read_upserted(spark, target, state, "c1").count() == 40
+    rep = sync_table(spark, more, "c1", target, state, **args).first()
+    assert (rep["rows_read"], rep["rows_loaded"]) == (2, 2)  # the row tying the cursor and the new one
+    runs = bucket_runs(spark, target, 2)
+    assert 1 <= sum(r[-1] == 2 for r in runs.values()) <= 2 < len(runs)
+    want = sorted(tuple(r) for r in st.dedup_latest(more, ["k"], ["cur", "id"]).collect())
+    assert sorted(tuple(r) for r in read_upserted(spark, target, state, "c1").collect()) == want
+    assert remove_replaced_buckets(spark, target, state, "c1") >= 1
+    assert sorted(tuple(r) for r in read_upserted(spark, target, state, "c1").collect()) == want
+
+
+def test_empty_upsert_and_null_keys(spark):
+    from ferry.plans.sync import read_upserted
+    root = new_run_dir(spark, "t-sync-empty")
+    target, state = f"{root}/t", f"{root}/s"
+    args = dict(mode="upsert", cursor="cur", keys=["k"], order_by=["cur"], buckets=4)
+    rep = sync_table(spark, _src(spark, []), "c1", target, state, **args).first()
+    assert (rep["rows_read"], rep["rows_loaded"]) == (0, 0)
+    assert read_upserted(spark, target, state, "c1").collect() == []
+    rows = [(1, None, 1, "a"), (2, None, 2, "b"), (3, "k", None, "c")]
+    sync_table(spark, _src(spark, rows), "c1", target, state, **args)
+    assert sorted(r["id"] for r in read_upserted(spark, target, state, "c1").collect()) == [2, 3]
+
+
+def test_old_versions_can_go(spark):
+    target = f"{new_run_dir(spark, 't-versions')}/t"
+    for i in range(4):
+        snapshot.write_version(_src(spark, [(i, "a", i, "x")]), target)
+    assert snapshot.remove_old_versions(spark, target, keep=2) == 2
+    assert snapshot.list_versions(spark, target) == [3, 4]
+    assert snapshot.read_current(spark, target).first()["id"] == 3
+
+
+def test_strategy_of_a_connection(spark):
+    from ferry.plans.run import read_strategy, read_synced, run_connection, single_connection_registry
+    root = new_run_dir(spark, "t-strategy")
+    _src(spark, [(1, "a", 1, "x"), (2, "a", 2, "y"), (3, "b", 3, "z")]).write.parquet(f"{root}/src")
+    places = ("table_reader", {"url": f"{root}/src"}, "table_loader", {"path": f"{root}/out"})
+    for cid, strategy, loaded in (("f", None, 3), ("u", {"mode": "upsert", "cursor": "cur", "keys": ["k"]}, 2)):
+        registry = single_connection_registry(spark, cid, *places, config=strategy)
+        rep = run_connection(spark, cid, *registry).first()
+        assert (rep["read"], rep["loaded"], rep["rejected"]) == (3, loaded, 0)
+        assert read_synced(spark, f"{root}/out", cid).count() == loaded
+    registry = single_connection_registry(spark, "j", *places[:2], "json_loader", {"path": f"{root}/j"},
+                                          config={"mode": "full"})
+    with pytest.raises(ValueError, match="does not keep tables"):
+        run_connection(spark, "j", *registry)
+    for bad in ("[1]", "{", '{"mode": "merge"}', '{"mode": "append"}', '{"mode": "upsert", "cursor": "c"}'):
+        with pytest.raises(ValueError):
+            read_strategy(bad)
+    assert read_strategy(None) == read_strategy("{}") == {}
