@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferry.llm.textbatch import LOWER, chunks, utf8
+from ferry.llm.textbatch import LOWER, chunks, lean, utf8
 
 BINS = 1 << 14
 MAX_LANGUAGES = 1000
@@ -88,7 +88,7 @@ def train(rows: DataFrame) -> tuple[list[str], np.ndarray]:
                     yield from told()
         yield from told()
 
-    table = (rows.mapInArrow(run, "lang string, bin int, n long")
+    table = (rows.mapInArrow(lean(run), "lang string, bin int, n long")
              .groupBy("lang", "bin").agg(F.sum("n").alias("n")))
     # One array a language, bins included, so the driver gets at most MAX_LANGUAGES rows of BINS numbers.
     each = (table.groupBy("lang").agg(F.collect_list(F.struct("bin", "n")).alias("cells"))
@@ -206,7 +206,7 @@ def predict_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(labels[best], pa.string()),
                                               pa.array(score)], names=[id_col, "held_out", "lang_pred", "score"])
 
-    return src.mapInArrow(run, f"`{id_col}` {kind}, held_out boolean, lang_pred string, score double")
+    return src.mapInArrow(lean(run), f"`{id_col}` {kind}, held_out boolean, lang_pred string, score double")
 
 
 def keep_languages(docs: DataFrame, languages: tuple[str, ...] | None, least: float, id_col: str = "doc_id",
@@ -224,4 +224,4 @@ def keep_languages(docs: DataFrame, languages: tuple[str, ...] | None, least: fl
             keep = wanted[best] & (score >= least)
             yield b.filter(pa.array(keep))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)

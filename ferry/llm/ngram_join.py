@@ -40,7 +40,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ferry.llm.components import components
-from ferry.llm.textbatch import LOWER, MULT, chunks, in_sorted, mix, ragged, span_hashes, utf8, words
+from ferry.llm.textbatch import (LOWER, MULT, chunks, give_back, in_sorted, lean, mix, ragged, span_hashes, utf8,
+                                 words)
 from ferry.plans.sizing import materialize
 
 WORDS = 5
@@ -214,7 +215,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                      pa.array(key.view(np.int64), mask=n == 0), pa.array(own, pa.binary())],
                     names=["id", "n_shingles", "ck", "odd"])
 
-    return src.mapInArrow(run, f"id {kind}, n_shingles long, ck long, odd binary")
+    return src.mapInArrow(lean(run), f"id {kind}, n_shingles long, ck long, odd binary")
 
 
 # Roles of a signature.
@@ -300,19 +301,21 @@ def shared_signatures(docs: DataFrame, buckets: int, text_col: str = "text") ->
         kinds = {"sig": np.uint32, "who": np.uint32, "role": np.uint8, "band": np.uint8, "spare": np.uint32,
                  "ck": np.uint64, "n": np.uint32}
         col = {c: [np.frombuffer(x, t) for x in table.column(c).to_pylist()] for c, t in kinds.items()}
-        base = np.cumsum([0] + [len(x) for x in col["ck"]])
-        who = np.concatenate([w + np.int64(o) for w, o in zip(col["who"], base)])
-        sig, role = np.concatenate(col["sig"]), np.concatenate(col["role"])
-        band, spare, ck, n = (np.concatenate(col[c]) for c in ("band", "spare", "ck", "n"))
+        base = np.cumsum([0] + [len(x) for x in col["ck"]]).astype(np.uint32)
+        who = np.concatenate([w + o for w, o in zip(col["who"], base)])
+        role, band, spare, ck, n = (np.concatenate(col[c]) for c in ("role", "band", "spare", "ck", "n"))
         # the band is part of what a signature means: 32 stored bits and the band
-        full = sig.astype(np.uint64) << np.uint64(8) | band[who]
-        order = np.argsort(full, kind="stable")
-        full, who, role = full[order], who[order], role[order]
-        new = np.ones(len(full), bool)
-        new[1:] = full[1:] != full[:-1]
-        group = np.cumsum(new) - 1
-        many = np.bincount(group)[group] > 1
-        full, who, role, group = full[many], who[many], role[many], group[many]
+        full = np.concatenate(col["sig"]).astype(np.uint64)
+        del col
+        full <<= np.uint64(8)
+        full |= band[who]
+        # most signatures stand alone, and go before anything else is made of them
+        twice = np.sort(full)
+        twice = np.unique(twice[1:][twice[1:] == twice[:-1]])
+        at = np.concatenate([np.flatnonzero(in_sorted(twice, full[i:i + FLUSH])[1]) + i
+                             for i in range(0, len(full), FLUSH)])
+        full, who, role = full[at], who[at], role[at]
+        group = np.searchsorted(twice, full)
         key = ck[who]
         order = np.lexsort((key, group))
         full, who, role, group, key = (x[order] for x in (full, who, role, group, key))
@@ -330,12 +333,13 @@ def shared_signatures(docs: DataFrame, buckets: int, text_col: str = "text") ->
         bucket = int(table.column("bucket")[0].as_py())
         sid = full[keep].astype(np.int64) + (np.int64(bucket) << 42)
         w = who[keep]
+        give_back()
         return pa.table({"sig": pa.array(sid), "ck": _longs(key[keep]), "n": pa.array(n[w].astype(np.int64)),
                          "role": pa.array(role[keep].astype(np.int32)), "band": pa.array(band[w].astype(np.int32)),
                          "spare": pa.array(spare[w].astype(np.int64)),
                          "freq": pa.array(size[group[keep]].astype(np.int64))})
 
-    blobs = docs.select(docs[text_col].alias("text")).mapInArrow(emit, packed)
+    blobs = docs.select(docs[text_col].alias("text")).mapInArrow(lean(emit), packed)
     return (blobs.repartition(buckets, "bucket").groupBy("bucket")
             .applyInArrow(meet, "sig long, ck long, n long, role int, band int, spare long, freq long"))
 
@@ -384,7 +388,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     joined = (pairs.join(sets.select(F.col("ck").alias("b"), F.col("members").alias("sb")), "b")
               .join(sets.select(F.col("ck").alias("a"), F.col("members").alias("sa")), "a").select("a", "b", "sa", "sb"))
-    return joined.mapInArrow(run, "a long, b long, both long, linked boolean")
+    return joined.mapInArrow(lean(run), "a long, b long, both long, linked boolean")
 
 
 def _references(tested: DataFrame, sets: DataFrame) -> DataFrame:
@@ -524,7 +528,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     [_longs(key[at]), pa.array([sh[so[i]:so[i + 1]].tobytes() for i in at], pa.binary())],
                     names=["ck", "members"])
 
-    sets = materialize(src.select("text").mapInArrow(members, "ck long, members binary")
+    sets = materialize(src.select("text").mapInArrow(lean(members), "ck long, members binary")
                        .join(wanted.select("ck"), "ck", "left_semi").dropDuplicates(["ck"]), "jaccard-sets")
     tested = materialize(_verified(stars, sets), "jaccard-tested")
     links = tested.filter("linked").select("a", "b")

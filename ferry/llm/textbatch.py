@@ -7,6 +7,7 @@ and windows of thousands of documents come from a few numpy calls. Hashes are
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -108,6 +109,26 @@ def in_sorted(table: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.nda
     return i, table[i] == values
 
 
+def give_back() -> None:
+    """Freed memory of this Python worker goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: it keeps what it keeps
+        pass
+
+
+def lean(run):
+    """``run`` over a task's batches. Workers outlive their tasks and stand
+    beside the JVM in one executor's memory, so they end a task small."""
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+    return task
+
+
 #: Rows of an Arrow batch, and the size up to which a side measured at run time is broadcast.
 BATCH_ROWS, RUNTIME_BROADCAST = "4000", "8MB"
 
