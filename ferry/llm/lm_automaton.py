@@ -2,19 +2,20 @@
 
 Tokens are lower-cased words and one end token. All counts come from all
 training rows. The model is a trigram model with absolute discounting over
-the words that hold at least ``STATE_SHARE`` of the training tokens; every
-other word is predicted by its exact unigram count. Contexts are states. An
+every word, bigram and trigram of the training rows. Contexts are states. An
 arc (state, word) has the discounted probability and the next state; a state
 without the arc fails to the state of the shorter context and pays its
-backoff weight; the root has the add-0.1 unigrams. A text is scored by one
-left-to-right walk that carries the state and sums log-probabilities; all
-rows of a batch walk side by side, one token a step.
+backoff weight; the root has the add-0.1 unigrams. The state after a token is
+its last two words, so which arcs and failures a text's path takes follows
+from its own n-grams. An n-gram's weight is its arc less the way that the
+path would take without it, and the backoff weight of the state it leads to;
+a text's score is the sum of the weights of its n-grams.
 
 What is broadcast is bounded by the shares, whatever the corpus: at most
-1 / HOT_SHARE words, 1 / STATE_SHARE of which are states, and 1 / NGRAM_SHARE
-n-grams an order. The counts of all rarer words stay a table; a text's rare
-words meet it in buckets of the words' hash, packed into arrays. A word is
-known by its 64-bit hash.
+1 / HOT_SHARE words and as many n-grams an order, as a cache. All other
+weights and counts stay tables; a text's n-grams meet them in buckets of
+their hash, packed into arrays. A word is known by its 64-bit hash, a bigram
+by a hash of its words and a trigram by one of its bigrams.
 
 Rows: null text counts as empty (the end token alone); repeated rows count
 and are scored each; null ids count as the empty text in the split; without
@@ -32,16 +33,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferry.llm.textbatch import LOWER, MULT, chunks, in_sorted, mix, span_hashes, utf8, words
+from ferry.llm.textbatch import LOWER, MULT, chunks, give_back, in_sorted, lean, mix, span_hashes, utf8, words
 from ferry.plans.sizing import materialize
 
-HOT_SHARE, STATE_SHARE, NGRAM_SHARE = 1e-5, 1e-4, 1e-6
+HOT_SHARE = 1e-5
 ADD, DISCOUNT = 0.1, 0.5
-END_WORD = np.uint64(0x5E7D)  # not the hash of a word, but by chance of 2^-64
+END_WORD, START_WORD = np.uint64(0x5E7D), np.uint64(0x57A7)  # not hashes of words, but by chance of 2^-64
 BUFFER = 3_000_000
 #: Tokens of the corpus for each bucket of rare words.
 BUCKET_TOKENS = 4_000_000
-ORDER3 = 1 << 60
+#: Tokens of the corpus for each bucket of bigrams and trigrams.
+BUCKET_GRAMS = 1_200_000
+#: Table rows packed together by a task.
+FLUSH = 400_000
+LEAST = 1e-9
 
 
 def training(id_col: Column) -> Column:
@@ -91,130 +96,125 @@ def _word_keys(column) -> np.ndarray:
 
 @dataclass
 class Automaton:
-    """Sorted hot words with counts and state ids (-1: none), and the arcs."""
+    """The cache: sorted hot words with counts and backoff weights, and hot n-grams with their weights."""
 
     tokens: int
     distinct: int
     hot: np.ndarray
     hot_n: np.ndarray
-    hot_id: np.ndarray
-    size: int                   # state words, then end, then start
-    arc: np.ndarray | None = None
-    arc_logp: np.ndarray | None = None
-    arc_next: np.ndarray | None = None
-    fail: np.ndarray | None = None
-    backoff: np.ndarray | None = None
-    falls: np.ndarray | None = None  # backoff weights down to the root
-
-    @property
-    def end(self) -> int:
-        return self.size
-
-    @property
-    def width(self) -> int:
-        return self.size + 2
+    hot_bo: np.ndarray
+    gram: np.ndarray
+    gram_w: np.ndarray
 
     @property
     def log_total(self) -> float:
-        return math.log10(self.tokens + ADD * (self.distinct + 1))
+        return _log_total(self.tokens, self.distinct)
+
+    def _at(self, word: np.uint64, values: np.ndarray) -> float:
+        i, there = in_sorted(self.hot, np.array([word]))
+        return float(values[i[0]]) if there[0] else 0.0
 
     def end_count(self) -> int:
-        i, there = in_sorted(self.hot, np.array([END_WORD]))
-        return int(self.hot_n[i[0]]) if there[0] else 0
+        return int(self._at(END_WORD, self.hot_n))
+
+    def start_backoff(self) -> float:
+        return self._at(START_WORD, self.hot_bo)
+
+
+def _log_total(tokens: int, distinct: int) -> float:
+    return math.log10(tokens + ADD * (distinct + 1))
 
 
-def _sequences(model: Automaton, h: np.ndarray, wo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """State word ids of all rows with the start before and the end behind."""
-    i, there = in_sorted(model.hot, h)
+def pair_key(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return mix(first * MULT[1] + second * MULT[2])
+
+
+def triple_key(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Key of a trigram from those of its two bigrams."""
+    return mix(first * MULT[3] + last * MULT[4])
+
+
+def _grams(h: np.ndarray, wo: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(key, row, a, b, bigrams) of all bigrams, then all trigrams of the rows
+    with the start before and the end behind: a and b are the words of a
+    bigram and the bigrams of a trigram."""
     n = len(wo) - 1
-    seq = np.full(len(h) + 2 * n, -1, np.int64)
     off = wo + 2 * np.arange(n + 1)
-    row = np.repeat(np.arange(n), np.diff(wo))
-    seq[np.arange(len(h)) + 2 * row + 1] = np.where(there, model.hot_id[i] if len(model.hot) else -1, -1)
-    seq[off[:-1]] = model.end + 1
-    seq[off[1:] - 1] = model.end
-    return seq, off
-
-
-def _gram_keys(model: Automaton, column) -> np.ndarray:
-    seq, off = _sequences(model, *_hashed(column))
-    m = model.width
-    row = np.repeat(np.arange(len(off) - 1), np.diff(off))
-    two = (row[1:] == row[:-1]) & (seq[1:] >= 0) & (seq[:-1] >= 0)
-    pair = np.where(two, seq[:-1] * m + seq[1:], -1)
-    three = two[:-1] & two[1:]
-    return np.concatenate([pair[two], (pair[:-1] * m + seq[2:])[three] + ORDER3])
-
-
-def _build(model: Automaton, keys: np.ndarray, n: np.ndarray) -> None:
-    m = model.width
-    word_n = np.zeros(m)
-    has = model.hot_id >= 0
-    word_n[model.hot_id[has]] = model.hot_n[has]
-    word_n[model.end] = word_n[model.end + 1] = model.end_count()  # as many starts as ends
-    uni = (word_n + ADD) / 10 ** model.log_total
-    bi = np.argsort(keys[keys < ORDER3])
-    two, two_n = keys[keys < ORDER3][bi], n[keys < ORDER3][bi].astype(float)
-    three, three_n = keys[keys >= ORDER3] - ORDER3, n[keys >= ORDER3].astype(float)
-    a, b = two // m, two % m
-    p2 = (two_n - DISCOUNT) / np.maximum(word_n[a], 1)
-    left = 1 - np.bincount(a, p2, m)
-    bo1 = np.where(np.bincount(a, minlength=m) > 0,
-                   np.maximum(left, 1e-9) / np.maximum(1 - np.bincount(a, uni[b], m), 1e-9), 1.0)
-    ctx = np.unique(three // m)                     # bigrams that are contexts
-    c3, w3 = np.searchsorted(ctx, three // m), three % m
-    at, _ = in_sorted(two, ctx)
-    p3 = (three_n - DISCOUNT) / np.maximum(two_n[at][c3] if len(ctx) else np.zeros(0), 1)
-    mid = ctx % m
-    low_at, low_there = in_sorted(two, mid[c3] * m + w3) if len(three) else (c3, c3 > 0)
-    lower = np.where(low_there, p2[low_at], bo1[mid[c3]] * uni[w3]) if len(three) else np.zeros(0)
-    bo2 = (np.maximum(1 - np.bincount(c3, p3, len(ctx)), 1e-9)
-           / np.maximum(1 - np.bincount(c3, lower, len(ctx)), 1e-9))
-    # states: 0 the root, 1 + w a word, 1 + m + i a bigram context
-    model.fail = np.concatenate([np.zeros(1 + m, np.int64), 1 + mid])
-    model.backoff = np.log10(np.concatenate([[1.0], bo1, bo2]))
-    model.falls = model.backoff + model.backoff[model.fail]
-
-    def target(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-        i, there = in_sorted(ctx, first * m + second)
-        return np.where(there, 1 + m + i, 1 + second)
-
-    w = np.arange(m - 1)  # words and the end
-    arc = np.concatenate([w, (1 + a) * m + b, (1 + m + c3) * m + w3])
-    logp = np.log10(np.concatenate([uni[w], p2, p3]))
-    nxt = np.concatenate([1 + w, target(a, b), target(mid[c3], w3)])
-    order = np.argsort(arc)
-    model.arc, model.arc_logp, model.arc_next = arc[order], logp[order], nxt[order]
-
-
-def walk(model: Automaton, seq: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """Sum of arc and backoff weights by row; words that are no state words
-    add only the way down to the root."""
-    n_tok = np.diff(off) - 1
-    order = np.argsort(-n_tok, kind="stable")
-    first = off[:-1][order] + 1
-    score = np.zeros(len(order))
-    state = np.full(len(order), 1 + model.end + 1)  # after the start
-    m = model.width
-    length = n_tok[order]
-    for t in range(int(length[0]) if len(length) else 0):
-        n = int(np.searchsorted(-length, -t, "left"))
-        w, s = seq[first[:n] + t], state[:n]
-        other = np.flatnonzero(w < 0)
-        score[other] += model.falls[s[other]]
-        todo = np.flatnonzero(w >= 0)
-        while len(todo):
-            at, there = in_sorted(model.arc, s[todo] * m + w[todo])
-            hit, miss = todo[there], todo[~there]
-            score[hit] += model.arc_logp[at[there]]
-            s[hit] = model.arc_next[at[there]]
-            score[miss] += model.backoff[s[miss]]
-            s[miss] = model.fail[s[miss]]
-            todo = miss
-        s[other] = 0
-    out = np.empty(len(order))
-    out[order] = score
-    return out
+    seq = np.empty(len(h) + 2 * n, np.uint64)
+    own = np.repeat(np.arange(n), np.diff(wo))
+    seq[np.arange(len(h)) + 2 * own + 1] = h
+    seq[off[:-1]], seq[off[1:] - 1] = START_WORD, END_WORD
+    row = np.repeat(np.arange(n), np.diff(off))
+    inner = row[1:] == row[:-1]
+    pair = pair_key(seq[:-1], seq[1:])
+    two, three = np.flatnonzero(inner), np.flatnonzero(inner[:-1] & inner[1:])
+    return (np.concatenate([pair[two], triple_key(pair[three], pair[three + 1])]), np.concatenate([row[two], row[three]]),
+            np.concatenate([seq[two], pair[three]]), np.concatenate([seq[two + 1], pair[three + 1]]), len(two))
+
+
+def _gram_counts(rows: DataFrame) -> DataFrame:
+    """(three, a, b, n) of all bigrams and trigrams, summed in each task before the shuffle."""
+    def summed(kept):
+        key, a, b, three = (np.concatenate(x) for x in zip(*kept))
+        _, one, n = np.unique(key, return_index=True, return_counts=True)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(three[one]), pa.array(a[one].view(np.int64)), pa.array(b[one].view(np.int64)), _long(n)],
+            names=["three", "a", "b", "n"])
+
+    def run(batches):
+        kept, size = [], 0
+        for batch in batches:
+            data, off = utf8(batch.column(0))
+            for lo, hi in chunks(off):
+                key, _, a, b, pairs = _grams(*_hashed(batch.column(0).slice(lo, hi - lo)))
+                kept.append((key, a, b, np.arange(len(key)) >= pairs))
+                size += len(key)
+                if size > BUFFER:
+                    yield summed(kept)
+                    kept, size = [], 0
+        if size:
+            yield summed(kept)
+
+    return (rows.mapInArrow(lean(run), "three boolean, a long, b long, n long")
+            .groupBy("three", "a", "b").agg(F.sum("n").alias("n")))
+
+
+def _weights(counts: DataFrame, grams: DataFrame, tokens: int, distinct: int,
+             ends: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(key, n, bo) of all words and the start, (a, n, w) of all bigrams, a the
+    key, and (a, b, n, w) of all trigrams, a and b the keys of their bigrams."""
+    spark = counts.sparkSession
+
+    def keyed(batches):
+        for b in batches:
+            v, w = (b.column(i).to_numpy().view(np.uint64) for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(pair_key(v, w).view(np.int64)), *b.columns], names=["k", "v", "w", "n"])
+
+    def backoff(left, taken):
+        return F.log10(F.greatest(left, F.lit(LEAST)) / F.greatest(1 - taken, F.lit(LEAST)))
+
+    start = spark.range(1).select(F.lit(int(START_WORD)).cast("long").alias("key"), F.lit(max(ends, 1)).cast("long").alias("n"))
+    words = counts.select("key", "n").unionByName(start)  # as many starts as ends
+    uni = (F.col("next_n") + ADD) / F.lit(10 ** _log_total(tokens, distinct))
+    bi = grams.filter("not three").select("a", "b", "n").mapInArrow(keyed, "k long, v long, w long, n long")
+    bi = materialize(bi.join(words.select(F.col("key").alias("w"), F.col("n").alias("next_n")), "w")
+                     .select("k", "v", "n", "next_n"), "lm-bigrams")
+    after = bi.groupBy(F.col("v").alias("key")).agg(F.count(F.lit(1)).alias("t"), F.sum(uni).alias("taken"))
+    words = materialize(words.join(after, "key", "left").select(
+        "key", "n", F.coalesce(backoff(DISCOUNT * F.col("t") / F.col("n"), F.col("taken")), F.lit(0.0)).alias("bo")), "lm-words")
+    p2 = F.log10((F.col("n") - DISCOUNT) / F.col("c1"))
+    bi = materialize(bi.join(words.select(F.col("key").alias("v"), F.col("n").alias("c1"), "bo"), "v")
+                     .select("k", "n", "next_n", p2.alias("p2"), (p2 - F.col("bo") - F.log10(uni)).alias("more")), "lm-bigrams")
+    low = bi.select(F.col("k").alias("b"), F.col("n").alias("low_n"), "p2")
+    tri = materialize(grams.filter("three").select("a", "b", "n").join(low, "b").select(
+        "a", "b", "n", "low_n", (F.log10(F.col("n") - DISCOUNT) - F.col("p2")).alias("more")), "lm-trigrams")
+    after = tri.groupBy(F.col("a").alias("k")).agg(F.count(F.lit(1)).alias("t"), F.sum("low_n").alias("low"))
+    mass = DISCOUNT * F.col("t")
+    bo = F.coalesce(backoff(mass / F.col("n"), (F.col("low") - mass) / F.col("next_n")), F.lit(0.0))
+    bi = materialize(bi.join(after, "k", "left").select(
+        F.col("k").alias("a"), "n", (F.col("more") + bo).alias("w"), (F.log10("n") + bo).alias("less")), "lm-bigrams")
+    tri = tri.join(bi.select("a", "less"), "a").select("a", "b", "n", (F.col("more") - F.col("less")).alias("w"))
+    return words, bi.select("a", "n", "w"), tri
 
 
 def _long(x: np.ndarray) -> pa.Array:
@@ -239,20 +239,20 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     learn = docs.filter(training(docs[id_col])).select(docs[text_col].alias("text"))
     counts = materialize(_summed(learn, _word_keys), "lm-words")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    end = int(END_WORD)
-    is_hot = (F.col("n") >= F.lit(HOT_SHARE * total["n"])) | (F.col("key") == end)
-    hot = counts.filter(is_hot).toPandas()  # at most 1 / HOT_SHARE rows and the end token
-    hot_h = hot["key"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(hot_h)
-    hot_h, hot_n = hot_h[order], hot["n"].to_numpy(np.int64)[order]
-    is_state = (hot_n >= STATE_SHARE * total["n"]) & (hot_h != END_WORD)
-    model = Automaton(int(total["n"]), int(total["v"]), hot_h, hot_n,
-                      np.where(is_state, np.cumsum(is_state) - 1, -1), int(is_state.sum()))
-    small = spark.sparkContext.broadcast(model)
-    least = max(2, math.ceil(NGRAM_SHARE * total["n"]))
-    grams = _summed(learn, lambda c: _gram_keys(small.value, c).view(np.uint64))
-    kept = grams.filter(F.col("n") >= least).toPandas()  # at most 1 / NGRAM_SHARE rows an order
-    _build(model, kept["key"].to_numpy(np.int64), kept["n"].to_numpy(np.int64))
+    tokens, distinct = int(total["n"]), int(total["v"])
+    ends = counts.filter(F.col("key") == int(END_WORD)).first()
+    grams = materialize(_gram_counts(learn), "lm-grams")
+    known_words, two, three = _weights(counts, grams, tokens, distinct, ends["n"] if ends else 0)
+    least = F.col("n") >= F.lit(HOT_SHARE * tokens)
+    is_hot = least | F.col("key").isin(int(END_WORD), int(START_WORD))
+    hot = known_words.filter(is_hot).toPandas().sort_values(
+        "key", key=lambda k: k.to_numpy(np.int64).view(np.uint64))  # at most 1 / HOT_SHARE rows, the end and the start
+    hot_two, hot_three = two.filter(least).toPandas(), three.filter(least).toPandas()  # at most 1 / HOT_SHARE rows each
+    gram = np.concatenate([hot_two["a"].to_numpy(np.int64).view(np.uint64),
+                           triple_key(*(hot_three[c].to_numpy(np.int64).view(np.uint64) for c in "ab"))])
+    order = np.argsort(gram)
+    model = Automaton(tokens, distinct, hot["key"].to_numpy(np.int64).view(np.uint64), hot["n"].to_numpy(np.int64),
+                      hot["bo"].to_numpy(float), gram[order], np.concatenate([hot_two["w"], hot_three["w"]])[order].astype(float))
     sent = spark.sparkContext.broadcast(model)
     kind = src.schema["id"].dataType.simpleString()
 
@@ -264,29 +264,44 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             i, there = in_sorted(model.hot, h)
             row = np.repeat(np.arange(len(wo) - 1), np.diff(wo))
             n_rows = len(wo) - 1
-            seq, off = _sequences(model, h, wo)
-            walked = walk(model, seq, off)
             value = log_n[i] if len(model.hot) else np.zeros(len(h))
             base = np.bincount(row[there], value[there], n_rows) + math.log10(model.end_count() + ADD)
-            # hot words that are no state words: their unigrams
-            alone = there & ((model.hot_id[i] if len(model.hot) else -1) < 0)
-            walked = walked + np.bincount(row[alone], value[alone] - model.log_total, n_rows)
+            walked = np.bincount(row[there], model.hot_bo[i][there], n_rows) + model.start_backoff()
+            for lo, hi in chunks(wo, BUFFER):
+                key, at, _, _, _ = _grams(h[wo[lo]:wo[hi]], wo[lo:hi + 1] - wo[lo])
+                j, cached = in_sorted(model.gram, key)
+                walked[lo:hi] += np.bincount(at[cached], model.gram_w[j[cached]], hi - lo)
             known = np.bincount(row[there], minlength=n_rows) + (model.end_count() > 0)
-            rare = np.bincount(row[~there], minlength=n_rows)
             yield pa.RecordBatch.from_arrays(
-                [b.column(3), b.column(1), b.column(2), _long(np.diff(wo) + 1), _long(known), _long(rare),
+                [b.column(3), b.column(1), b.column(2), _long(np.diff(wo) + 1), _long(known),
                  pa.array(base), pa.array(walked)],
-                names=["rid", "id", "held_out", "n_tokens", "known", "rare", "base", "walked"])
-
-    # Rare words: (bucket, base row id, sorted hashes, row numbers, counts) packed by batch.
-    buckets = max(8, total["n"] // BUCKET_TOKENS)
-    packed = "bucket int, base long, words binary, rows binary, n binary"
-
-    def rare_words(batches):
+                names=["rid", "id", "held_out", "n_tokens", "known", "base", "walked"])
+
+    # What isn't cached: (bucket, base row id, sorted hashes, row numbers, counts) packed by batch;
+    # buckets of words first, then buckets of n-grams.
+    word_buckets, gram_buckets = int(max(8, tokens // BUCKET_TOKENS)), int(max(8, tokens // BUCKET_GRAMS))
+    packed = "bucket int, base long, words binary, rows binary, n binary, w binary"
+
+    def pack(first, buckets, base, h, rows=None, n=None, w=None):
+        cuts = _bucketed(h, buckets)
+        used = np.flatnonzero(np.diff(cuts))
+        none = pa.array([b""] * len(used), pa.binary())
+        return pa.RecordBatch.from_arrays(
+            [pa.array((used + first).astype(np.int32)), pa.array([base] * len(used), pa.int64()), _cells(h, cuts, used),
+             *[none if x is None else _cells(x, cuts, used) for x in (rows, n, w)]],
+            names=["bucket", "base", "words", "rows", "n", "w"])
+
+    def asked(batches):
         model = sent.value
         for b in batches:
-            rid = b.column(1).to_numpy()
+            base = int(b.column(1)[0].as_py()) if len(b.column(1)) else 0
             h, wo = _hashed(b.column(0))
+            for lo, hi in chunks(wo, BUFFER):
+                key, row, _, _, _ = _grams(h[wo[lo]:wo[hi]], wo[lo:hi + 1] - wo[lo])
+                _, there = in_sorted(model.gram, key)
+                key, row = key[~there], row[~there]
+                order = np.argsort(key)
+                yield pack(word_buckets, gram_buckets, base, key[order], (row[order] + lo).astype(np.uint32))
             _, there = in_sorted(model.hot, h)
             row = np.repeat(np.arange(len(wo) - 1), np.diff(wo))[~there]
             h = h[~there]
@@ -298,68 +313,84 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             one[code] = np.arange(len(h))
             h, row = h[one], row[one]
             order = np.argsort(h)
-            h, row, tf = h[order], row[order].astype(np.uint32), tf[order].astype(np.uint32)
-            cuts = _bucketed(h, buckets)
-            used = np.flatnonzero(np.diff(cuts))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(used.astype(np.int32)), pa.array([int(rid[0])] * len(used), pa.int64()),
-                 _cells(h, cuts, used), _cells(row, cuts, used), _cells(tf, cuts, used)],
-                names=["bucket", "base", "words", "rows", "n"])
+            yield pack(0, word_buckets, base, h[order], row[order].astype(np.uint32), tf[order].astype(np.uint32))
 
-    def count_cells(batches):
+    def gathered(batches, size=FLUSH):
+        kept, held = [], 0
         for b in batches:
-            h = b.column(0).to_numpy().view(np.uint64)
+            kept.append([c.to_numpy() for c in b.columns])
+            held += b.num_rows
+            if held >= size:
+                yield [np.concatenate(x) for x in zip(*kept)]
+                kept, held = [], 0
+        if held:
+            yield [np.concatenate(x) for x in zip(*kept)]
+
+    def word_cells(batches):
+        for key, n, bo in gathered(batches):
+            h = key.view(np.uint64)
             order = np.argsort(h)
-            h, n = h[order], b.column(1).to_numpy()[order]
-            cuts = _bucketed(h, buckets)
-            used = np.flatnonzero(np.diff(cuts))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(used.astype(np.int32)), pa.array([-1] * len(used), pa.int64()), _cells(h, cuts, used),
-                 pa.array([b""] * len(used), pa.binary()), _cells(n, cuts, used)],
-                names=["bucket", "base", "words", "rows", "n"])
+            yield pack(0, word_buckets, -1, h[order], None, n[order], bo[order])
+
+    def gram_cells(batches):
+        for *parts, w in gathered(batches):
+            parts = [x.view(np.uint64) for x in parts]
+            h = parts[0] if len(parts) == 1 else triple_key(*parts)
+            order = np.argsort(h)
+            yield pack(word_buckets, gram_buckets, -1, h[order], None, None, w[order])
 
     def look_up(table):
+        is_words = table.column("bucket")[0].as_py() < word_buckets
         base = table.column("base").to_numpy()
-        cell = {c: table.column(c).to_pylist() for c in ("words", "rows", "n")}
+        cell = {c: table.column(c).to_pylist() for c in ("words", "rows", "n", "w")}
         own = np.flatnonzero(base < 0)
-        known = np.concatenate([np.frombuffer(cell["words"][i], np.uint64) for i in own] or [np.zeros(0, np.uint64)])
-        n = np.concatenate([np.frombuffer(cell["n"][i], np.int64) for i in own] or [np.zeros(0, np.int64)])
+
+        def stored(name, kind):
+            return np.concatenate([np.frombuffer(cell[name][i], kind) for i in own] or [np.zeros(0, kind)])
+
+        known, w = stored("words", np.uint64), stored("w", np.float64)
         order = np.argsort(known)
-        known, n = known[order], n[order]
+        known, w = known[order], w[order]
+        n = stored("n", np.int64)[order] if is_words else None
         out = []
         for i in np.flatnonzero(base >= 0):
             h = np.frombuffer(cell["words"][i], np.uint64)
             row = np.frombuffer(cell["rows"][i], np.uint32)
-            tf = np.frombuffer(cell["n"][i], np.uint32)
+            tf = np.frombuffer(cell["n"][i], np.uint32) if is_words else 1
             at, there = in_sorted(known, h)
-            c = np.where(there, n[at], 0) if len(known) else np.zeros(len(h), np.int64)
+            weight = np.where(there, w[at], 0.0) if len(known) else np.zeros(len(h))
             u, inv = np.unique(row, return_inverse=True)
-            out.append((int(base[i]), u.tobytes(), np.bincount(inv, tf * np.log10(c + ADD)).tobytes(),
-                        np.bincount(inv, tf * (c > 0)).astype(np.int64).tobytes()))
-        cols = list(zip(*out)) if out else [[], [], [], []]
-        return pa.table({"base": pa.array(cols[0], pa.int64()), "rows": pa.array(cols[1], pa.binary()),
-                         "s": pa.array(cols[2], pa.binary()), "k": pa.array(cols[3], pa.binary())})
+            s, k = np.zeros(len(u)), np.zeros(len(u), np.int64)
+            if is_words:
+                c = np.where(there, n[at], 0) if len(known) else np.zeros(len(h), np.int64)
+                s, k = np.bincount(inv, tf * np.log10(c + ADD)), np.bincount(inv, tf * (c > 0)).astype(np.int64)
+            out.append((int(base[i]), u.tobytes(), s.tobytes(), k.tobytes(), np.bincount(inv, tf * weight).tobytes()))
+        cols = list(zip(*out)) if out else [[], [], [], [], []]
+        give_back()
+        return pa.table({"base": pa.array(cols[0], pa.int64()),
+                         **{c: pa.array(x, pa.binary()) for c, x in zip(("rows", "s", "k", "w"), cols[1:])}})
 
     def by_row(table):
-        rows = np.concatenate([np.frombuffer(x, np.uint32) for x in table.column("rows").to_pylist()])
-        s = np.concatenate([np.frombuffer(x, np.float64) for x in table.column("s").to_pylist()])
-        k = np.concatenate([np.frombuffer(x, np.int64) for x in table.column("k").to_pylist()])
+        rows, s, k, w = (np.concatenate([np.frombuffer(x, t) for x in table.column(c).to_pylist()])
+                         for c, t in (("rows", np.uint32), ("s", np.float64), ("k", np.int64), ("w", np.float64)))
         u, inv = np.unique(rows, return_inverse=True)
         return pa.table({"rid": _long(table.column("base")[0].as_py() + u.astype(np.int64)),
-                         "rare_base": pa.array(np.bincount(inv, s)), "rare_known": _long(np.bincount(inv, k))})
-
-    cells = src.select("text", "rid").mapInArrow(rare_words, packed).unionByName(
-        counts.filter(~is_hot).select("key", "n").mapInArrow(count_cells, packed))
-    sums = (cells.repartition(int(buckets), "bucket").groupBy("bucket")
-            .applyInArrow(look_up, "base long, rows binary, s binary, k binary")
-            .groupBy("base").applyInArrow(by_row, "rid long, rare_base double, rare_known long"))
-    here = src.mapInArrow(local, f"rid long, id {kind}, held_out boolean, n_tokens long, known long, rare long, "
+                         "rare_base": pa.array(np.bincount(inv, s)), "rare_known": _long(np.bincount(inv, k)),
+                         "rare_walked": pa.array(np.bincount(inv, w))})
+
+    cells = (src.select("text", "rid").mapInArrow(lean(asked), packed)
+             .unionByName(known_words.filter(~is_hot).select("key", "n", "bo").mapInArrow(lean(word_cells), packed))
+             .unionByName(two.filter(~least).select("a", "w").mapInArrow(lean(gram_cells), packed))
+             .unionByName(three.filter(~least).select("a", "b", "w").mapInArrow(lean(gram_cells), packed)))
+    sums = (cells.repartition(word_buckets + gram_buckets, "bucket").groupBy("bucket")
+            .applyInArrow(look_up, "base long, rows binary, s binary, k binary, w binary")
+            .groupBy("base").applyInArrow(by_row, "rid long, rare_base double, rare_known long, rare_walked double"))
+    here = src.mapInArrow(local, f"rid long, id {kind}, held_out boolean, n_tokens long, known long, "
                                  "base double, walked double")
-    rare_base = F.coalesce("rare_base", F.lit(0.0))
     z = F.lit(model.log_total)
+    base_score = F.col("base") + F.coalesce("rare_base", F.lit(0.0)) - F.col("n_tokens") * z
     return here.join(sums, "rid", "left").select(
         F.col("id").alias(id_col), "held_out", "n_tokens",
         (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-        F.lit(int(total["n"])).cast("long").alias("train_tokens"),
-        (F.col("base") + rare_base - F.col("n_tokens") * z).alias("base_score"),
-        (F.col("walked") + rare_base - F.col("rare") * z).alias("score"))
+        F.lit(tokens).cast("long").alias("train_tokens"), base_score.alias("base_score"),
+        (base_score + F.col("walked") + F.coalesce("rare_walked", F.lit(0.0))).alias("score"))
