@@ -144,6 +144,42 @@ def stringify(data) -> Column:
     return F.make_valid_utf8(_col(data).cast("string"))
 
 
+# Hex of a text's last bytes when they begin a UTF-8 character
+# of two to four bytes that isn't whole yet, by how many of its bytes are there.
+OPEN_ENDS = {1: "(C[2-9A-F]|D[0-9A-F]|E[0-9A-F]|F[0-4])$",
+             2: "(E[0-9A-F]|F[0-4])[89AB][0-9A-F]$",
+             3: "F[0-4]([89AB][0-9A-F]){2}$"}
+#: Bytes before a chunk that can belong to its first character.
+EDGE_BYTES = 3
+
+
+def last_bytes(data, n=EDGE_BYTES) -> Column:
+    """The last ``n`` bytes (a number or column), or all of a shorter value."""
+    d = _col(data)
+    n = F.least(n if isinstance(n, Column) else F.lit(n), F.octet_length(d))
+    return F.substring(d, F.octet_length(d) - n + 1, n)
+
+
+def open_bytes(data) -> Column:
+    """How many bytes at the end (0 to 3) begin a character that is not whole."""
+    h = F.hex(last_bytes(data))
+    out = F.lit(0)
+    for n, pattern in OPEN_ENDS.items():
+        out = F.when(h.rlike(pattern), F.lit(n)).otherwise(out)
+    return F.coalesce(out, F.lit(0))
+
+
+def stringify_between(data, before, last) -> Column:
+    """C5 for a chunk of a longer payload: the text of the characters that end
+    in this chunk. ``before``: up to EDGE_BYTES bytes of the payload in front
+    of it (null: none), ``last``: nothing follows it. The texts of all chunks
+    one after the other are the text of the payload, wherever it was cut."""
+    front = F.coalesce(_col(before), F.lit(b""))
+    whole = F.concat(last_bytes(front, open_bytes(front)), _col(data))
+    ends = F.when(_col(last), F.lit(0)).otherwise(open_bytes(whole))
+    return stringify(F.substring(whole, F.lit(1), F.octet_length(whole) - ends))
+
+
 def drop_payload() -> Column:
     """The payload column after stringifying (null bytes)."""
     return F.lit(None).cast("binary").alias("data")

@@ -7,24 +7,33 @@ shuffle, no state, and work is spread exactly like the input partitions.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ferry.functions import envelope as env
+from ferry.plans.sizing import broadcast_if_small, materialize
+
+#: Columns of a chunk's neighbourhood.
+BEFORE, LAST = "_before", "_last"
 # Fixed value: the producer's block size, 1 MiB.
 DEFAULT_CHUNK_BYTES = 1024 * 1024
 
 
 def chunk_column(df: DataFrame, payload, chunk_bytes: int = DEFAULT_CHUNK_BYTES,
                  keep: list[str] | tuple[str, ...] = (), seq_col: str = "seq",
-                 data_col: str = "data") -> DataFrame:
+                 data_col: str = "data", edges: bool = False) -> DataFrame:
     """Cut a text or binary column into ``chunk_bytes`` pieces.
 
     Text is cut on its UTF-8 bytes, so a character may be split across two
     chunks (as the reference does). An empty or null payload gives no chunk;
-    the last chunk of a payload is short. Output: ``keep`` + seq + data.
+    the last chunk of a payload is short. Output: ``keep`` + seq + data, and
+    with ``edges`` what the text of a chunk needs of its neighbours: the bytes
+    before it (``_before``) and whether it ends the payload (``_last``).
     """
     if chunk_bytes <= 0:
         raise ValueError("chunk_bytes must be positive")
@@ -35,13 +44,66 @@ def chunk_column(df: DataFrame, payload, chunk_bytes: int = DEFAULT_CHUNK_BYTES,
     with_bytes = df.select(*[F.col(k) for k in keep], b.alias("_b")).where(F.octet_length("_b") > 0)
     seqs = F.sequence(F.lit(0).cast("long"), F.floor((F.octet_length("_b") - 1) / n).cast("long"))
     exploded = with_bytes.select(*keep, "_b", F.explode(seqs).alias(seq_col))
+    at = F.col(seq_col) * n
+    front = F.least(at, F.lit(env.EDGE_BYTES))
     return exploded.select(
         *keep,
         F.col(seq_col),
-        F.substring(F.col("_b"), F.col(seq_col) * n + 1, n).alias(data_col),
+        F.substring(F.col("_b"), at + 1, n).alias(data_col),
+        *([F.substring(F.col("_b"), at - front + 1, front).alias(BEFORE),
+           (at + n >= F.octet_length("_b")).alias(LAST)] if edges else []),
     )
 
 
+def with_edges(messages: DataFrame) -> DataFrame:
+    """Messages that are chunks of payloads, with ``_before`` and ``_last``
+    (see ``chunk_column``), for messages that come without them, as from a
+    queue. A payload is what one source sent in one queue of a connection; its
+    chunks follow each other by ``seq``.
+
+    A chunk that ends inside a character, or is shorter than one, hands its
+    last bytes to the next three ``seq`` by an equi-join; a receiver takes
+    those that reach up to it. Only keys and last bytes are written and joined,
+    never a payload in one cell; where no chunk ends inside a character (ASCII,
+    whole texts) nothing is joined at all. A chunk sent twice counts once.
+    """
+    keys = ["connection_id", "queue", "_source"]
+    named = messages.withColumn("_source", F.col("metadata.source"))
+    ends = materialize(named.select(*keys, "seq", env.last_bytes("data").alias("_end"),
+                                    F.octet_length("data").alias("_n")), "chunk-ends")
+    cut = ends.where((env.open_bytes("_end") > 0) | (F.col("_n") < env.EDGE_BYTES))
+    if cut.isEmpty():
+        return named.withColumn(BEFORE, F.lit(None).cast("binary")).withColumn(LAST, F.lit(True)).drop("_source")
+    k = [F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)]
+    near = range(1, env.EDGE_BYTES + 1)
+    handed = cut.select(*k, "seq", F.hex("_end").alias("_h"), F.explode(F.array(*map(F.lit, near))).alias("_d"))
+    given = handed.groupBy(*[f"_k{i}" for i in range(3)], (F.col("seq") + F.col("_d")).alias("_seq")).agg(
+        *[F.max(F.when(F.col("_d") == d, F.col("_h"))).alias(f"_h{d}") for d in near])
+    # the chunk before, and where that is shorter than a character the ones before it
+    front = F.lit("")
+    for d in reversed(near):
+        own = F.coalesce(f"_h{d}", F.lit(""))
+        front = F.when(F.col(f"_h{d}").isNull(), F.lit("")).when(F.length(own) < 2 * env.EDGE_BYTES, F.concat(front, own)).otherwise(own)
+    given = given.select(*[f"_k{i}" for i in range(3)], "_seq", F.unhex(front).alias(BEFORE))
+    # a chunk whose next one never came keeps its open bytes
+    follows = cut.select(*k, (F.col("seq") + 1).alias("_seq"))
+
+    def same(left, right):
+        on = [left[c].eqNullSafe(right[f"_k{i}"]) for i, c in enumerate(keys)]
+        return reduce(and_, [*on, left["seq"] == right["_seq"]])
+
+    side = broadcast_if_small(follows, name="chunk-follows")
+    went_on = ends.join(side, same(ends, side), "left_semi").select(*k, (F.col("seq") - 1).alias("_seq"))
+    both = given.unionByName(went_on.withColumn(BEFORE, F.lit(None).cast("binary")).withColumn("_next", F.lit(True)),
+                             allowMissingColumns=True)
+    both = both.groupBy(*[f"_k{i}" for i in range(3)], "_seq").agg(
+        F.max(BEFORE).alias(BEFORE), F.coalesce(F.max("_next"), F.lit(False)).alias("_next"))
+    side = broadcast_if_small(both, materialize_first=True, name="chunk-edges")
+    joined = named.join(side, same(named, side), "left")
+    return (joined.withColumn(LAST, ~F.coalesce(F.col("_next"), F.lit(False)))
+            .drop("_source", "_next", "_seq", *[f"_k{i}" for i in range(3)]))
+
+
 def reassemble(chunks: DataFrame, keys: list[str], seq_col: str = "seq",
                data_col: str = "data", out_col: str = "data") -> DataFrame:
     """Join the chunks of each key back into one payload, in ``seq`` order.

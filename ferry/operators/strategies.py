@@ -84,10 +84,14 @@ def incremental_by_connection(df: DataFrame, state: DataFrame, cursor: str,
                               state_cursor_col: str = "cursor") -> DataFrame:
     """K2 for many connections: join the state (one row per connection,
     broadcast under a proven bound) and keep ``cursor > state.cursor``;
-    connections without state take all rows."""
-    st = broadcast_if_small(state.select(F.col(conn_col), F.col(state_cursor_col).alias("_state")))
-    j = df.join(st, conn_col, "left")
-    return j.where(F.col("_state").isNull() | (F.col(cursor) > F.col("_state"))).drop("_state")
+    connections without state take all rows. A connection whose stored cursor
+    is null has been synced: its rows with a cursor are new, those without
+    one went in its first sync."""
+    st = broadcast_if_small(state.select(F.col(conn_col).alias("_conn"), F.col(state_cursor_col).alias("_state"),
+                                         F.lit(True).alias("_synced")))
+    j = df.join(st, df[conn_col] == st["_conn"], "left")
+    newer = F.col(cursor).isNotNull() & (F.col("_state").isNull() | (F.col(cursor) > F.col("_state")))
+    return j.where(F.col("_synced").isNull() | newer).select(*[df[c] for c in df.columns])
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], order_by: list[str | Column],

@@ -29,6 +29,9 @@ from ferry.sources import queue_source
 # Fixed query parameters.
 DOC_CHUNK_BYTES = 1024
 FILE_CHUNK_BYTES = 1024 * 1024
+TEXT_CHUNK_BYTES = 1000
+#: Lines of a file that queries write as a source.
+LINES_PER_FILE = 500
 SYNC_BOUNDARY = dt.datetime(2024, 1, 15, 0, 0, 0)
 OVERRIDDEN = ("click", "view")
 #: Hash buckets of an upserted events target.
@@ -258,7 +261,7 @@ def json_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     stringify, drop bytes) into NDJSON by connection, read back."""
     msgs = _event_messages(_t(spark, sf_dir, "events"), with_markers=True)
     out = new_run_dir(spark, "json-load")
-    json_loader.load(msgs, out)
+    json_loader.load(msgs, out, chunked=False)  # an event is a payload of its own
     back = json_loader.read_back(spark, out)
     return back.select("connection_id", "queue", "seq", "stringified_data",
                        F.col("metadata.source").alias("source"),
@@ -267,6 +270,19 @@ def json_load(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("data").isNull().alias("data_is_null"))
 
 
+def queue_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C5 + B2 behind a queue: documents cut into 1 KiB chunks, published,
+    consumed and loaded as NDJSON. Characters that a cut divided are whole:
+    the chunks read back one after the other are the text."""
+    landing, out = new_run_dir(spark, "queue-text"), new_run_dir(spark, "queue-text-out")
+    queue_sink.publish(_doc_messages(spark, sf_dir), landing)
+    json_loader.load(q.good(queue_source.consume(spark, landing)), out)
+    back = json_loader.read_back(spark, out).groupBy(F.col("queue").cast("long").alias("doc_id")).agg(
+        F.array_sort(F.collect_list(F.struct("seq", "stringified_data"))).alias("_c"))
+    return back.select("doc_id", F.size("_c").cast("long").alias("n_chunks"),
+                       F.array_join(F.transform("_c", lambda c: c["stringified_data"]), "").alias("text"))
+
+
 def file_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1: the table files themselves read as 1 MiB byte chunks."""
     chunks = fc.read_file_chunks(spark, f"{sf_dir.rstrip('/')}/*.parquet", FILE_CHUNK_BYTES)
@@ -455,6 +471,32 @@ def run_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_connection(spark, "c1", sources, loaders, conns)
 
 
+def _document_files(spark, sf_dir, name):
+    """The documents as files of JSON lines, written by Spark."""
+    place = new_run_dir(spark, name)
+    lines = _t(spark, sf_dir, "documents", spread_rows=True).select(F.to_json(F.struct("doc_id", "text")).alias("value"))
+    lines.write.option("maxRecordsPerFile", str(LINES_PER_FILE)).text(place)
+    return place
+
+
+def run_sync_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 on text: files of JSON lines are copied by the file extractor in
+    chunks of 1,000 bytes, which cut lines and characters anywhere. The NDJSON
+    read back, a file's chunks one after the other, holds the same lines."""
+    from ferry.plans.run import run_connection, single_connection_registry
+    out = new_run_dir(spark, "run-sync-text-out")
+    registry = single_connection_registry(spark, "text", cfg.FILE_EXTRACTOR,
+                                          {"url": _document_files(spark, sf_dir, "run-sync-text")},
+                                          cfg.JSON_LOADER, {"path": out})
+    run_connection(spark, "text", *registry, chunk_bytes=TEXT_CHUNK_BYTES)
+    # at most LINES_PER_FILE lines in a cell
+    files = json_loader.read_back(spark, out).groupBy("metadata.source").agg(
+        F.array_sort(F.collect_list(F.struct("seq", "stringified_data"))).alias("_c"))
+    text = F.array_join(F.transform("_c", lambda c: c["stringified_data"]), "")
+    lines = files.select(F.explode(F.split(text, "\n")).alias("line")).where("line <> ''")
+    return lines.select(F.from_json("line", "doc_id bigint, text string").alias("d")).select("d.*")
+
+
 def run_scheduled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A scheduled connection per table file of the scale directory,
     plus a second connection on the documents file; every file is read
@@ -501,6 +543,8 @@ QUERIES = {
     "sync_append_runs": sync_append_runs,
     "sync_upsert_runs": sync_upsert_runs,
     "json_load": json_load,
+    "queue_text": queue_text,
+    "run_sync_text": run_sync_text,
     "file_chunks": file_chunks,
     "map_chunks": map_chunks,
     "queue_consume": queue_consume,

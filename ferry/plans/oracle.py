@@ -192,6 +192,12 @@ SELECT 'events' AS connection_id, CAST(user_id AS VARCHAR) AS queue, event_id AS
        ts AS created_at, true AS data_is_null
 FROM ({_UNTIL_END})""",
 
+    "queue_text": """
+SELECT doc_id, CAST((octet_length(encode(text)) + 1023) // 1024 AS BIGINT) AS n_chunks, text
+FROM documents WHERE octet_length(encode(text)) > 0""",
+
+    "run_sync_text": "SELECT doc_id, text FROM documents",
+
     "file_chunks": """
 SELECT parse_filename(filename) AS file, CAST(seq AS BIGINT) AS seq,
        CAST(octet_length(chunk) AS BIGINT) AS n_bytes, md5(chunk) AS data_md5

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ferry.functions import config as cfg
 from ferry.functions import envelope as env
 from ferry.operators import registry as reg
-from ferry.operators.chunks import chunk_column
+from ferry.operators.chunks import BEFORE, LAST, chunk_column
 from ferry.plans import sync
 from ferry.plans.sizing import broadcast_if_small, materialize
 from ferry.sinks import json_loader, snapshot
@@ -136,7 +136,7 @@ def run_connection(spark: SparkSession, connection_id: str, sources: DataFrame,
     messages = env.build_messages(
         chunks, data=F.col("data"), source=label, destination=r["loader_name"],
         connection_id=connection_id, queue=cfg.queue_name(F.lit(r["source_type"]), F.lit(connection_id)),
-        seq=F.col("seq"))
+        seq=F.col("seq"), keep=[c for c in (BEFORE, LAST) if c in chunks.columns])
     write_fn(messages, loader_cfg, observation=counts)
     n_read, n_loaded = counts.get["read"], counts.get["loaded"]
     return spark.createDataFrame([(connection_id, n_read, n_loaded, n_read - n_loaded)], REPORT_SCHEMA)
@@ -195,9 +195,9 @@ def run_scheduled(spark: SparkSession, sources: DataFrame, loaders: DataFrame, c
         p = read_pages(spark, pages)
         sides = broadcast_if_small(runnable.where(F.col("source_type") == cfg.WEB_SCRAPER), name="page-connections")
         cut = chunk_column(p.join(sides, p["url"] == F.col("_url")), "data", chunk_bytes,
-                           keep=["page_id", "connection_id", "_url", "_out", "loader_name", "queue"], seq_col="_s")
+                           keep=["page_id", "connection_id", "_url", "_out", "loader_name", "queue"], seq_col="_s", edges=True)
         web = cut.select("connection_id", (F.col("page_id") * F.lit(1 << 32) + F.col("_s")).alias("seq"),
-                         "data", F.col("_url").alias("_source"), "_out", "loader_name", "queue")
+                         "data", BEFORE, LAST, F.col("_url").alias("_source"), "_out", "loader_name", "queue")
         counts = counts.unionByName(web.select("connection_id", F.lit(1).cast("long").alias("n")))
     counts = materialize(counts.groupBy("connection_id").agg(F.sum("n").cast("long").alias("loaded")), "counts")
     report = (plan.join(counts, "connection_id", "left")
@@ -205,17 +205,17 @@ def run_scheduled(spark: SparkSession, sources: DataFrame, loaders: DataFrame, c
                       .cast("long").alias("loaded"), "reason", "_out"))
     for out in [r["_out"] for r in runnable.select("_out").distinct().collect()]:  # one job per loader path
         mine = routes.where(F.col("_out") == out)
-        chunks = read_listed(mine.select("path", "size").distinct(), chunk_bytes)
+        chunks = read_listed(mine.select("path", "size").distinct(), chunk_bytes, edges=True)
         to = broadcast_if_small(mine.select(F.col("path").alias("_source"), "first_seq", "connection_id",
                                             "loader_name", "queue"), name="routes-of-path")
         routed = chunks.join(to, chunks["path"] == F.col("_source")).select(
-            "connection_id", (F.col("first_seq") + F.col("seq")).alias("seq"), "data", "_source",
+            "connection_id", (F.col("first_seq") + F.col("seq")).alias("seq"), "data", BEFORE, LAST, "_source",
             "loader_name", "queue")
         if web is not None:
             routed = routed.unionByName(web.where(F.col("_out") == out).drop("_out"))
         msgs = env.build_messages(routed, data=F.col("data"), source=F.col("_source"),
                                   destination=F.col("loader_name"), connection_id=F.col("connection_id"),
-                                  queue=F.col("queue"), seq=F.col("seq"))
+                                  queue=F.col("queue"), seq=F.col("seq"), keep=(BEFORE, LAST))
         idle = report.where((F.col("_out") == out) & (F.col("loaded") == 0)).select("connection_id")
         json_loader.replace(json_loader.prepare(msgs), out, (r[0] for r in idle.toLocalIterator()))
     return report.drop("_out")

@@ -32,7 +32,7 @@ one row, and runs of different connections never write the same files.
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_
+from operator import and_, ge, gt
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -165,6 +165,13 @@ def sync_table(spark: SparkSession, source: DataFrame, connection_id: str, targe
     if prior is not None and prior["cursor"] is not None and cursor:
         prior_cursor = F.lit(prior["cursor"]).cast(cursor_type)
 
+    def beyond(newer):
+        """Rows of the source from the stored cursor on. Null cursors go in
+        the first run that reads rows, whether or not that run saw a cursor."""
+        if prior is None or not prior["rows_read"]:
+            return source
+        return source.where(F.col(cursor).isNotNull() if prior_cursor is None else newer(F.col(cursor), prior_cursor))
+
     stats = Observation(f"sync-{connection_id}-{run}")
     newest = F.max(cursor).cast("string") if cursor else F.max(F.lit(None).cast("string"))
     metrics = (F.count(F.lit(1)).alias("n"), newest.alias("max_cursor"))
@@ -172,7 +179,7 @@ def sync_table(spark: SparkSession, source: DataFrame, connection_id: str, targe
     if mode == "full":
         snapshot.write_version(source.observe(stats, *metrics), target)
     elif mode == "append":
-        delta = source if prior_cursor is None else source.where(F.col(cursor) > prior_cursor)
+        delta = beyond(gt)
         if prior_cursor is not None and keys:
             # rows tying the stored cursor that arrived after the last run:
             # take those not loaded yet (only the boundary rows are compared)
@@ -186,7 +193,7 @@ def sync_table(spark: SparkSession, source: DataFrame, connection_id: str, targe
         delta = delta.observe(stats, *metrics)
         delta.write.mode("overwrite").parquet(f"{target.rstrip('/')}/{RUN_DIR}{run}")
     else:
-        delta = source if prior_cursor is None else source.where(F.col(cursor) >= prior_cursor)
+        delta = beyond(ge)
         kept = Observation(f"sync-kept-{connection_id}-{run}")
         latest = st.dedup_latest(delta.observe(stats, *metrics), keys, order_by)
         latest = materialize(latest.observe(kept, F.count(F.lit(1)).alias("n")), "sync-delta")

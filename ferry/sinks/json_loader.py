@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ferry.functions import envelope as env
+from ferry.operators.chunks import BEFORE, LAST, with_edges
 from ferry.operators.queue import until_end
 from ferry.sinks import snapshot
 
@@ -17,15 +18,24 @@ LOADED_SCHEMA = T.StructType(
     + [T.StructField("connection_id", T.StringType())])
 
 
-def prepare(messages: DataFrame, observation=None) -> DataFrame:
+def prepare(messages: DataFrame, observation=None, chunked: bool = True) -> DataFrame:
     """G1 -> C5 -> C6: the rows the loader writes, payload as text.
-    ``observation`` gets ``read`` / ``loaded`` counts (see ``until_end``)."""
+    ``observation`` gets ``read`` / ``loaded`` counts (see ``until_end``).
+
+    With ``chunked`` the messages of a queue are chunks of longer payloads and
+    a character that a cut divides goes whole into the chunk it ends in: from
+    the neighbours that the source sent along (``chunk_column`` or a file read
+    with ``edges``), else by a join (``with_edges``). Without it every message
+    is a payload of its own."""
     kept = until_end(messages, queue_col="queue", seq_col="seq", observation=observation)
+    if chunked and BEFORE not in kept.columns:
+        kept = with_edges(kept)
+    text = env.stringify_between("data", BEFORE, LAST) if chunked else env.stringify("data")
     return kept.select(
         "connection_id", "queue", "seq",
         env.drop_payload(),
         "metadata", "created_at", "updated_at",
-        env.stringify("data").alias("stringified_data"),
+        text.alias("stringified_data"),
         F.col("IsEnd"),
     )
 
@@ -43,8 +53,8 @@ def replace(loaded: DataFrame, path: str, connections=()) -> str:
                                         options=env.JSON_WRITE_OPTIONS, replaced=connections)
 
 
-def load(messages: DataFrame, path: str, mode: str = "append") -> str:
-    return write(prepare(messages), path, mode)
+def load(messages: DataFrame, path: str, mode: str = "append", chunked: bool = True) -> str:
+    return write(prepare(messages, chunked=chunked), path, mode)
 
 
 def read_back(spark: SparkSession, path: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """Pluggable connectors (I2): connector type -> how to read or write.
 
 A source connector turns a parsed config into a DataFrame of byte chunks
-``(seq, data)``, with ``path`` where the source is a file; a loader connector
+``(seq, data)``, with ``path`` where the source is a file, and ``_before`` and
+``_last`` where it knows a chunk's neighbours (else a join finds them); a loader connector
 writes message rows. New connectors register with ``register_source`` /
 ``register_loader``: the type is then known to the config check (C8, C9), to
 the type lookup (D3) and to runs (J1). A table connector (``register_table``)
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ferry.functions import config as cfg
 from ferry.operators import registry as reg
-from ferry.operators.chunks import DEFAULT_CHUNK_BYTES, chunk_column
+from ferry.operators.chunks import BEFORE, DEFAULT_CHUNK_BYTES, LAST, chunk_column
 from ferry.sinks import json_loader
 from ferry.sources.file_chunks import read_file_chunks, read_file_lines
 from ferry.sources.pages import read_pages
@@ -89,7 +90,7 @@ def _file_source(spark: SparkSession, config: dict, chunk_bytes: int = DEFAULT_C
     path order), or with ``lines=True`` one row per line; ``path`` is the file."""
     if lines:
         return read_file_lines(spark, config["url"])
-    return read_file_chunks(spark, config["url"], chunk_bytes, continuous=True)
+    return read_file_chunks(spark, config["url"], chunk_bytes, continuous=True, edges=True)
 
 
 def _page_source(spark: SparkSession, config: dict, chunk_bytes: int = DEFAULT_CHUNK_BYTES,
@@ -99,8 +100,8 @@ def _page_source(spark: SparkSession, config: dict, chunk_bytes: int = DEFAULT_C
     if pages is None:
         raise ValueError("web_scraper needs a table of fetched pages (pages=...)")
     p = read_pages(spark, pages, url_prefix=config["url"])
-    chunks = chunk_column(p, "data", chunk_bytes, keep=["page_id"], seq_col="_s")
-    return chunks.select((F.col("page_id") * F.lit(1 << 32) + F.col("_s")).alias("seq"), "data")
+    chunks = chunk_column(p, "data", chunk_bytes, keep=["page_id"], seq_col="_s", edges=True)
+    return chunks.select((F.col("page_id") * F.lit(1 << 32) + F.col("_s")).alias("seq"), "data", BEFORE, LAST)
 
 
 def _table_source(spark: SparkSession, config: dict, where: str | None = None, **_) -> DataFrame:

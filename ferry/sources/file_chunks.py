@@ -17,11 +17,13 @@ from dataclasses import dataclass
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from ferry.operators.chunks import DEFAULT_CHUNK_BYTES
+from ferry.functions.envelope import EDGE_BYTES
+from ferry.operators.chunks import BEFORE, DEFAULT_CHUNK_BYTES, LAST
 
 DEFAULT_PARTITION_BYTES = 128 * 1024 * 1024
 BATCH_BYTES = 16 * 1024 * 1024
 SCHEMA = "path string, seq bigint, data binary"
+EDGES_SCHEMA = f"{SCHEMA}, {BEFORE} binary, {LAST} boolean"
 
 
 @dataclass
@@ -43,7 +45,7 @@ def _fs_and_path(uri: str):
     from pyarrow import fs
     if "://" in uri:
         return fs.FileSystem.from_uri(uri)
-    return fs.LocalFileSystem(), uri
+    return fs.LocalFileSystem(), uri.removeprefix("file:")  # file:/a as Hadoop writes it
 
 
 def list_files(uri: str) -> list[tuple[str, int]]:
@@ -112,6 +114,7 @@ class FileChunksReader(DataSourceReader):
         self.partition_bytes = int(options.get("partition_bytes", DEFAULT_PARTITION_BYTES))
         self.parallelism = int(options.get("parallelism", 1))
         self.continuous = options.get("continuous", "false") == "true"
+        self.edges = options.get("edges", "false") == "true"
         if self.chunk_bytes <= 0:
             raise ValueError("chunk_bytes must be positive")
 
@@ -127,15 +130,17 @@ class FileChunksReader(DataSourceReader):
         return [ChunkPartition(r) for r in plan_ranges(files, self.chunk_bytes, split, self.continuous)]
 
     def read(self, partition: ChunkPartition):
-        yield from read_ranges(partition.ranges, self.chunk_bytes)
+        yield from read_ranges(partition.ranges, self.chunk_bytes, self.edges)
 
 
-def read_ranges(ranges, n: int):
+def read_ranges(ranges, n: int, edges: bool = False):
     """Ranged reads, handed to Spark as Arrow record batches of at most
-    ``BATCH_BYTES`` so no per-row conversion runs in Python."""
+    ``BATCH_BYTES`` so no per-row conversion runs in Python. ``edges``: each
+    read begins a few bytes earlier, for the bytes before the first chunk."""
     import pyarrow as pa
     per_batch = max(1, BATCH_BYTES // n)
-    paths, seqs, datas = [], [], []
+    rows: list[list] = [[], [], [], [], []]
+    paths, seqs, datas, befores, lasts = rows
     for r in ranges:
         filesystem, path = _fs_and_path(r.path)
         with filesystem.open_input_file(path) as f:
@@ -143,40 +148,48 @@ def read_ranges(ranges, n: int):
             while seq <= r.last_seq:  # one ranged read for as many chunks as the batch takes
                 count = min(per_batch - len(datas), r.last_seq - seq + 1)
                 start = seq * n
+                front = min(EDGE_BYTES, start) if edges else 0
                 want = min(count * n, r.size - start)
-                block = f.read_at(want, start)
-                if len(block) != want:
+                block = f.read_at(want + front, start - front)
+                if len(block) != want + front:
                     raise OSError(f"{r.path} changed while it was read")
                 paths.extend([r.path] * count)
                 seqs.extend(range(r.base + seq, r.base + seq + count))
-                datas.extend(block[i:i + n] for i in range(0, want, n))
+                datas.extend(block[front + i:front + i + n] for i in range(0, want, n))
+                if edges:
+                    befores.extend(block[max(0, front + i - EDGE_BYTES):front + i] for i in range(0, want, n))
+                    lasts.extend(start + i + n >= r.size for i in range(0, want, n))
                 seq += count
                 if len(datas) >= per_batch:
-                    yield _batch(pa, paths, seqs, datas)
-                    paths, seqs, datas = [], [], []
+                    yield _batch(pa, rows, edges)
+                    for column in rows:
+                        column.clear()
     if datas:
-        yield _batch(pa, paths, seqs, datas)
+        yield _batch(pa, rows, edges)
 
 
-def _batch(pa, paths, seqs, datas):
-    return pa.RecordBatch.from_arrays(
-        [pa.array(paths, pa.string()), pa.array(seqs, pa.int64()),
-         pa.array([d.to_pybytes() if hasattr(d, "to_pybytes") else d for d in datas], pa.binary())],
-        names=["path", "seq", "data"])
+def _batch(pa, rows: list[list], edges: bool):
+    paths, seqs, datas, befores, lasts = rows
+    cells = lambda blocks: pa.array([d.to_pybytes() if hasattr(d, "to_pybytes") else d for d in blocks], pa.binary())
+    columns = [pa.array(paths, pa.string()), pa.array(seqs, pa.int64()), cells(datas)]
+    if edges:
+        columns += [cells(befores), pa.array(lasts, pa.bool_())]
+    return pa.RecordBatch.from_arrays(columns, names=["path", "seq", "data", BEFORE, LAST][:len(columns)])
 
 
 class FileChunks(DataSource):
     """Options: ``path`` (a JSON list of files, directories, ``dir/*.ext``),
     ``chunk_bytes`` (default 1 MiB), ``partition_bytes`` (default 128 MiB),
     ``parallelism`` (cores to spread a small input over), ``continuous``
-    (``true``: one numbering through all files, in path order)."""
+    (``true``: one numbering through all files, in path order), ``edges``
+    (``true``: also the bytes before a chunk and whether it ends its file)."""
 
     @classmethod
     def name(cls):
         return "file_chunks"
 
     def schema(self):
-        return SCHEMA
+        return EDGES_SCHEMA if self.options.get("edges", "false") == "true" else SCHEMA
 
     def reader(self, schema):
         return FileChunksReader(self.options)
@@ -187,13 +200,14 @@ def register(spark) -> None:
 
 
 def read_file_chunks(spark, path: str | list[str], chunk_bytes: int = DEFAULT_CHUNK_BYTES,
-                     partition_bytes: int = DEFAULT_PARTITION_BYTES, continuous: bool = False):
+                     partition_bytes: int = DEFAULT_PARTITION_BYTES, continuous: bool = False, edges: bool = False):
     register(spark)
     paths = [path] if isinstance(path, str) else list(path)
     return (spark.read.format("file_chunks").option("path", json.dumps(paths))
             .option("chunk_bytes", str(chunk_bytes))
             .option("partition_bytes", str(partition_bytes))
             .option("continuous", str(continuous).lower())
+            .option("edges", str(edges).lower())
             .option("parallelism", str(spark.sparkContext.defaultParallelism)).load())
 
 
@@ -222,9 +236,9 @@ def list_urls(urls, chunk_bytes: int = DEFAULT_CHUNK_BYTES):
 
 
 def read_listed(files, chunk_bytes: int = DEFAULT_CHUNK_BYTES,
-                partition_bytes: int = DEFAULT_PARTITION_BYTES):
-    """The chunks ``(path, seq, data)`` of a table ``(path, size)`` of distinct
-    files: ranges of about 16 MiB are dealt over the tasks, about
+                partition_bytes: int = DEFAULT_PARTITION_BYTES, edges: bool = False):
+    """The chunks ``(path, seq, data)`` (with ``edges`` as in ``FileChunks``)
+    of a table ``(path, size)`` of distinct files: ranges of about 16 MiB are dealt over the tasks, about
     ``partition_bytes`` each; only their total size comes to the driver."""
     from pyspark.sql import functions as F
     spark = files.sparkSession
@@ -241,8 +255,8 @@ def read_listed(files, chunk_bytes: int = DEFAULT_CHUNK_BYTES,
 
     def read(batches):
         for batch in batches:
-            yield from read_ranges([_Range(**r) for r in batch.to_pylist()], chunk_bytes)
-    return ranges.repartition(tasks).mapInArrow(read, SCHEMA)
+            yield from read_ranges([_Range(**r) for r in batch.to_pylist()], chunk_bytes, edges)
+    return ranges.repartition(tasks).mapInArrow(read, EDGES_SCHEMA if edges else SCHEMA)
 
 
 def read_file_lines(spark, path: str):

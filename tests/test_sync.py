@@ -156,3 +156,23 @@ def test_strategy_of_a_connection(spark):
         with pytest.raises(ValueError):
             read_strategy(bad)
     assert read_strategy(None) == read_strategy("{}") == {}
+
+
+def test_null_cursors_are_loaded_once(spark):
+    """A first run that saw null cursors only is still the first run."""
+    for mode, extra in (("append", {}), ("append", {"keys": ["id"]}), ("upsert", {"keys": ["id"], "order_by": ["cur"]})):
+        root = new_run_dir(spark, "t-null-cursor")
+        target, state = f"{root}/t", f"{root}/s"
+        src = _src(spark, [(1, "a", None, "x"), (2, "b", None, "y")])
+        read = [sync_table(spark, s, "c1", target, state, mode, cursor="cur", **extra).first()["rows_read"]
+                for s in (src, src, _src(spark, [(1, "a", None, "x"), (2, "b", None, "y"), (3, "c", 5, "z")]))]
+        assert read == [2, 0, 1]
+
+
+def test_null_cursors_by_connection(spark):
+    from ferry.operators.strategies import incremental_by_connection
+    rows = spark.createDataFrame([("a", None, 1), ("a", 5, 2), ("b", None, 3), ("c", None, 4), ("c", 7, 5), ("c", 9, 6)],
+                                 "connection_id string, cur int, id int")
+    state = spark.createDataFrame([("a", None), ("c", 7)], "connection_id string, cursor int")
+    got = incremental_by_connection(rows, state, "cur")
+    assert got.columns == rows.columns and sorted(r["id"] for r in got.collect()) == [2, 3, 6]
