@@ -9,6 +9,7 @@ same values.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,8 @@ OVERRIDDEN = ("click", "view")
 UPSERT_BUCKETS = 16
 EVENTS_CONNECTION = "events"
 LOADER_NAME = "json_loader"
+#: Connections of ``run_scheduled_pages`` by their url prefix.
+PAGE_PREFIXES = {"secure": "https://", "plain": "http://", "any": "http", "none": "ftp://"}
 
 
 def _t(spark, sf_dir, name, spread_rows=False):
@@ -460,6 +463,54 @@ def run_sync_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "order_by": ["value", "event_id"], "buckets": UPSERT_BUCKETS})
 
 
+def run_scheduled_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 between tables: three scheduled connections read one events table,
+    each by its own strategy (append, upsert, full override). Two scheduled
+    runs, the second after the table has grown by the events from the boundary
+    on; each run scans the table once. Returns what the targets hold."""
+    import json
+
+    from ferry.plans.run import read_synced
+    from ferry.plans.run import run_scheduled as run_all
+    source, out = new_run_dir(spark, "run-tables-source"), new_run_dir(spark, "run-tables")
+    strategies = {"all": {"mode": "full"}, "by-user": {"mode": "upsert", "cursor": "ts", "keys": ["user_id"],
+                                                       "order_by": ["value", "event_id"], "buckets": UPSERT_BUCKETS},
+                  "log": {"mode": "append", "cursor": "ts"}}
+    sources = spark.createDataFrame([("events", "events", cfg.TABLE_READER, json.dumps({"url": source}))],
+                                    "id string, name string, type string, config string")
+    loaders = spark.createDataFrame([("out", "tables", cfg.TABLE_LOADER, json.dumps({"path": out}))],
+                                    "id string, name string, type string, config string")
+    conns = spark.createDataFrame(
+        [(c, ["events"], ["out"], "scheduled", "0 * * * *", json.dumps(how)) for c, how in strategies.items()],
+        "id string, source_id array<string>, loader_id array<string>, sync_type string, schedule string, config string")
+    ev, b = _t(spark, sf_dir, "events"), F.lit(SYNC_BOUNDARY).cast("timestamp_ntz")
+    for new in (ev.where(F.col("ts") < b), ev.where(F.col("ts") >= b)):
+        new.write.mode("append").parquet(source)
+        run_all(spark, sources, loaders, conns)
+    held = [read_synced(spark, out, c).withColumn("connection_id", F.lit(c)) for c in strategies]
+    held = [df if "run" in df.columns else df.withColumn("run", F.lit(None)) for df in held]
+    return reduce(DataFrame.unionByName, [df.select("connection_id", F.col("run").cast("long").alias("run"), *ev.columns) for df in held])
+
+
+def run_scheduled_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 on fetched pages: three scheduled connections by url prefix, one
+    prefix inside another. Returns the loaded chunks' sizes, read back."""
+    import json
+
+    from ferry.plans.run import run_scheduled as run_all
+    out = new_run_dir(spark, "run-pages")
+    sources = spark.createDataFrame([(k, k, cfg.WEB_SCRAPER, json.dumps({"url": u})) for k, u in PAGE_PREFIXES.items()],
+                                    "id string, name string, type string, config string")
+    loaders = spark.createDataFrame([("out", LOADER_NAME, cfg.JSON_LOADER, json.dumps({"path": out}))],
+                                    "id string, name string, type string, config string")
+    conns = spark.createDataFrame([(k, [k], ["out"], "scheduled", "0 * * * *") for k in PAGE_PREFIXES],
+                                  "id string, source_id array<string>, loader_id array<string>, sync_type string, schedule string")
+    run_all(spark, sources, loaders, conns, DOC_CHUNK_BYTES, pages=tb.table(spark, sf_dir, "pages"))
+    back = json_loader.read_back(spark, out).groupBy("connection_id", F.shiftright("seq", 32).alias("page_id"))
+    return back.agg(F.sum(F.octet_length("stringified_data")).cast("long").alias("n_bytes"),
+                    F.count(F.lit(1)).cast("long").alias("n_chunks"))
+
+
 def run_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One manual connection that copies the documents table file with
     the file extractor into the JSON loader; returns the run report."""
@@ -555,6 +606,8 @@ QUERIES = {
     "stream_until_end": stream_until_end,
     "run_sync": run_sync,
     "run_scheduled": run_scheduled,
+    "run_scheduled_tables": run_scheduled_tables,
+    "run_scheduled_pages": run_scheduled_pages,
 }
 
 

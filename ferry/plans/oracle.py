@@ -248,6 +248,20 @@ SELECT 'copy-documents-2' AS connection_id, CAST((size + 1048575) // 1048576 AS
        CAST(NULL AS VARCHAR) AS reason
 FROM read_blob('/root/testdata/sf0.01/documents.parquet')""",
 
+    "run_scheduled_tables": f"""
+SELECT 'log' AS connection_id, CAST(CASE WHEN ts < {BOUNDARY} THEN 1 ELSE 2 END AS BIGINT) AS run, * FROM events
+UNION ALL
+SELECT 'all' AS connection_id, CAST(NULL AS BIGINT) AS run, * FROM events
+UNION ALL
+SELECT 'by-user' AS connection_id, CAST(NULL AS BIGINT) AS run, * FROM ({_DEDUP_LATEST})""",
+
+    "run_scheduled_pages": """
+SELECT connection_id, page_id, CAST(octet_length(encode(html)) AS BIGINT) AS n_bytes,
+       CAST((octet_length(encode(html)) + 1023) // 1024 AS BIGINT) AS n_chunks
+FROM pages JOIN (VALUES ('secure', 'https://'), ('plain', 'http://'), ('any', 'http')) r(connection_id, prefix)
+  ON starts_with(url, prefix)
+WHERE octet_length(encode(html)) > 0""",
+
     "run_sync": """
 SELECT 'c1' AS connection_id, CAST((size + 1048575) // 1048576 AS BIGINT) AS read,
        CAST((size + 1048575) // 1048576 AS BIGINT) AS loaded, CAST(0 AS BIGINT) AS rejected

@@ -17,12 +17,12 @@ from ferry.functions import config as cfg
 from ferry.functions import envelope as env
 from ferry.operators import registry as reg
 from ferry.operators.chunks import BEFORE, LAST, chunk_column
-from ferry.plans import sync
+from ferry.plans import shared, sync
 from ferry.plans.sizing import broadcast_if_small, materialize
 from ferry.sinks import json_loader, snapshot
 from ferry.sources import connectors
 from ferry.sources.file_chunks import list_urls, read_listed
-from ferry.sources.pages import read_pages
+from ferry.sources.pages import join_prefixes, read_pages
 
 REPORT_SCHEMA = "connection_id string, read bigint, loaded bigint, rejected bigint"
 
@@ -95,7 +95,7 @@ def read_strategy(config: str | None) -> dict:
 def synced_places(loader_config: dict, connection_id: str) -> tuple[str, str]:
     """Where a table loader keeps a connection's rows, and the sync states."""
     root = loader_config["path"].rstrip("/")
-    return f"{root}/tables/connection_id={connection_id}", f"{root}/state"
+    return f"{root}/tables/connection_id={snapshot.escaped(connection_id)}", f"{root}/state"
 
 
 def read_synced(spark: SparkSession, path: str, connection_id: str) -> DataFrame:
@@ -147,7 +147,10 @@ def scheduled_connections(conns: DataFrame, sources: DataFrame, loaders: DataFra
     schedule, typed configs and ``reason`` (null = can run: both ids exist
     and both configs are valid)."""
     routed = reg.route_sync_type(conns).where(F.col("route") == reg.SCHEDULED)
-    res = reg.resolve_connections(routed, sources, loaders, how="left", keep=("schedule",))
+    for optional in ("schedule", "config"):
+        if optional not in routed.columns:
+            routed = routed.withColumn(optional, F.lit(None).cast("string"))
+    res = reg.resolve_connections(routed, sources, loaders, how="left", keep=("schedule", "config"))
     return res.withColumn("reason", F.coalesce(
         F.when(F.col("source_cfg").isNull(), F.lit(reg.INVALID_SOURCE)),
         F.when(F.col("loader_cfg").isNull(), F.lit(reg.INVALID_LOADER)),
@@ -165,20 +168,33 @@ def run_scheduled(spark: SparkSession, sources: DataFrame, loaders: DataFrame, c
     hands each chunk to the connections reading it (every pair is an output
     row: each connection gets its own copy). Chunks of a directory are
     numbered through its files in path order. Page connections (with a table
-    of fetched ``pages``): pages are joined on their exact url. A run
-    replaces what an earlier run of the same connection wrote.
+    of fetched ``pages``): those whose url starts with the connection's. A run
+    replaces what an earlier run of the same connection wrote. Table
+    connections: each source table is scanned once for all its connections and
+    their strategies (``plans.shared``).
 
     Returns ``(connection_id, loaded, reason)`` for every scheduled
-    connection, with the chunks this run wrote; ``reason`` says why one did
-    not run (bad reference or config, no such file, no pages table).
+    connection, with the chunks or rows this run wrote; ``reason`` says why one
+    did not run (bad reference or config, no such file, no pages table).
     """
-    plan = materialize(scheduled_connections(conns, sources, loaders).select(
+    tables, table_loaders = connectors.table_types()
+    is_table = F.col("source_type").isin(tables)
+    keeps = F.col("loader_type").isin(table_loaders)
+    strategy = F.get_json_object("config", "$.mode").isNotNull()
+    unfit = (F.when(is_table & ~keeps, F.concat("loader_type", F.lit(" does not keep tables")))
+             .when(~is_table & (keeps | strategy), F.concat("source_type", F.lit(" is not a source of rows")))
+             .when(~is_table & ~F.col("source_type").isin(cfg.FILE_EXTRACTOR, cfg.WEB_SCRAPER), F.lit("no scheduled form of this type"))
+             .when((F.col("source_type") == cfg.WEB_SCRAPER) & F.lit(pages is None), F.lit("no pages table")))
+    own = {"ignoreNullFields": "true"}
+    whole_plan = materialize(scheduled_connections(conns, sources, loaders).select(
         "connection_id", "source_type", F.col("source_cfg.url").alias("_url"),
-        F.col("loader_cfg.path").alias("_out"), "loader_name", "queue",
-        F.coalesce("reason", F.when(~F.col("source_type").isin(cfg.FILE_EXTRACTOR, cfg.WEB_SCRAPER),
-                                    F.lit("no scheduled form of this type")),
-                   F.when((F.col("source_type") == cfg.WEB_SCRAPER) & F.lit(pages is None),
-                          F.lit("no pages table"))).alias("reason")), "scheduled")
+        F.col("loader_cfg.path").alias("_out"), "loader_name", "queue", "config", is_table.alias("_table"),
+        F.to_json(F.col("source_cfg").dropFields("error"), own).alias("source"),
+        F.to_json(F.col("loader_cfg").dropFields("error"), own).alias("loader"),
+        F.coalesce("reason", unfit).alias("reason")), "scheduled")
+    of_tables = whole_plan.where(F.col("_table") & F.col("reason").isNull())
+    table_runs = shared.run_sources(spark, of_tables, read_strategy, connectors.table_for, synced_places)
+    plan = whole_plan.where(~F.coalesce("_table", F.lit(False)) | F.col("reason").isNotNull())
     files = plan.where(F.col("reason").isNull() & (F.col("source_type") == cfg.FILE_EXTRACTOR))
     listing = materialize(list_urls(files.select(F.col("_url").alias("url")), chunk_bytes), "listing")
     failed = listing.where(F.col("error").isNotNull()).select(F.col("url").alias("_url"), "error")
@@ -193,8 +209,8 @@ def run_scheduled(spark: SparkSession, sources: DataFrame, loaders: DataFrame, c
     web = None
     if pages is not None:
         p = read_pages(spark, pages)
-        sides = broadcast_if_small(runnable.where(F.col("source_type") == cfg.WEB_SCRAPER), name="page-connections")
-        cut = chunk_column(p.join(sides, p["url"] == F.col("_url")), "data", chunk_bytes,
+        found_pages = join_prefixes(p, runnable.where(F.col("source_type") == cfg.WEB_SCRAPER))
+        cut = chunk_column(found_pages, "data", chunk_bytes,
                            keep=["page_id", "connection_id", "_url", "_out", "loader_name", "queue"], seq_col="_s", edges=True)
         web = cut.select("connection_id", (F.col("page_id") * F.lit(1 << 32) + F.col("_s")).alias("seq"),
                          "data", BEFORE, LAST, F.col("_url").alias("_source"), "_out", "loader_name", "queue")
@@ -218,4 +234,5 @@ def run_scheduled(spark: SparkSession, sources: DataFrame, loaders: DataFrame, c
                                   queue=F.col("queue"), seq=F.col("seq"), keep=(BEFORE, LAST))
         idle = report.where((F.col("_out") == out) & (F.col("loaded") == 0)).select("connection_id")
         json_loader.replace(json_loader.prepare(msgs), out, (r[0] for r in idle.toLocalIterator()))
-    return report.drop("_out")
+    ran = spark.createDataFrame(table_runs, "connection_id string, loaded bigint, reason string")
+    return report.drop("_out").unionByName(ran)

@@ -53,7 +53,7 @@ CONNECTION_DIR = "connection_id="
 
 
 def _state_dir(state_path: str, connection_id: str) -> str:
-    return f"{state_path.rstrip('/')}/{CONNECTION_DIR}{connection_id}"
+    return f"{state_path.rstrip('/')}/{CONNECTION_DIR}{snapshot.escaped(connection_id)}"
 
 
 def read_state(spark: SparkSession, state_path: str) -> DataFrame:
@@ -164,13 +164,8 @@ def sync_table(spark: SparkSession, source: DataFrame, connection_id: str, targe
     prior_cursor = None
     if prior is not None and prior["cursor"] is not None and cursor:
         prior_cursor = F.lit(prior["cursor"]).cast(cursor_type)
-
-    def beyond(newer):
-        """Rows of the source from the stored cursor on. Null cursors go in
-        the first run that reads rows, whether or not that run saw a cursor."""
-        if prior is None or not prior["rows_read"]:
-            return source
-        return source.where(F.col(cursor).isNotNull() if prior_cursor is None else newer(F.col(cursor), prior_cursor))
+    wanted = delta_condition(mode, cursor, prior, cursor_type)
+    delta = source if wanted is None else source.where(wanted)
 
     stats = Observation(f"sync-{connection_id}-{run}")
     newest = F.max(cursor).cast("string") if cursor else F.max(F.lit(None).cast("string"))
@@ -179,42 +174,68 @@ def sync_table(spark: SparkSession, source: DataFrame, connection_id: str, targe
     if mode == "full":
         snapshot.write_version(source.observe(stats, *metrics), target)
     elif mode == "append":
-        delta = beyond(gt)
         if prior_cursor is not None and keys:
             # rows tying the stored cursor that arrived after the last run:
             # take those not loaded yet (only the boundary rows are compared)
-            loaded = read_appended(spark, target, state_path, connection_id) \
-                .where(F.col(cursor) == prior_cursor).select(*keys)
-            loaded = loaded.select(*[F.col(k).alias(f"_l{i}") for i, k in enumerate(keys)])
-            tying = source.where(F.col(cursor) == prior_cursor)
-            known = reduce(and_, [tying[k].eqNullSafe(loaded[f"_l{i}"]) for i, k in enumerate(keys)])
-            ties = tying.join(loaded, known, "left_anti")
-            delta = delta.unionByName(ties)
+            delta = delta.unionByName(new_ties(source, target, prior["runs"], cursor, prior_cursor, keys))
         delta = delta.observe(stats, *metrics)
         delta.write.mode("overwrite").parquet(f"{target.rstrip('/')}/{RUN_DIR}{run}")
     else:
-        delta = beyond(ge)
-        kept = Observation(f"sync-kept-{connection_id}-{run}")
-        latest = st.dedup_latest(delta.observe(stats, *metrics), keys, order_by)
-        latest = materialize(latest.observe(kept, F.count(F.lit(1)).alias("n")), "sync-delta")
-        n_loaded = kept.get.get("n", 0)
-        if buckets:
-            _upsert_buckets(latest, target, run, keys, order_by, buckets)
-        else:
-            current = snapshot.current_version(spark, target)
-            merged = latest if current is None else st.dedup_latest(
-                spark.read.parquet(current).unionByName(latest), keys, order_by)
-            snapshot.write_version(merged, target)
+        n_loaded = upsert_delta(delta.observe(stats, *metrics), target, run, keys, order_by, buckets)
 
     got = stats.get  # empty when Catalyst proved that no row can come
     n_read, new_max = got.get("n", 0), got.get("max_cursor")
     n_loaded = n_read if n_loaded is None else n_loaded
+    new_cursor = commit(spark, connection_id, state_path, prior, mode, n_read, n_loaded, new_max, cursor_type, buckets)
+    return spark.createDataFrame([(connection_id, mode, run, n_read, n_loaded, new_cursor)], REPORT_SCHEMA)
+
+
+def delta_condition(mode: str, cursor: str | None, prior: dict | None, cursor_type):
+    """The rows that a run takes besides ties (null: all): those from the
+    stored cursor on. Null cursors go in the first run that reads rows,
+    whether or not that run saw a cursor."""
+    if mode == "full" or prior is None or not prior["rows_read"]:
+        return None
+    if prior["cursor"] is None:
+        return F.col(cursor).isNotNull()
+    return (gt if mode == "append" else ge)(F.col(cursor), F.lit(prior["cursor"]).cast(cursor_type))
+
+
+def new_ties(source: DataFrame, target: str, runs: int, cursor: str, stored, keys: list[str]) -> DataFrame:
+    """Rows tying the stored cursor that the committed runs of an append
+    target don't have (only the boundary rows are compared)."""
+    loaded = (source.sparkSession.read.option("basePath", target).parquet(target)
+              .where((F.col("run").cast("long") <= F.lit(runs)) & (F.col(cursor) == stored)))
+    loaded = loaded.select(*[F.col(k).alias(f"_l{i}") for i, k in enumerate(keys)])
+    tying = source.where(F.col(cursor) == stored)
+    known = reduce(and_, [tying[k].eqNullSafe(loaded[f"_l{i}"]) for i, k in enumerate(keys)])
+    return tying.join(loaded, known, "left_anti")
+
+
+def upsert_delta(delta: DataFrame, target: str, run: int, keys: list[str], order_by: list[str], buckets: int | None) -> int:
+    """Merge a run's rows into an upsert target; returns the keys it brought."""
+    spark = delta.sparkSession
+    kept = Observation(f"sync-kept-{run}")
+    latest = st.dedup_latest(delta, keys, order_by)
+    latest = materialize(latest.observe(kept, F.count(F.lit(1)).alias("n")), "sync-delta")
+    if buckets:
+        _upsert_buckets(latest, target, run, keys, order_by, buckets)
+    else:
+        current = snapshot.current_version(spark, target)
+        merged = latest if current is None else st.dedup_latest(
+            spark.read.parquet(current).unionByName(latest), keys, order_by)
+        snapshot.write_version(merged, target)
+    return kept.get.get("n", 0)
+
+
+def commit(spark: SparkSession, connection_id: str, state_path: str, prior: dict | None, mode: str, n_read: int,
+           n_loaded: int, new_max: str | None, cursor_type, buckets: int | None) -> str | None:
+    """Write a connection's new state, after its data; returns its cursor."""
     new_cursor = _greatest(prior["cursor"] if prior else None, new_max, cursor_type, spark)
-    row = (connection_id, mode, new_cursor,
-           (prior["rows_read"] if prior else 0) + n_read,
-           (prior["rows_loaded"] if prior else 0) + n_loaded, run, buckets)
+    row = (connection_id, mode, new_cursor, (prior["rows_read"] if prior else 0) + n_read,
+           (prior["rows_loaded"] if prior else 0) + n_loaded, (prior["runs"] if prior else 0) + 1, buckets)
     snapshot.write_version(_one_row(spark, row), _state_dir(state_path, connection_id))
-    return spark.createDataFrame([(connection_id, mode, run, n_read, n_loaded, new_cursor)], REPORT_SCHEMA)
+    return new_cursor
 
 
 def check_strategy(mode: str, cursor: str | None, keys: list[str] | None, order_by: list[str] | None) -> None:

@@ -15,6 +15,8 @@ Two forms:
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 VERSION_PREFIX = "version="
@@ -45,6 +47,15 @@ def _escaped(jvm, value: str) -> str:
     return jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(str(value))
 
 
+# Fixed value: the characters that partition directories hold as %XX.
+_HIDDEN = re.compile(r"""[\x00-\x1f"#%'*/:=?\\\x7f{\[\]^]""")
+
+
+def escaped(value: str) -> str:
+    """A value as the part of a directory name that a partition holds."""
+    return _HIDDEN.sub(lambda m: f"%{ord(m[0]):02X}", value)
+
+
 def _hadoop_fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()

@@ -61,6 +61,11 @@ def register_table_loader(type_name: str, connector: str | None = None) -> None:
     _TABLE_LOADERS.add(type_name)
 
 
+def table_types() -> tuple[list[str], list[str]]:
+    """The types that give rows, and those that keep tables."""
+    return sorted(_TABLES), sorted(_TABLE_LOADERS)
+
+
 def table_for(type_name: str) -> SourceFn:
     if type_name not in _TABLES:
         raise ValueError(f"{type_name} is not a source of rows")
