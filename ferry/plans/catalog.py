@@ -39,6 +39,9 @@ OVERRIDDEN = ("click", "view")
 UPSERT_BUCKETS = 16
 EVENTS_CONNECTION = "events"
 LOADER_NAME = "json_loader"
+#: Rows of events as JSON payloads.
+ROW_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+EVENT_ROW = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 #: Connections of ``run_scheduled_pages`` by their url prefix.
 PAGE_PREFIXES = {"secure": "https://", "plain": "http://", "any": "http", "none": "ftp://"}
 
@@ -341,6 +344,60 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("connection_id", "queue", "seq", "stringified_data")
 
 
+def stream_reorder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1 on a stream out of order: each conversation is a queue, its turns
+    are numbered from 0, and turns of a multiple of four bytes are end
+    markers. The even turns are published and drained first, the odd ones
+    after them; every queue still stops at its first marker."""
+    from ferry.streaming.ordered import drain_in_order
+    conv = _t(spark, sf_dir, "conversations")
+    text = env.to_payload(F.coalesce("text", F.lit("")))
+    msgs = env.build_messages(conv, data=text, source="conversations", destination=LOADER_NAME, connection_id="conversations",
+                              queue=F.col("conv_id").cast("string"), seq=F.col("turn"), created_at=F.lit(SYNC_BOUNDARY))
+    msgs = msgs.withColumn("IsEnd", F.octet_length("data") % 4 == 0)
+    root = new_run_dir(spark, "stream-reorder")
+    for odd in (0, 1):
+        queue_sink.publish(msgs.where(F.col("seq") % 2 == odd), f"{root}/landing")
+        drain_in_order(spark, f"{root}/landing", f"{root}/sink", f"{root}/quarantine", f"{root}/checkpoint", f"{root}/buffer")
+    return json_loader.read_back(spark, f"{root}/sink").select(
+        F.col("queue").cast("long").alias("conv_id"), F.col("seq").alias("turn"), F.col("stringified_data").alias("text"))
+
+
+def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H3 + K5: events are published as rows in JSON, the later ones first
+    and some twice, and drained in two runs into an upsert target by user: the
+    latest event of every user, whatever the order of arrival."""
+    from ferry.plans.sync import read_upserted
+    from ferry.streaming.keyed import drain_upsert
+    ev = _t(spark, sf_dir, "events", spread_rows=True)
+    whole = F.to_json(F.struct(*ev.columns), {"timestampNTZFormat": ROW_TIME})
+    msgs = env.build_messages(ev, data=env.to_payload(whole), source=EVENTS_CONNECTION, destination=LOADER_NAME,
+                              connection_id=EVENTS_CONNECTION, queue=F.col("user_id").cast("string"),
+                              seq=F.col("event_id"), created_at=F.col("ts"), updated_at=F.col("ts"))
+    root = new_run_dir(spark, "stream-upsert")
+    b = F.lit(SYNC_BOUNDARY).cast("timestamp")
+    early, late = msgs.where(F.col("created_at") < b), msgs.where(F.col("created_at") >= b)
+    for part in (late, early.unionByName(late)):
+        queue_sink.publish(part, f"{root}/landing")
+        drain_upsert(spark, f"{root}/landing", EVENTS_CONNECTION, f"{root}/target", f"{root}/state", f"{root}/checkpoint",
+                     f"{root}/quarantine", keys=["user_id"], order_by=["value", "event_id"], row_schema=EVENT_ROW, cursor="ts",
+                     buckets=UPSERT_BUCKETS, options={"timestampNTZFormat": ROW_TIME})
+    return read_upserted(spark, f"{root}/target", f"{root}/state", EVENTS_CONNECTION)
+
+
+def stream_dedup_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H3 without a horizon: every message is published in two producer runs,
+    drained one after the other with an index of the keys seen; the second
+    run's copies, however late, are not loaded again."""
+    from ferry.streaming.keyed import drain_unseen
+    root = new_run_dir(spark, "stream-dedup-all")
+    for copies in (1, 2):
+        _publish_events(spark, sf_dir, f"{root}/landing", copies)
+        drain_unseen(spark, f"{root}/landing", f"{root}/sink", f"{root}/checkpoint", f"{root}/seen", f"{root}/quarantine",
+                     keys=["connection_id", "queue", "seq"])
+    return json_loader.read_back(spark, f"{root}/sink").select("connection_id", "queue", "seq", "stringified_data")
+
+
 def stream_until_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G1 + H1 on a stream: per-user queues whose ``error`` events are end
     markers, published in two producer runs (before / after the boundary)
@@ -602,6 +659,9 @@ QUERIES = {
     "queue_consume_one": queue_consume_one,
     "stream_sync": stream_sync,
     "stream_dedup": stream_dedup,
+    "stream_reorder": stream_reorder,
+    "stream_upsert": stream_upsert,
+    "stream_dedup_all": stream_dedup_all,
     "stream_state": stream_state,
     "stream_until_end": stream_until_end,
     "run_sync": run_sync,

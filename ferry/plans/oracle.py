@@ -235,6 +235,12 @@ SELECT 'events' AS connection_id, CAST(user_id AS VARCHAR) AS queue, event_id AS
        props AS stringified_data
 FROM ({_UNTIL_END})""",
 
+    "stream_reorder": """
+SELECT conv_id, CAST(turn AS BIGINT) AS turn, coalesce(text, '') AS text FROM (
+  SELECT *, sum(CASE WHEN octet_length(encode(coalesce(text, ''))) % 4 = 0 THEN 1 ELSE 0 END)
+              OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS m
+  FROM conversations) WHERE m = 0""",
+
     "stream_state": """
 SELECT event_type AS connection_id, max(ts) AS cursor, CAST(count(*) AS BIGINT) AS rows_read
 FROM events GROUP BY event_type""",
@@ -268,6 +274,8 @@ SELECT 'c1' AS connection_id, CAST((size + 1048575) // 1048576 AS BIGINT) AS rea
 FROM read_blob('/root/testdata/sf0.01/documents.parquet')""",
 }
 
+ORACLE["stream_upsert"] = _DEDUP_LATEST
+ORACLE["stream_dedup_all"] = ORACLE["stream_dedup"]
 # A connection's config gives the same rows as the sync called by hand.
 ORACLE["run_sync_append"] = ORACLE["sync_append_runs"]
 ORACLE["run_sync_upsert"] = ORACLE["sync_upsert_runs"]

@@ -24,7 +24,7 @@ simply run again:
 brought to the target: one per key for ``upsert``, else all rows read.
 
 The state of a connection (cursor as text, counts, the number of committed
-runs) lives in its own directory ``connection_id=<id>`` as immutable
+runs, for a stream its id and last batch) lives in its own directory ``connection_id=<id>`` as immutable
 versions: an update is an atomic switch to a new complete version, touches
 one row, and runs of different connections never write the same files.
 """
@@ -43,7 +43,7 @@ from ferry.sinks import snapshot
 
 MODES = ("full", "append", "upsert")
 STATE_SCHEMA = ("connection_id string, mode string, cursor string, rows_read bigint, "
-                "rows_loaded bigint, runs bigint, buckets bigint")
+                "rows_loaded bigint, runs bigint, buckets bigint, stream string, batch_id bigint")
 REPORT_SCHEMA = ("connection_id string, mode string, run bigint, rows_read bigint, rows_loaded bigint, "
                  "cursor string")
 RUN_DIR = "run="
@@ -229,11 +229,13 @@ def upsert_delta(delta: DataFrame, target: str, run: int, keys: list[str], order
 
 
 def commit(spark: SparkSession, connection_id: str, state_path: str, prior: dict | None, mode: str, n_read: int,
-           n_loaded: int, new_max: str | None, cursor_type, buckets: int | None) -> str | None:
-    """Write a connection's new state, after its data; returns its cursor."""
+           n_loaded: int, new_max: str | None, cursor_type, buckets: int | None, stream: str | None = None,
+           batch_id: int | None = None) -> str | None:
+    """Write a connection's new state, after its data; returns its cursor.
+    A stream's run names the stream and its batch."""
     new_cursor = _greatest(prior["cursor"] if prior else None, new_max, cursor_type, spark)
     row = (connection_id, mode, new_cursor, (prior["rows_read"] if prior else 0) + n_read,
-           (prior["rows_loaded"] if prior else 0) + n_loaded, (prior["runs"] if prior else 0) + 1, buckets)
+           (prior["rows_loaded"] if prior else 0) + n_loaded, (prior["runs"] if prior else 0) + 1, buckets, stream, batch_id)
     snapshot.write_version(_one_row(spark, row), _state_dir(state_path, connection_id))
     return new_cursor
 
