@@ -33,6 +33,8 @@ FILE_CHUNK_BYTES = 1024 * 1024
 TEXT_CHUNK_BYTES = 1000
 #: Lines of a file that queries write as a source.
 LINES_PER_FILE = 500
+#: Files of ``file_lines`` and the bytes of a range.
+LINE_FILES, LINE_RANGE_BYTES = 4, 64 * 1024
 SYNC_BOUNDARY = dt.datetime(2024, 1, 15, 0, 0, 0)
 OVERRIDDEN = ("click", "view")
 #: Hash buckets of an upserted events target.
@@ -605,6 +607,42 @@ def run_sync_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select(F.from_json("line", "doc_id bigint, text string").alias("d")).select("d.*")
 
 
+def file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 by lines: files of JSON lines in the order of doc_id, read in byte
+    ranges far shorter than a file. A line's number in its file, and the
+    document that the file begins with, give the document."""
+    from ferry.sources.file_lines import read_lines
+    place = new_run_dir(spark, "file-lines")
+    docs = _t(spark, sf_dir, "documents").repartitionByRange(LINE_FILES, "doc_id").sortWithinPartitions("doc_id")
+    docs.select(F.to_json(F.struct("doc_id", "text")).alias("value")).write.text(place)
+    lines = read_lines(spark, place, LINE_RANGE_BYTES)
+    doc = F.from_json(F.decode("data", "UTF-8"), "doc_id bigint, text string")
+    rows = lines.select("path", "seq", doc.alias("d"))
+    first = rows.where("seq = 0").select("path", F.col("d.doc_id").alias("_first"))
+    return rows.join(first, "path").select((F.col("_first") + F.col("seq")).alias("line"), "d.doc_id", "d.text")
+
+
+def run_sync_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 + K2 on files: a connection with a ledger of its files runs twice,
+    the second time after new files have come; each run loads new ones only."""
+    from ferry.plans.files import read_files
+    from ferry.plans.run import run_connection, single_connection_registry
+    place, out = new_run_dir(spark, "run-files"), new_run_dir(spark, "run-files-out")
+    registry = single_connection_registry(spark, "files", cfg.FILE_EXTRACTOR, {"url": place}, cfg.JSON_LOADER, {"path": out},
+                                          config={"mode": "append", "cursor": "bytes"})
+    docs = _t(spark, sf_dir, "documents", spread_rows=True)
+    for odd in (0, 1):
+        lines = docs.where(F.col("doc_id") % 2 == odd).select(F.to_json(F.struct("doc_id", "text")).alias("value"))
+        lines.write.mode("append").option("maxRecordsPerFile", str(LINES_PER_FILE)).text(place)
+        run_connection(spark, "files", *registry, chunk_bytes=TEXT_CHUNK_BYTES)
+    # at most LINES_PER_FILE lines in a cell
+    files = read_files(spark, out, "files").groupBy("run", "metadata.source").agg(
+        F.array_sort(F.collect_list(F.struct("seq", "stringified_data"))).alias("_c"))
+    text = F.array_join(F.transform("_c", lambda c: c["stringified_data"]), "")
+    lines = files.select("run", F.explode(F.split(text, "\n")).alias("line")).where("line <> ''")
+    return lines.select("run", F.from_json("line", "doc_id bigint, text string").alias("d")).select("run", "d.*")
+
+
 def run_scheduled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A scheduled connection per table file of the scale directory,
     plus a second connection on the documents file; every file is read
@@ -653,6 +691,8 @@ QUERIES = {
     "json_load": json_load,
     "queue_text": queue_text,
     "run_sync_text": run_sync_text,
+    "run_sync_files": run_sync_files,
+    "file_lines": file_lines,
     "file_chunks": file_chunks,
     "map_chunks": map_chunks,
     "queue_consume": queue_consume,

@@ -198,6 +198,10 @@ FROM documents WHERE octet_length(encode(text)) > 0""",
 
     "run_sync_text": "SELECT doc_id, text FROM documents",
 
+    "run_sync_files": "SELECT CAST(doc_id % 2 + 1 AS BIGINT) AS run, doc_id, text FROM documents",
+
+    "file_lines": "SELECT row_number() OVER (ORDER BY doc_id) - 1 + min(doc_id) OVER () AS line, doc_id, text FROM documents",
+
     "file_chunks": """
 SELECT parse_filename(filename) AS file, CAST(seq AS BIGINT) AS seq,
        CAST(octet_length(chunk) AS BIGINT) AS n_bytes, md5(chunk) AS data_md5

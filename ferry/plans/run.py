@@ -17,7 +17,7 @@ from ferry.functions import config as cfg
 from ferry.functions import envelope as env
 from ferry.operators import registry as reg
 from ferry.operators.chunks import BEFORE, LAST, chunk_column
-from ferry.plans import shared, sync
+from ferry.plans import files, shared, sync
 from ferry.plans.sizing import broadcast_if_small, materialize
 from ferry.sinks import json_loader, snapshot
 from ferry.sources import connectors
@@ -116,10 +116,18 @@ def run_connection(spark: SparkSession, connection_id: str, sources: DataFrame,
     """Extract -> envelope -> load for one connection; returns the
     report ``(connection_id, read, loaded, rejected)``. Between a table source
     and a table loader the strategy in the connection's config decides (full
-    override when it names none); ``loaded`` is then one per key for upserts."""
+    override when it names none); ``loaded`` is then one per key for upserts.
+    Files with ``{"mode": "append", "cursor": "bytes"}`` are loaded
+    incrementally (``plans.files``); ``rejected`` then counts files."""
     r = resolve_one(spark, connection_id, sources, loaders, conns)
     source_cfg = {k: v for k, v in r["source_cfg"].items() if k != "error" and v is not None}
     loader_cfg = {k: v for k, v in r["loader_cfg"].items() if k != "error" and v is not None}
+    if (r["source_type"], r["loader_type"]) == (cfg.FILE_EXTRACTOR, cfg.JSON_LOADER) and r["strategy"]:
+        if (r["strategy"]["mode"], r["strategy"]["cursor"]) != ("append", files.CURSOR):
+            raise ValueError(f"files are synced by mode append with the cursor {files.CURSOR}")
+        _, n, bad = files.sync_files(spark, source_cfg["url"], connection_id, loader_cfg["path"], r["loader_name"],
+                                     source_options.get("chunk_bytes", connectors.DEFAULT_CHUNK_BYTES))
+        return spark.createDataFrame([(connection_id, n, n, bad)], REPORT_SCHEMA)
     if r["strategy"] or r["loader_type"] == cfg.TABLE_LOADER:
         rows_fn = connectors.table_for(r["source_type"])
         connectors.check_table_loader(r["loader_type"])
@@ -195,8 +203,8 @@ def run_scheduled(spark: SparkSession, sources: DataFrame, loaders: DataFrame, c
     of_tables = whole_plan.where(F.col("_table") & F.col("reason").isNull())
     table_runs = shared.run_sources(spark, of_tables, read_strategy, connectors.table_for, synced_places)
     plan = whole_plan.where(~F.coalesce("_table", F.lit(False)) | F.col("reason").isNotNull())
-    files = plan.where(F.col("reason").isNull() & (F.col("source_type") == cfg.FILE_EXTRACTOR))
-    listing = materialize(list_urls(files.select(F.col("_url").alias("url")), chunk_bytes), "listing")
+    file_plan = plan.where(F.col("reason").isNull() & (F.col("source_type") == cfg.FILE_EXTRACTOR))
+    listing = materialize(list_urls(file_plan.select(F.col("_url").alias("url")), chunk_bytes), "listing")
     failed = listing.where(F.col("error").isNotNull()).select(F.col("url").alias("_url"), "error")
     plan = materialize(plan.join(failed, "_url", "left")
                        .withColumn("reason", F.coalesce("reason", "error")).drop("error"), "runnable")

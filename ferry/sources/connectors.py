@@ -21,7 +21,8 @@ from ferry.functions import config as cfg
 from ferry.operators import registry as reg
 from ferry.operators.chunks import BEFORE, DEFAULT_CHUNK_BYTES, LAST, chunk_column
 from ferry.sinks import json_loader
-from ferry.sources.file_chunks import read_file_chunks, read_file_lines
+from ferry.sources.file_chunks import read_file_chunks
+from ferry.sources.file_lines import read_lines
 from ferry.sources.pages import read_pages
 
 SourceFn = Callable[..., DataFrame]
@@ -92,9 +93,12 @@ def loader_for(type_name: str) -> LoaderFn:
 def _file_source(spark: SparkSession, config: dict, chunk_bytes: int = DEFAULT_CHUNK_BYTES,
                  lines: bool = False, **_) -> DataFrame:
     """Byte chunks of the file (of a directory: numbered through its files in
-    path order), or with ``lines=True`` one row per line; ``path`` is the file."""
-    if lines:
-        return read_file_lines(spark, config["url"])
+    path order), or with ``lines=True`` one row per line (numbered file major,
+    line minor); ``path`` is the file."""
+    if lines:  # a line is a payload of its own
+        rows = read_lines(spark, config["url"])
+        return rows.select("path", (F.col("file_no") * F.lit(1 << 40) + F.col("seq")).alias("seq"), "data",
+                           F.lit(None).cast("binary").alias(BEFORE), F.lit(True).alias(LAST))
     return read_file_chunks(spark, config["url"], chunk_bytes, continuous=True, edges=True)
 
 

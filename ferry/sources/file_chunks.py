@@ -33,6 +33,7 @@ class _Range:
     last_seq: int  # inclusive
     size: int
     base: int = 0  # added to the chunk numbers that are handed out
+    start: int = 0  # byte that chunk 0 begins with
 
 
 class ChunkPartition(InputPartition):
@@ -147,7 +148,7 @@ def read_ranges(ranges, n: int, edges: bool = False):
             seq = r.first_seq
             while seq <= r.last_seq:  # one ranged read for as many chunks as the batch takes
                 count = min(per_batch - len(datas), r.last_seq - seq + 1)
-                start = seq * n
+                start = r.start + seq * n
                 front = min(EDGE_BYTES, start) if edges else 0
                 want = min(count * n, r.size - start)
                 block = f.read_at(want + front, start - front)
@@ -213,8 +214,8 @@ def read_file_chunks(spark, path: str | list[str], chunk_bytes: int = DEFAULT_CH
 
 def list_urls(urls, chunk_bytes: int = DEFAULT_CHUNK_BYTES):
     """The files behind each distinct ``url``, listed in tasks: ``(url, path,
-    size, first_seq, error)``. ``first_seq`` numbers a url's chunks through
-    its files in path order; a url that cannot be listed is one row with a
+    size, first_seq, error, file_no)``. ``first_seq`` numbers a url's chunks
+    through its files in path order, ``file_no`` the files; a url that cannot be listed is one row with a
     null path and an ``error``."""
     def listed(batches):
         import pandas as pd
@@ -223,47 +224,42 @@ def list_urls(urls, chunk_bytes: int = DEFAULT_CHUNK_BYTES):
             for url in batch["url"]:
                 try:
                     first = 0
-                    for path, size in list_files(url):
-                        rows.append((url, path, size, first, None))
+                    for i, (path, size) in enumerate(list_files(url)):
+                        rows.append((url, path, size, first, None, i))
                         first += -(-size // chunk_bytes)
                 except FileNotFoundError:
-                    rows.append((url, None, 0, 0, "source not found"))
+                    rows.append((url, None, 0, 0, "source not found", 0))
                 except (OSError, ValueError) as e:
-                    rows.append((url, None, 0, 0, f"source not readable: {e}"))
-            yield pd.DataFrame(rows, columns=["url", "path", "size", "first_seq", "error"])
+                    rows.append((url, None, 0, 0, f"source not readable: {e}", 0))
+            yield pd.DataFrame(rows, columns=["url", "path", "size", "first_seq", "error", "file_no"])
     return urls.select("url").distinct().mapInPandas(
-        listed, "url string, path string, size bigint, first_seq bigint, error string")
+        listed, "url string, path string, size bigint, first_seq bigint, error string, file_no bigint")
 
 
 def read_listed(files, chunk_bytes: int = DEFAULT_CHUNK_BYTES,
                 partition_bytes: int = DEFAULT_PARTITION_BYTES, edges: bool = False):
     """The chunks ``(path, seq, data)`` (with ``edges`` as in ``FileChunks``)
-    of a table ``(path, size)`` of distinct files: ranges of about 16 MiB are dealt over the tasks, about
-    ``partition_bytes`` each; only their total size comes to the driver."""
+    of a table ``(path, size)`` of distinct files: ranges of about 16 MiB are
+    dealt over the tasks, about ``partition_bytes`` each; only their total size
+    comes to the driver. With ``start`` and ``base`` in the table, a file is
+    read from that byte on and its chunks are numbered from there."""
     from pyspark.sql import functions as F
     spark = files.sparkSession
-    total = files.agg(F.sum("size")).first()[0] or 0
+    for extra in ("start", "base"):
+        if extra not in files.columns:
+            files = files.withColumn(extra, F.lit(0).cast("long"))
+    total = files.agg(F.sum(F.col("size") - F.col("start"))).first()[0] or 0
     cores = spark.sparkContext.defaultParallelism
     tasks = max(-(-total // partition_bytes), min(cores, -(-total // chunk_bytes)), 1)
     step = max(1, min(BATCH_BYTES, -(-total // tasks)) // chunk_bytes)
-    last = F.expr(f"(size + {chunk_bytes} - 1) div {chunk_bytes} - 1")
-    ranges = (files.where(F.col("size") > 0)
+    last = F.expr(f"(size - start + {chunk_bytes} - 1) div {chunk_bytes} - 1")
+    ranges = (files.where(F.col("size") > F.col("start"))
               .select("path", F.explode(F.sequence(F.lit(0).cast("long"), last, F.lit(step).cast("long")))
-                      .alias("first_seq"), last.alias("_last"), "size")
+                      .alias("first_seq"), last.alias("_last"), "size", "start", "base")
               .select("path", "first_seq",
-                      F.least(F.col("first_seq") + F.lit(step - 1), F.col("_last")).alias("last_seq"), "size"))
+                      F.least(F.col("first_seq") + F.lit(step - 1), F.col("_last")).alias("last_seq"), "size", "base", "start"))
 
     def read(batches):
         for batch in batches:
             yield from read_ranges([_Range(**r) for r in batch.to_pylist()], chunk_bytes, edges)
     return ranges.repartition(tasks).mapInArrow(read, EDGES_SCHEMA if edges else SCHEMA)
-
-
-def read_file_lines(spark, path: str):
-    """A1 with ``lines=true``: a text file as one row per line, ``seq``
-    increasing in file order (``spark.read.text`` splits large files)."""
-    from pyspark.sql import functions as F
-    df = spark.read.text(path)
-    return df.select(F.input_file_name().alias("path"),
-                     F.monotonically_increasing_id().alias("seq"),
-                     F.encode(F.col("value"), "UTF-8").alias("data"))
