@@ -10,7 +10,7 @@ and counts is gathered for a file.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ferry.plans.sizing import materialize
@@ -95,6 +95,15 @@ def lines_of_ranges(ranges: DataFrame) -> DataFrame:
     return ranges.mapInArrow(run, LINES_SCHEMA)
 
 
+def _first_numbers(table):
+    """The ranges of a file with the line ends before each."""
+    import numpy as np
+    import pyarrow as pa
+    table = table.sort_by("start")
+    ends = table.column("ends").to_numpy()
+    return table.drop_columns(["ends"]).append_column("first", pa.array(np.cumsum(ends) - ends, pa.int64()))
+
+
 def read_lines(spark: SparkSession, url: str, range_bytes: int = DEFAULT_PARTITION_BYTES) -> DataFrame:
     """``(path, file_no, seq, data)`` of the files behind ``url`` (a file,
     directory or pattern): ``seq`` is the line's number in its file from 0,
@@ -111,7 +120,7 @@ def read_lines(spark: SparkSession, url: str, range_bytes: int = DEFAULT_PARTITI
     ranges = ranges.select("*", F.least(F.col("start") + step, F.col("size")).alias("stop"))
     tasks = max(1, ranges.count())
     counted = materialize(count_line_ends(ranges.repartition(tasks, "path", "start")), "line-ends")
-    # one row for each range of a file
-    before = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    first = counted.withColumn("first", F.coalesce(F.sum("ends").over(before), F.lit(0))).drop("ends")
+    # a group is the counts of one file's ranges, a row for each
+    first = counted.groupBy("path").applyInArrow(
+        _first_numbers, "path string, file_no bigint, size bigint, start bigint, stop bigint, first bigint")
     return lines_of_ranges(first.repartition(tasks, "path", "start"))
