@@ -123,10 +123,8 @@ def run_connection(spark: SparkSession, connection_id: str, sources: DataFrame,
     source_cfg = {k: v for k, v in r["source_cfg"].items() if k != "error" and v is not None}
     loader_cfg = {k: v for k, v in r["loader_cfg"].items() if k != "error" and v is not None}
     if (r["source_type"], r["loader_type"]) == (cfg.FILE_EXTRACTOR, cfg.JSON_LOADER) and r["strategy"]:
-        if (r["strategy"]["mode"], r["strategy"]["cursor"]) != ("append", files.CURSOR):
-            raise ValueError(f"files are synced by mode append with the cursor {files.CURSOR}")
-        _, n, bad = files.sync_files(spark, source_cfg["url"], connection_id, loader_cfg["path"], r["loader_name"],
-                                     source_options.get("chunk_bytes", connectors.DEFAULT_CHUNK_BYTES))
+        n, bad = _sync_files(spark, connection_id, r["strategy"], source_cfg["url"], loader_cfg["path"], r["loader_name"],
+                             source_options.get("chunk_bytes", connectors.DEFAULT_CHUNK_BYTES))
         return spark.createDataFrame([(connection_id, n, n, bad)], REPORT_SCHEMA)
     if r["strategy"] or r["loader_type"] == cfg.TABLE_LOADER:
         rows_fn = connectors.table_for(r["source_type"])
@@ -150,6 +148,26 @@ def run_connection(spark: SparkSession, connection_id: str, sources: DataFrame,
     return spark.createDataFrame([(connection_id, n_read, n_loaded, n_read - n_loaded)], REPORT_SCHEMA)
 
 
+def _sync_files(spark: SparkSession, connection_id: str, strategy: dict, url: str, path: str, loader_name: str,
+                chunk_bytes: int) -> tuple[int, int]:
+    """K2 on files: the chunks a run read, and the files it rejected."""
+    if (strategy["mode"], strategy["cursor"]) != ("append", files.CURSOR):
+        raise ValueError(f"files are synced by mode append with the cursor {files.CURSOR}")
+    _, n, bad = files.sync_files(spark, url, connection_id, path, loader_name, chunk_bytes)
+    return n, bad
+
+
+def _run_ledger(spark: SparkSession, r, chunk_bytes: int) -> tuple[str, int | None, str | None]:
+    """A scheduled file connection with a strategy: ``(id, chunks, reason)``."""
+    try:
+        n, bad = _sync_files(spark, r["connection_id"], read_strategy(r["config"]), r["_url"], r["_out"], r["loader_name"], chunk_bytes)
+        return r["connection_id"], n, f"{bad} files: {files.TRUNCATED}" if bad else None
+    except FileNotFoundError:
+        return r["connection_id"], None, "source not found"
+    except ValueError as e:
+        return r["connection_id"], None, str(e)
+
+
 def scheduled_connections(conns: DataFrame, sources: DataFrame, loaders: DataFrame) -> DataFrame:
     """J2 planning: every scheduled connection, resolved, with its queue,
     schedule, typed configs and ``reason`` (null = can run: both ids exist
@@ -179,7 +197,8 @@ def run_scheduled(spark: SparkSession, sources: DataFrame, loaders: DataFrame, c
     of fetched ``pages``): those whose url starts with the connection's. A run
     replaces what an earlier run of the same connection wrote. Table
     connections: each source table is scanned once for all its connections and
-    their strategies (``plans.shared``).
+    their strategies (``plans.shared``). File connections with a strategy take
+    what their ledger doesn't have (``plans.files``).
 
     Returns ``(connection_id, loaded, reason)`` for every scheduled
     connection, with the chunks or rows this run wrote; ``reason`` says why one
@@ -189,20 +208,24 @@ def run_scheduled(spark: SparkSession, sources: DataFrame, loaders: DataFrame, c
     is_table = F.col("source_type").isin(tables)
     keeps = F.col("loader_type").isin(table_loaders)
     strategy = F.get_json_object("config", "$.mode").isNotNull()
+    ledger = strategy & (F.col("source_type") == cfg.FILE_EXTRACTOR) & (F.col("loader_type") == cfg.JSON_LOADER)
     unfit = (F.when(is_table & ~keeps, F.concat("loader_type", F.lit(" does not keep tables")))
-             .when(~is_table & (keeps | strategy), F.concat("source_type", F.lit(" is not a source of rows")))
+             .when(~is_table & (keeps | (strategy & ~ledger)), F.concat("source_type", F.lit(" is not a source of rows")))
              .when(~is_table & ~F.col("source_type").isin(cfg.FILE_EXTRACTOR, cfg.WEB_SCRAPER), F.lit("no scheduled form of this type"))
              .when((F.col("source_type") == cfg.WEB_SCRAPER) & F.lit(pages is None), F.lit("no pages table")))
     own = {"ignoreNullFields": "true"}
     whole_plan = materialize(scheduled_connections(conns, sources, loaders).select(
         "connection_id", "source_type", F.col("source_cfg.url").alias("_url"),
         F.col("loader_cfg.path").alias("_out"), "loader_name", "queue", "config", is_table.alias("_table"),
+        F.coalesce(ledger, F.lit(False)).alias("_ledger"),
         F.to_json(F.col("source_cfg").dropFields("error"), own).alias("source"),
         F.to_json(F.col("loader_cfg").dropFields("error"), own).alias("loader"),
         F.coalesce("reason", unfit).alias("reason")), "scheduled")
     of_tables = whole_plan.where(F.col("_table") & F.col("reason").isNull())
     table_runs = shared.run_sources(spark, of_tables, read_strategy, connectors.table_for, synced_places)
-    plan = whole_plan.where(~F.coalesce("_table", F.lit(False)) | F.col("reason").isNotNull())
+    of_files = whole_plan.where(F.col("_ledger") & F.col("reason").isNull())
+    table_runs += [_run_ledger(spark, r, chunk_bytes) for r in of_files.toLocalIterator()]
+    plan = whole_plan.where(~(F.coalesce("_table", F.lit(False)) | F.col("_ledger")) | F.col("reason").isNotNull())
     file_plan = plan.where(F.col("reason").isNull() & (F.col("source_type") == cfg.FILE_EXTRACTOR))
     listing = materialize(list_urls(file_plan.select(F.col("_url").alias("url")), chunk_bytes), "listing")
     failed = listing.where(F.col("error").isNotNull()).select(F.col("url").alias("_url"), "error")

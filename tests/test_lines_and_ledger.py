@@ -123,3 +123,17 @@ def test_file_strategies_are_checked(spark, tmp_dir):
         reg = single_connection_registry(spark, "c", "file_extractor", {"url": tmp_dir}, "json_loader", {"path": tmp_dir + "-o"}, config=config)
         with pytest.raises(ValueError, match="bytes"):
             run_connection(spark, "c", *reg)
+
+
+def test_scheduled_files_go_by_their_ledger(spark, tmp_dir):
+    from ferry.plans.run import run_scheduled
+    c = Connection(spark, tmp_dir)
+    _write(c.src, {"a.txt": b"0123456789"})
+    assert c.run() == (2, 2, 0)
+    sources, loaders, conns = c.registry
+    scheduled = conns.replace("manual", "scheduled", "sync_type")
+    _write(c.src, {"a.txt": b"0123456789ab", "b.txt": b"b"})
+    run = lambda *conns: [tuple(r) for r in run_scheduled(spark, sources, loaders, *conns, chunk_bytes=5).collect()]
+    assert run(scheduled) == [("c/1", 2, None)] and c.texts() == {"a.txt": "0123456789ab", "b.txt": "b"}
+    _write(c.src, {"a.txt": b"0"})
+    assert run(scheduled) == [("c/1", 0, "1 files: " + fl.TRUNCATED)]
