@@ -9,7 +9,10 @@ repeats or copied lines is not taken, and the values of later splits stay
 within the bounds that earlier ones set.
 
 The trees are fitted on a sample of at most ``MAX_LABELLED`` labelled rows,
-the ones with the smallest hash of their id; statistics cover every row.
+the ones with the smallest hash of their id; statistics cover every row. The
+verdict's threshold comes from all labelled rows, scored by the fitted trees:
+margins are counted in bins of 1 / ``CUT_BINS``, and the threshold is the
+highest bin below which no more than ``GOOD_LOST`` of the good rows lie.
 
 Rows: null text has no words (all statistics 0, base rules fail); repeated
 rows are judged each; null ids take no part in training; a label table that
@@ -32,8 +35,10 @@ from ferry.plans.sizing import materialize
 
 MAX_LABELLED = 20_000
 ROUNDS, DEPTH, RATE, BINS, L2, MIN_ROWS = 60, 3, 0.15, 32, 1.0, 20
-#: Share of the good rows of the sample that the threshold may lose.
+#: Share of the good labelled rows that the threshold may lose.
 GOOD_LOST = 0.01
+#: Bins of a margin's unit, and the margins beyond which all count alike.
+CUT_BINS, CUT_RANGE = 1000, 20
 # The symbols of the base rule.
 SYMBOLS = b"#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -213,10 +218,30 @@ def fit(x: np.ndarray, y: np.ndarray) -> Trees | None:
         nodes["right"].append(start + np.where(last, at, 2 * at + 2))
         nodes["value"].append(value)
     flat = {k: np.concatenate(v) for k, v in nodes.items()}
-    trees = Trees(**flat, root=np.arange(ROUNDS) * size, base=base, cut=0.0)
-    good = trees.margin(x)[y == 1]
-    trees.cut = min(0.0, float(np.quantile(good, GOOD_LOST)))
-    return trees
+    return Trees(**flat, root=np.arange(ROUNDS) * size, base=base, cut=0.0)
+
+
+def threshold(trees: Trees, good: DataFrame) -> float:
+    """The highest bound, zero at most, below which GOOD_LOST of the rows with
+    these statistics lie at most."""
+    names = COUNTS + EXTRA
+    sent = good.sparkSession.sparkContext.broadcast(trees)
+
+    def run(batches):
+        for b in batches:
+            margin = sent.value.margin(features({c: b.column(c).to_numpy(zero_copy_only=False) for c in names}))
+            bins = np.floor(np.clip(margin, -CUT_RANGE, CUT_RANGE) * CUT_BINS).astype(np.int64)
+            bins, n = np.unique(bins, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(bins), pa.array(n.astype(np.int64))], names=["bin", "n"])
+
+    # at most 2 * CUT_RANGE * CUT_BINS + 1 rows
+    bins = good.select(*names).mapInArrow(run, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).toPandas()
+    if not len(bins):
+        return 0.0
+    bins = bins.sort_values("bin")
+    before = np.cumsum(bins["n"].to_numpy()) - bins["n"].to_numpy()
+    at = int(np.flatnonzero(before <= GOOD_LOST * bins["n"].sum())[-1])
+    return min(0.0, float(bins["bin"].to_numpy()[at]) / CUT_BINS)
 
 
 def judge_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -228,10 +253,13 @@ def judge_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
              .filter("id is not null and y is not null")
              .groupBy("id").agg(F.max("y").alias("y")))
     # The sample: the smallest hashes, at most max_labelled rows.
-    sample = (stats.join(known, "id").orderBy(F.xxhash64("id"), "id").limit(max_labelled).toPandas())
+    labelled = stats.join(known, "id")
+    sample = labelled.orderBy(F.xxhash64("id"), "id").limit(max_labelled).toPandas()
     names = COUNTS + EXTRA
     model = fit(features({c: sample[c].to_numpy() for c in names}),
                 (sample["y"].to_numpy() > 0).astype(float)) if len(sample) else None
+    if model is not None:
+        model.cut = threshold(model, labelled.where("y > 0"))
     sent = spark.sparkContext.broadcast(model)
     kind = stats.schema["id"].dataType.simpleString()
 
