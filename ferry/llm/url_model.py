@@ -65,11 +65,17 @@ def symbols(url: Column) -> Column:
 
 
 def _grams(rows: DataFrame, *keep: str) -> DataFrame:
-    """One row per character: the character with its ORDER - 1 predecessors."""
-    n = F.length("text") - (ORDER - 1)
-    at = F.explode(F.when(n > 0, F.sequence(F.lit(1), n)))
-    return (rows.select(*keep, "text", at.alias("at"))
-            .select(*keep, F.expr(f"substring(text, at, {ORDER})").alias("gram")))
+    """One row per character: the character with its ORDER - 1 predecessors.
+    The text is cut once into characters and the array's neighbours are put
+    together, so the work is linear in a url's length and no row of a
+    character carries the url."""
+    chars = F.split("text", "")
+    n = F.greatest(F.length("text") - (ORDER - 1), F.lit(0))
+    grams = F.slice("c", 1, n)
+    for k in range(1, ORDER):
+        grams = F.zip_with(grams, F.slice("c", F.lit(k + 1), n), lambda g, c: F.concat(g, c))
+    cut = rows.select(*keep, "text", chars.alias("c")).select(*keep, grams.alias("grams"))
+    return cut.select(*keep, F.explode("grams").alias("gram"))
 
 
 def train(labelled: DataFrame) -> DataFrame:
@@ -104,8 +110,8 @@ def train(labelled: DataFrame) -> DataFrame:
 def score(urls: DataFrame, model: DataFrame, *keep: str) -> DataFrame:
     """Mean ratio by character of every URL (0 for unknown grams). ``model``
     has at most 48^3 rows by its alphabet, so it is broadcast."""
-    return (_grams(urls, "key", *keep).join(F.broadcast(model), "gram", "left")
-            .groupBy("key", *keep).agg(F.avg(F.coalesce("ratio", F.lit(0.0))).alias("score")))
+    return (_grams(urls, "uid", *keep).join(F.broadcast(model), "gram", "left")
+            .groupBy("uid", *keep).agg(F.avg(F.coalesce("ratio", F.lit(0.0))).alias("score")))
 
 
 def _threshold(scored: DataFrame) -> float | None:
@@ -146,13 +152,13 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     # Distinct URLs with their counts: a URL that fills a third of the table is one row.
     urls = materialize(rows.groupBy("key").agg(F.first("hit").alias("hit"), F.count(F.lit(1)).alias("times"))
                        .select("key", F.col("hit.verdict").alias("label"), "times",
-                               symbols(F.col("key")).alias("text")), "url-distinct")
+                               symbols(F.col("key")).alias("text"), F.monotonically_increasing_id().alias("uid"),
+                               (F.pmod(F.xxhash64("key"), F.lit(HOLD_OUT)) == 0).alias("held")), "url-distinct")
     known = urls.filter(F.col("label").isNotNull())
-    held = F.pmod(F.xxhash64("key"), F.lit(HOLD_OUT)) == 0
-    model = materialize(train(known.filter(~held)), "url-model")
-    scored = materialize(score(urls, model, "label", "times"), "url-scores")
-    cut = _threshold(scored.filter(F.col("label").isNotNull() & held))
-    judged = scored.select("key", "score", F.when(F.col("score") < F.lit(cut).cast("double"), "block")
+    model = materialize(train(known.filter(~F.col("held"))), "url-model")
+    scored = materialize(score(urls, model, "label", "times", "held"), "url-scores")
+    cut = _threshold(scored.filter(F.col("label").isNotNull() & F.col("held")))
+    judged = urls.select("key", "uid").join(scored, "uid").select("key", "score", F.when(F.col("score") < F.lit(cut).cast("double"), "block")
                            .otherwise("allow").alias("by_model"))
     return rows.join(judged, "key", "left").select(
         F.col("id").alias(id_col), "host", "path", F.col("hit.rule").alias("rule"),
