@@ -85,6 +85,7 @@ def train(labelled: DataFrame) -> DataFrame:
     n(h) times with t(h) different followers, p(c|h) = (n(hc) + t(h) p(c|h'))
     / (n(h) + t(h)), down to a uniform order -1."""
     table = _grams(labelled, "label", "times").groupBy("label", "gram").agg(F.sum("times").alias("n"))
+    table = materialize(table, "url-grams")  # at most 2 * 48^3 rows, read for every order
     size = 28 + len(PUNCTUATION)
     # every gram known to either class is scored under both
     all_grams = table.select("gram").distinct()
