@@ -118,7 +118,9 @@ def read_lines(spark: SparkSession, url: str, range_bytes: int = DEFAULT_PARTITI
     start = F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, step))
     ranges = listing.where(F.col("size") > 0).select("path", "file_no", "size", start.alias("start"))
     ranges = ranges.select("*", F.least(F.col("start") + step, F.col("size")).alias("stop"))
-    tasks = max(1, ranges.count())
+    seen = ranges.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.col("stop") - F.col("start")), F.lit(0)).alias("bytes")).first()
+    # a task for each share of DEFAULT_PARTITION_BYTES, and for each core where there is less
+    tasks = max(1, -(-seen["bytes"] // DEFAULT_PARTITION_BYTES), min(spark.sparkContext.defaultParallelism, seen["n"]))
     counted = materialize(count_line_ends(ranges.repartition(tasks, "path", "start")), "line-ends")
     # a group is the counts of one file's ranges, a row for each
     first = counted.groupBy("path").applyInArrow(
