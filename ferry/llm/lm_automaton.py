@@ -1,58 +1,91 @@
 """LM scoring with a weighted backoff automaton (operator 10).
 
-Tokens are lower-cased words and one end token. All counts come from all
-training rows. The model is a trigram model with absolute discounting over
-every word, bigram and trigram of the training rows. Contexts are states. An
-arc (state, word) has the discounted probability and the next state; a state
-without the arc fails to the state of the shorter context and pays its
-backoff weight; the root has the add-0.1 unigrams. The state after a token is
-its last two words, so which arcs and failures a text's path takes follows
-from its own n-grams. An n-gram's weight is its arc less the way that the
-path would take without it, and the backoff weight of the state it leads to;
-a text's score is the sum of the weights of its n-grams.
-
-What is broadcast is bounded by the shares, whatever the corpus: at most
-1 / HOT_SHARE words and as many n-grams an order, as a cache. All other
-weights and counts stay tables; a text's n-grams meet them in buckets of
-their hash, packed into arrays. A word is known by its 64-bit hash, a bigram
-by a hash of its words and a trigram by one of its bigrams.
+Tokens are lower-cased words and one end token. The model is a trigram model
+with absolute discounting over every word, bigram and trigram of all training
+rows. Its automaton has a state for each context of two words, of one word,
+and the root. An arc (state, word) exists where the training rows hold that
+n-gram; it has the discounted log-probability and leads to the state of the
+last two words. A state without the arc fails to the state of its shorter
+context and pays its backoff weight; the root has the add-0.1 unigrams. A text
+is scored in one traversal from left to right that carries the state.
+
+The texts are cut into blocks of whole rows. A block never sees the whole
+automaton, only the slice that its texts can reach:
+
+1. blocks send their distinct words with training counts to buckets of the
+   words' hash, and get back numbers (frequent words have small ones) and
+   counts over all rows;
+2. they send their distinct trigrams, sorted, as deltas of word numbers, to
+   buckets of the middle word. There every count of the trigram, of both its
+   bigrams and of the middle word is complete, and the answer is in the order
+   asked: counts for trigrams that exist, for the others the backoff weights
+   and the bigram's log-probability;
+3. a block builds its states and arcs from the answers and walks its texts.
+
+A hot middle word has several buckets, chosen by the first word (by the last,
+where the middle is the start of a text); the totals of its bigrams and of the
+word come from a grouping of their own and go to those buckets as further
+cells. What is broadcast is at most 1 / HOT_SHARE words. A word is known by its 64-bit hash.
 
 Rows: null text counts as empty (the end token alone); repeated rows count
 and are scored each; null ids count as the empty text in the split; without
 training rows every token has count 0; an empty table gives an empty result.
+A text is never divided: one longer than a block is a block of its own.
 """
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferry.llm.textbatch import LOWER, MULT, chunks, give_back, in_sorted, lean, mix, span_hashes, utf8, words
+from ferry.llm.textbatch import LOWER, chunks, give_back, in_sorted, lean, mix, span_hashes, utf8, words
 from ferry.plans.sizing import materialize
 
-HOT_SHARE = 1e-5
-ADD, DISCOUNT = 0.1, 0.5
+#: A middle word with more tokens than SPLIT_TOKENS and this share of all gets several buckets.
+HOT_SHARE = 1e-6
+ADD, DISCOUNT, LEAST = 0.1, 0.5, 1e-9
 END_WORD, START_WORD = np.uint64(0x5E7D), np.uint64(0x57A7)  # not hashes of words, but by chance of 2^-64
-BUFFER = 3_000_000
-#: Tokens of the corpus for each bucket of rare words.
-BUCKET_TOKENS = 4_000_000
-#: Tokens of the corpus for each bucket of bigrams and trigrams.
-BUCKET_GRAMS = 1_200_000
-#: Table rows packed together by a task.
-FLUSH = 400_000
-LEAST = 1e-9
+#: Tokens of a block of texts.
+BLOCK_TOKENS = 2_000_000
+#: Distinct words of blocks for each bucket of words, and tokens for each bucket of trigrams.
+BUCKET_WORDS, BUCKET_GRAMS = 1_000_000, 1_200_000
+#: Tokens of a hot word for each of its buckets.
+SPLIT_TOKENS = 300_000
+SHIFT, LOW = np.uint64(32), np.uint64((1 << 32) - 1)
 
 
 def training(id_col: Column) -> Column:
     return F.crc32(F.encode(F.coalesce(id_col.cast("string"), F.lit("")), "UTF-8")) % 10 != 0
 
 
+def pack(x: np.ndarray) -> bytes:
+    """The bytes of an array by place of the byte, compressed."""
+    x = np.ascontiguousarray(x)
+    return zstandard.compress(x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes())
+
+
+def unpack(b: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.frombuffer(zstandard.decompress(b), np.uint8).reshape(size, -1).T.copy().view(kind).ravel()
+
+
+def deltas(x: np.ndarray) -> np.ndarray:
+    return np.diff(x, prepend=x.dtype.type(0))
+
+
+def _long(x: np.ndarray) -> pa.Array:
+    return pa.array(np.asarray(x).astype(np.int64))
+
+
+def _sums(at: np.ndarray, n: np.ndarray, size: int) -> np.ndarray:
+    return np.rint(np.bincount(at, n, size)).astype(np.int64)
+
+
 def _hashed(column) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of a batch, lower-cased, and offsets by row."""
     data, off = utf8(column)
@@ -67,168 +100,370 @@ def _hashed(column) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(hs) if hs else np.zeros(0, np.uint64)), np.concatenate(wo)
 
 
-def _pairs(keys: np.ndarray, names: tuple[str, str]):
-    u, n = np.unique(keys, return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(n.astype(np.int64))], names=list(names))
-
+def _with_ends(h: np.ndarray, wo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes with the end token behind every row, and the rows' lengths."""
+    lens = np.diff(wo) + 1
+    seq = np.full(int(lens.sum()), END_WORD)
+    own = np.repeat(np.arange(len(lens)), lens - 1)
+    seq[np.arange(len(h)) + own] = h
+    return seq, lens
+
+
+def text_blocks(src: DataFrame) -> DataFrame:
+    """One row for each block: (block, ids, held, lens, seq, words, n, vocab, tokens).
+    ``seq`` has the place in ``words`` of every token, ``n`` the words' counts in
+    the block's training rows; START_WORD's is the number of those rows."""
+    def block(kept):
+        first, ids, held = kept[0][0], pa.concat_arrays([k[1] for k in kept]), np.concatenate([k[2] for k in kept])
+        seq, lens = (np.concatenate([k[i] for k in kept]) for i in (3, 4))
+        u, code, many = np.unique(seq, return_inverse=True, return_counts=True)
+        learn = np.repeat(~held, lens)
+        n = np.bincount(code[learn], minlength=len(u))
+        order = np.argsort(-many, kind="stable")
+        place = np.empty(len(u), np.uint32)
+        place[order] = np.arange(len(u))
+        row = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)
+        return pa.RecordBatch.from_arrays(
+            [_long([first]), row, pa.array([pack(held)]), pa.array([pack(lens)]), pa.array([pack(place[code])]),
+             pa.array([np.append(u[order], START_WORD).tobytes()]), pa.array([pack(np.append(n[order], (~held).sum()))]),
+             _long([len(u) + 1]), _long([learn.sum()])],
+            names=["block", "ids", "held", "lens", "seq", "words", "n", "vocab", "tokens"])
 
-def _summed(rows: DataFrame, keys_of) -> DataFrame:
-    """(key, n) over all rows, summed in each task before the shuffle."""
     def run(batches):
         kept, size = [], 0
         for b in batches:
-            k = keys_of(b.column(0))
-            kept.append(k)
-            size += len(k)
-            if size > BUFFER:
-                yield _pairs(np.concatenate(kept), ("key", "n"))
-                kept, size = [], 0
-        if size:
-            yield _pairs(np.concatenate(kept), ("key", "n"))
-
-    return rows.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-
-
-def _word_keys(column) -> np.ndarray:
-    h, wo = _hashed(column)
-    return np.concatenate([h, np.full(len(wo) - 1, END_WORD)])
-
-
-@dataclass
-class Automaton:
-    """The cache: sorted hot words with counts and backoff weights, and hot n-grams with their weights."""
-
-    tokens: int
-    distinct: int
-    hot: np.ndarray
-    hot_n: np.ndarray
-    hot_bo: np.ndarray
-    gram: np.ndarray
-    gram_w: np.ndarray
+            first = b.column(3).to_numpy()
+            held = b.column(2).to_numpy(zero_copy_only=False).astype(bool)
+            h, wo = _hashed(b.column(0))
+            for lo, hi in chunks(wo, BLOCK_TOKENS):
+                many = int(wo[hi] - wo[lo]) + hi - lo
+                if kept and size + many > BLOCK_TOKENS:
+                    yield block(kept)
+                    kept, size = [], 0
+                kept.append((int(first[lo]), b.column(1).slice(lo, hi - lo), held[lo:hi],
+                             *_with_ends(h[wo[lo]:wo[hi]], wo[lo:hi + 1] - wo[lo])))
+                size += many
+        if kept:
+            yield block(kept)
 
-    @property
-    def log_total(self) -> float:
-        return _log_total(self.tokens, self.distinct)
+    kind = src.schema["id"].dataType.simpleString()
+    return src.select("text", "id", "held_out", "rid").mapInArrow(
+        lean(run), f"block long, ids array<{kind}>, held binary, lens binary, seq binary, words binary, n binary, "
+                   "vocab long, tokens long")
 
-    def _at(self, word: np.uint64, values: np.ndarray) -> float:
-        i, there = in_sorted(self.hot, np.array([word]))
-        return float(values[i[0]]) if there[0] else 0.0
 
-    def end_count(self) -> int:
-        return int(self._at(END_WORD, self.hot_n))
+def _by_bucket(bucket: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """A stable order by bucket, and the buckets' bounds in it."""
+    order = np.argsort(bucket, kind="stable")
+    return order, np.searchsorted(bucket[order], np.arange(buckets + 1))
 
-    def start_backoff(self) -> float:
-        return self._at(START_WORD, self.hot_bo)
 
+def number_words(blocks: DataFrame, buckets: int, partitions: int) -> DataFrame:
+    """The blocks with their words as numbers, ascending: (block, ids, held,
+    lens, seq, numbers, n, start, parts, distinct), ``n`` counted over all rows and
+    ``distinct`` the known words of every bucket in ``parts``."""
+    def asked(batches):
+        for b in batches:
+            for block, h, n in zip(*(c.to_pylist() for c in b.columns)):
+                h, n = np.frombuffer(h, np.uint64), unpack(n, np.int64)
+                order, cut = _by_bucket((mix(h) % np.uint64(buckets)).astype(np.int64), buckets)
+                used = np.flatnonzero(np.diff(cut))
+                cells = [order[cut[i]:cut[i + 1]] for i in used]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(used.astype(np.int32)), _long([block] * len(used)), pa.array([h[c].tobytes() for c in cells]),
+                     pa.array([pack(n[c]) for c in cells])], names=["part", "block", "words", "n"])
+
+    def reply(table):
+        part = table.column("part")[0].as_py()
+        hs = [np.frombuffer(x, np.uint64) for x in table.column("words").to_pylist()]
+        u, inv = np.unique(np.concatenate(hs), return_inverse=True)
+        total = _sums(inv, np.concatenate([unpack(x, np.int64) for x in table.column("n").to_pylist()]), len(u))
+        number = np.empty(len(u), np.int64)
+        number[np.argsort(-total, kind="stable")] = part + buckets * np.arange(len(u))
+        cuts = np.cumsum([0, *map(len, hs)])
+        cells = [inv[a:b] for a, b in zip(cuts, cuts[1:])]
+        out = pa.table({"block": table.column("block"), "part": table.column("part"),
+                        "numbers": pa.array([pack(number[c]) for c in cells]), "n": pa.array([pack(total[c]) for c in cells]),
+                        "distinct": _long([((total > 0) & (u != START_WORD)).sum()] * len(cells))})
+        give_back()
+        return out
+
+    def numbered(block, got):
+        h = np.frombuffer(block.column("words")[0].as_py(), np.uint64)
+        order, cut = _by_bucket((mix(h) % np.uint64(buckets)).astype(np.int64), buckets)
+        number, n = np.empty(len(h), np.int64), np.empty(len(h), np.int64)
+        for part, *cell in zip(*(got.column(c).to_pylist() for c in ("part", "numbers", "n"))):
+            at = order[cut[part]:cut[part + 1]]
+            number[at], n[at] = (unpack(x, np.int64) for x in cell)
+        order = np.argsort(number)
+        place = np.empty(len(h), np.uint32)
+        place[order] = np.arange(len(h))
+        one = pa.array([0, got.num_rows], pa.int32())
+        lists = [pa.ListArray.from_arrays(one, got.column(c).combine_chunks()) for c in ("part", "distinct")]
+        out = pa.table([*(block.column(c) for c in ("block", "ids", "held", "lens")),
+                        pa.array([pack(place[unpack(block.column("seq")[0].as_py(), np.uint32)])]),
+                        pa.array([pack(deltas(number[order]))]), pa.array([pack(n[order])]), _long([place[-1]]), *lists],
+                       names=["block", "ids", "held", "lens", "seq", "numbers", "n", "start", "parts", "distinct"])
+        give_back()
+        return out
+
+    kind = blocks.schema["ids"].dataType.simpleString()
+    replies = (blocks.select("block", "words", "n")
+               .mapInArrow(lean(asked), "part int, block long, words binary, n binary").repartition(buckets, "part")
+               .groupBy("part").applyInArrow(reply, "block long, part int, numbers binary, n binary, distinct long"))
+    sent = blocks.select("block", "ids", "held", "lens", "seq", "words").repartition(partitions, "block")
+    return sent.groupBy("block").cogroup(replies.repartition(partitions, "block").groupBy("block")).applyInArrow(
+        numbered, f"block long, ids {kind}, held binary, lens binary, seq binary, numbers binary, n binary, start long, "
+                  "parts array<int>, distinct array<long>")
+
+
+class Block:
+    """A block's texts and its distinct trigrams, ascending by (middle, last, first) word."""
+
+    def __init__(self, row: dict):
+        self.held, self.lens = unpack(row["held"], bool), unpack(row["lens"], np.int64)
+        self.seq = unpack(row["seq"], np.uint32).astype(np.uint64)
+        self.numbers, self.n = np.cumsum(unpack(row["numbers"], np.int64)), unpack(row["n"], np.int64)
+        self.start = np.uint64(row["start"])
+        full = np.full(len(self.seq) + 2 * len(self.lens), self.start)
+        at = np.arange(len(self.seq)) + 2 * (np.repeat(np.arange(len(self.lens)), self.lens) + 1)
+        full[at] = self.seq
+        self.pairs, code = np.unique(full[at - 1] << SHIFT | self.seq, return_inverse=True)
+        gram, self.gram_of = np.unique(code.astype(np.uint64) << SHIFT | full[at - 2], return_inverse=True)
+        self.pair = (gram >> SHIFT).astype(np.int64)
+        self.first, self.middle, self.last = gram & LOW, self.pairs[self.pair] >> SHIFT, self.pairs[self.pair] & LOW
+
+    def learned(self) -> np.ndarray:
+        """How often the block's training rows hold each trigram."""
+        return np.bincount(self.gram_of[np.repeat(~self.held, self.lens)], minlength=len(self.pair))
+
+
+@dataclass(frozen=True)
+class Buckets:
+    """Where a trigram is counted: by its middle word, a hot one's also by its first word."""
+
+    many: int
+    hot: np.ndarray      # numbers, ascending
+    splits: np.ndarray   # buckets of each
+    after: np.ndarray    # tokens, kinds and unigram mass behind each hot word: c, t, taken
+    log_total: float
+    start: int           # number of START_WORD
+
+    def of(self, block: Block) -> np.ndarray:
+        middle = block.numbers[block.middle.astype(np.int64)]
+        i, hot = in_sorted(self.hot, middle)
+        salt = np.zeros(len(middle), np.uint64)
+        by = np.where(middle[hot] == self.start, block.last[hot], block.first[hot]).astype(np.int64)
+        salt[hot] = mix(block.numbers[by].astype(np.uint64)) % self.splits[i[hot]].astype(np.uint64)
+        return ((mix(middle.astype(np.uint64)) + salt) % np.uint64(self.many)).astype(np.int64)
+
+
+def hot_words(coded: DataFrame, tokens: int) -> DataFrame:
+    """(number, n, is_start) of START_WORD and of every hot word."""
+    least = max(SPLIT_TOKENS, HOT_SHARE * tokens)
 
-def _log_total(tokens: int, distinct: int) -> float:
-    return math.log10(tokens + ADD * (distinct + 1))
+    def run(batches):
+        for b in batches:
+            for number, n, start in zip(*(c.to_pylist() for c in b.columns)):
+                number, n = np.cumsum(unpack(number, np.int64)), unpack(n, np.int64)
+                own = np.arange(len(n)) == start
+                take = own | (n > least)
+                yield pa.RecordBatch.from_arrays([_long(number[take]), _long(n[take]), pa.array(own[take])],
+                                                 names=["number", "n", "is_start"])
 
+    return coded.select("numbers", "n", "start").mapInArrow(lean(run), "number long, n long, is_start boolean").distinct()
 
-def pair_key(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    return mix(first * MULT[1] + second * MULT[2])
 
+BLOCK_COLUMNS = ["block", "held", "lens", "seq", "numbers", "n", "start"]
 
-def triple_key(first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """Key of a trigram from those of its two bigrams."""
-    return mix(first * MULT[3] + last * MULT[4])
 
+def _rows(batches):
+    for b in batches:
+        for i in range(b.num_rows):
+            yield {c: b.column(j)[i].as_py() for j, c in enumerate(b.schema.names)}
 
-def _grams(h: np.ndarray, wo: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(key, row, a, b, bigrams) of all bigrams, then all trigrams of the rows
-    with the start before and the end behind: a and b are the words of a
-    bigram and the bigrams of a trigram."""
-    n = len(wo) - 1
-    off = wo + 2 * np.arange(n + 1)
-    seq = np.empty(len(h) + 2 * n, np.uint64)
-    own = np.repeat(np.arange(n), np.diff(wo))
-    seq[np.arange(len(h)) + 2 * own + 1] = h
-    seq[off[:-1]], seq[off[1:] - 1] = START_WORD, END_WORD
-    row = np.repeat(np.arange(n), np.diff(off))
-    inner = row[1:] == row[:-1]
-    pair = pair_key(seq[:-1], seq[1:])
-    two, three = np.flatnonzero(inner), np.flatnonzero(inner[:-1] & inner[1:])
-    return (np.concatenate([pair[two], triple_key(pair[three], pair[three + 1])]), np.concatenate([row[two], row[three]]),
-            np.concatenate([seq[two], pair[three]]), np.concatenate([seq[two + 1], pair[three + 1]]), len(two))
 
+CELL = "bucket int, block long, middle binary, last binary, n_last binary, many binary, first binary, n binary"
 
-def _gram_counts(rows: DataFrame) -> DataFrame:
-    """(three, a, b, n) of all bigrams and trigrams, summed in each task before the shuffle."""
-    def summed(kept):
-        key, a, b, three = (np.concatenate(x) for x in zip(*kept))
-        _, one, n = np.unique(key, return_index=True, return_counts=True)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(three[one]), pa.array(a[one].view(np.int64)), pa.array(b[one].view(np.int64)), _long(n)],
-            names=["three", "a", "b", "n"])
 
+def hot_pairs(coded: DataFrame, sent) -> DataFrame:
+    """(v, x, bucket, n, n_x): how often the training rows hold each pair after a hot word, by the bucket it is asked in."""
     def run(batches):
-        kept, size = [], 0
-        for batch in batches:
-            data, off = utf8(batch.column(0))
-            for lo, hi in chunks(off):
-                key, _, a, b, pairs = _grams(*_hashed(batch.column(0).slice(lo, hi - lo)))
-                kept.append((key, a, b, np.arange(len(key)) >= pairs))
-                size += len(key)
-                if size > BUFFER:
-                    yield summed(kept)
-                    kept, size = [], 0
-        if size:
-            yield summed(kept)
-
-    return (rows.mapInArrow(lean(run), "three boolean, a long, b long, n long")
-            .groupBy("three", "a", "b").agg(F.sum("n").alias("n")))
+        buckets = sent.value
+        for row in _rows(batches):
+            block = Block(row)
+            hot = np.flatnonzero(in_sorted(buckets.hot, block.numbers[block.middle.astype(np.int64)])[1])
+            n, bucket = block.learned()[hot], buckets.of(block)[hot]
+            key, inv = np.unique(block.pair[hot] * buckets.many + bucket, return_inverse=True)
+            pair = block.pairs[key // buckets.many]
+            v, x = (pair >> SHIFT).astype(np.int64), (pair & LOW).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [_long(block.numbers[v]), _long(block.numbers[x]), pa.array((key % buckets.many).astype(np.int32)),
+                 _long(_sums(inv, n, len(key))), _long(block.n[x])], names=["v", "x", "bucket", "n", "n_x"])
 
+    return (coded.select(*BLOCK_COLUMNS).mapInArrow(lean(run), "v long, x long, bucket int, n long, n_x long")
+            .groupBy("v", "x", "bucket").agg(F.sum("n").alias("n"), F.max("n_x").alias("n_x")))
 
-def _weights(counts: DataFrame, grams: DataFrame, tokens: int, distinct: int,
-             ends: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(key, n, bo) of all words and the start, (a, n, w) of all bigrams, a the
-    key, and (a, b, n, w) of all trigrams, a and b the keys of their bigrams."""
-    spark = counts.sparkSession
 
-    def keyed(batches):
+def hot_cells(pairs: DataFrame, totals: DataFrame) -> DataFrame:
+    """The totals of pairs after hot words as cells of every bucket that counts a part of them (block -1)."""
+    def run(batches):
         for b in batches:
-            v, w = (b.column(i).to_numpy().view(np.uint64) for i in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(pair_key(v, w).view(np.int64)), *b.columns], names=["k", "v", "w", "n"])
-
-    def backoff(left, taken):
-        return F.log10(F.greatest(left, F.lit(LEAST)) / F.greatest(1 - taken, F.lit(LEAST)))
-
-    start = spark.range(1).select(F.lit(int(START_WORD)).cast("long").alias("key"), F.lit(max(ends, 1)).cast("long").alias("n"))
-    words = counts.select("key", "n").unionByName(start)  # as many starts as ends
-    uni = (F.col("next_n") + ADD) / F.lit(10 ** _log_total(tokens, distinct))
-    bi = grams.filter("not three").select("a", "b", "n").mapInArrow(keyed, "k long, v long, w long, n long")
-    bi = materialize(bi.join(words.select(F.col("key").alias("w"), F.col("n").alias("next_n")), "w")
-                     .select("k", "v", "n", "next_n"), "lm-bigrams")
-    after = bi.groupBy(F.col("v").alias("key")).agg(F.count(F.lit(1)).alias("t"), F.sum(uni).alias("taken"))
-    words = materialize(words.join(after, "key", "left").select(
-        "key", "n", F.coalesce(backoff(DISCOUNT * F.col("t") / F.col("n"), F.col("taken")), F.lit(0.0)).alias("bo")), "lm-words")
-    p2 = F.log10((F.col("n") - DISCOUNT) / F.col("c1"))
-    bi = materialize(bi.join(words.select(F.col("key").alias("v"), F.col("n").alias("c1"), "bo"), "v")
-                     .select("k", "n", "next_n", p2.alias("p2"), (p2 - F.col("bo") - F.log10(uni)).alias("more")), "lm-bigrams")
-    low = bi.select(F.col("k").alias("b"), F.col("n").alias("low_n"), "p2")
-    tri = materialize(grams.filter("three").select("a", "b", "n").join(low, "b").select(
-        "a", "b", "n", "low_n", (F.log10(F.col("n") - DISCOUNT) - F.col("p2")).alias("more")), "lm-trigrams")
-    after = tri.groupBy(F.col("a").alias("k")).agg(F.count(F.lit(1)).alias("t"), F.sum("low_n").alias("low"))
-    mass = DISCOUNT * F.col("t")
-    bo = F.coalesce(backoff(mass / F.col("n"), (F.col("low") - mass) / F.col("next_n")), F.lit(0.0))
-    bi = materialize(bi.join(after, "k", "left").select(
-        F.col("k").alias("a"), "n", (F.col("more") + bo).alias("w"), (F.log10("n") + bo).alias("less")), "lm-bigrams")
-    tri = tri.join(bi.select("a", "less"), "a").select("a", "b", "n", (F.col("more") - F.col("less")).alias("w"))
-    return words, bi.select("a", "n", "w"), tri
+            v, x, bucket, n = (c.to_numpy() for c in b.columns)
+            order = np.lexsort((x, v, bucket))
+            cut = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
+            cells = [order[i:j] for i, j in zip(cut, cut[1:])]
+            packed = [pa.array([pack(deltas(a[c])) for c in cells], pa.binary()) for a in (v, x, n)]
+            none = pa.array([b""] * len(cells), pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([int(bucket[c[0]]) for c in cells], pa.int32()), _long([-1] * len(cells)), *packed, none, none, none],
+                names=["bucket", "block", "middle", "last", "n_last", "many", "first", "n"])
 
+    return (pairs.select("v", "x", "bucket").join(totals.select("v", "x", "n"), ["v", "x"])
+            .select("v", "x", "bucket", "n").mapInArrow(run, CELL))
 
-def _long(x: np.ndarray) -> pa.Array:
-    return pa.array(x.astype(np.int64))
 
+def gram_cells(coded: DataFrame, sent) -> DataFrame:
+    """Each block's distinct trigrams with their training counts, by bucket."""
+    def run(batches):
+        buckets = sent.value
+        for row in _rows(batches):
+            block = Block(row)
+            learned = block.learned()
+            order, cut = _by_bucket(buckets.of(block), buckets.many)
+            for i in np.flatnonzero(np.diff(cut)):
+                own = order[cut[i]:cut[i + 1]]
+                new = np.flatnonzero(np.diff(block.pair[own], prepend=-1))
+                pair = block.pairs[block.pair[own[new]]]
+                last = (pair & LOW).astype(np.int64)
+                cell = (deltas(block.numbers[(pair >> SHIFT).astype(np.int64)]), deltas(block.numbers[last]), block.n[last],
+                        np.diff(new, append=len(own)), block.numbers[block.first[own].astype(np.int64)], learned[own])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([i], pa.int32()), _long([row["block"]]), *[pa.array([pack(x)]) for x in cell]],
+                    names=["bucket", "block", "middle", "last", "n_last", "many", "first", "n"])
+
+    return coded.select(*BLOCK_COLUMNS).mapInArrow(lean(run), CELL)
+
+
+def _backoff(left: np.ndarray, taken: np.ndarray) -> np.ndarray:
+    return np.log10(np.maximum(left, LEAST) / np.maximum(1 - taken, LEAST))
+
+
+def answer_cells(cells: DataFrame, sent) -> DataFrame:
+    """(block, bucket, n, whole, gaps) for each cell, in its order: the counts of
+    the trigrams and of their contexts; for trigrams that no training row has, the
+    backoff weight of the context, the log-probability of the last word after the
+    middle one (NaN where there is no such arc) and the backoff weight of the middle word."""
+    def answer(table):
+        buckets = sent.value
+        bucket = table.column("bucket")[0].as_py()
+        names = ("middle", "last", "n_last", "many", "first", "n")
+        block = table.column("block").to_numpy()
+        own, given = np.flatnonzero(block >= 0), np.flatnonzero(block < 0)
+        asked = {c: [unpack(table.column(c)[int(i)].as_py(), np.int64) for i in own] for c in names}
+        middle, last = (np.concatenate([np.cumsum(x) for x in asked[c]]) for c in ("middle", "last"))
+        n_last, many, first, n = (np.concatenate(asked[c]) for c in names[2:])
+        cuts = np.cumsum([0, *map(len, asked["n"])])
+        del asked
+        mid, m = np.unique(middle, return_inverse=True)
+        end, e = np.unique(last, return_inverse=True)
+        pairs, p = np.unique(m << 32 | e, return_inverse=True)
+        seen_last = np.empty(len(pairs), np.int64)
+        seen_last[p] = n_last
+        _, f = np.unique(first, return_inverse=True)
+        grams, g = np.unique(np.repeat(p, many) << 32 | f, return_inverse=True)
+        del middle, last, n_last, first, f, m, e, p, many
+        c3 = _sums(g, n, len(grams))
+        pair, of = grams >> 32, pairs >> 32
+        c2 = _sums(pair, c3, len(pairs))
+        for i in given:
+            v, x, c = (np.cumsum(unpack(table.column(k)[int(i)].as_py(), np.int64)) for k in names[:3])
+            at, there = in_sorted(pairs, np.searchsorted(mid, v) << 32 | np.searchsorted(end, x))
+            c2[at[there]] = c[there]
+        mass = np.where(c2 > 0, (seen_last + ADD) / 10 ** buckets.log_total, 0.0)
+        after = np.stack([np.bincount(of, c2, len(mid)), np.bincount(of, c2 > 0, len(mid)), np.bincount(of, mass, len(mid))])
+        i, hot = in_sorted(buckets.hot, mid)
+        after[:, hot] = buckets.after[:, i[hot]]
+        c1, t1, taken = after
+        safe = np.maximum(c1, 1)
+        low1 = np.where(t1 > 0, _backoff(DISCOUNT * t1 / safe, taken), 0.0)
+        context, k = np.unique((grams & 0xFFFFFFFF) << 32 | of[pair], return_inverse=True)
+        whole, kinds = np.bincount(k, c3, len(context)), np.bincount(k, c3 > 0, len(context))
+        low = np.bincount(k, np.where(c3 > 0, c2[pair], 0), len(context))
+        own_middle = context & 0xFFFFFFFF
+        bo = np.where(kinds > 0, _backoff(DISCOUNT * kinds / np.maximum(whole, 1),
+                                          (low - DISCOUNT * kinds) / safe[own_middle]), 0.0)
+        begin = mid[own_middle] == buckets.start  # nothing but the start stands before the start
+        whole, bo = np.where(begin, c1[own_middle], whole), np.where(begin, 0.0, bo)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            p2 = np.where(c2 > 0, np.log10((c2 - DISCOUNT) / safe[of]), np.nan)
+        out = []
+        for a, b in zip(cuts, cuts[1:]):
+            x = g[a:b]
+            none = x[c3[x] == 0]
+            gaps = np.concatenate([bo[k[none]], p2[pair[none]], low1[of[pair[none]]]])
+            out.append((pack(c3[x]), pack(whole[k[x]].astype(np.int64)), pack(gaps)))
+        n, whole, gaps = zip(*out)
+        result = pa.table({"block": _long(block[own]), "bucket": pa.array([bucket] * len(own), pa.int32()),
+                           "n": pa.array(n, pa.binary()), "whole": pa.array(whole, pa.binary()), "gaps": pa.array(gaps, pa.binary())})
+        give_back()
+        return result
 
-def _cells(values: np.ndarray, cuts: np.ndarray, used: np.ndarray) -> pa.Array:
-    return pa.array([values[cuts[i]:cuts[i + 1]].tobytes() for i in used], pa.binary())
+    return (cells.repartition(sent.value.many, "bucket").groupBy("bucket")
+            .applyInArrow(answer, "block long, bucket int, n binary, whole binary, gaps binary"))
 
 
-def _bucketed(h: np.ndarray, buckets: int) -> np.ndarray:
-    """Bounds of every bucket in sorted hashes: equal ranges of the hash."""
-    edges = (np.arange(1, buckets, dtype=np.float64) * (2.0 ** 64 / buckets)).astype(np.uint64)
-    return np.concatenate([[0], np.searchsorted(h, edges), [len(h)]]).astype(np.int64)
+class Automaton:
+    """The slice of the automaton that a block's texts can reach.
+
+    State 0 is the root, 1 + w the context of word w, then come the block's
+    pairs of words and last the state before a text. Arcs lie sorted by
+    (state, word); ``fail`` and ``backoff`` are the failure arcs."""
+
+    def __init__(self, block: Block, n, whole, back, p2, low, log_total: float):
+        words, pairs = len(block.numbers), len(block.pairs)
+        self.begin = 1 + words + pairs
+        at, there = in_sorted(block.pairs, block.first << SHIFT | block.middle)
+        context = np.where(there, 1 + words + at, self.begin)
+        word_state, target = 1 + block.middle.astype(np.int64), 1 + words + block.pair
+        none = n == 0
+        long, short = np.flatnonzero(~none), np.flatnonzero(none & ~np.isnan(p2))
+        state = np.concatenate([context[long], word_state[short]]).astype(np.uint64)
+        gram = np.concatenate([long, short])
+        self.keys, one = np.unique(state << SHIFT | block.last[gram], return_index=True)
+        self.weight = np.concatenate([np.log10((n[long] - DISCOUNT) / whole[long]), p2[short]])[one]
+        self.target = target[gram][one]
+        self.backoff = np.zeros(self.begin + 1)
+        self.backoff[context[none]], self.backoff[word_state[none]] = back[none], low[none]
+        self.fail = np.zeros(self.begin + 1, np.int64)
+        self.fail[1 + words:self.begin] = 1 + (block.pairs & LOW).astype(np.int64)
+        self.fail[self.begin] = 1 + int(block.start)
+        self.root = np.log10(block.n + ADD) - log_total
+
+    def walk(self, seq: np.ndarray, lens: np.ndarray) -> np.ndarray:
+        """Log-probabilities of texts, all read from left to right side by side."""
+        order = np.argsort(-lens, kind="stable")
+        begins = (np.cumsum(lens) - lens)[order]
+        still = np.searchsorted(-lens[order], -np.arange(lens.max()), "left")  # texts longer than each step
+        state, total = np.full(len(lens), self.begin), np.zeros(len(lens))
+        for step, live in enumerate(still.tolist()):
+            word = seq[begins[:live] + step]
+            text = np.arange(live)
+            while len(text):
+                at, arc = in_sorted(self.keys, state[text].astype(np.uint64) << SHIFT | word[text])
+                there = text[arc]
+                total[there] += self.weight[at[arc]]
+                state[there] = self.target[at[arc]]
+                text = text[~arc]
+                root = text[state[text] == 0]
+                total[root] += self.root[word[root].astype(np.int64)]
+                text = text[state[text] != 0]
+                state[root] = 1 + word[root].astype(np.int64)
+                total[text] += self.backoff[state[text]]
+                state[text] = self.fail[state[text]]
+        out = np.empty(len(lens))
+        out[order] = total
+        return out
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -236,161 +471,58 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     src = docs.select(docs[text_col].alias("text"), docs[id_col].alias("id"),
                       (~training(docs[id_col])).alias("held_out"), F.monotonically_increasing_id().alias("rid"))
-    learn = docs.filter(training(docs[id_col])).select(docs[text_col].alias("text"))
-    counts = materialize(_summed(learn, _word_keys), "lm-words")
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    tokens, distinct = int(total["n"]), int(total["v"])
-    ends = counts.filter(F.col("key") == int(END_WORD)).first()
-    grams = materialize(_gram_counts(learn), "lm-grams")
-    known_words, two, three = _weights(counts, grams, tokens, distinct, ends["n"] if ends else 0)
-    least = F.col("n") >= F.lit(HOT_SHARE * tokens)
-    is_hot = least | F.col("key").isin(int(END_WORD), int(START_WORD))
-    hot = known_words.filter(is_hot).toPandas().sort_values(
-        "key", key=lambda k: k.to_numpy(np.int64).view(np.uint64))  # at most 1 / HOT_SHARE rows, the end and the start
-    hot_two, hot_three = two.filter(least).toPandas(), three.filter(least).toPandas()  # at most 1 / HOT_SHARE rows each
-    gram = np.concatenate([hot_two["a"].to_numpy(np.int64).view(np.uint64),
-                           triple_key(*(hot_three[c].to_numpy(np.int64).view(np.uint64) for c in "ab"))])
-    order = np.argsort(gram)
-    model = Automaton(tokens, distinct, hot["key"].to_numpy(np.int64).view(np.uint64), hot["n"].to_numpy(np.int64),
-                      hot["bo"].to_numpy(float), gram[order], np.concatenate([hot_two["w"], hot_three["w"]])[order].astype(float))
-    sent = spark.sparkContext.broadcast(model)
-    kind = src.schema["id"].dataType.simpleString()
-
-    def local(batches):
-        model = sent.value
-        log_n = np.log10(model.hot_n + ADD)
-        for b in batches:
-            h, wo = _hashed(b.column(0))
-            i, there = in_sorted(model.hot, h)
-            row = np.repeat(np.arange(len(wo) - 1), np.diff(wo))
-            n_rows = len(wo) - 1
-            value = log_n[i] if len(model.hot) else np.zeros(len(h))
-            base = np.bincount(row[there], value[there], n_rows) + math.log10(model.end_count() + ADD)
-            walked = np.bincount(row[there], model.hot_bo[i][there], n_rows) + model.start_backoff()
-            for lo, hi in chunks(wo, BUFFER):
-                key, at, _, _, _ = _grams(h[wo[lo]:wo[hi]], wo[lo:hi + 1] - wo[lo])
-                j, cached = in_sorted(model.gram, key)
-                walked[lo:hi] += np.bincount(at[cached], model.gram_w[j[cached]], hi - lo)
-            known = np.bincount(row[there], minlength=n_rows) + (model.end_count() > 0)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(3), b.column(1), b.column(2), _long(np.diff(wo) + 1), _long(known),
-                 pa.array(base), pa.array(walked)],
-                names=["rid", "id", "held_out", "n_tokens", "known", "base", "walked"])
-
-    # What isn't cached: (bucket, base row id, sorted hashes, row numbers, counts) packed by batch;
-    # buckets of words first, then buckets of n-grams.
-    word_buckets, gram_buckets = int(max(8, tokens // BUCKET_TOKENS)), int(max(8, tokens // BUCKET_GRAMS))
-    packed = "bucket int, base long, words binary, rows binary, n binary, w binary"
-
-    def pack(first, buckets, base, h, rows=None, n=None, w=None):
-        cuts = _bucketed(h, buckets)
-        used = np.flatnonzero(np.diff(cuts))
-        none = pa.array([b""] * len(used), pa.binary())
-        return pa.RecordBatch.from_arrays(
-            [pa.array((used + first).astype(np.int32)), pa.array([base] * len(used), pa.int64()), _cells(h, cuts, used),
-             *[none if x is None else _cells(x, cuts, used) for x in (rows, n, w)]],
-            names=["bucket", "base", "words", "rows", "n", "w"])
-
-    def asked(batches):
-        model = sent.value
-        for b in batches:
-            base = int(b.column(1)[0].as_py()) if len(b.column(1)) else 0
-            h, wo = _hashed(b.column(0))
-            for lo, hi in chunks(wo, BUFFER):
-                key, row, _, _, _ = _grams(h[wo[lo]:wo[hi]], wo[lo:hi + 1] - wo[lo])
-                _, there = in_sorted(model.gram, key)
-                key, row = key[~there], row[~there]
-                order = np.argsort(key)
-                yield pack(word_buckets, gram_buckets, base, key[order], (row[order] + lo).astype(np.uint32))
-            _, there = in_sorted(model.hot, h)
-            row = np.repeat(np.arange(len(wo) - 1), np.diff(wo))[~there]
-            h = h[~there]
-            if not len(h):
-                continue
-            code, uniq = pd.factorize(h ^ mix(row.astype(np.uint64) * MULT[5]))
-            tf = np.bincount(code)
-            one = np.empty(len(uniq), np.int64)
-            one[code] = np.arange(len(h))
-            h, row = h[one], row[one]
-            order = np.argsort(h)
-            yield pack(0, word_buckets, base, h[order], row[order].astype(np.uint32), tf[order].astype(np.uint32))
-
-    def gathered(batches, size=FLUSH):
-        kept, held = [], 0
-        for b in batches:
-            kept.append([c.to_numpy() for c in b.columns])
-            held += b.num_rows
-            if held >= size:
-                yield [np.concatenate(x) for x in zip(*kept)]
-                kept, held = [], 0
-        if held:
-            yield [np.concatenate(x) for x in zip(*kept)]
-
-    def word_cells(batches):
-        for key, n, bo in gathered(batches):
-            h = key.view(np.uint64)
-            order = np.argsort(h)
-            yield pack(0, word_buckets, -1, h[order], None, n[order], bo[order])
-
-    def gram_cells(batches):
-        for *parts, w in gathered(batches):
-            parts = [x.view(np.uint64) for x in parts]
-            h = parts[0] if len(parts) == 1 else triple_key(*parts)
-            order = np.argsort(h)
-            yield pack(word_buckets, gram_buckets, -1, h[order], None, None, w[order])
-
-    def look_up(table):
-        is_words = table.column("bucket")[0].as_py() < word_buckets
-        base = table.column("base").to_numpy()
-        cell = {c: table.column(c).to_pylist() for c in ("words", "rows", "n", "w")}
-        own = np.flatnonzero(base < 0)
-
-        def stored(name, kind):
-            return np.concatenate([np.frombuffer(cell[name][i], kind) for i in own] or [np.zeros(0, kind)])
-
-        known, w = stored("words", np.uint64), stored("w", np.float64)
-        order = np.argsort(known)
-        known, w = known[order], w[order]
-        n = stored("n", np.int64)[order] if is_words else None
-        out = []
-        for i in np.flatnonzero(base >= 0):
-            h = np.frombuffer(cell["words"][i], np.uint64)
-            row = np.frombuffer(cell["rows"][i], np.uint32)
-            tf = np.frombuffer(cell["n"][i], np.uint32) if is_words else 1
-            at, there = in_sorted(known, h)
-            weight = np.where(there, w[at], 0.0) if len(known) else np.zeros(len(h))
-            u, inv = np.unique(row, return_inverse=True)
-            s, k = np.zeros(len(u)), np.zeros(len(u), np.int64)
-            if is_words:
-                c = np.where(there, n[at], 0) if len(known) else np.zeros(len(h), np.int64)
-                s, k = np.bincount(inv, tf * np.log10(c + ADD)), np.bincount(inv, tf * (c > 0)).astype(np.int64)
-            out.append((int(base[i]), u.tobytes(), s.tobytes(), k.tobytes(), np.bincount(inv, tf * weight).tobytes()))
-        cols = list(zip(*out)) if out else [[], [], [], [], []]
+    blocks = materialize(text_blocks(src), "lm-blocks")
+    size = blocks.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("vocab", "tokens")],
+                      F.count(F.lit(1)).alias("many")).first()
+    tokens, partitions = int(size["tokens"]), int(max(8, size["many"]))
+    coded = materialize(number_words(blocks, int(max(8, size["vocab"] // BUCKET_WORDS)), partitions), "lm-coded")
+    distinct = (coded.select(F.explode(F.arrays_zip("parts", "distinct")).alias("x")).select("x.*").distinct()
+                .agg(F.coalesce(F.sum("distinct"), F.lit(0))).first()[0])
+    log_total = float(np.log10(tokens + ADD * (int(distinct) + 1)))
+    hot = hot_words(coded, tokens).toPandas()  # the start and at most 1 / HOT_SHARE words
+    start = hot["number"][hot["is_start"]]
+    hot = hot[hot["n"] > max(SPLIT_TOKENS, HOT_SHARE * tokens)].sort_values("number")
+    splits = -(-hot["n"].to_numpy(np.int64) // SPLIT_TOKENS)
+    buckets = Buckets(int(max(8, tokens // BUCKET_GRAMS)), hot["number"].to_numpy(np.int64), splits,
+                      np.zeros((3, len(hot))), log_total, int(start.iloc[0]) if len(start) else -1)
+    sent = spark.sparkContext.broadcast(buckets)
+    cells = gram_cells(coded, sent)
+    if len(hot):
+        pairs = materialize(hot_pairs(coded, sent), "lm-hot")
+        totals = pairs.groupBy("v", "x").agg(F.sum("n").alias("n"), F.max("n_x").alias("n_x"))
+        mass = F.when(F.col("n") > 0, (F.col("n_x") + ADD) / F.lit(10 ** log_total)).otherwise(0.0)
+        after = totals.groupBy("v").agg(F.sum("n").alias("c"), F.sum((F.col("n") > 0).cast("long")).alias("t"),
+                                        F.sum(mass).alias("taken")).toPandas().set_index("v")  # a row a hot word
+        after = after.reindex(buckets.hot, fill_value=0)  # the end is hot, but before nothing
+        sent = spark.sparkContext.broadcast(replace(buckets, after=after.to_numpy(float).T.copy()))
+        cells = cells.unionByName(hot_cells(pairs, totals))
+    answers = answer_cells(cells, sent)
+
+    def score(coded, answers):
+        ids = coded.column("ids").combine_chunks().flatten()
+        buckets = sent.value
+        block = Block({c: coded.column(c)[0].as_py() for c in BLOCK_COLUMNS})
+        order, cut = _by_bucket(buckets.of(block), buckets.many)
+        n, whole = np.zeros(len(order), np.int64), np.ones(len(order), np.int64)
+        gaps = np.zeros((3, len(order)))
+        for i, *cell in zip(*(answers.column(c).to_pylist() for c in ("bucket", "n", "whole", "gaps"))):
+            own = order[cut[i]:cut[i + 1]]
+            n[own], whole[own] = (unpack(x, np.int64) for x in cell[:2])
+            gaps[:, own[n[own] == 0]] = unpack(cell[2], float).reshape(3, -1)
+        model = Automaton(block, n, whole, *gaps, buckets.log_total)
+        del order, n, whole, gaps
+        text = np.repeat(np.arange(len(block.lens)), block.lens)
+        at = block.seq.astype(np.int64)
+        out = pa.table({id_col: ids, "held_out": pa.array(block.held), "n_tokens": _long(block.lens),
+                        "n_known": _long(np.bincount(text, block.n[at] > 0, len(block.lens))),
+                        "train_tokens": _long(np.full(len(block.lens), tokens)),
+                        "base_score": pa.array(np.bincount(text, model.root[at], len(block.lens))),
+                        "score": pa.array(model.walk(block.seq, block.lens))})
         give_back()
-        return pa.table({"base": pa.array(cols[0], pa.int64()),
-                         **{c: pa.array(x, pa.binary()) for c, x in zip(("rows", "s", "k", "w"), cols[1:])}})
-
-    def by_row(table):
-        rows, s, k, w = (np.concatenate([np.frombuffer(x, t) for x in table.column(c).to_pylist()])
-                         for c, t in (("rows", np.uint32), ("s", np.float64), ("k", np.int64), ("w", np.float64)))
-        u, inv = np.unique(rows, return_inverse=True)
-        return pa.table({"rid": _long(table.column("base")[0].as_py() + u.astype(np.int64)),
-                         "rare_base": pa.array(np.bincount(inv, s)), "rare_known": _long(np.bincount(inv, k)),
-                         "rare_walked": pa.array(np.bincount(inv, w))})
-
-    cells = (src.select("text", "rid").mapInArrow(lean(asked), packed)
-             .unionByName(known_words.filter(~is_hot).select("key", "n", "bo").mapInArrow(lean(word_cells), packed))
-             .unionByName(two.filter(~least).select("a", "w").mapInArrow(lean(gram_cells), packed))
-             .unionByName(three.filter(~least).select("a", "b", "w").mapInArrow(lean(gram_cells), packed)))
-    sums = (cells.repartition(word_buckets + gram_buckets, "bucket").groupBy("bucket")
-            .applyInArrow(look_up, "base long, rows binary, s binary, k binary, w binary")
-            .groupBy("base").applyInArrow(by_row, "rid long, rare_base double, rare_known long, rare_walked double"))
-    here = src.mapInArrow(local, f"rid long, id {kind}, held_out boolean, n_tokens long, known long, "
-                                 "base double, walked double")
-    z = F.lit(model.log_total)
-    base_score = F.col("base") + F.coalesce("rare_base", F.lit(0.0)) - F.col("n_tokens") * z
-    return here.join(sums, "rid", "left").select(
-        F.col("id").alias(id_col), "held_out", "n_tokens",
-        (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-        F.lit(tokens).cast("long").alias("train_tokens"), base_score.alias("base_score"),
-        (base_score + F.col("walked") + F.coalesce("rare_walked", F.lit(0.0))).alias("score"))
+        return out
+
+    kind = src.schema["id"].dataType.simpleString()
+    sent_blocks = coded.select("ids", *BLOCK_COLUMNS).repartition(partitions, "block")
+    return sent_blocks.groupBy("block").cogroup(answers.repartition(partitions, "block").groupBy("block")).applyInArrow(
+        score, f"`{id_col}` {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+               "base_score double, score double")
