@@ -284,10 +284,12 @@ def _rows(batches):
 
 
 CELL = "bucket int, block long, middle binary, last binary, n_last binary, many binary, first binary, n binary"
+CELL_NAMES = ["bucket", "block", "middle", "last", "n_last", "many", "first", "n"]
 
 
-def hot_pairs(coded: DataFrame, sent) -> DataFrame:
-    """(v, x, bucket, n, n_x): how often the training rows hold each pair after a hot word, by the bucket it is asked in."""
+def hot_cells(coded: DataFrame, sent, pair_buckets: int) -> DataFrame:
+    """The pairs after hot words, counted over all training rows, as cells of every
+    bucket that counts a part of them (block -1), and sums for the hot words (block -2)."""
     def run(batches):
         buckets = sent.value
         for row in _rows(batches):
@@ -297,30 +299,51 @@ def hot_pairs(coded: DataFrame, sent) -> DataFrame:
             key, inv = np.unique(block.pair[hot] * buckets.many + bucket, return_inverse=True)
             pair = block.pairs[key // buckets.many]
             v, x = (pair >> SHIFT).astype(np.int64), (pair & LOW).astype(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [_long(block.numbers[v]), _long(block.numbers[x]), pa.array((key % buckets.many).astype(np.int32)),
-                 _long(_sums(inv, n, len(key))), _long(block.n[x])], names=["v", "x", "bucket", "n", "n_x"])
+            cols = (block.numbers[v], block.numbers[x], block.n[x], key % buckets.many, _sums(inv, n, len(key)))
+            where = mix(mix(cols[0].astype(np.uint64)) + cols[1].astype(np.uint64)) % np.uint64(pair_buckets)
+            order, cut = _by_bucket(where.astype(np.int64), pair_buckets)
+            for i in np.flatnonzero(np.diff(cut)):
+                v, x, n_x, to, n = (pa.array([pack(c[order[cut[i]:cut[i + 1]]])]) for c in cols)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([i], pa.int32()), _long([row["block"]]), v, x, n_x, to, pa.array([b""]), n], names=CELL_NAMES)
+
+    def total(table):
+        buckets = sent.value
+        v, x, n_x, to, n = (np.concatenate([unpack(c, np.int64) for c in table.column(k).to_pylist()])
+                            for k in ("middle", "last", "n_last", "many", "n"))
+        ahead, a = np.unique(v, return_inverse=True)
+        behind, b = np.unique(x, return_inverse=True)
+        pairs, one, p = np.unique(a << 32 | b, return_index=True, return_inverse=True)
+        c, of = _sums(p, n, len(pairs)), pairs >> 32
+        mass = np.where(c > 0, (n_x[one] + ADD) / 10 ** buckets.log_total, 0.0)
+        sums = [np.bincount(of, y, len(ahead)) for y in (c, c > 0, mass)]
+        out = [(-1, -2, pack(ahead), pack(sums[0]), pack(sums[1]), b"", pack(sums[2]), b"")]
+        key = np.unique(to << 32 | p)
+        to, p = key >> 32, key & 0xFFFFFFFF
+        cut = np.flatnonzero(np.diff(to, prepend=-1, append=-1))
+        for i, j in zip(cut, cut[1:]):
+            cols = (ahead[of[p[i:j]]], behind[pairs[p[i:j]] & 0xFFFFFFFF], c[p[i:j]])
+            out.append((int(to[i]), -1, *(pack(deltas(y)) for y in cols), b"", b"", b""))
+        bucket, block, *packed = zip(*out)
+        result = pa.table([pa.array(bucket, pa.int32()), _long(block), *(pa.array(y, pa.binary()) for y in packed)],
+                          names=CELL_NAMES)
+        give_back()
+        return result
 
-    return (coded.select(*BLOCK_COLUMNS).mapInArrow(lean(run), "v long, x long, bucket int, n long, n_x long")
-            .groupBy("v", "x", "bucket").agg(F.sum("n").alias("n"), F.max("n_x").alias("n_x")))
+    return (coded.select(*BLOCK_COLUMNS).mapInArrow(lean(run), CELL).repartition(pair_buckets, "bucket")
+            .groupBy("bucket").applyInArrow(total, CELL))
 
 
-def hot_cells(pairs: DataFrame, totals: DataFrame) -> DataFrame:
-    """The totals of pairs after hot words as cells of every bucket that counts a part of them (block -1)."""
+def hot_sums(cells: DataFrame) -> DataFrame:
+    """(v, c, t, taken) of the hot words: tokens, kinds and unigram mass of what follows."""
     def run(batches):
         for b in batches:
-            v, x, bucket, n = (c.to_numpy() for c in b.columns)
-            order = np.lexsort((x, v, bucket))
-            cut = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
-            cells = [order[i:j] for i, j in zip(cut, cut[1:])]
-            packed = [pa.array([pack(deltas(a[c])) for c in cells], pa.binary()) for a in (v, x, n)]
-            none = pa.array([b""] * len(cells), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([int(bucket[c[0]]) for c in cells], pa.int32()), _long([-1] * len(cells)), *packed, none, none, none],
-                names=["bucket", "block", "middle", "last", "n_last", "many", "first", "n"])
+            for cols in zip(*(b.column(k).to_pylist() for k in ("middle", "last", "n_last", "first"))):
+                v, *sums = (unpack(c, kind) for c, kind in zip(cols, (np.int64, float, float, float)))
+                yield pa.RecordBatch.from_arrays([_long(v), *map(pa.array, sums)], names=["v", "c", "t", "taken"])
 
-    return (pairs.select("v", "x", "bucket").join(totals.select("v", "x", "n"), ["v", "x"])
-            .select("v", "x", "bucket", "n").mapInArrow(run, CELL))
+    return (cells.filter("block = -2").mapInArrow(run, "v long, c double, t double, taken double")
+            .groupBy("v").agg(*[F.sum(c).alias(c) for c in ("c", "t", "taken")]))
 
 
 def gram_cells(coded: DataFrame, sent) -> DataFrame:
@@ -340,7 +363,7 @@ def gram_cells(coded: DataFrame, sent) -> DataFrame:
                         np.diff(new, append=len(own)), block.numbers[block.first[own].astype(np.int64)], learned[own])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([i], pa.int32()), _long([row["block"]]), *[pa.array([pack(x)]) for x in cell]],
-                    names=["bucket", "block", "middle", "last", "n_last", "many", "first", "n"])
+                    names=CELL_NAMES)
 
     return coded.select(*BLOCK_COLUMNS).mapInArrow(lean(run), CELL)
 
@@ -357,7 +380,7 @@ def answer_cells(cells: DataFrame, sent) -> DataFrame:
     def answer(table):
         buckets = sent.value
         bucket = table.column("bucket")[0].as_py()
-        names = ("middle", "last", "n_last", "many", "first", "n")
+        names = CELL_NAMES[2:]
         block = table.column("block").to_numpy()
         own, given = np.flatnonzero(block >= 0), np.flatnonzero(block < 0)
         asked = {c: [unpack(table.column(c)[int(i)].as_py(), np.int64) for i in own] for c in names}
@@ -488,14 +511,11 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sent = spark.sparkContext.broadcast(buckets)
     cells = gram_cells(coded, sent)
     if len(hot):
-        pairs = materialize(hot_pairs(coded, sent), "lm-hot")
-        totals = pairs.groupBy("v", "x").agg(F.sum("n").alias("n"), F.max("n_x").alias("n_x"))
-        mass = F.when(F.col("n") > 0, (F.col("n_x") + ADD) / F.lit(10 ** log_total)).otherwise(0.0)
-        after = totals.groupBy("v").agg(F.sum("n").alias("c"), F.sum((F.col("n") > 0).cast("long")).alias("t"),
-                                        F.sum(mass).alias("taken")).toPandas().set_index("v")  # a row a hot word
+        parts = materialize(hot_cells(coded, sent, int(max(8, hot["n"].sum() // BUCKET_GRAMS))), "lm-hot")
+        after = hot_sums(parts).toPandas().set_index("v")  # a row a hot word
         after = after.reindex(buckets.hot, fill_value=0)  # the end is hot, but before nothing
         sent = spark.sparkContext.broadcast(replace(buckets, after=after.to_numpy(float).T.copy()))
-        cells = cells.unionByName(hot_cells(pairs, totals))
+        cells = cells.unionByName(parts.filter("block = -1"))
     answers = answer_cells(cells, sent)
 
     def score(coded, answers):
