@@ -154,8 +154,10 @@ def text_blocks(src: DataFrame) -> DataFrame:
 
 def _by_bucket(bucket: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """A stable order by bucket, and the buckets' bounds in it."""
+    if buckets <= 1 << 16:
+        bucket = bucket.astype(np.uint16)  # sorted by radix
     order = np.argsort(bucket, kind="stable")
-    return order, np.searchsorted(bucket[order], np.arange(buckets + 1))
+    return order, np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=buckets))])
 
 
 def number_words(blocks: DataFrame, buckets: int, partitions: int) -> DataFrame:
@@ -218,9 +220,10 @@ def number_words(blocks: DataFrame, buckets: int, partitions: int) -> DataFrame:
 
 
 class Block:
-    """A block's texts and its distinct trigrams, ascending by (middle, last, first) word."""
+    """A block's texts and its distinct trigrams, ascending by (middle, last, first)
+    word; with ``after``, only those whose middle word is among these numbers."""
 
-    def __init__(self, row: dict):
+    def __init__(self, row: dict, after: np.ndarray | None = None):
         self.held, self.lens = unpack(row["held"], bool), unpack(row["lens"], np.int64)
         self.seq = unpack(row["seq"], np.uint32).astype(np.uint64)
         self.numbers, self.n = np.cumsum(unpack(row["numbers"], np.int64)), unpack(row["n"], np.int64)
@@ -228,14 +231,24 @@ class Block:
         full = np.full(len(self.seq) + 2 * len(self.lens), self.start)
         at = np.arange(len(self.seq)) + 2 * (np.repeat(np.arange(len(self.lens)), self.lens) + 1)
         full[at] = self.seq
-        self.pairs, code = np.unique(full[at - 1] << SHIFT | self.seq, return_inverse=True)
-        gram, self.gram_of = np.unique(code.astype(np.uint64) << SHIFT | full[at - 2], return_inverse=True)
+        learn = np.repeat(~self.held, self.lens)
+        if after is not None:
+            take = in_sorted(after, self.numbers)[1][full[at - 1].astype(np.int64)]
+            at, learn = at[take], learn[take]
+        self.pairs, self.pair_of = np.unique(full[at - 1] << SHIFT | full[at], return_inverse=True)
+        gram, self.gram_of = np.unique(self.pair_of.astype(np.uint64) << SHIFT | full[at - 2], return_inverse=True)
         self.pair = (gram >> SHIFT).astype(np.int64)
         self.first, self.middle, self.last = gram & LOW, self.pairs[self.pair] >> SHIFT, self.pairs[self.pair] & LOW
+        self.learned = np.bincount(self.gram_of[learn], minlength=len(self.pair))  # in the block's training rows
 
-    def learned(self) -> np.ndarray:
-        """How often the block's training rows hold each trigram."""
-        return np.bincount(self.gram_of[np.repeat(~self.held, self.lens)], minlength=len(self.pair))
+    def contexts(self) -> np.ndarray:
+        """The pair of words that each trigram begins with; -1 for the start of a text (all trigrams)."""
+        before = np.empty(len(self.pair_of), np.int64)
+        before[1:] = self.pair_of[:-1]
+        before[np.cumsum(self.lens) - self.lens] = -1
+        context = np.empty(len(self.pair), np.int64)
+        context[self.gram_of] = before
+        return context
 
 
 @dataclass(frozen=True)
@@ -293,13 +306,11 @@ def hot_cells(coded: DataFrame, sent, pair_buckets: int) -> DataFrame:
     def run(batches):
         buckets = sent.value
         for row in _rows(batches):
-            block = Block(row)
-            hot = np.flatnonzero(in_sorted(buckets.hot, block.numbers[block.middle.astype(np.int64)])[1])
-            n, bucket = block.learned()[hot], buckets.of(block)[hot]
-            key, inv = np.unique(block.pair[hot] * buckets.many + bucket, return_inverse=True)
+            block = Block(row, buckets.hot)
+            key, inv = np.unique(block.pair * buckets.many + buckets.of(block), return_inverse=True)
             pair = block.pairs[key // buckets.many]
             v, x = (pair >> SHIFT).astype(np.int64), (pair & LOW).astype(np.int64)
-            cols = (block.numbers[v], block.numbers[x], block.n[x], key % buckets.many, _sums(inv, n, len(key)))
+            cols = (block.numbers[v], block.numbers[x], block.n[x], key % buckets.many, _sums(inv, block.learned, len(key)))
             where = mix(mix(cols[0].astype(np.uint64)) + cols[1].astype(np.uint64)) % np.uint64(pair_buckets)
             order, cut = _by_bucket(where.astype(np.int64), pair_buckets)
             for i in np.flatnonzero(np.diff(cut)):
@@ -352,7 +363,6 @@ def gram_cells(coded: DataFrame, sent) -> DataFrame:
         buckets = sent.value
         for row in _rows(batches):
             block = Block(row)
-            learned = block.learned()
             order, cut = _by_bucket(buckets.of(block), buckets.many)
             for i in np.flatnonzero(np.diff(cut)):
                 own = order[cut[i]:cut[i + 1]]
@@ -360,7 +370,7 @@ def gram_cells(coded: DataFrame, sent) -> DataFrame:
                 pair = block.pairs[block.pair[own[new]]]
                 last = (pair & LOW).astype(np.int64)
                 cell = (deltas(block.numbers[(pair >> SHIFT).astype(np.int64)]), deltas(block.numbers[last]), block.n[last],
-                        np.diff(new, append=len(own)), block.numbers[block.first[own].astype(np.int64)], learned[own])
+                        np.diff(new, append=len(own)), block.numbers[block.first[own].astype(np.int64)], block.learned[own])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([i], pa.int32()), _long([row["block"]]), *[pa.array([pack(x)]) for x in cell]],
                     names=CELL_NAMES)
@@ -446,16 +456,19 @@ class Automaton:
     def __init__(self, block: Block, n, whole, back, p2, low, log_total: float):
         words, pairs = len(block.numbers), len(block.pairs)
         self.begin = 1 + words + pairs
-        at, there = in_sorted(block.pairs, block.first << SHIFT | block.middle)
-        context = np.where(there, 1 + words + at, self.begin)
+        before = block.contexts()
+        context = np.where(before < 0, self.begin, 1 + words + before)
         word_state, target = 1 + block.middle.astype(np.int64), 1 + words + block.pair
         none = n == 0
         long, short = np.flatnonzero(~none), np.flatnonzero(none & ~np.isnan(p2))
         state = np.concatenate([context[long], word_state[short]]).astype(np.uint64)
         gram = np.concatenate([long, short])
-        self.keys, one = np.unique(state << SHIFT | block.last[gram], return_index=True)
-        self.weight = np.concatenate([np.log10((n[long] - DISCOUNT) / whole[long]), p2[short]])[one]
-        self.target = target[gram][one]
+        key = state << SHIFT | block.last[gram]
+        order = np.argsort(key)
+        order = order[np.diff(key[order], prepend=np.uint64(0)) != 0]  # the root has no arc, so no key is 0
+        self.keys, self.target = key[order], target[gram[order]]
+        self.weight = np.concatenate([np.log10((n[long] - DISCOUNT) / whole[long]), p2[short]])[order]
+        self.arcs = np.concatenate([[0], np.cumsum(np.bincount((self.keys >> SHIFT).astype(np.int64), minlength=self.begin + 1))])
         self.backoff = np.zeros(self.begin + 1)
         self.backoff[context[none]], self.backoff[word_state[none]] = back[none], low[none]
         self.fail = np.zeros(self.begin + 1, np.int64)
@@ -463,6 +476,15 @@ class Automaton:
         self.fail[self.begin] = 1 + int(block.start)
         self.root = np.log10(block.n + ADD) - log_total
 
+    def arc(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The place of each arc (state, word), and whether it is there: most states have one arc, looked at first."""
+        key = state.astype(np.uint64) << SHIFT | word
+        at = np.minimum(self.arcs[state], len(self.keys) - 1)
+        there = self.keys[at] == key if len(self.keys) else np.zeros(len(at), bool)
+        more = np.flatnonzero(~there & (self.arcs[state + 1] - self.arcs[state] > 1))
+        at[more], there[more] = in_sorted(self.keys, key[more])
+        return at, there
+
     def walk(self, seq: np.ndarray, lens: np.ndarray) -> np.ndarray:
         """Log-probabilities of texts, all read from left to right side by side."""
         order = np.argsort(-lens, kind="stable")
@@ -473,7 +495,7 @@ class Automaton:
             word = seq[begins[:live] + step]
             text = np.arange(live)
             while len(text):
-                at, arc = in_sorted(self.keys, state[text].astype(np.uint64) << SHIFT | word[text])
+                at, arc = self.arc(state[text], word[text])
                 there = text[arc]
                 total[there] += self.weight[at[arc]]
                 state[there] = self.target[at[arc]]

@@ -27,7 +27,7 @@ def test_walk_takes_failure_arcs():
         "held": lm_automaton.pack(np.array([False, True])), "lens": lm_automaton.pack(np.array([4, 3])),
         "seq": lm_automaton.pack(seq.astype(np.uint32)), "numbers": lm_automaton.pack(np.array([0, 1, 1, 1, 1])),
         "n": lm_automaton.pack(np.array([1, 1, 1, 1, 1])), "start": 4})
-    n = block.learned()
+    n = block.learned
     none = np.full(len(n), np.nan)
     known = block.middle == 2  # (c, end) follows the middle word c in the learned text
     model = lm_automaton.Automaton(block, n, np.ones(len(n), np.int64), np.full(len(n), -1.0), np.where(known, -0.25, none),
