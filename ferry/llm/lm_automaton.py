@@ -51,7 +51,7 @@ HOT_SHARE = 1e-6
 ADD, DISCOUNT, LEAST = 0.1, 0.5, 1e-9
 END_WORD, START_WORD = np.uint64(0x5E7D), np.uint64(0x57A7)  # not hashes of words, but by chance of 2^-64
 #: Tokens of a block of texts.
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 1_500_000
 #: Distinct words of blocks for each bucket of words, and tokens for each bucket of trigrams.
 BUCKET_WORDS, BUCKET_GRAMS = 1_000_000, 1_200_000
 #: Tokens of a hot word for each of its buckets.
