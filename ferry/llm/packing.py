@@ -5,9 +5,11 @@ far as it goes; what is left, its tail, is packed with the tails that are
 lexically nearest. Tails are dealt by range of their two most telling terms
 into shards of bounded size (a hot term splits by row id), each with an
 inverted BM25 index of its own over all its tails; the terms are token ids
-and their document frequencies come from all rows. In a shard, a seed asks
-the index for unused neighbours, which fill its window in order of their
-score; the one that doesn't fit is cut, and its rest seeds the next window.
+and their document frequencies come from all rows' tails, so a document
+without a tail counts in none. In a shard, a seed asks the index for its 64
+best unused neighbours, which fill its window in order of their score; the
+one that doesn't fit is cut, and its rest seeds the next window. Neighbours
+beyond these 64 aren't asked for: the next tail in order goes on as a seed.
 What the last window of a shard lacks is avoided: its tokens are cut into
 sequences of powers of two, which need no padding.
 
