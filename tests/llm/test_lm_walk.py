@@ -1,5 +1,6 @@
 """The backoff automaton over many blocks and buckets, hot middle words divided."""
 
+import brute
 import numpy as np
 import pytest
 from test_whole_job import _backoff_scores, _zipf_rows
@@ -34,3 +35,19 @@ def test_walk_takes_failure_arcs():
                                    np.full(len(n), -2.0), np.log10(4.5))
     half, one = np.log10(0.5), np.log10(1.1 / 4.5)
     assert np.allclose(model.walk(block.seq, block.lens), [4 * half, half - 1 - 2 + one - 0.25])
+
+
+def test_clashing_columns_repeated_rows_and_no_training_rows(spark):
+    rows = [("a", "x y z", 1), ("a", "x y z", 1), (None, None, 2), ("b", "  \n ", 3), ("c", "x " * 3000, 4)]
+    docs = spark.createDataFrame([(*r, r[2], "t", 0.5) for r in rows],
+                                 "`doc id` string, text string, rid int, block int, held_out string, score double")
+    got = sorted(((r["doc id"], r["n_tokens"], r["score"]) for r in lm_automaton.score_documents(docs, "doc id").collect()), key=repr)
+    expected = sorted(((d, s) for d, s in _backoff_scores([(d if d is not None else "", t) for d, t, _ in rows])), key=repr)
+    assert sorted(n for _, n, _ in got) == [1, 1, 4, 4, 3001]
+    assert np.allclose(sorted(s for _, _, s in got), sorted(s for _, s in expected))
+
+    held = next(i for i in range(100) if brute.crc(i) % 10 == 0)
+    alone = spark.createDataFrame([(held, "x y")], "doc_id long, text string")
+    (row,) = lm_automaton.score_documents(alone).collect()
+    assert (row["held_out"], row["n_tokens"], row["n_known"], row["train_tokens"]) == (True, 3, 0, 0)
+    assert np.isclose(row["base_score"], 0) and np.isclose(row["score"], 0)
