@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferry.llm.textbatch import MULT, chunks, in_sorted, mix, utf8
+from ferry.llm.textbatch import MULT, chunks, give_back, in_sorted, lean, mix, utf8
 from ferry.plans.sizing import materialize
 
 LENGTH, ANCHOR = 50, 16
@@ -43,7 +43,9 @@ SIDE = LENGTH - ANCHOR          # bytes of a window beside its anchor, at most
 PLACES = SIDE + 1               # places of the anchor in a window
 SHALLOW_WORDS = 2               # multikey steps of eight bytes
 #: Text bytes for each bucket of anchors, and anchors for each bucket of suffixes.
-BUCKET_BYTES, BUCKET_SUFFIXES = 48 << 20, 150_000
+BUCKET_BYTES, BUCKET_SUFFIXES = 24 << 20, 150_000
+#: Text bytes whose windows are looked at together; each takes some 80 bytes meanwhile.
+WINDOW_BYTES = 1 << 18
 LAST = (1 << 63) - 1
 
 
@@ -190,16 +192,73 @@ def _short(h: np.ndarray) -> np.ndarray:
     return ((h >> np.uint64(4)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
 
 
+def _lean_group(run):
+    """``lean`` for a function of a group."""
+    def group(table):
+        try:
+            return run(table)
+        finally:
+            give_back()
+    return group
+
+
+def _joined(column, kind) -> np.ndarray:
+    """The numbers of all cells of a binary column; read where they are."""
+    return np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in column])
+
+
+def _meet(table):
+    """A bucket's anchors that more than one text has, and these texts."""
+    h = _joined(table.column("h"), np.uint32)
+    order = np.argsort(h).astype(np.uint32)
+    h, ck = h[order], _joined(table.column("ck"), np.int64)[order]
+    del order
+    same = h[1:] == h[:-1]
+    # shared: not all of the anchor's texts are the first one
+    start = np.append(0, np.flatnonzero(~same) + 1)
+    shared = np.zeros(len(h), bool)
+    shared[1:] = same & (ck[1:] != ck[:-1])
+    shared = np.repeat(np.logical_or.reduceat(shared, start), np.diff(np.append(start, len(h))))
+    del same, start
+    h, ck = h[shared], ck[shared]
+    # packed by a hash of the text: a row for each part, not for each text
+    parts = int(table.column("buckets")[0].as_py())
+    part = mix(ck.view(np.uint64) * MULT[45]) % np.uint64(parts)
+    order = np.lexsort((ck, part))
+    h, ck = h[order], ck[order]
+    cuts = np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64))
+    used = np.flatnonzero(np.diff(cuts))
+    return pa.table({"part": pa.array(used.astype(np.int32)),
+                     "bucket": pa.array(np.full(len(used), table.column("bucket")[0].as_py(), np.int32)),
+                     "h": pa.array([h[cuts[k]:cuts[k + 1]].tobytes() for k in used], pa.binary()),
+                     "ck": pa.array([_packed(ck[cuts[k]:cuts[k + 1]]) for k in used], pa.binary())})
+
+
+def _marks_of_texts(table):
+    """A part's texts, each with its marks in order: its anchors of all buckets."""
+    bucket = table.column("bucket").to_pylist()
+    h = [np.frombuffer(x.as_buffer(), np.uint32) for x in table.column("h")]
+    mark = np.concatenate([x.astype(np.uint64) | np.uint64(b << 32) for x, b in zip(h, bucket)])
+    ck = np.concatenate([_unpacked(x, np.int64, len(y)) for x, y in zip(table.column("ck"), h)])
+    order = np.lexsort((mark, ck))
+    mark, ck = mark[order], ck[order]
+    fresh = np.append(True, (mark[1:] != mark[:-1]) | (ck[1:] != ck[:-1]))  # copies in other batches
+    mark, ck = mark[fresh], ck[fresh]
+    cut = np.append(0, np.flatnonzero(ck[1:] != ck[:-1]) + 1)
+    end = np.append(cut[1:], len(ck))
+    return pa.table({"ck": pa.array(ck[cut]), "marks": pa.array([mark[a:b].tobytes() for a, b in zip(cut, end)], pa.binary())})
+
+
 def shared_anchors(rows: DataFrame, buckets: int) -> DataFrame:
     """``(ck, marks)``: of every text, its anchors that another text has too
-    (packed 64-bit marks). ``rows`` has (text, ck)."""
+    (packed 64-bit marks in order). ``rows`` has (text, ck)."""
     def emit(batches):
         for b in batches:
             data, off = utf8(b.column(0))
             ck = b.column(1).to_numpy()
             fresh = ~pd.Index(ck).duplicated()
             parts = []
-            for lo, hi in chunks(off):
+            for lo, hi in chunks(off, WINDOW_BYTES):
                 _, h, row = anchors(data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo])
                 keep = fresh[lo:hi][row]
                 parts.append((h[keep], ck[lo:hi][row[keep]]))
@@ -217,28 +276,10 @@ def shared_anchors(rows: DataFrame, buckets: int) -> DataFrame:
                  pa.array([own[cuts[k]:cuts[k + 1]].tobytes() for k in used], pa.binary())],
                 names=["bucket", "h", "ck"])
 
-    def meet(table):
-        h = np.concatenate([np.frombuffer(x, np.uint32) for x in table.column("h").to_pylist()])
-        ck = np.concatenate([np.frombuffer(x, np.int64) for x in table.column("ck").to_pylist()])
-        code, uniq = pd.factorize(h)
-        # shared: not all of the anchor's texts are the first one
-        first = np.empty(len(uniq), np.int64)
-        first[code] = ck
-        other = np.bincount(code, ck != first[code], len(uniq)) > 0
-        keep = other[code]
-        h, ck = h[keep], ck[keep]
-        order = np.argsort(ck, kind="stable")
-        h, ck = h[order], ck[order]
-        cut = np.append(0, np.flatnonzero(ck[1:] != ck[:-1]) + 1) if len(ck) else np.zeros(0, int)
-        mark = h.astype(np.uint64) | np.uint64(int(table.column("bucket")[0].as_py()) << 32)
-        end = np.append(cut[1:], len(ck))
-        return pa.table({"ck": pa.array(ck[cut] if len(ck) else ck, pa.int64()),
-                         "marks": pa.array([mark[a:b].tobytes() for a, b in zip(cut, end)], pa.binary())})
-
-    cells = rows.select("text", "ck").mapInArrow(emit, "bucket int, h binary, ck binary")
-    found = (cells.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(meet, "ck long, marks binary"))
-    # A text's own anchors: the list is never longer than the text.
-    return found.groupBy("ck").agg(F.collect_list("marks").alias("marks"))
+    cells = rows.select("text", "ck").mapInArrow(lean(emit), "bucket int, h binary, ck binary")
+    met = (cells.withColumn("buckets", F.lit(buckets)).repartition(buckets, "bucket").groupBy("bucket")
+           .applyInArrow(_lean_group(_meet), "part int, bucket int, h binary, ck binary"))
+    return met.repartition(buckets, "part").groupBy("part").applyInArrow(_lean_group(_marks_of_texts), "ck long, marks binary")
 
 
 def _packed(x: np.ndarray) -> bytes:
@@ -259,7 +300,7 @@ def _squeezed(texts: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(z, pa.binary()), pa.array(np.diff(off)), b.column(1), b.column(2)],
                                              names=["z", "size", "ord", "ck"])
 
-    return texts.select("text", "ord", "ck").mapInArrow(run, "z binary, size long, ord long, ck long")
+    return texts.select("text", "ord", "ck").mapInArrow(lean(run), "z binary, size long, ord long, ck long")
 
 
 def _restored(b) -> tuple[np.ndarray, np.ndarray]:
@@ -286,7 +327,7 @@ def _contexts(rows: DataFrame, buckets: int, cells: int) -> DataFrame:
                 keep = np.zeros(len(at), bool)
                 for r in range(len(o) - 1):
                     if cut[r] < cut[r + 1]:
-                        own = np.sort(np.frombuffer(b"".join(marks[lo + r].as_py()), np.uint64))
+                        own = np.frombuffer(marks[lo + r].as_buffer(), np.uint64)
                         keep[cut[r]:cut[r + 1]] = in_sorted(own, mark[cut[r]:cut[r + 1]])[1]
                 at, h, row = at[keep], h[keep], row[keep]
                 order = np.argsort(h)
@@ -309,7 +350,7 @@ def _contexts(rows: DataFrame, buckets: int, cells: int) -> DataFrame:
                     names=["cell", "ord", "ck", "pos", "l", "r", "around", "n"])
 
     return rows.select("z", "size", "ord", "ck", "marks").mapInArrow(
-        emit, "cell int, ord binary, ck binary, pos binary, l binary, r binary, around binary, n int")
+        lean(emit), "cell int, ord binary, ck binary, pos binary, l binary, r binary, around binary, n int")
 
 
 def _decide(table):
@@ -389,16 +430,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # Only the first rows of a group of equal texts go on; the key holds the id, so copies spread.
     first = (facts.join(least, "sha").filter("ord = least").select("ck", "ord").distinct())
     todo = shared.join(first, "ck")
-    held = F.aggregate("marks", F.lit(0).cast("long"), lambda a, x: a + F.octet_length(x).cast("long"))
-    total = (shared.agg(F.sum(held).alias("n")).first()["n"] or 0) // 8
+    total = (shared.agg(F.sum(F.octet_length("marks").cast("long")).alias("n")).first()["n"] or 0) // 8
     cells = int(max(8, -(-total // BUCKET_SUFFIXES)))
     rows = _squeezed(texts).join(todo, ["ck", "ord"])
     found = (_contexts(rows, buckets, cells).withColumn("parts", F.lit(cells)).repartition(cells, "cell").groupBy("cell")
-             .applyInArrow(_decide, "part int, ord binary, ck binary, pos binary, bits binary, n int")
+             .applyInArrow(_lean_group(_decide), "part int, ord binary, ck binary, pos binary, bits binary, n int")
              .repartition(cells, "part").groupBy("part")
-             .applyInArrow(_by_document, "ord long, ck long, pos binary, bits binary"))
+             .applyInArrow(_lean_group(_by_document), "ord long, ck long, pos binary, bits binary"))
     hits = (_squeezed(texts).join(found, ["ord", "ck"]).select("z", "size", "ord", "pos", "bits", "ck")
-            .mapInArrow(_removed, "ord long, ck long, removed long, spans long, kept string")
+            .mapInArrow(lean(_removed), "ord long, ck long, removed long, spans long, kept string")
             .dropDuplicates(["ord", "ck"]))
     copy = (F.col("ord") > F.col("least")) & (F.col("n") >= LENGTH)
     none = F.lit(hashlib.sha256(b"").hexdigest())
