@@ -22,6 +22,7 @@ from ferry.operators import queue as q
 from ferry.operators import registry as reg
 from ferry.operators import strategies as st
 from ferry.plans import tables as tb
+from ferry.plans.sizing import broadcast_if_small
 from ferry.session import configure, new_run_dir
 from ferry.sinks import json_loader, queue_sink, snapshot
 from ferry.sources import file_chunks as fc
@@ -33,8 +34,8 @@ FILE_CHUNK_BYTES = 1024 * 1024
 TEXT_CHUNK_BYTES = 1000
 #: Lines of a file that queries write as a source.
 LINES_PER_FILE = 500
-#: Files of ``file_lines`` and the bytes of a range.
-LINE_FILES, LINE_RANGE_BYTES = 4, 64 * 1024
+#: Files of ``file_lines`` at least, the text bytes of one about, and the bytes of a range.
+LINE_FILES, LINE_FILE_BYTES, LINE_RANGE_BYTES = 4, 64 * 1024 * 1024, 64 * 1024
 SYNC_BOUNDARY = dt.datetime(2024, 1, 15, 0, 0, 0)
 OVERRIDDEN = ("click", "view")
 #: Hash buckets of an upserted events target.
@@ -607,18 +608,36 @@ def run_sync_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select(F.from_json("line", "doc_id bigint, text string").alias("d")).select("d.*")
 
 
+def _lines_before(table):
+    """The files with the smallest id plus the lines of the files before each."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    table = table.sort_by("_begins")  # null last
+    n = table.column("_n").to_numpy()
+    first = pc.add(pa.array(np.cumsum(n) - n), pc.min(table.column("_begins")))
+    return pa.table({"path": table.column("path"), "_first": first})
+
+
 def file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A1 by lines: files of JSON lines in the order of doc_id, read in byte
-    ranges far shorter than a file. A line's number in its file, and the
-    document that the file begins with, give the document."""
+    """A1 by lines: files of JSON lines in the order of doc_id, as many as their
+    bytes ask for, read in byte ranges far shorter than a file. A line's number
+    in its file, and the lines of the files before, give its number among all;
+    numbers begin with the first document's id."""
     from ferry.sources.file_lines import read_lines
     place = new_run_dir(spark, "file-lines")
-    docs = _t(spark, sf_dir, "documents").repartitionByRange(LINE_FILES, "doc_id").sortWithinPartitions("doc_id")
+    docs = _t(spark, sf_dir, "documents")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    order = F.col("doc_id").asc_nulls_last()
+    docs = docs.repartitionByRange(max(LINE_FILES, -(-size // LINE_FILE_BYTES)), order).sortWithinPartitions(order)
     docs.select(F.to_json(F.struct("doc_id", "text")).alias("value")).write.text(place)
     lines = read_lines(spark, place, LINE_RANGE_BYTES)
     doc = F.from_json(F.decode("data", "UTF-8"), "doc_id bigint, text string")
     rows = lines.select("path", "seq", doc.alias("d"))
-    first = rows.where("seq = 0").select("path", F.col("d.doc_id").alias("_first"))
+    files = rows.groupBy("path").agg(F.count(F.lit(1)).alias("_n"), F.min(F.when(F.col("seq") == 0, F.col("d.doc_id"))).alias("_begins"))
+    # a group is the files' counts, a row for each LINE_FILE_BYTES
+    first = files.withColumn("_all", F.lit(True)).groupBy("_all").applyInArrow(_lines_before, "path string, _first bigint")
+    first = broadcast_if_small(first, materialize_first=True, name="file-begins")
     return rows.join(first, "path").select((F.col("_first") + F.col("seq")).alias("line"), "d.doc_id", "d.text")
 
 
