@@ -21,7 +21,12 @@ from ferry.functions.envelope import EDGE_BYTES
 from ferry.operators.chunks import BEFORE, DEFAULT_CHUNK_BYTES, LAST
 
 DEFAULT_PARTITION_BYTES = 128 * 1024 * 1024
-BATCH_BYTES = 16 * 1024 * 1024
+#: Bytes of a range that is dealt to a task, and of an Arrow batch, all of which one read fills.
+RANGE_BYTES, BATCH_BYTES = 16 * 1024 * 1024, 4 * 1024 * 1024
+#: A row counts as so many bytes at least: it has a path too.
+ROW_BYTES = 256
+#: Rows of a listing handed on together.
+LISTED_ROWS = 10_000
 SCHEMA = "path string, seq bigint, data binary"
 EDGES_SCHEMA = f"{SCHEMA}, {BEFORE} binary, {LAST} boolean"
 
@@ -135,49 +140,61 @@ class FileChunksReader(DataSourceReader):
 
 
 def read_ranges(ranges, n: int, edges: bool = False):
-    """Ranged reads, handed to Spark as Arrow record batches of at most
-    ``BATCH_BYTES`` so no per-row conversion runs in Python. ``edges``: each
-    read begins a few bytes earlier, for the bytes before the first chunk."""
+    """Ranged reads, handed to Spark as Arrow record batches of about
+    ``BATCH_BYTES`` (a chunk where that is longer). A read's buffer is the
+    column's data, so neither rows nor chunks are objects in Python. ``edges``:
+    each read begins a few bytes earlier, for the bytes before the first chunk."""
     import pyarrow as pa
-    per_batch = max(1, BATCH_BYTES // n)
-    rows: list[list] = [[], [], [], [], []]
-    paths, seqs, datas, befores, lasts = rows
-    for r in ranges:
-        filesystem, path = _fs_and_path(r.path)
-        with filesystem.open_input_file(path) as f:
-            seq = r.first_seq
-            while seq <= r.last_seq:  # one ranged read for as many chunks as the batch takes
-                count = min(per_batch - len(datas), r.last_seq - seq + 1)
-                start = r.start + seq * n
-                front = min(EDGE_BYTES, start) if edges else 0
-                want = min(count * n, r.size - start)
-                block = f.read_at(want + front, start - front)
-                if len(block) != want + front:
-                    raise OSError(f"{r.path} changed while it was read")
-                paths.extend([r.path] * count)
-                seqs.extend(range(r.base + seq, r.base + seq + count))
-                datas.extend(block[front + i:front + i + n] for i in range(0, want, n))
-                if edges:
-                    befores.extend(block[max(0, front + i - EDGE_BYTES):front + i] for i in range(0, want, n))
-                    lasts.extend(start + i + n >= r.size for i in range(0, want, n))
-                seq += count
-                if len(datas) >= per_batch:
-                    yield _batch(pa, rows, edges)
-                    for column in rows:
-                        column.clear()
-    if datas:
-        yield _batch(pa, rows, edges)
-
-
-def _batch(pa, rows: list[list], edges: bool):
-    paths, seqs, datas, befores, lasts = rows
-    cells = lambda blocks: pa.array([d.to_pybytes() if hasattr(d, "to_pybytes") else d for d in blocks], pa.binary())
-    columns = [pa.array(paths, pa.string()), pa.array(seqs, pa.int64()), cells(datas)]
+    per_batch = max(1, BATCH_BYTES // max(n, ROW_BYTES))
+    parts, held = [], 0
+    try:
+        for r in ranges:
+            filesystem, path = _fs_and_path(r.path)
+            with filesystem.open_input_file(path) as f:
+                seq = r.first_seq
+                while seq <= r.last_seq:  # one ranged read for as many chunks as the batch takes
+                    count = min(per_batch - held, r.last_seq - seq + 1)
+                    parts.append(_chunks(pa, f, r, seq, count, n, edges))
+                    seq, held = seq + count, held + count
+                    if held >= per_batch:
+                        yield _batch(pa, parts)
+                        parts, held = [], 0
+        if parts:
+            yield _batch(pa, parts)
+    finally:  # a worker outlives its task
+        parts = None
+        pa.default_memory_pool().release_unused()
+
+
+def _chunks(pa, f, r: _Range, seq: int, count: int, n: int, edges: bool):
+    """The batch of ``count`` chunks from ``seq`` on, by one read."""
+    import numpy as np
+    start = r.start + seq * n
+    front = min(EDGE_BYTES, start) if edges else 0
+    want = min(count * n, r.size - start)
+    f.seek(start - front)
+    block = f.read_buffer(want + front)
+    if block.size != want + front:
+        raise OSError(f"{r.path} changed while it was read")
+    at = np.arange(count, dtype=np.int64)
+    columns = [pa.repeat(pa.scalar(r.path, pa.string()), count), pa.array(at + (r.base + seq)),
+               _binary(pa, np.append(at * n, want), block.slice(front))]
     if edges:
-        columns += [cells(befores), pa.array(lasts, pa.bool_())]
+        near = front + (at * n)[:, None] + np.arange(-EDGE_BYTES, 0)
+        there = near >= 0
+        before = np.frombuffer(block, np.uint8)[near[there]]
+        columns += [_binary(pa, np.append(0, np.cumsum(there.sum(1))), pa.py_buffer(before)), pa.array(start + (at + 1) * n >= r.size)]
     return pa.RecordBatch.from_arrays(columns, names=["path", "seq", "data", BEFORE, LAST][:len(columns)])
 
 
+def _binary(pa, offsets, data):
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype("int32")), data])
+
+
+def _batch(pa, parts: list):
+    return parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+
+
 class FileChunks(DataSource):
     """Options: ``path`` (a JSON list of files, directories, ``dir/*.ext``),
     ``chunk_bytes`` (default 1 MiB), ``partition_bytes`` (default 128 MiB),
@@ -218,21 +235,30 @@ def list_urls(urls, chunk_bytes: int = DEFAULT_CHUNK_BYTES):
     through its files in path order, ``file_no`` the files; a url that cannot be listed is one row with a
     null path and an ``error``."""
     def listed(batches):
-        import pandas as pd
-        for batch in batches:
-            rows = []
-            for url in batch["url"]:
+        import pyarrow as pa
+        types = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64())
+
+        def batch(rows):
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)],
+                                              names=["url", "path", "size", "first_seq", "error", "file_no"])
+        rows = []
+        for b in batches:
+            for url in b.column(0).to_pylist():
                 try:
                     first = 0
                     for i, (path, size) in enumerate(list_files(url)):
                         rows.append((url, path, size, first, None, i))
                         first += -(-size // chunk_bytes)
+                        if len(rows) == LISTED_ROWS:
+                            yield batch(rows)
+                            rows = []
                 except FileNotFoundError:
                     rows.append((url, None, 0, 0, "source not found", 0))
                 except (OSError, ValueError) as e:
                     rows.append((url, None, 0, 0, f"source not readable: {e}", 0))
-            yield pd.DataFrame(rows, columns=["url", "path", "size", "first_seq", "error", "file_no"])
-    return urls.select("url").distinct().mapInPandas(
+        if rows:
+            yield batch(rows)
+    return urls.select("url").distinct().mapInArrow(
         listed, "url string, path string, size bigint, first_seq bigint, error string, file_no bigint")
 
 
@@ -251,7 +277,7 @@ def read_listed(files, chunk_bytes: int = DEFAULT_CHUNK_BYTES,
     total = files.agg(F.sum(F.col("size") - F.col("start"))).first()[0] or 0
     cores = spark.sparkContext.defaultParallelism
     tasks = max(-(-total // partition_bytes), min(cores, -(-total // chunk_bytes)), 1)
-    step = max(1, min(BATCH_BYTES, -(-total // tasks)) // chunk_bytes)
+    step = max(1, min(RANGE_BYTES, -(-total // tasks)) // chunk_bytes)
     last = F.expr(f"(size - start + {chunk_bytes} - 1) div {chunk_bytes} - 1")
     ranges = (files.where(F.col("size") > F.col("start"))
               .select("path", F.explode(F.sequence(F.lit(0).cast("long"), last, F.lit(step).cast("long")))
