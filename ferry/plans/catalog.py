@@ -35,7 +35,7 @@ TEXT_CHUNK_BYTES = 1000
 #: Lines of a file that queries write as a source.
 LINES_PER_FILE = 500
 #: Files of ``file_lines`` at least, the text bytes of one about, and the bytes of a range.
-LINE_FILES, LINE_FILE_BYTES, LINE_RANGE_BYTES = 4, 64 * 1024 * 1024, 64 * 1024
+LINE_FILES, LINE_FILE_BYTES, LINE_RANGE_BYTES = 4, 16 * 1024 * 1024, 64 * 1024
 SYNC_BOUNDARY = dt.datetime(2024, 1, 15, 0, 0, 0)
 OVERRIDDEN = ("click", "view")
 #: Hash buckets of an upserted events target.
